@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,8 +18,7 @@ INCOMING_WINS = "incoming_wins"
 POLICIES = (LATEST_WINS, INCOMING_WINS)
 
 _IN = "_in_"
-_STORED = "_stored"
-_MATCHED = "_in"
+_MATCHED, _STORED, _TAKE = "_matched", "_stored", "_take"
 
 
 @dataclass(frozen=True)
@@ -35,52 +34,60 @@ class MergeRule:
             raise ValueError(f"policy must be one of {POLICIES}, not {self.policy!r}")
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _incoming_name(column: str) -> str:
+    return _quoted(_IN + column)
+
+
 def blank_deleted(rows: DataFrame, rule: MergeRule, keep: Sequence[str] = ()) -> DataFrame:
     """Drop the payload of deleted rows; keys, ordering, flag, partition columns and ``keep`` stay."""
     kept = {*rule.keys, rule.ordering, rule.delete_flag, *rule.partition_by, *keep}
-    gone = F.coalesce(F.col(rule.delete_flag), F.lit(False))
-    return rows.select(*[F.col(c) if c in kept else F.when(~gone, F.col(c)).alias(c) for c in rows.columns])
+    live = f"NOT coalesce({_quoted(rule.delete_flag)}, false)"
+    return rows.selectExpr(
+        *[_quoted(c) if c in kept else f"CASE WHEN {live} THEN {_quoted(c)} END AS {_quoted(c)}" for c in rows.columns]
+    )
 
 
 def live_rows(rows: DataFrame, delete_flag: str) -> DataFrame:
-    return rows.where(~F.coalesce(F.col(delete_flag), F.lit(False)))
+    return rows.where(f"NOT coalesce({_quoted(delete_flag)}, false)")
 
 
 def _incoming(changes: DataFrame) -> DataFrame:
-    return changes.select(*[F.col(c).alias(_IN + c) for c in changes.columns], F.lit(True).alias(_MATCHED))
+    renamed = [f"{_quoted(c)} AS {_incoming_name(c)}" for c in changes.columns]
+    return changes.selectExpr(*renamed, f"true AS {_MATCHED}")
 
 
 def _same_key(keys: Sequence[str]) -> Column:
-    condition = F.col(keys[0]) == F.col(_IN + keys[0])
-    for key in keys[1:]:
-        condition = condition & (F.col(key) == F.col(_IN + key))
-    return condition
+    return F.expr(" AND ".join(f"{_quoted(k)} = {_incoming_name(k)}" for k in keys))
 
 
-def _incoming_is_newer(rule: MergeRule) -> Column:
+def _incoming_wins(rule: MergeRule) -> str:
+    """Whether an incoming row replaces the stored one; a NULL ordering is the lowest, ties go to incoming."""
     if rule.policy == INCOMING_WINS:
-        return F.lit(True)
-    stored, incoming = F.col(rule.ordering), F.col(_IN + rule.ordering)
-    return stored.isNull() | F.coalesce(incoming >= stored, F.lit(False))
+        return f"coalesce({_MATCHED}, false)"
+    stored, incoming = _quoted(rule.ordering), _incoming_name(rule.ordering)
+    return f"coalesce({_MATCHED}, false) AND ({stored} IS NULL OR coalesce({incoming} >= {stored}, false))"
 
 
-def _pick(column: str, take: Column, rule: MergeRule) -> Column:
+def _picked(column: str, rule: MergeRule, key: str) -> str:
+    old, new = _quoted(column), _incoming_name(column)
+    if column in rule.keys:
+        return f"{key.format(old=old, new=new)} AS {old}"
     if column in rule.partition_by:
         # a delete may come without its partition value: the flagged row stays where the row was
-        deleted = F.coalesce(F.col(_IN + rule.delete_flag), F.lit(False))
-        kept = F.coalesce(F.col(column), F.col(_IN + column))
-        return F.when(take, F.when(deleted, kept).otherwise(F.col(_IN + column))).otherwise(F.col(column))
-    return F.when(take, F.col(_IN + column)).otherwise(F.col(column))
+        new = f"CASE WHEN {_incoming_name(rule.delete_flag)} THEN coalesce({old}, {new}) ELSE {new} END"
+    return f"CASE WHEN {_TAKE} THEN {new} ELSE {old} END AS {old}"
 
 
 def merge_broadcast(stored: DataFrame, changes: DataFrame, rule: MergeRule) -> DataFrame:
     """Merge a batch of checked, broadcastable size. The stored side is scanned, never shuffled."""
     columns, keys = stored.columns, list(rule.keys)
     joined = stored.join(F.broadcast(_incoming(changes)), _same_key(keys), "left")
-    take = F.coalesce(F.col(_MATCHED) & _incoming_is_newer(rule), F.lit(False))
-    kept_or_replaced = joined.select(
-        *[F.col(c) if c in keys else _pick(c, take, rule).alias(c) for c in columns]
-    )
+    joined = joined.selectExpr("*", f"{_incoming_wins(rule)} AS {_TAKE}")
+    kept_or_replaced = joined.selectExpr(*[_picked(c, rule, "{old}") for c in columns])
     # At most one row per incoming key, hence no larger than the batch that is broadcast already.
     matched = stored.select(*keys).join(F.broadcast(changes.select(*keys)), keys, "left_semi").distinct()
     inserted = changes.join(F.broadcast(matched), keys, "left_anti").select(*columns)
@@ -93,14 +100,9 @@ def merge_shuffled(stored: DataFrame, changes: DataFrame, rule: MergeRule) -> Da
     Keys are unique on both sides, so no key can be hot in this join.
     """
     columns, keys = stored.columns, list(rule.keys)
-    joined = stored.withColumn(_STORED, F.lit(True)).join(_incoming(changes), _same_key(keys), "full")
-    take = F.coalesce(F.col(_MATCHED) & (F.col(_STORED).isNull() | _incoming_is_newer(rule)), F.lit(False))
-    return joined.select(
-        *[
-            F.coalesce(F.col(c), F.col(_IN + c)).alias(c) if c in keys else _pick(c, take, rule).alias(c)
-            for c in columns
-        ]
-    )
+    joined = stored.selectExpr("*", f"true AS {_STORED}").join(_incoming(changes), _same_key(keys), "full")
+    joined = joined.selectExpr("*", f"{_STORED} IS NULL OR ({_incoming_wins(rule)}) AS {_TAKE}")
+    return joined.selectExpr(*[_picked(c, rule, "coalesce({old}, {new})") for c in columns])
 
 
 def merge(stored: DataFrame, changes: DataFrame, rule: MergeRule, small_batch: bool) -> DataFrame:
@@ -108,22 +110,22 @@ def merge(stored: DataFrame, changes: DataFrame, rule: MergeRule, small_batch: b
     return (merge_broadcast if small_batch else merge_shuffled)(stored, changes, rule)
 
 
-def batch_bytes(changes: DataFrame) -> int:
-    """In-memory size of a batch, from its row count and the real length of its text.
+def measured(changes: DataFrame) -> tuple[DataFrame, Observation]:
+    """The batch, and its size in memory from row count and real text lengths.
 
-    One narrow pass without a shuffle; run it on a batch that is already stored.
+    The size is known once the returned rows are written: it is summed up by the writing tasks themselves.
     """
     row_overhead, per_column = 16, 16
-    total = F.count(F.lit(1)) * (row_overhead + per_column * len(changes.columns))
+    lengths = []
     for field in changes.schema:
         if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            length = F.octet_length(field.name)
+            lengths.append(f"octet_length({_quoted(field.name)})")
         elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
-            length = F.octet_length(F.to_json(field.name))
-        else:
-            continue
-        total = total + F.coalesce(F.sum(length), F.lit(0))
-    return changes.agg(total.cast("long").alias("bytes")).first()["bytes"]
+            lengths.append(f"octet_length(to_json({_quoted(field.name)}))")
+    texts = " + ".join(f"coalesce({length}, 0)" for length in lengths) or "0"
+    row = row_overhead + per_column * len(changes.columns)
+    size = Observation()
+    return changes.observe(size, F.expr(f"coalesce(sum(CAST({row} + {texts} AS BIGINT)), 0) AS bytes")), size
 
 
 def broadcast_limit(spark: SparkSession) -> int:

@@ -20,10 +20,10 @@ from pyspark.sql import types as T
 from tidemark.operators.layout import clustered, sorted_in_tasks, spread_for_write
 from tidemark.operators.merge import (
     INCOMING_WINS,
-    batch_bytes,
     blank_deleted,
     broadcast_limit,
     live_rows,
+    measured,
     merge,
 )
 from tidemark.operators.precombine import precombine
@@ -109,9 +109,15 @@ class LakeTable:
         schema = state.struct()
         if not folders:
             return self.spark.createDataFrame([], schema)
+        by_version: dict[str, list[str]] = {}
+        for version, name in sorted(folders):
+            by_version.setdefault(version, []).append(name)
+        paths = []
+        for version, names in by_version.items():
+            whole = len(names) == state.folder_counts.get(f"{kind}/{version}")
+            paths += [self._folder(kind, version, n) for n in ([""] if whole else names)]
         reader = self.spark.read.schema(schema).option("basePath", f"{self.path}/{kind}")
-        rows = reader.parquet(*[self._folder(kind, v, n) for v, n in sorted(folders)])
-        return rows.select(*schema.names, *extra)
+        return reader.parquet(*paths).select(*schema.names, *extra)
 
     # ---- writing ---------------------------------------------------------------------------------
 
@@ -137,11 +143,13 @@ class LakeTable:
         rows = rows.withColumn(COMMIT_TIME, F.lit(instant))
         empty = last or Commit(0, "", "", "")
         commit = empty.next(
-            instant, "seed", schema=_nullable(rows.schema).json(), parts={}, change_bytes={},
+            instant,
+            "seed",
+            schema=_nullable(rows.schema).json(),
             **self._progress(empty, source, read_up_to),
         )
         self._write(BASE, sorted_in_tasks(rows, self.spec.partition_by, self.spec.keys), instant)
-        return self._publish(commit, {}, BASE)
+        return self._publish_base(commit, {})
 
     def upsert(
         self,
@@ -164,12 +172,13 @@ class LakeTable:
         batch = conform(changes, T.StructType([f for f in last.struct() if f.name != COMMIT_TIME]))
         batch = precombine(self._refuse_null_keys(batch), self.spec.keys, self.spec.ordering)
         batch = blank_deleted(batch, self.spec.rule).withColumn(COMMIT_TIME, F.lit(instant))
-        self._write(CHANGES, spread_for_write(batch, self.spec.partition_by), instant)
-        arrived = self._written(CHANGES, instant)
-        staged = self._read(commit, CHANGES, [(instant, n) for n in arrived])
-        size = batch_bytes(staged)
+        batch, observed = measured(spread_for_write(batch, self.spec.partition_by))
+        self._write(CHANGES, batch, instant)
+        size = observed.get["bytes"]
         if size == 0:
             return self._publish(commit, dict(last.parts))
+        arrived = self._written(CHANGES, instant)
+        staged = self._read(commit, CHANGES, [(instant, n) for n in arrived])
         homes = self._stored_in(last, staged, size) if self.spec.moves_partitions else set()
 
         if self.spec.table_type is TableType.MERGE_ON_READ:
@@ -179,8 +188,7 @@ class LakeTable:
                 parts[name] = Part(old.base, (*old.changes, instant), old.linked)
             for name in homes - set(arrived):
                 parts[name] = Part(parts[name].base, parts[name].changes, linked=True)
-            sizes = {**last.change_bytes, instant: size}
-            return self._publish(commit.with_parts(parts, sizes), parts)
+            return self._publish(commit, parts, {f"{CHANGES}/{instant}": len(arrived)}, {instant: size})
 
         touched = homes | set(arrived)
         stored = self._rows(last, [n for n in touched if n in last.parts])
@@ -189,7 +197,7 @@ class LakeTable:
         # a small batch leaves stored rows in the tasks that read their partition; nothing to spread
         self._write(BASE, merged if small else spread_for_write(merged, self.spec.partition_by), instant)
         untouched = {n: part for n, part in last.parts.items() if n not in touched}
-        return self._publish(commit, untouched, BASE)
+        return self._publish_base(commit, untouched)
 
     def compact(self, instant: str | None = None, purge_before: str | None = None) -> Commit:
         """Fold pending changes into new base files. Flagged rows older than ``purge_before`` go away."""
@@ -220,7 +228,7 @@ class LakeTable:
             rows = sorted_in_tasks(rows, self.spec.partition_by, columns)
         self._write(BASE, rows, instant)
         kept = {n: part for n, part in last.parts.items() if n not in set(names)}
-        return self._publish(last.next(instant, operation), kept, BASE)
+        return self._publish_base(last.next(instant, operation), kept)
 
     def stale_folders(self, retain: int = KEPT_COMMITS) -> list[str]:
         """Version folders that none of the last ``retain`` commits needs."""
@@ -305,15 +313,17 @@ class LakeTable:
     def _written(self, kind: str, instant: str) -> list[str]:
         return storage.nested_folders(self.spark, self._folder(kind, instant), len(self.spec.partition_by))
 
-    def _publish(self, commit: Commit, parts: dict[str, Part], written: str | None = None) -> Commit:
-        if written:
-            parts = {**parts, **{n: Part(commit.instant) for n in self._written(written, commit.instant)}}
-        pending = {v for part in parts.values() for v in part.changes}
-        sizes = {v: size for v, size in commit.change_bytes.items() if v in pending}
-        commit = commit.with_parts(parts, sizes)
+    def _publish(self, commit: Commit, parts: dict[str, Part], written=None, change_bytes=None) -> Commit:
+        commit = commit.with_parts(parts, written or {}, change_bytes or {})
         self.log.append(commit)
         return commit
 
+    def _publish_base(self, commit: Commit, kept: dict[str, Part]) -> Commit:
+        """Publish kept partitions and those just written to the base folder of this commit."""
+        names = self._written(BASE, commit.instant)
+        new = {n: Part(commit.instant) for n in names}
+        return self._publish(commit, {**kept, **new}, {f"{BASE}/{commit.instant}": len(names)})
+
 
 def _nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in schema])
