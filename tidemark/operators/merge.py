@@ -110,6 +110,15 @@ def merge(stored: DataFrame, changes: DataFrame, rule: MergeRule, small_batch: b
     return (merge_broadcast if small_batch else merge_shuffled)(stored, changes, rule)
 
 
+def beaten_keys(stored: DataFrame, changes: DataFrame, rule: MergeRule, small_batch: bool) -> DataFrame:
+    """Keys of changes that lose against a stored row with a later ordering."""
+    incoming = _incoming(changes.select(*rule.keys, rule.ordering))
+    joined = stored.select(*rule.keys, rule.ordering).join(
+        F.broadcast(incoming) if small_batch else incoming, _same_key(rule.keys)
+    )
+    return joined.where(f"NOT ({_incoming_wins(rule)})").select(*rule.keys)
+
+
 def measured(changes: DataFrame) -> tuple[DataFrame, Observation]:
     """The batch, and its size in memory from row count and real text lengths.
 

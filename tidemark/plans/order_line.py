@@ -118,42 +118,104 @@ def instant_day(instant: Column) -> Column:
     return F.to_date(F.substring(instant, 1, TIME_DIGITS), TIME_PATTERN)
 
 
-def denormalize(
-    orders: DataFrame,
-    customer: DataFrame,
-    district: DataFrame,
-    warehouse: DataFrame,
-    order_line: DataFrame,
-    item: DataFrame,
-    layout: Layout,
-) -> DataFrame:
-    """26 columns per order line. ``order_line`` carries the commit time of the keyed table it was read from."""
-    others = [orders, customer, district, warehouse, item]
-    orders, customer, district, warehouse, item = [f.drop(COMMIT_TIME) for f in others]
-    joined = star_join(
+@dataclass(frozen=True)
+class Sources:
+    """The six relations; ``order_line`` carries the commit time of the keyed table it was read from."""
+
+    orders: DataFrame
+    customer: DataFrame
+    district: DataFrame
+    warehouse: DataFrame
+    order_line: DataFrame
+    item: DataFrame
+
+    def references(self) -> list[DataFrame]:
+        """All but the order line, without commit times of their own."""
+        others = [self.orders, self.customer, self.district, self.warehouse, self.item]
+        return [rows.drop(COMMIT_TIME) for rows in others]
+
+
+def _order_columns(layout: Layout) -> dict[str, Column]:
+    """Columns that are the same for all lines of an order."""
+    customer_scope = (layout.customer_key, layout.warehouse_key, layout.district_key)
+    return {
+        "aol_sk": joined_key(*customer_scope, layout.order_key),
+        "c_sk": joined_key(*customer_scope),
+        "c_id": F.col(layout.customer_key),
+        "w_id": F.col(layout.warehouse_key),
+        "d_id": F.col(layout.district_key),
+        "o_id": F.col(layout.order_key),
+        "o_entry_d": F.col(layout.order_time),
+        "order_date": F.date_format(layout.order_time, DAY_PATTERN),
+    }
+
+
+def _line_columns(layout: Layout) -> dict[str, Column]:
+    return {
+        "ol_number": F.col(layout.line_number),
+        "i_id": F.col(layout.item_key),
+        "ol_instant_time": instant_day(F.col(COMMIT_TIME)),
+    }
+
+
+def _copied(layout: Layout) -> dict[str, str]:
+    """Columns taken over as they are: output name to source name."""
+    return {**{c: c for c in layout.kept}, **{new: old for old, new in layout.renamed.items()}}
+
+
+def output_columns(layout: Layout) -> list[str]:
+    front = ["aol_sk", "c_sk", "c_id", "w_id", "d_id", "o_id", "ol_number", "o_entry_d", "order_date", "i_id"]
+    return [*front, *_copied(layout), "ol_instant_time"]
+
+
+def denormalize(sources: Sources, layout: Layout) -> DataFrame:
+    """26 columns per order line, for all order lines.
+
+    Orders meet their customers before their lines: fewer rows are moved, and what all lines of an order
+    share is computed once per order.
+    """
+    orders, customer, district, warehouse, item = sources.references()
+    whole = star_join(
         orders,
         Reference(customer, layout.customer),
         Reference(district, layout.district),
         Reference(warehouse, layout.warehouse),
-        Reference(order_line, layout.order_line),
-        Reference(item, layout.item),
     )
-    customer_scope = (layout.customer_key, layout.warehouse_key, layout.district_key)
-    return joined.select(
-        joined_key(*customer_scope, layout.order_key).alias("aol_sk"),
-        joined_key(*customer_scope).alias("c_sk"),
-        F.col(layout.customer_key).alias("c_id"),
-        F.col(layout.warehouse_key).alias("w_id"),
-        F.col(layout.district_key).alias("d_id"),
-        F.col(layout.order_key).alias("o_id"),
-        F.col(layout.line_number).alias("ol_number"),
-        F.col(layout.order_time).alias("o_entry_d"),
-        F.date_format(layout.order_time, DAY_PATTERN).alias("order_date"),
-        F.col(layout.item_key).alias("i_id"),
-        *layout.kept,
-        *[F.col(old).alias(new) for old, new in layout.renamed.items()],
-        instant_day(F.col(COMMIT_TIME)).alias("ol_instant_time"),
+    copied = _copied(layout)
+    order_level = {new: F.col(old) for new, old in copied.items() if old in whole.columns}
+    line_level = {new: F.col(old) for new, old in copied.items() if old not in whole.columns}
+    per_order = {**_order_columns(layout), **order_level}
+    join_keys = {f"_order_{i}": left for i, (left, _) in enumerate(layout.order_line)}
+    whole = whole.select(
+        *[F.col(c).alias(k) for k, c in join_keys.items()], *[v.alias(k) for k, v in per_order.items()]
     )
+    on_order = [(key, right) for key, (_, right) in zip(join_keys, layout.order_line)]
+    # two facts meet here: both are shuffled on the order, neither is ever collected for a broadcast
+    facts = sources.order_line.hint("merge")
+    lines = star_join(whole, Reference(facts, on_order), Reference(item, layout.item))
+    # the order may carry an output name that is a source name of the item; outputs of the order stay as they are
+    per_line = {**_line_columns(layout), **line_level}
+    return lines.select(*[per_line[c].alias(c) if c in per_line else c for c in output_columns(layout)])
+
+
+def denormalize_changes(sources: Sources, layout: Layout, small: bool) -> DataFrame:
+    """The same columns for changed order lines only: the joins start from the few lines and look up the rest."""
+    orders, customer, district, warehouse, item = sources.references()
+    lines = star_join(
+        sources.order_line,
+        Reference(orders, [(right, left) for left, right in layout.order_line]),
+        Reference(customer, layout.customer),
+        Reference(district, layout.district),
+        Reference(warehouse, layout.warehouse),
+        Reference(item, layout.item),
+        small_start=small,
+    )
+    outputs = {
+        **_order_columns(layout),
+        **_line_columns(layout),
+        **{new: F.col(old) for new, old in _copied(layout).items()},
+    }
+    return lines.select(*[outputs[c].alias(c) for c in output_columns(layout)])
 
 
 def ordered(rows: DataFrame) -> DataFrame:

@@ -8,8 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.envelope import TIME_PATTERN
+from tidemark.operators.merge import broadcast_limit
 from tidemark.tables.commits import Commit
 from tidemark.tables.lake_table import COMMIT_TIME, LakeTable
+from tidemark.workspace import staged
+
+_GROWTH = 4  # how much wider a changed row may get while the other relations are joined to it
 
 
 def last_instant(rows: DataFrame, column: str = COMMIT_TIME) -> DataFrame:
@@ -23,22 +27,27 @@ def last_instant(rows: DataFrame, column: str = COMMIT_TIME) -> DataFrame:
 def refresh(
     target: LakeTable,
     fact: LakeTable,
-    derive: Callable[[DataFrame], DataFrame],
+    build: Callable[[DataFrame], DataFrame],
+    update: Callable[[DataFrame, bool], DataFrame],
     instant: str | None = None,
 ) -> Commit:
     """Create the derived table from the whole fact, or upsert what the fact committed since.
 
-    How far the fact was read is kept in the target's commit record, so a run neither reads the target to
-    find out nor repeats a commit. ``derive`` turns fact rows into rows of the target.
+    ``build`` derives the target from all fact rows. ``update`` derives it from changed rows only, and is told
+    whether they are few enough to be broadcast, together with what is joined to them. How far the fact was
+    read is kept in the target's commit record, so a run neither reads the target to find out nor repeats a
+    commit.
     """
     upto = fact.state().instant
     marker = {fact.spec.name: upto}
     if not target.exists():
-        return target.seed(derive(fact.snapshot()), instant, read_up_to=marker)
+        return target.seed(build(fact.snapshot()), instant, read_up_to=marker)
     last = target.state()
     begin = last.read_up_to.get(fact.spec.name)
     if begin is None:
         begin = last_instant(target.snapshot(), target.spec.ordering).first()["instant_time"] or ""
     if begin >= upto:
         return last
-    return target.upsert(derive(fact.incremental(begin)), instant, read_up_to=marker)
+    changed, size = staged(fact.incremental(begin), "changed")
+    small = size * _GROWTH <= broadcast_limit(target.spark)
+    return target.upsert(update(changed, small), instant, read_up_to=marker)

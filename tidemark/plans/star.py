@@ -17,11 +17,17 @@ class Reference:
     on: Sequence[tuple[str, str]]
 
 
-def star_join(start: DataFrame, *references: Reference) -> DataFrame:
-    """Join one reference after the other. No hint is given: Spark broadcasts a side only when its size is
-    below the session's limit, and splits skewed keys of the sort-merge joins that remain."""
+def star_join(start: DataFrame, *references: Reference, small_start: bool = False) -> DataFrame:
+    """Join one reference after the other.
+
+    No reference is hinted: Spark broadcasts one only when its size is below the session's limit, and
+    splits skewed keys of the sort-merge joins that remain. ``small_start`` says that the size of ``start``
+    was checked and every reference is unique on its join columns: the rows joined so far are then never more
+    than ``start`` has, and go to the references instead of the references being shuffled.
+    """
     joined = start
     for reference in references:
         same = [F.col(left) == F.col(right) for left, right in reference.on]
-        joined = joined.join(reference.rows, same, "inner")
+        left = F.broadcast(joined) if small_start else joined
+        joined = left.join(reference.rows, same, "inner")
     return joined

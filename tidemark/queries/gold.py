@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from tidemark.plans.order_line import (
     RETAIL_LAYOUT,
     WAREHOUSE_LAYOUT,
-    Layout,
+    Sources,
     denormalize,
+    denormalize_changes,
     ordered,
     table_spec,
 )
@@ -21,10 +22,9 @@ from tidemark.tables.lake_table import COMMIT_TIME, LakeTable
 from tidemark.workspace import new_folder
 
 
-def _derive(spark: SparkSession, folder: str, lines: DataFrame, layout: Layout = RETAIL_LAYOUT) -> DataFrame:
-    roles = ["orders", "customer", "nation", "region"]
-    orders, customer, nation, region = [load(spark, folder, name) for name in roles]
-    return denormalize(orders, customer, nation, region, lines, load(spark, folder, "part"), layout)
+def _retail_sources(spark: SparkSession, folder: str, lines: DataFrame) -> Sources:
+    roles = {"orders": "orders", "customer": "customer", "district": "nation", "warehouse": "region", "item": "part"}
+    return Sources(order_line=lines, **{role: load(spark, folder, name) for role, name in roles.items()})
 
 
 def _day_as_text(rows: DataFrame) -> DataFrame:
@@ -33,7 +33,7 @@ def _day_as_text(rows: DataFrame) -> DataFrame:
 
 def retail_order_lines(spark: SparkSession, folder: str) -> DataFrame:
     lines = load(spark, folder, "lineitem").withColumn(COMMIT_TIME, F.lit(feeds.SEED))
-    return _derive(spark, folder, lines)
+    return denormalize(_retail_sources(spark, folder, lines), RETAIL_LAYOUT)
 
 
 _KEY = "c_custkey || '-' || r_regionkey || '-' || n_nationkey"
@@ -68,7 +68,7 @@ def denorm_sorted(spark: SparkSession, folder: str) -> DataFrame:
     return _day_as_text(ordered(retail_order_lines(spark, folder)))
 
 
-def _warehouse_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+def _warehouse_sources(spark: SparkSession, folder: str) -> Sources:
     """The test tables with the composite keys of the warehouse schema: a district belongs to a warehouse,
     a customer to a district, an order to its customer's district, an order line to its order's."""
     region, nation = load(spark, folder, "region"), load(spark, folder, "nation")
@@ -121,16 +121,16 @@ def _warehouse_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         )
         .join(order_scope, "ol_o_id")
     )
-    return {
-        "orders": orders,
-        "customer": customer,
-        "district": district,
-        "warehouse": region.select(F.col("r_regionkey").alias("w_id"), F.col("r_name").alias("w_name")),
-        "order_line": order_line,
-        "item": load(spark, folder, "part").select(
+    return Sources(
+        orders=orders,
+        customer=customer,
+        district=district,
+        warehouse=region.select(F.col("r_regionkey").alias("w_id"), F.col("r_name").alias("w_name")),
+        order_line=order_line,
+        item=load(spark, folder, "part").select(
             F.col("p_partkey").alias("i_id"), F.col("p_name").alias("i_name"), F.col("p_retailprice").alias("i_price")
         ),
-    }
+    )
 
 
 @query(f"""
@@ -151,7 +151,7 @@ JOIN lineitem ON o_orderkey = l_orderkey
 JOIN part ON l_partkey = p_partkey""")
 def denorm_composite_keys(spark: SparkSession, folder: str) -> DataFrame:
     """The same plan on the warehouse schema: two- and three-column join keys."""
-    return _day_as_text(denormalize(**_warehouse_tables(spark, folder), layout=WAREHOUSE_LAYOUT))
+    return _day_as_text(denormalize(_warehouse_sources(spark, folder), WAREHOUSE_LAYOUT))
 
 
 @query(
@@ -169,13 +169,16 @@ def denorm_incremental_refresh(spark: SparkSession, folder: str) -> DataFrame:
     # a folder per district: the test tables hold only a few lines a day
     target = LakeTable(spark, f"{place}/order_line_dn", table_spec(partition_by=("district_name",)))
 
-    def derive(rows: DataFrame) -> DataFrame:
-        return _derive(spark, folder, rows)
+    def build(rows: DataFrame) -> DataFrame:
+        return denormalize(_retail_sources(spark, folder, rows), RETAIL_LAYOUT)
+
+    def update(rows: DataFrame, small: bool) -> DataFrame:
+        return denormalize_changes(_retail_sources(spark, folder, rows), RETAIL_LAYOUT, small)
 
     fact.seed(lines.where(early), feeds.SEED, deduplicate=True)
-    refresh(target, fact, derive, feeds.SEED)
+    refresh(target, fact, build, update, feeds.SEED)
     fact.upsert(lines.where(~early), feeds.FIRST)
-    refresh(target, fact, derive, feeds.FIRST)
+    refresh(target, fact, build, update, feeds.FIRST)
     return _day_as_text(target.snapshot().drop(target.spec.delete_flag, COMMIT_TIME))
 
 

@@ -30,6 +30,9 @@ class TableSpec:
 
     ``stable_partition`` promises that a key never changes its partition. Without that promise, and with
     partition columns outside the key, an upsert looks up where its keys are stored.
+
+    A merge-on-read table is compacted once ``compact_after`` batches wait to be merged. Files that none of
+    the last ``kept_commits`` commits needs are deleted after a commit.
     """
 
     name: str
@@ -41,6 +44,8 @@ class TableSpec:
     operation: Operation = Operation.UPSERT
     policy: str = LATEST_WINS
     stable_partition: bool = False
+    compact_after: int = 5
+    kept_commits: int = 5
     target_name: str | None = None
     enabled: bool = True
     transformer_sql: str | None = None

@@ -17,9 +17,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.layout import clustered, sorted_in_tasks, spread_for_write
+from tidemark.operators.layout import (
+    clustered,
+    shuffles_sized_for,
+    sorted_in_tasks,
+    spread_for_write,
+    tasks_for,
+)
 from tidemark.operators.merge import (
     INCOMING_WINS,
+    beaten_keys,
     blank_deleted,
     broadcast_limit,
     live_rows,
@@ -34,7 +41,6 @@ from tidemark.tables.commits import INSTANT_DIGITS, Commit, CommitLog, Part, nex
 
 COMMIT_TIME = "_commit_time"
 BASE, CHANGES = "base", "changes"
-KEPT_COMMITS = 5
 
 
 class LakeTable:
@@ -63,10 +69,25 @@ class LakeTable:
         state = self.state()
         begin = begin.ljust(INSTANT_DIGITS, "0")
         names = {n for n, part in state.parts.items() if part.newest > begin}
-        if self.spec.moves_partitions and any(state.parts[n].pending for n in names):
-            names |= {n for n, part in state.parts.items() if part.pending}
-        rows = self._rows(state, names).where(F.col(COMMIT_TIME) > begin)
-        return self._visible(rows, include_deletes)
+        waiting = {n for n, part in state.parts.items() if part.pending}
+        if self.spec.moves_partitions and names & waiting:
+            names |= waiting
+        if any((state.parts[n].base or "") > begin for n in names & waiting):
+            rows = self._rows(state, names)
+        else:
+            rows = self._rows(state, names - waiting)
+            if names & waiting:
+                rows = rows.unionByName(self._winning_changes(state, names & waiting))
+        return self._visible(rows.where(F.col(COMMIT_TIME) > begin), include_deletes)
+
+    def _winning_changes(self, state: Commit, names: Iterable[str]) -> DataFrame:
+        """Pending changes that replace or add a row. Of the base files, only key and ordering are read."""
+        pending, small = self._pending(state, names)
+        folders = self._base_folders(state, names)
+        if self.spec.policy == INCOMING_WINS or not folders:
+            return pending
+        stored = self._read(state, BASE, folders)
+        return pending.join(beaten_keys(stored, pending, self.spec.rule, small), list(self.spec.keys), "left_anti")
 
     def read_optimized(self, include_deletes: bool = False) -> DataFrame:
         """Base files only: the table as of its last compaction, without a merge."""
@@ -85,14 +106,19 @@ class LakeTable:
             frames.append(self._read(state, BASE, self._base_folders(state, settled)))
         if waiting:
             stored = self._read(state, BASE, self._base_folders(state, waiting))
-            versions = sorted({v for n in waiting for v in state.parts[n].changes})
-            pending = self._read(state, CHANGES, [(v, n) for n in waiting for v in state.parts[n].changes])
-            if len(versions) > 1:
-                pending = precombine(pending, self.spec.keys, self._change_order())
-            size = sum(state.change_bytes[v] for v in versions)
-            frames.append(merge(stored, pending, self.spec.rule, self._is_small(size)))
+            pending, small = self._pending(state, waiting)
+            frames.append(merge(stored, pending, self.spec.rule, small))
         return reduce(DataFrame.unionByName, frames)
 
+    def _pending(self, state: Commit, names: Iterable[str]) -> tuple[DataFrame, bool]:
+        """The changes that wait in these partitions, one per key, and whether they can be broadcast."""
+        folders = [(v, n) for n in names for v in state.parts[n].changes]
+        versions = {v for v, _ in folders}
+        pending = self._read(state, CHANGES, folders)
+        if len(versions) > 1:
+            pending = precombine(pending, self.spec.keys, self._change_order())
+        return pending, self._is_small(sum(state.change_bytes[v] for v in versions))
+
     def _change_order(self) -> list[str]:
         arrival = [COMMIT_TIME, self.spec.ordering]
         return arrival if self.spec.policy == INCOMING_WINS else arrival[::-1]
@@ -188,16 +214,38 @@ class LakeTable:
                 parts[name] = Part(old.base, (*old.changes, instant), old.linked)
             for name in homes - set(arrived):
                 parts[name] = Part(parts[name].base, parts[name].changes, linked=True)
-            return self._publish(commit, parts, {f"{CHANGES}/{instant}": len(arrived)}, {instant: size})
+            self._publish(commit, parts, {f"{CHANGES}/{instant}": len(arrived)}, {instant: size})
+            return self._maintain()
 
         touched = homes | set(arrived)
         stored = self._rows(last, [n for n in touched if n in last.parts])
         small = self._is_small(size)
         merged = merge(stored, staged, self.spec.rule, small)
         # a small batch leaves stored rows in the tasks that read their partition; nothing to spread
-        self._write(BASE, merged if small else spread_for_write(merged, self.spec.partition_by), instant)
+        if not small:
+            merged = spread_for_write(merged, self.spec.partition_by)
+        with shuffles_sized_for(self.spark, self._stored_bytes(last, touched) + size):
+            self._write(BASE, merged, instant)
         untouched = {n: part for n, part in last.parts.items() if n not in touched}
-        return self._publish_base(commit, untouched)
+        self._publish_base(commit, untouched)
+        return self._maintain()
+
+    def _maintain(self) -> Commit:
+        """What follows a commit: compaction when enough batches wait, removal of files no longer needed."""
+        state = self.state()
+        waiting = {v for part in state.parts.values() for v in part.changes}
+        if len(waiting) >= self.spec.compact_after:
+            state = self.compact()
+        elif len(self.log.numbers()) > self.spec.kept_commits:
+            self.clean()
+        return state
+
+    def _stored_bytes(self, state: Commit, names: Iterable[str]) -> int:
+        """Size of the files of these partitions."""
+        parts = [(n, state.parts[n]) for n in names if n in state.parts]
+        folders = [self._folder(BASE, part.base, n) for n, part in parts if part.base]
+        folders += [self._folder(CHANGES, v, n) for n, part in parts for v in part.changes]
+        return sum(storage.size(self.spark, folder) for folder in folders)
 
     def compact(self, instant: str | None = None, purge_before: str | None = None) -> Commit:
         """Fold pending changes into new base files. Flagged rows older than ``purge_before`` go away."""
@@ -222,17 +270,23 @@ class LakeTable:
                 F.col(COMMIT_TIME) < purge_before.ljust(INSTANT_DIGITS, "0")
             )
             rows = rows.where(~expired)
+        stored_bytes = self._stored_bytes(last, names)
         if operation == "cluster":
-            rows = clustered(rows, [*self.spec.partition_by, *columns], self.spec.keys)
+            columns = [*self.spec.partition_by, *columns]
+            rows = clustered(rows, columns, self.spec.keys, tasks_for(stored_bytes))
         else:
             rows = sorted_in_tasks(rows, self.spec.partition_by, columns)
-        self._write(BASE, rows, instant)
+        with shuffles_sized_for(self.spark, stored_bytes):
+            self._write(BASE, rows, instant)
         kept = {n: part for n, part in last.parts.items() if n not in set(names)}
-        return self._publish_base(last.next(instant, operation), kept)
+        commit = self._publish_base(last.next(instant, operation), kept)
+        if len(self.log.numbers()) > self.spec.kept_commits:
+            self.clean()
+        return commit
 
-    def stale_folders(self, retain: int = KEPT_COMMITS) -> list[str]:
+    def stale_folders(self, retain: int | None = None) -> list[str]:
         """Version folders that none of the last ``retain`` commits needs."""
-        commits = self.log.last(retain)
+        commits = self.log.last(retain or self.spec.kept_commits)
         needed = set()
         for commit in commits:
             for name, part in commit.parts.items():
@@ -249,8 +303,9 @@ class LakeTable:
                         stale.append(f"{kind}/{folder}/{name}".rstrip("/"))
         return stale
 
-    def clean(self, retain: int = KEPT_COMMITS) -> list[str]:
+    def clean(self, retain: int | None = None) -> list[str]:
         """Delete what ``stale_folders`` names and the commit records before the last ``retain``."""
+        retain = retain or self.spec.kept_commits
         stale = self.stale_folders(retain)
         self.log.remove(self.log.numbers()[:-retain])
         for folder in stale:

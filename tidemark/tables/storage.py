@@ -39,6 +39,11 @@ def nested_folders(spark: SparkSession, path: str, depth: int) -> list[str]:
     return found
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a path."""
+    return _file_system(spark, path).getContentSummary(_path(spark, path)).getLength()
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     stream = _file_system(spark, path).open(_path(spark, path))
     try:

@@ -5,9 +5,12 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+from tidemark.operators.merge import measured
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
+_LOCAL_ROOTS: dict[str, str] = {}
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -22,11 +25,23 @@ def shared_root(spark: SparkSession) -> str:
     master = spark.sparkContext.master
     if not (master == "local" or master.startswith("local[")):
         raise RuntimeError(f"set {_CHECKPOINT_DIR} to a folder that all executors share")
-    local = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set(_CHECKPOINT_DIR, local)
-    return local
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[application] = tempfile.mkdtemp(prefix="tidemark-")
+    return _LOCAL_ROOTS[application]
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path below the shared folder; no two calls share one."""
     return f"{shared_root(spark)}/tidemark/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+def staged(rows: DataFrame, purpose: str) -> tuple[DataFrame, int]:
+    """Rows written to the shared folder and read back, and their size in memory.
+
+    The lineage ends here, and a lost executor costs a re-read instead of a recomputation.
+    """
+    folder = new_folder(rows.sparkSession, purpose)
+    rows, size = measured(rows)
+    rows.write.parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder), size.get["bytes"]
