@@ -19,11 +19,6 @@ class TableType(str, Enum):
     MERGE_ON_READ = "MERGE_ON_READ"
 
 
-class Operation(str, Enum):
-    UPSERT = "UPSERT"
-    BULK_INSERT = "BULK_INSERT"
-
-
 @dataclass(frozen=True)
 class TableSpec:
     """One source table and the keyed table it is merged into.
@@ -41,7 +36,6 @@ class TableSpec:
     delete_flag: str = envelope.DELETED
     partition_by: tuple[str, ...] = ()
     table_type: TableType = TableType.COPY_ON_WRITE
-    operation: Operation = Operation.UPSERT
     policy: str = LATEST_WINS
     stable_partition: bool = False
     compact_after: int = 5
@@ -83,19 +77,21 @@ class TableSpec:
 
 # Prefixes and field names of the config documents.
 SYSTEM_STEP = "step::system::"
+CUSTOM_STEP = "step::{name}::"
 DATABASE_ITEM = "database::config"
 MERGE_SECTION = "hudi_config"
+UPSERT = "UPSERT"
 
 
 def _names(text: str) -> tuple[str, ...]:
     return tuple(name.strip() for name in text.split(",") if name.strip())
 
 
-def _resolve(path: str) -> Callable[[DataFrame], DataFrame]:
+def resolve(path: str) -> Callable:
     """``package.module:function`` to the function."""
     module, _, attribute = path.partition(":")
     if not attribute:
-        raise ValueError(f"transformer_class must read package.module:function, not {path!r}")
+        raise ValueError(f"expected package.module:function, not {path!r}")
     return getattr(importlib.import_module(module), attribute)
 
 
@@ -106,6 +102,8 @@ def spec_from_item(item: Mapping) -> TableSpec:
     partitioned = merge.get("is_partitioned", False)
     if partitioned and not merge.get("partition_path"):
         raise ValueError(f"{name}: is_partitioned needs partition_path")
+    if merge.get("op", UPSERT).upper() != UPSERT:
+        raise ValueError(f"{name}: later batches are merged; op may only be {UPSERT}, seeding inserts in bulk")
     # an SQL transformer names its class too; the SQL text alone says what to do
     transformer = merge.get("transformer_class") if "transformer_sql" not in merge else None
     return TableSpec(
@@ -114,11 +112,10 @@ def spec_from_item(item: Mapping) -> TableSpec:
         ordering=merge.get("watermark", envelope.SEQUENCE),
         partition_by=_names(merge["partition_path"]) if partitioned else (),
         table_type=TableType(merge.get("table_type", TableType.COPY_ON_WRITE)),
-        operation=Operation(merge.get("op", Operation.UPSERT).upper()),
         target_name=item.get("override_target_table_name"),
         enabled=item.get("enabled") is True,
         transformer_sql=merge.get("transformer_sql"),
-        transformer=_resolve(transformer) if transformer else None,
+        transformer=resolve(transformer) if transformer else None,
         jdbc=dict(item.get("spark_jdbc_config", {})),
         stage_conf={stage: dict(conf) for stage, conf in item.get("spark_conf", {}).items()},
     )
