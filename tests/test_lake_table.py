@@ -227,7 +227,8 @@ def test_incremental_of_appended_changes_reads_no_payload_of_the_base(spark, pla
     table.upsert(rows(spark, (1, "a", "y", sequence(1))), "20240102000000")
     text = table.incremental("20240101000000")._jdf.queryExecution().executedPlan().toString()
     schemas = [line.split("ReadSchema: ")[1] for line in text.splitlines() if "FileScan" in line]
-    assert sum("value" not in schema for schema in schemas) == 1 and len(schemas) == 2
+    # the changes once in full, and key and ordering of base and changes for the comparison
+    assert sorted("place" in schema for schema in schemas) == [False, False, True]
 
 
 def test_merge_on_read_appends_and_compacts_by_itself(spark, place):
@@ -251,12 +252,23 @@ def test_compaction_purges_old_deletes_only(spark, place):
     assert shown(table.snapshot(include_deletes=True), "id", "_is_deleted") == [(2, True)]
 
 
+@BOTH_TYPES
+def test_deletes_are_forgotten_when_the_feed_is(spark, place, table_type):
+    table = LakeTable(spark, place, spec(table_type=table_type, compact_after=1))
+    table.seed(rows(spark, (1, "a", "x", sequence(0)), (2, "a", "y", sequence(0))), "20240101000000")
+    table.upsert(rows(spark, (1, None, None, sequence(5), True)), "20240102000000")
+    table.upsert(rows(spark, (2, "a", "z", sequence(1))), "20990109000000")
+    if table_type is TableType.COPY_ON_WRITE:
+        table.upsert(rows(spark, (2, "a", "z", sequence(2))), "20990110000000")
+    assert shown(table.snapshot(include_deletes=True), "id", "_is_deleted") == [(2, False)]
+
+
 def test_old_versions_are_cleaned_after_commits(spark, place):
     table = LakeTable(spark, place, spec(kept_commits=2))
     table.seed(rows(spark, (1, "a", "v0", sequence(0))))
     for number in range(1, 5):
         table.upsert(rows(spark, (1, "a", f"v{number}", sequence(number))))
-    assert len(storage.children(spark, f"{place}/base", folders=True)) == 2
+    assert len(storage.children(spark, f"{place}/base")) == 2
     assert len(table.log.numbers()) == 2
     assert table.stale_folders() == []
     assert shown(table.snapshot()) == [(1, "a", "v4")]

@@ -156,9 +156,10 @@ def test_quarantine_names_the_first_reason_and_keeps_the_row(spark):
     reasons = sorted(r[REASON] for r in bad.collect())
     assert reasons == ["not a date: day", "not a int: n", "null key id", "null ordering seq"]
     assert good.count() + bad.count() == rows.count()
-    refuse_above(rows, bad, 0.8)
+    checks = (["id"], "seq", {"n": "int", "day": "date"})
+    refuse_above(rows, 0.8, *checks)
     with pytest.raises(ValueError, match="4 of 5 rows"):
-        refuse_above(rows, bad, 0.5)
+        refuse_above(rows, 0.5, *checks)
 
 
 def test_transformers_of_a_spec(spark):

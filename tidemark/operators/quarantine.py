@@ -30,8 +30,12 @@ def split(
     return good, judged.where(F.col(REASON).isNotNull())
 
 
-def refuse_above(rows: DataFrame, bad: DataFrame, share: float) -> None:
-    """Stop when more than ``share`` of a batch is set aside: the table is suspended, not half merged."""
-    total, set_aside = rows.count(), bad.count()
-    if total and set_aside / total > share:
-        raise ValueError(f"{set_aside} of {total} rows are set aside, more than {share:.1%} of the batch")
+def refuse_above(
+    rows: DataFrame, share: float, keys: Sequence[str], ordering: str, casts: Mapping[str, str] | None = None
+) -> None:
+    """Stop when more than ``share`` of a batch would be set aside: the table is suspended, not half merged."""
+    if share >= 1:
+        return
+    total, bad = rows.agg(F.count(F.lit(1)), F.count(reason(keys, ordering, casts))).first()
+    if total and bad / total > share:
+        raise ValueError(f"{bad} of {total} rows are set aside, more than {share:.1%} of the batch")

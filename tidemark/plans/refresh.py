@@ -48,6 +48,6 @@ def refresh(
         begin = last_instant(target.snapshot(), target.spec.ordering).first()["instant_time"] or ""
     if begin >= upto:
         return last
-    changed, size = staged(fact.incremental(begin), "changed")
-    small = size * _GROWTH <= broadcast_limit(target.spark)
-    return target.upsert(update(changed, small), instant, read_up_to=marker)
+    with staged(fact.incremental(begin), "changed") as (changed, size):
+        small = size * _GROWTH <= broadcast_limit(target.spark)
+        return target.upsert(update(changed, small), instant, read_up_to=marker)

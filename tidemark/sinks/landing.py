@@ -75,7 +75,7 @@ def unexpired(rows: DataFrame, last_day: date, kept_days: int = KEPT_DAYS) -> Da
 def expire_changes(spark: SparkSession, folder: str, last_day: date, kept_days: int = KEPT_DAYS) -> list[str]:
     """Delete the day folders that are no longer kept."""
     oldest = f"{DAY_FOLDER}={_oldest_kept(last_day, kept_days)}"
-    days = [d for d in storage.children(spark, folder, folders=True) if d.startswith(f"{DAY_FOLDER}=")]
+    days = [d for d in storage.children(spark, folder) if d.startswith(f"{DAY_FOLDER}=")]
     expired = [d for d in days if d < oldest]
     for day in expired:
         storage.delete(spark, f"{folder}/{day}")

@@ -81,13 +81,15 @@ def discover(spark: SparkSession, root: str, zone: str, pattern: str = "%") -> l
     """
     base = f"{root.rstrip('/')}/{zone}"
     found = []
-    for relative in storage.nested_folders(spark, base, 3):
-        parts = relative.split("/")
-        if set(parts) & set(EXCLUDED_FOLDERS) or not selects(parts[-1], pattern):
-            continue
-        folder = f"{base}/{relative}"
-        schema = read_changes(spark, folder).schema
-        found.append(RawTable(PREFIXES[zone] + parts[-1], folder, zone, schema))
+    for database in storage.folders(spark, base):
+        for schema in storage.folders(spark, f"{base}/{database}"):
+            if schema in EXCLUDED_FOLDERS:
+                continue
+            for table in storage.folders(spark, f"{base}/{database}/{schema}"):
+                if selects(table, pattern):
+                    folder = f"{base}/{database}/{schema}/{table}"
+                    columns = read_changes(spark, folder).schema
+                    found.append(RawTable(PREFIXES[zone] + table, folder, zone, columns))
     return found
 
 

@@ -27,7 +27,8 @@ class TableSpec:
     partition columns outside the key, an upsert looks up where its keys are stored.
 
     A merge-on-read table is compacted once ``compact_after`` batches wait to be merged. Files that none of
-    the last ``kept_commits`` commits needs are deleted after a commit.
+    the last ``kept_commits`` commits needs are deleted after a commit. A deleted key stays flagged for
+    ``deletes_kept_days``, as long as the change feed is kept, so that no late change brings it back.
     """
 
     name: str
@@ -40,6 +41,7 @@ class TableSpec:
     stable_partition: bool = False
     compact_after: int = 5
     kept_commits: int = 5
+    deletes_kept_days: int | None = 8
     target_name: str | None = None
     enabled: bool = True
     transformer_sql: str | None = None

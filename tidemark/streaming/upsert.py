@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.quarantine import split
+from tidemark.operators.quarantine import refuse_above, split
 from tidemark.operators.transform import transformed
 from tidemark.sources.raw_zone import read_extract, stream_changes
 from tidemark.spec import TableSpec
@@ -21,7 +22,11 @@ SEED_STAGE, INCREMENTAL_STAGE, CONTINUOUS_STAGE = "seed", "incremental", "contin
 
 @dataclass(frozen=True)
 class Feed:
-    """One table fed from a folder of change files."""
+    """One table fed from a folder of change files.
+
+    With a ``quarantine`` folder, rows that cannot be merged are written there; the batch fails when they are
+    more than ``quarantine_share`` of it.
+    """
 
     spec: TableSpec
     changes: str
@@ -29,6 +34,7 @@ class Feed:
     table: str
     checkpoint: str
     quarantine: str | None = None
+    quarantine_share: float = 1.0
     files_per_batch: int | None = None
     bytes_per_batch: str | None = None
     after_batch: Callable[[LakeTable], None] | None = None
@@ -49,6 +55,7 @@ def merge_batch(feed: Feed, stage: str) -> Callable[[DataFrame, int], None]:
         table = LakeTable(batch.sparkSession, feed.table, feed.spec)
         rows = transformed(batch, feed.spec)
         if feed.quarantine:
+            refuse_above(rows, feed.quarantine_share, feed.spec.keys, feed.spec.ordering)
             rows, set_aside = split(rows, feed.spec.keys, feed.spec.ordering)
             # the folder is named after the batch: a repeated batch overwrites its own rows
             set_aside.write.mode("overwrite").parquet(f"{feed.quarantine}/{stage}_batch={number}")
@@ -60,6 +67,8 @@ def merge_batch(feed: Feed, stage: str) -> Callable[[DataFrame, int], None]:
 
 
 def _start(spark: SparkSession, feed: Feed, stage: str, trigger: dict) -> StreamingQuery:
+    # with the FAIR scheduler, each table gets a pool of its own
+    spark.sparkContext.setLocalProperty("spark.scheduler.pool", feed.spec.name)
     changes = stream_changes(spark, feed.changes, feed.schema, feed.files_per_batch, feed.bytes_per_batch)
     return (
         changes.writeStream.queryName(f"{stage}_{feed.spec.name}_{abs(hash(feed.table))}")
@@ -73,8 +82,14 @@ def _start(spark: SparkSession, feed: Feed, stage: str, trigger: dict) -> Stream
 def run_once(spark: SparkSession, feeds: Iterable[Feed]) -> None:
     """Apply all change files not yet consumed, then stop. Tables run side by side."""
     running = [_start(spark, f, INCREMENTAL_STAGE, {"availableNow": True}) for f in feeds if f.spec.enabled]
+    failures = []
     for query in running:
-        query.awaitTermination()
+        try:
+            query.awaitTermination()
+        except StreamingQueryException as failure:  # the other tables go on
+            failures.append(failure)
+    if failures:
+        raise failures[0]
 
 
 def run_continuously(spark: SparkSession, feeds: Iterable[Feed], interval: str = "180 seconds") -> list[StreamingQuery]:

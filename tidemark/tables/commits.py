@@ -89,7 +89,7 @@ class CommitLog:
         self._spark, self._path = spark, path
 
     def numbers(self) -> list[int]:
-        return [int(n.removesuffix(".json")) for n in storage.children(self._spark, self._path, folders=False)]
+        return [int(n.removesuffix(".json")) for n in storage.children(self._spark, self._path)]
 
     def _file(self, number: int) -> str:
         return f"{self._path}/{number:012d}.json"
@@ -122,6 +122,10 @@ def _format(moment: datetime) -> str:
     return moment.strftime(TIME_FORMAT) + f"{moment.microsecond // 1000:03d}"
 
 
+def days_before(instant: str, days: int) -> str:
+    return _format(_parse(instant) - timedelta(days=days))
+
+
 def next_instant(last: Commit | None, wanted: str | None = None) -> str:
     """A commit instant later than the last one: the wanted one, or the clock."""
     if wanted is not None:

@@ -37,7 +37,7 @@ from tidemark.operators.precombine import precombine
 from tidemark.operators.schema import conform
 from tidemark.spec import TableSpec, TableType
 from tidemark.tables import storage
-from tidemark.tables.commits import INSTANT_DIGITS, Commit, CommitLog, Part, next_instant
+from tidemark.tables.commits import INSTANT_DIGITS, Commit, CommitLog, Part, days_before, next_instant
 
 COMMIT_TIME = "_commit_time"
 BASE, CHANGES = "base", "changes"
@@ -220,7 +220,7 @@ class LakeTable:
         touched = homes | set(arrived)
         stored = self._rows(last, [n for n in touched if n in last.parts])
         small = self._is_small(size)
-        merged = merge(stored, staged, self.spec.rule, small)
+        merged = self._without_old_deletes(merge(stored, staged, self.spec.rule, small), instant)
         # a small batch leaves stored rows in the tasks that read their partition; nothing to spread
         if not small:
             merged = spread_for_write(merged, self.spec.partition_by)
@@ -248,7 +248,8 @@ class LakeTable:
         return sum(storage.size(self.spark, folder) for folder in folders)
 
     def compact(self, instant: str | None = None, purge_before: str | None = None) -> Commit:
-        """Fold pending changes into new base files. Flagged rows older than ``purge_before`` go away."""
+        """Fold pending changes into new base files. Flagged rows older than ``purge_before`` go away; if not
+        given, those older than the days that the spec keeps deletes."""
         last = self.state()
         waiting = [n for n, part in last.parts.items() if part.pending]
         return self._rewrite("compact", last, waiting, instant, purge_before, self.spec.keys)
@@ -264,12 +265,7 @@ class LakeTable:
         if not names:
             return last
         instant = next_instant(last, instant)
-        rows = self._rows(last, names)
-        if purge_before is not None:
-            expired = F.coalesce(F.col(self.spec.delete_flag), F.lit(False)) & (
-                F.col(COMMIT_TIME) < purge_before.ljust(INSTANT_DIGITS, "0")
-            )
-            rows = rows.where(~expired)
+        rows = self._without_old_deletes(self._rows(last, names), instant, purge_before)
         stored_bytes = self._stored_bytes(last, names)
         if operation == "cluster":
             columns = [*self.spec.partition_by, *columns]
@@ -294,11 +290,11 @@ class LakeTable:
         depth = len(self.spec.partition_by)
         stale = []
         for kind in (BASE, CHANGES):
-            for folder in storage.children(self.spark, f"{self.path}/{kind}", folders=True):
+            for folder in storage.children(self.spark, f"{self.path}/{kind}"):
                 version = folder.removeprefix("v=")
                 if version > commits[-1].instant:
                     continue  # a commit in progress
-                for name in storage.nested_folders(self.spark, f"{self.path}/{kind}/{folder}", depth):
+                for name in storage.partition_folders(self.spark, f"{self.path}/{kind}/{folder}", depth):
                     if (kind, version, name) not in needed:
                         stale.append(f"{kind}/{folder}/{name}".rstrip("/"))
         return stale
@@ -339,6 +335,14 @@ class LakeTable:
 
         return rows.withColumns({key: checked(key) for key in self.spec.keys})
 
+    def _without_old_deletes(self, rows: DataFrame, instant: str, before: str | None = None) -> DataFrame:
+        """Drop flagged rows that no change still on its way can be older than."""
+        if before is None and self.spec.deletes_kept_days is None:
+            return rows
+        oldest = before.ljust(INSTANT_DIGITS, "0") if before else days_before(instant, self.spec.deletes_kept_days)
+        deleted = F.coalesce(F.col(self.spec.delete_flag), F.lit(False))
+        return rows.where(~(deleted & (F.col(COMMIT_TIME) < oldest)))
+
     def _is_small(self, size: int) -> bool:
         return size <= broadcast_limit(self.spark)
 
@@ -366,7 +370,7 @@ class LakeTable:
         writer.parquet(self._folder(kind, instant))
 
     def _written(self, kind: str, instant: str) -> list[str]:
-        return storage.nested_folders(self.spark, self._folder(kind, instant), len(self.spec.partition_by))
+        return storage.partition_folders(self.spark, self._folder(kind, instant), len(self.spec.partition_by))
 
     def _publish(self, commit: Commit, parts: dict[str, Part], written=None, change_bytes=None) -> Commit:
         commit = commit.with_parts(parts, written or {}, change_bytes or {})

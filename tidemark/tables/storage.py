@@ -21,21 +21,40 @@ def exists(spark: SparkSession, path: str) -> bool:
     return _file_system(spark, path).exists(_path(spark, path))
 
 
-def children(spark: SparkSession, path: str, folders: bool) -> list[str]:
-    """Names of the visible folders (or files) right below a path; none if it is missing."""
-    files = _file_system(spark, path)
-    target = _path(spark, path)
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of the visible files and folders right below a path; none if it is missing.
+
+    The listing crosses from the JVM as one text, whatever its length.
+    """
+    files, target = _file_system(spark, path), _path(spark, path)
     if not files.exists(target):
         return []
-    entries = [e for e in files.listStatus(target) if e.isDirectory() == folders]
-    return sorted(n for n in (e.getPath().getName() for e in entries) if not _hidden(n))
+    entries = files.listStatus(target)
+    if not len(entries):
+        return []
+    parent = entries[0].getPath().getParent().toString().rstrip("/") + "/"
+    paths = spark._jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(entries)
+    text = spark._jvm.scala.runtime.ScalaRunTime.stringOf(paths)
+    names = text.removeprefix("Array(" + parent).removesuffix(")").split(", " + parent)
+    return sorted(n for n in names if not _hidden(n))
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the visible folders right below a path, for short listings."""
+    files = _file_system(spark, path)
+    return [n for n in children(spark, path) if files.getFileStatus(_path(spark, f"{path}/{n}")).isDirectory()]
 
 
-def nested_folders(spark: SparkSession, path: str, depth: int) -> list[str]:
-    """Relative paths of the folders ``depth`` levels below; the path itself (``""``) for depth 0."""
+def partition_folders(spark: SparkSession, path: str, depth: int) -> list[str]:
+    """Relative paths of the ``column=value`` folders ``depth`` levels below; the path itself (``""``) for depth 0."""
     found = [""]
     for _ in range(depth):
-        found = [f"{f}/{c}".lstrip("/") for f in found for c in children(spark, f"{path}/{f}".rstrip("/"), True)]
+        found = [
+            f"{folder}/{name}".lstrip("/")
+            for folder in found
+            for name in children(spark, f"{path}/{folder}".rstrip("/"))
+            if "=" in name
+        ]
     return found
 
 

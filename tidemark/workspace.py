@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators.merge import measured
+from tidemark.tables import storage
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 _LOCAL_ROOTS: dict[str, str] = {}
@@ -36,12 +38,17 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_root(spark)}/tidemark/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
-def staged(rows: DataFrame, purpose: str) -> tuple[DataFrame, int]:
-    """Rows written to the shared folder and read back, and their size in memory.
+@contextmanager
+def staged(rows: DataFrame, purpose: str):
+    """Rows written to the shared folder and read back, and their size in memory; deleted when left.
 
     The lineage ends here, and a lost executor costs a re-read instead of a recomputation.
     """
-    folder = new_folder(rows.sparkSession, purpose)
+    spark, schema = rows.sparkSession, rows.schema
+    folder = new_folder(spark, purpose)
     rows, size = measured(rows)
     rows.write.parquet(folder)
-    return rows.sparkSession.read.schema(rows.schema).parquet(folder), size.get["bytes"]
+    try:
+        yield spark.read.schema(schema).parquet(folder), size.get["bytes"]
+    finally:
+        storage.delete(spark, folder)
