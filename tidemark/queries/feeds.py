@@ -28,11 +28,16 @@ def order_spec(**overrides) -> TableSpec:
     return TableSpec(**{"name": "public.orders", "keys": ("o_orderkey",), **overrides})
 
 
+def moment(text: str) -> Column:
+    """A fixed time, the same in every session time zone."""
+    return F.lit(text).cast("timestamp_ntz")
+
+
 def _changes(orders: DataFrame, op: str, counter: int, where: Column | None = None, **new: Column) -> DataFrame:
     rows = orders if where is None else orders.where(where)
     rows = rows.withColumns(new) if new else rows
     return rows.withColumns(
-        {"op": F.lit(op), "changed_at": F.lit(STARTED).cast("timestamp_ntz"), "counter": F.lit(counter)}
+        {"op": F.lit(op), "changed_at": moment("2024-01-01 00:00:00"), "counter": F.lit(counter)}
     )
 
 

@@ -68,7 +68,7 @@ def upsert_partition_pruned(spark: SparkSession, folder: str) -> DataFrame:
         {
             "o_totalprice": F.col("o_totalprice") + 2,
             "op": F.lit(UPDATE),
-            "changed_at": F.lit(feeds.STARTED),
+            "changed_at": feeds.moment("2024-01-01 00:00:00"),
             "counter": F.lit(2),
             "o_month": month,
         }
@@ -94,7 +94,7 @@ def upsert_moves_partition(spark: SparkSession, folder: str) -> DataFrame:
         {
             "o_orderstatus": F.lit("F"),
             "op": F.lit(UPDATE),
-            "changed_at": F.lit(feeds.STARTED),
+            "changed_at": feeds.moment("2024-01-01 00:00:00"),
             "counter": F.lit(2),
         }
     )

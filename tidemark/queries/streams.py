@@ -80,7 +80,7 @@ def cdc_continuous(spark: SparkSession, folder: str) -> DataFrame:
         {
             "c_acctbal": F.col("c_acctbal") + 1,
             "op": F.lit(UPDATE),
-            "changed_at": F.lit(feeds.STARTED),
+            "changed_at": feeds.moment("2024-01-01 00:00:00"),
             "counter": F.lit(1),
         }
     )
@@ -160,7 +160,7 @@ def full_cdc_overlap(spark: SparkSession, folder: str) -> DataFrame:
             {
                 "o_totalprice": F.col("o_totalprice") + add,
                 "op": F.lit(UPDATE),
-                "changed_at": F.lit(moment).cast("timestamp_ntz"),
+                "changed_at": feeds.moment(moment),
                 "counter": F.lit(1),
             }
         )
