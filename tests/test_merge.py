@@ -11,12 +11,12 @@ from tidemark.operators.merge import (
     INCOMING_WINS,
     LATEST_WINS,
     MergeRule,
-    beaten_keys,
     blank_deleted,
     broadcast_limit,
     live_rows,
     measured,
     merge,
+    winners,
 )
 from tidemark.operators.precombine import precombine
 
@@ -145,11 +145,12 @@ def test_composite_keys_and_odd_column_names(spark):
     assert as_set(merge(stored, batch, odd, False)) == [(1, "k", "i", "2", False), (1, "l", "s", "1", False)]
 
 
-def test_beaten_keys_are_those_with_a_later_stored_row(spark):
-    stored = rows(spark, (1, "s", "5", False), (2, "s", "1", False), (3, "s", "5", True))
-    batch = rows(spark, (1, "i", "4", False), (2, "i", "4", False), (3, "i", "4", False), (4, "i", "4", False))
+def test_winners_are_the_changes_not_beaten_by_a_later_stored_row(spark):
+    stored = rows(spark, (1, "s", "5", False), (2, "s", "1", False), (3, "s", "5", True), (2, "twice", "0", False))
+    batch = rows(spark, (1, "i", "4", False), (2, "i", "4", False), (3, "i", "4", False), (4, "i", None, False))
     for small in (True, False):
-        assert as_set(beaten_keys(stored, batch, rule(), small)) == [(1,), (3,)]
+        assert as_set(winners(stored, batch, rule(), small)) == [(2, "i", "4", False), (4, "i", None, False)]
+        assert as_set(winners(stored, batch, rule(INCOMING_WINS), small)) == as_set(batch)
 
 
 def test_a_small_batch_does_not_shuffle_the_stored_rows(spark, place):
@@ -159,12 +160,25 @@ def test_a_small_batch_does_not_shuffle_the_stored_rows(spark, place):
     rows(spark, (1, "i", "2", False)).write.parquet(f"{place}/batch")
     stored, batch = spark.read.parquet(f"{place}/stored"), spark.read.parquet(f"{place}/batch")
     text = plan(merge(stored, batch, rule(), True))
-    kept = text.split("Union")[1]
-    left_branch = kept[: kept.index("LeftAnti")]
-    assert "BroadcastHashJoin" in left_branch and "LeftOuter" in left_branch
-    assert "Exchange hashpartitioning" not in left_branch and "SortMergeJoin" not in text
-    # the lookup for inserts reads key columns only
-    assert "ReadSchema: struct<id:int>" in text
+    # the stored rows: one scan, straight into a broadcast anti join
+    join, scan = text.split("Union")[1].splitlines()[1:3]
+    assert "BroadcastHashJoin" in join and "LeftAnti, BuildRight" in join and "FileScan" in scan
+    assert "SortMergeJoin" not in text
+    # for the comparison, key and ordering only
+    assert "ReadSchema: struct<id:int,seq:string>" in text
+    # the payload of the batch is not broadcast
+    broadcasts = [line for line in text.splitlines() if "BroadcastExchange" in line]
+    assert broadcasts and "value" not in "".join(broadcasts)
+
+
+def test_rows_that_stay_and_rows_that_change_are_in_different_files(spark, place):
+    from tidemark import LakeTable, TableSpec
+
+    table = LakeTable(spark, place, TableSpec("t", ("id",), ordering="seq"))
+    table.seed(rows(spark, *[(i, "s", "1", False) for i in range(100)]), "20240101000000")
+    table.upsert(rows(spark, (1, "i", "2", False), (200, "n", "2", False)), "20240102000000")
+    files = table.snapshot().groupBy(F.input_file_name()).agg(F.collect_set("_commit_time").alias("c")).collect()
+    assert len(files) > 1 and all(len(r["c"]) == 1 for r in files)
 
 
 def test_a_large_batch_is_one_full_outer_join(spark):
@@ -182,6 +196,9 @@ def test_measured_size_counts_text(spark, place):
     frame, size = measured(rows(spark, (1, "x" * 1000, "1", False), (2, None, "1", False)))
     frame.write.parquet(f"{place}/out")
     assert size.get["bytes"] == 2 * (16 + 4 * 16) + 1000 + 2
+    keys, size = measured(rows(spark, (1, "x" * 1000, "1", False)), ["id", "seq"])
+    keys.write.parquet(f"{place}/keys")
+    assert size.get["bytes"] == 16 + 2 * 16 + 1
     empty, size = measured(rows(spark))
     empty.write.parquet(f"{place}/empty")
     assert size.get["bytes"] == 0

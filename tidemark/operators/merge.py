@@ -18,6 +18,7 @@ INCOMING_WINS = "incoming_wins"
 POLICIES = (LATEST_WINS, INCOMING_WINS)
 
 _IN = "_in_"
+_MET = "_met_"
 _MATCHED, _STORED, _TAKE = "_matched", "_stored", "_take"
 
 
@@ -72,26 +73,60 @@ def _incoming_wins(rule: MergeRule) -> str:
     return f"coalesce({_MATCHED}, false) AND ({stored} IS NULL OR coalesce({incoming} >= {stored}, false))"
 
 
-def _picked(column: str, rule: MergeRule, key: str) -> str:
+def _picked(column: str, rule: MergeRule) -> str:
     old, new = _quoted(column), _incoming_name(column)
     if column in rule.keys:
-        return f"{key.format(old=old, new=new)} AS {old}"
+        return f"coalesce({old}, {new}) AS {old}"
     if column in rule.partition_by:
         # a delete may come without its partition value: the flagged row stays where the row was
         new = f"CASE WHEN {_incoming_name(rule.delete_flag)} THEN coalesce({old}, {new}) ELSE {new} END"
     return f"CASE WHEN {_TAKE} THEN {new} ELSE {old} END AS {old}"
 
 
+def winners(stored: DataFrame, changes: DataFrame, rule: MergeRule, small_batch: bool) -> DataFrame:
+    """The changes that replace or add a row: all but those that lose against a later stored row.
+
+    Of the stored rows only key, ordering and partition columns are read.
+    """
+    columns, keys = changes.columns, list(rule.keys)
+    if rule.policy == INCOMING_WINS and not rule.partition_by:
+        return changes
+
+    def side(rows: DataFrame) -> DataFrame:
+        return F.broadcast(rows) if small_batch else rows
+
+    narrow = list(dict.fromkeys([*keys, rule.ordering, *rule.partition_by]))
+    # one row per incoming key, hence never more than the batch has
+    met = stored.select(*narrow).join(side(changes.select(*keys)), keys, "left_semi").groupBy(*keys)
+    met = met.agg(*[F.max(c).alias(c) for c in narrow if c not in keys])
+    renamed = [f"{_quoted(c)} AS {_quoted(_MET + c)}" for c in narrow]
+    same = F.expr(" AND ".join(f"{_quoted(k)} = {_quoted(_MET + k)}" for k in keys))
+    joined = changes.join(side(met.selectExpr(*renamed)), same, "left")
+    if rule.policy != INCOMING_WINS:
+        old, new = _quoted(_MET + rule.ordering), _quoted(rule.ordering)
+        joined = joined.where(f"{old} IS NULL OR coalesce({new} >= {old}, false)")
+
+    def output(column: str) -> str:
+        name = _quoted(column)
+        if column in rule.partition_by and column not in keys:
+            # a delete may come without its partition value: the flagged row stays where the row was
+            kept = f"coalesce({_quoted(_MET + column)}, {name})"
+            return f"CASE WHEN {_quoted(rule.delete_flag)} THEN {kept} ELSE {name} END AS {name}"
+        return name
+
+    return joined.selectExpr(*[output(c) for c in columns])
+
+
 def merge_broadcast(stored: DataFrame, changes: DataFrame, rule: MergeRule) -> DataFrame:
-    """Merge a batch of checked, broadcastable size. The stored side is scanned, never shuffled."""
-    columns, keys = stored.columns, list(rule.keys)
-    joined = stored.join(F.broadcast(_incoming(changes)), _same_key(keys), "left")
-    joined = joined.selectExpr("*", f"{_incoming_wins(rule)} AS {_TAKE}")
-    kept_or_replaced = joined.selectExpr(*[_picked(c, rule, "{old}") for c in columns])
-    # At most one row per incoming key, hence no larger than the batch that is broadcast already.
-    matched = stored.select(*keys).join(F.broadcast(changes.select(*keys)), keys, "left_semi").distinct()
-    inserted = changes.join(F.broadcast(matched), keys, "left_anti").select(*columns)
-    return kept_or_replaced.unionByName(inserted)
+    """Merge a batch whose keys are of checked, broadcastable size; its payload is not broadcast.
+
+    The stored side is scanned, never shuffled. Rows that stay and rows that change come from different
+    tasks, hence end up in different files, so that an incremental read skips the files of rows that stay.
+    """
+    keys = list(rule.keys)
+    winning = winners(stored, changes, rule, small_batch=True)
+    kept = stored.join(F.broadcast(winning.select(*keys)), keys, "left_anti")
+    return kept.select(*stored.columns).unionByName(winning)
 
 
 def merge_shuffled(stored: DataFrame, changes: DataFrame, rule: MergeRule) -> DataFrame:
@@ -102,7 +137,7 @@ def merge_shuffled(stored: DataFrame, changes: DataFrame, rule: MergeRule) -> Da
     columns, keys = stored.columns, list(rule.keys)
     joined = stored.selectExpr("*", f"true AS {_STORED}").join(_incoming(changes), _same_key(keys), "full")
     joined = joined.selectExpr("*", f"{_STORED} IS NULL OR ({_incoming_wins(rule)}) AS {_TAKE}")
-    return joined.selectExpr(*[_picked(c, rule, "coalesce({old}, {new})") for c in columns])
+    return joined.selectExpr(*[_picked(c, rule) for c in columns])
 
 
 def merge(stored: DataFrame, changes: DataFrame, rule: MergeRule, small_batch: bool) -> DataFrame:
@@ -110,31 +145,23 @@ def merge(stored: DataFrame, changes: DataFrame, rule: MergeRule, small_batch: b
     return (merge_broadcast if small_batch else merge_shuffled)(stored, changes, rule)
 
 
-def beaten_keys(stored: DataFrame, changes: DataFrame, rule: MergeRule, small_batch: bool) -> DataFrame:
-    """Keys of changes that lose against a stored row with a later ordering."""
-    incoming = _incoming(changes.select(*rule.keys, rule.ordering))
-    joined = stored.select(*rule.keys, rule.ordering).join(
-        F.broadcast(incoming) if small_batch else incoming, _same_key(rule.keys)
-    )
-    return joined.where(f"NOT ({_incoming_wins(rule)})").select(*rule.keys)
-
-
-def measured(changes: DataFrame) -> tuple[DataFrame, Observation]:
-    """The batch, and its size in memory from row count and real text lengths.
+def measured(rows: DataFrame, columns: Sequence[str] | None = None) -> tuple[DataFrame, Observation]:
+    """The rows, and the size of these columns in memory, from row count and real text lengths.
 
     The size is known once the returned rows are written: it is summed up by the writing tasks themselves.
     """
     row_overhead, per_column = 16, 16
+    fields = [f for f in rows.schema if columns is None or f.name in columns]
     lengths = []
-    for field in changes.schema:
+    for field in fields:
         if isinstance(field.dataType, (T.StringType, T.BinaryType)):
             lengths.append(f"octet_length({_quoted(field.name)})")
         elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
             lengths.append(f"octet_length(to_json({_quoted(field.name)}))")
     texts = " + ".join(f"coalesce({length}, 0)" for length in lengths) or "0"
-    row = row_overhead + per_column * len(changes.columns)
+    row = row_overhead + per_column * len(fields)
     size = Observation()
-    return changes.observe(size, F.expr(f"coalesce(sum(CAST({row} + {texts} AS BIGINT)), 0) AS bytes")), size
+    return rows.observe(size, F.expr(f"coalesce(sum(CAST({row} + {texts} AS BIGINT)), 0) AS bytes")), size
 
 
 def broadcast_limit(spark: SparkSession) -> int:

@@ -43,7 +43,7 @@ class Commit:
     operation: str
     schema: str
     parts: dict[str, Part] = field(default_factory=dict)
-    change_bytes: dict[str, int] = field(default_factory=dict)
+    key_bytes: dict[str, int] = field(default_factory=dict)
     folder_counts: dict[str, int] = field(default_factory=dict)
     batches: dict[str, int] = field(default_factory=dict)
     read_up_to: dict[str, str] = field(default_factory=dict)
@@ -54,7 +54,7 @@ class Commit:
     def next(self, instant: str, operation: str, **changes) -> Commit:
         return replace(self, number=self.number + 1, instant=instant, operation=operation, **changes)
 
-    def with_parts(self, parts: dict[str, Part], written: dict[str, int], change_bytes: dict[str, int]) -> Commit:
+    def with_parts(self, parts: dict[str, Part], written: dict[str, int], key_bytes: dict[str, int]) -> Commit:
         """The commit over these partitions; sizes of versions that no partition uses are forgotten.
 
         ``written`` counts the partition folders of new versions, by ``kind/version``.
@@ -62,12 +62,12 @@ class Commit:
         pending = {v for part in parts.values() for v in part.changes}
         used = {f"base/{part.base}" for part in parts.values()} | {f"changes/{v}" for v in pending}
         counts = {**self.folder_counts, **written}
-        sizes = {**self.change_bytes, **change_bytes}
+        sizes = {**self.key_bytes, **key_bytes}
         return replace(
             self,
             parts=parts,
             folder_counts={k: n for k, n in counts.items() if k in used},
-            change_bytes={v: n for v, n in sizes.items() if v in pending},
+            key_bytes={v: n for v, n in sizes.items() if v in pending},
         )
 
     def to_json(self) -> str:

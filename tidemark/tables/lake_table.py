@@ -26,12 +26,12 @@ from tidemark.operators.layout import (
 )
 from tidemark.operators.merge import (
     INCOMING_WINS,
-    beaten_keys,
     blank_deleted,
     broadcast_limit,
     live_rows,
     measured,
     merge,
+    winners,
 )
 from tidemark.operators.precombine import precombine
 from tidemark.operators.schema import conform
@@ -83,11 +83,8 @@ class LakeTable:
     def _winning_changes(self, state: Commit, names: Iterable[str]) -> DataFrame:
         """Pending changes that replace or add a row. Of the base files, only key and ordering are read."""
         pending, small = self._pending(state, names)
-        folders = self._base_folders(state, names)
-        if self.spec.policy == INCOMING_WINS or not folders:
-            return pending
-        stored = self._read(state, BASE, folders)
-        return pending.join(beaten_keys(stored, pending, self.spec.rule, small), list(self.spec.keys), "left_anti")
+        stored = self._read(state, BASE, self._base_folders(state, names))
+        return winners(stored, pending, self.spec.rule, small)
 
     def read_optimized(self, include_deletes: bool = False) -> DataFrame:
         """Base files only: the table as of its last compaction, without a merge."""
@@ -117,7 +114,7 @@ class LakeTable:
         pending = self._read(state, CHANGES, folders)
         if len(versions) > 1:
             pending = precombine(pending, self.spec.keys, self._change_order())
-        return pending, self._is_small(sum(state.change_bytes[v] for v in versions))
+        return pending, self._is_small(sum(state.key_bytes[v] for v in versions))
 
     def _change_order(self) -> list[str]:
         arrival = [COMMIT_TIME, self.spec.ordering]
@@ -198,7 +195,8 @@ class LakeTable:
         batch = conform(changes, T.StructType([f for f in last.struct() if f.name != COMMIT_TIME]))
         batch = precombine(self._refuse_null_keys(batch), self.spec.keys, self.spec.ordering)
         batch = blank_deleted(batch, self.spec.rule).withColumn(COMMIT_TIME, F.lit(instant))
-        batch, observed = measured(spread_for_write(batch, self.spec.partition_by))
+        broadcast_columns = {*self.spec.keys, self.spec.ordering, *self.spec.partition_by}
+        batch, observed = measured(spread_for_write(batch, self.spec.partition_by), broadcast_columns)
         self._write(CHANGES, batch, instant)
         size = observed.get["bytes"]
         if size == 0:
@@ -224,7 +222,8 @@ class LakeTable:
         # a small batch leaves stored rows in the tasks that read their partition; nothing to spread
         if not small:
             merged = spread_for_write(merged, self.spec.partition_by)
-        with shuffles_sized_for(self.spark, self._stored_bytes(last, touched) + size):
+        arrived_bytes = storage.size(self.spark, self._folder(CHANGES, instant))
+        with shuffles_sized_for(self.spark, self._stored_bytes(last, touched) + arrived_bytes):
             self._write(BASE, merged, instant)
         untouched = {n: part for n, part in last.parts.items() if n not in touched}
         self._publish_base(commit, untouched)
@@ -372,8 +371,8 @@ class LakeTable:
     def _written(self, kind: str, instant: str) -> list[str]:
         return storage.partition_folders(self.spark, self._folder(kind, instant), len(self.spec.partition_by))
 
-    def _publish(self, commit: Commit, parts: dict[str, Part], written=None, change_bytes=None) -> Commit:
-        commit = commit.with_parts(parts, written or {}, change_bytes or {})
+    def _publish(self, commit: Commit, parts: dict[str, Part], written=None, key_bytes=None) -> Commit:
+        commit = commit.with_parts(parts, written or {}, key_bytes or {})
         self.log.append(commit)
         return commit
 
