@@ -239,6 +239,26 @@ def test_refresh_by_day_partitions_follows_the_fact(spark, place):
     assert upto == target.state().read_up_to["public.order_line"]
 
 
+def test_refresh_without_a_marker_starts_from_the_greatest_day(spark, place):
+    lines = spark.read.parquet(f"{TABLES}/lineitem.parquet").where("l_orderkey < 20")
+    spec = TableSpec("public.order_line", ("l_orderkey", "l_linenumber"), ordering="l_shipdate")
+    fact = LakeTable(spark, f"{place}/fact", spec)
+    target = LakeTable(spark, f"{place}/gold", table_spec(partition_by=()))
+    seen = []
+
+    def update(rows, small):
+        seen.append((rows.count(), small))
+        return denormalize_changes(retail(spark, rows), RETAIL_LAYOUT, small)
+
+    fact.seed(lines, "20240101120000", deduplicate=True)
+    target.seed(denormalize(retail(spark, fact.snapshot()), RETAIL_LAYOUT))
+    fact.upsert(lines.withColumn("l_shipdate", F.expr("l_shipdate + interval 1 year")).where("l_orderkey < 5"), "20240102")
+    refresh(target, fact, None, update)
+    # the day starts at midnight, so the seed of that day is read once more
+    assert seen == [(fact.snapshot().count(), True)]
+    assert target.state().read_up_to == {"public.order_line": "20240102000000000"}
+
+
 def test_star_join_on_several_columns(spark):
     left = spark.sql("SELECT 1 AS a, 2 AS b")
     right = spark.sql("SELECT * FROM VALUES (1, 2, 'yes'), (1, 3, 'no') AS t(x, y, z)")

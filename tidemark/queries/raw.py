@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +15,7 @@ from tidemark.operators.transform import apply_callable, apply_sql
 from tidemark.queries import feeds
 from tidemark.queries.registry import load, query
 from tidemark.queries.tables import raw_database
-from tidemark.sinks.landing import land_changes, land_full_extract, unexpired
+from tidemark.sinks.landing import land_changes, land_full_extract, last_day, unexpired
 from tidemark.sources.jdbc import slice_number
 from tidemark.sources.raw_zone import (
     FULL,
@@ -94,9 +93,8 @@ def multi_dir_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Physical partitions landed in folders of their own, read as one logical table."""
     target = raw_folder(new_folder(spark, "raw"), INCREMENTAL, "shop/public/order_line")
     lines = load(spark, folder, "lineitem")
-    for flag in ("A", "N", "R"):
-        part = lines.where(F.col("l_returnflag") == flag)
-        part.write.parquet(f"{target}/order_line_part_{flag.lower()}/20240101")
+    physical = lines.withColumn("order_line_part", F.lower("l_returnflag"))
+    physical.write.partitionBy("order_line_part").parquet(target)
     return read_changes(spark, target, lines.schema)
 
 
@@ -279,9 +277,11 @@ def callable_transformer(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("""
-SELECT event_id, user_id, date_trunc('milliseconds', ts) AS ts FROM events WHERE ts >= TIMESTAMP '2024-01-22'""")
+SELECT event_id, user_id, date_trunc('milliseconds', ts) AS ts FROM events
+WHERE ts >= (SELECT date_trunc('day', max(ts)) FROM events) - INTERVAL 8 DAY""")
 def expire_changes(spark: SparkSession, folder: str) -> DataFrame:
     """The changes still kept eight days before the last day; older folders are not read."""
     target = raw_folder(new_folder(spark, "raw"), INCREMENTAL, "shop/public/events")
     land_changes(_event_changes(spark, folder), target, "ts")
-    return unexpired(spark.read.parquet(target), date(2024, 1, 30)).select("event_id", "user_id", "ts")
+    kept = unexpired(spark.read.parquet(target), last_day(spark, target))
+    return kept.select("event_id", "user_id", "ts")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,20 +63,28 @@ def land_change_stream(
     )
 
 
-def _oldest_kept(last_day: date, kept_days: int) -> str:
-    return (last_day - timedelta(days=kept_days)).strftime(DAY_DIGITS)
+def _days(spark: SparkSession, folder: str) -> list[str]:
+    return [d for d in storage.children(spark, folder) if d.startswith(f"{DAY_FOLDER}=")]
 
 
-def unexpired(rows: DataFrame, last_day: date, kept_days: int = KEPT_DAYS) -> DataFrame:
+def last_day(spark: SparkSession, folder: str) -> date:
+    """The newest day that holds change files, from the folder names."""
+    return datetime.strptime(_days(spark, folder)[-1], f"{DAY_FOLDER}={DAY_DIGITS}").date()
+
+
+def _oldest_kept(last: date, kept_days: int) -> str:
+    return (last - timedelta(days=kept_days)).strftime(DAY_DIGITS)
+
+
+def unexpired(rows: DataFrame, last: date, kept_days: int = KEPT_DAYS) -> DataFrame:
     """Change rows of the days that are still kept: a filter on the day folder, so older folders are not read."""
-    return rows.where(F.col(DAY_FOLDER) >= _oldest_kept(last_day, kept_days))
+    return rows.where(F.col(DAY_FOLDER) >= _oldest_kept(last, kept_days))
 
 
-def expire_changes(spark: SparkSession, folder: str, last_day: date, kept_days: int = KEPT_DAYS) -> list[str]:
+def expire_changes(spark: SparkSession, folder: str, last: date, kept_days: int = KEPT_DAYS) -> list[str]:
     """Delete the day folders that are no longer kept."""
-    oldest = f"{DAY_FOLDER}={_oldest_kept(last_day, kept_days)}"
-    days = [d for d in storage.children(spark, folder) if d.startswith(f"{DAY_FOLDER}=")]
-    expired = [d for d in days if d < oldest]
+    oldest = f"{DAY_FOLDER}={_oldest_kept(last, kept_days)}"
+    expired = [d for d in _days(spark, folder) if d < oldest]
     for day in expired:
         storage.delete(spark, f"{folder}/{day}")
     return expired

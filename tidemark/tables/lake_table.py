@@ -74,10 +74,12 @@ class LakeTable:
             names |= waiting
         if any((state.parts[n].base or "") > begin for n in names & waiting):
             rows = self._rows(state, names)
+        elif names & waiting:
+            rows = self._winning_changes(state, names & waiting)
+            if names - waiting:
+                rows = rows.unionByName(self._rows(state, names - waiting))
         else:
-            rows = self._rows(state, names - waiting)
-            if names & waiting:
-                rows = rows.unionByName(self._winning_changes(state, names & waiting))
+            rows = self._rows(state, names)
         return self._visible(rows.where(F.col(COMMIT_TIME) > begin), include_deletes)
 
     def _winning_changes(self, state: Commit, names: Iterable[str]) -> DataFrame:
@@ -113,7 +115,8 @@ class LakeTable:
         versions = {v for v, _ in folders}
         pending = self._read(state, CHANGES, folders)
         if len(versions) > 1:
-            pending = precombine(pending, self.spec.keys, self._change_order())
+            # one row per key and version: instants tell versions apart, no further column is compared
+            pending = precombine(pending, self.spec.keys, self._change_order(), tie_break=[])
         return pending, self._is_small(sum(state.key_bytes[v] for v in versions))
 
     def _change_order(self) -> list[str]:
