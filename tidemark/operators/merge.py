@@ -97,8 +97,9 @@ def winners(stored: DataFrame, changes: DataFrame, rule: MergeRule, small_batch:
 
     narrow = list(dict.fromkeys([*keys, rule.ordering, *rule.partition_by]))
     # one row per incoming key, hence never more than the batch has
-    met = stored.select(*narrow).join(side(changes.select(*keys)), keys, "left_semi").groupBy(*keys)
-    met = met.agg(*[F.max(c).alias(c) for c in narrow if c not in keys])
+    by_key = [_quoted(k) for k in keys]
+    met = stored.select(*map(_quoted, narrow)).join(side(changes.select(*by_key)), keys, "left_semi")
+    met = met.groupBy(*by_key).agg(*[F.max(_quoted(c)).alias(c) for c in narrow if c not in keys])
     renamed = [f"{_quoted(c)} AS {_quoted(_MET + c)}" for c in narrow]
     same = F.expr(" AND ".join(f"{_quoted(k)} = {_quoted(_MET + k)}" for k in keys))
     joined = changes.join(side(met.selectExpr(*renamed)), same, "left")
@@ -123,10 +124,10 @@ def merge_broadcast(stored: DataFrame, changes: DataFrame, rule: MergeRule) -> D
     The stored side is scanned, never shuffled. Rows that stay and rows that change come from different
     tasks, hence end up in different files, so that an incremental read skips the files of rows that stay.
     """
-    keys = list(rule.keys)
     winning = winners(stored, changes, rule, small_batch=True)
-    kept = stored.join(F.broadcast(winning.select(*keys)), keys, "left_anti")
-    return kept.select(*stored.columns).unionByName(winning)
+    winning_keys = winning.select(*map(_quoted, rule.keys))
+    kept = stored.join(F.broadcast(winning_keys), list(rule.keys), "left_anti")
+    return kept.select(*map(_quoted, stored.columns)).unionByName(winning)
 
 
 def merge_shuffled(stored: DataFrame, changes: DataFrame, rule: MergeRule) -> DataFrame:

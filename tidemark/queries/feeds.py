@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.envelope import DELETE, DELETED, INSERT, OP, SEQUENCE, UPDATE, change_envelope
+from tidemark.functions.envelope import DELETE, INSERT, OP, SEQUENCE, UPDATE, change_envelope
 from tidemark.queries.registry import load
 from tidemark.spec import TableSpec
 
