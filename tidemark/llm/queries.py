@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark import workspace
-from tidemark.llm import token_store
+from tidemark.llm import imatch, kd_shards, token_store, va_file
 from tidemark.llm.common import table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -20,9 +21,41 @@ def op1_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.digests(token_store.read_tokens(spark, path))
 
 
+def op2_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return imatch.compare_edited(documents, imatch.lexicon(documents))
+
+
+def op6_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = kd_shards.shard_documents(table(spark, sf_dir, "documents"), shards=8)
+    return rows.withColumn("law", F.lit("bytes")).withColumn("grown_shard", F.lit(None).cast("int"))
+
+
+def op9_va_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = va_file.whole_vectors(table(spark, sf_dir, "embeddings"))
+    return va_file.search(vectors, F.col("vec_id") % 100 == 0, k=10)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_va_file": OP9_SQL}
+
+
+OP9_SQL = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+    CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
+  FROM whole q JOIN whole c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
+), ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+  FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
