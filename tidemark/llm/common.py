@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark import workspace
 
@@ -111,3 +112,50 @@ def mix(values: np.ndarray) -> np.ndarray:
         x *= np.uint64(0x94D049BB133111EB)
         x ^= x >> np.uint64(31)
     return x
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.RecordBatch]:
+    """Batches of rows sorted by ``key``, cut so that no group of a key is in two of them; groups must be small."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = batch[key].to_numpy(zero_copy_only=False)
+        other = np.flatnonzero(keys != keys[-1])
+        if len(other) or (held and held[-1][key][-1] != batch[key][0]):
+            cut = int(other[-1]) + 1 if len(other) else 0
+            yield pa.concat_batches([*held, batch.slice(0, cut)])
+            held = []
+            batch = batch.slice(cut)
+        held.append(batch)
+    if held:
+        yield pa.concat_batches(held)
+
+
+_WORDS = 1 << 16
+
+
+def _marked(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """Rows with ``_may_match``: false where the key is surely not in ``ids``.
+
+    A bitmap of 2^16 words of 64 bits is all that is broadcast, whatever the number of ids.
+    """
+    h = F.xxhash64(key)
+    word, bit = F.pmod(h, F.lit(_WORDS)), F.shiftrightunsigned(h, 58).cast("int")
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), bit)
+    bitmap = ids.select(word.alias("_word"), one.alias("_bit")).groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
+    marked = rows.withColumn("_word", word).join(F.broadcast(bitmap), "_word", "left")
+    hit = F.coalesce(F.col("_bits").bitwiseAND(one) != 0, F.lit(False))
+    return marked.withColumn("_may_match", hit).drop("_word", "_bits")
+
+
+def matching(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """Rows whose key is in ``ids`` (one column of that name); texts of other rows are hardly ever shuffled."""
+    return _marked(rows, ids, key).where("_may_match").drop("_may_match").join(ids.select(key).distinct(), key, "left_semi")
+
+
+def without(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """Rows whose key is not in ``ids``."""
+    marked = _marked(rows, ids, key)
+    sure = marked.where("not _may_match").drop("_may_match")
+    return sure.unionByName(marked.where("_may_match").drop("_may_match").join(ids.select(key).distinct(), key, "left_anti"))

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from fractions import Fraction
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import workspace
-from tidemark.llm import imatch, kd_shards, token_store, va_file
+from tidemark.llm import imatch, kd_shards, parity_join, token_store, va_file
 from tidemark.llm.common import table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -26,6 +27,10 @@ def op2_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.compare_edited(documents, imatch.lexicon(documents))
 
 
+def op3_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parity_join.jaccard_classes(table(spark, sf_dir, "documents"), width=3, share=Fraction(9, 10))
+
+
 def op6_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = kd_shards.shard_documents(table(spark, sf_dir, "documents"), shards=8)
     return rows.withColumn("law", F.lit("bytes")).withColumn("grown_shard", F.lit(None).cast("int"))
