@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import workspace
-from tidemark.llm import imatch, kd_shards, parity_join, token_store, va_file
+from tidemark.llm import imatch, kd_shards, parity_join, token_store, toxicity, va_file
 from tidemark.llm.common import table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -41,6 +41,18 @@ def op9_va_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return va_file.search(vectors, F.col("vec_id") % 100 == 0, k=10)
 
 
+def toxic_training():
+    """Rows whose labels may be learned from."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = toxicity.fit(documents, table(spark, sf_dir, "labels"), toxic_training())
+    scored = toxicity.score(documents.select("doc_id", "text"), model)
+    return scored.select("doc_id", (~toxic_training()).alias("held_out"), "score", "predicted")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
