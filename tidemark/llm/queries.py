@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import workspace
-from tidemark.llm import imatch, kd_shards, parity_join, token_store, toxicity, va_file
+from tidemark.llm import chaining, imatch, kd_shards, parity_join, token_store, toxicity, va_file
 from tidemark.llm.common import table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -31,6 +31,10 @@ def op3_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parity_join.jaccard_classes(table(spark, sf_dir, "documents"), width=3, share=Fraction(9, 10))
 
 
+def op5_chaining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chaining.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op6_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = kd_shards.shard_documents(table(spark, sf_dir, "documents"), shards=8)
     return rows.withColumn("law", F.lit("bytes")).withColumn("grown_shard", F.lit(None).cast("int"))
