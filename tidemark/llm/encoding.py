@@ -25,6 +25,8 @@ REMEMBERED = 900_000
 _BLANKS = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 #: the split of byte-level vocabularies: contractions, letters, digits and other signs with a space before them, blanks
 _SPLIT = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_BLANKS}\p{{L}}\p{{N}}]+|[{_BLANKS}]+(?![^{_BLANKS}])|[{_BLANKS}]+"
+#: bytes of text encoded together; the more, the more often a piece repeats
+ENCODED_TOGETHER = 16 << 20
 _LOADED: dict[str, "Encoder"] = {}
 
 

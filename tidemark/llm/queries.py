@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import workspace
-from tidemark.llm import chaining, imatch, kd_shards, parity_join, token_store, toxicity, va_file
+from tidemark.llm import chaining, imatch, kd_shards, lexical_packing, parity_join, token_store, toxicity, va_file
 from tidemark.llm.common import table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -40,6 +40,11 @@ def op6_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("law", F.lit("bytes")).withColumn("grown_shard", F.lit(None).cast("int"))
 
 
+def op8_lexical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return lexical_packing.pack(documents, public_tokenizers.path(BYTE_BPE), end_id=0, finish=lexical_packing.with_crc)
+
+
 def op9_va_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = va_file.whole_vectors(table(spark, sf_dir, "embeddings"))
     return va_file.search(vectors, F.col("vec_id") % 100 == 0, k=10)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import in_arrow, slices
-from tidemark.llm.encoding import closed, encoder
+from tidemark.llm.encoding import ENCODED_TOGETHER, closed, encoder
 
 STRIPE_BYTES = 32 << 20
 ROWS_PER_INDEX = 1000
@@ -30,7 +30,7 @@ def encode_documents(documents: DataFrame, tokenizer: str, end_id: int) -> DataF
     """doc_id and ids (array of int, ``end_id`` last) of each document; order and partitions stay."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in slices(batches):
+        for rows in slices(batches, limit=ENCODED_TOGETHER):
             ids, begins = closed(*encoder(tokenizer).encode(rows["text"]), end_id)
             lists = pa.ListArray.from_arrays(pa.array(begins, pa.int32()), pa.array(ids, pa.int32()))
             yield pa.record_batch({"doc_id": rows["doc_id"], "ids": lists})
