@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import workspace
-from tidemark.llm import chaining, imatch, kd_shards, lexical_packing, parity_join, token_store, toxicity, va_file
+from tidemark.llm import chaining, imatch, kd_shards, lexical_packing, parity_join, token_store, toxicity, va_file, viterbi
 from tidemark.llm.common import table
 
 BYTE_BPE = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def op1_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,6 +32,10 @@ def op3_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parity_join.jaccard_classes(table(spark, sf_dir, "documents"), width=3, share=Fraction(9, 10))
 
 
+def op4_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return viterbi.round_trips(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
+
+
 def op5_chaining(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chaining.repeated_passages(table(spark, sf_dir, "documents"))
 
