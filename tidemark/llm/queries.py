@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import workspace
-from tidemark.llm import chaining, imatch, kd_shards, lexical_packing, parity_join, token_store, toxicity, va_file, viterbi
+from tidemark.llm import chaining, gru_lm, imatch, kd_shards, lexical_packing, parity_join, token_store, toxicity, va_file, viterbi
 from tidemark.llm.common import table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -45,6 +45,11 @@ def op6_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("law", F.lit("bytes")).withColumn("grown_shard", F.lit(None).cast("int"))
 
 
+def op7_gru_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    return gru_lm.lm_scores(table(spark, sf_dir, "documents"), held_out)
+
+
 def op8_lexical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return lexical_packing.pack(documents, public_tokenizers.path(BYTE_BPE), end_id=0, finish=lexical_packing.with_crc)
