@@ -128,7 +128,7 @@ def test_only_touched_partitions_are_rewritten(spark, place):
     bases = {n: p.base[:8] for n, p in table.state().parts.items()}
     assert bases == {"place=a": "20240101", "place=b": "20240102"}
     files = table.snapshot().where("place = 'a'").select(F.input_file_name()).distinct().collect()
-    assert files and all("v=20240101" in f[0] for f in files)
+    assert files and all("tidemark_version=20240101" in f[0] for f in files)
     pruned = table.snapshot().where("place = 'a'")._jdf.queryExecution().executedPlan().toString()
     assert "(place" in pruned.split("PartitionFilters")[1].split("]")[0]
 
@@ -159,12 +159,12 @@ def test_files_without_a_commit_are_invisible(spark, place):
     table.seed(rows(spark, (1, "a", "x", sequence(0))), "20240101000000")
     # a writer that died after its files and before its commit
     rows(spark, (9, "a", "half", sequence(9))).withColumn(COMMIT_TIME, F.lit("x")).write.parquet(
-        f"{place}/base/v=20240102000000000"
+        f"{place}/base/tidemark_version=20240102000000000"
     )
     assert shown(table.snapshot()) == [(1, "a", "x")]
     table.upsert(rows(spark, (2, "a", "y", sequence(1))), "20240103000000")
     assert shown(table.snapshot()) == [(1, "a", "x"), (2, "a", "y")]
-    assert "base/v=20240102000000000" in table.stale_folders()
+    assert "base/tidemark_version=20240102000000000" in table.stale_folders()
 
 
 def test_a_second_writer_fails_at_its_commit(spark, place):
@@ -294,7 +294,7 @@ def test_a_hot_partition_is_written_by_several_tasks(spark, place):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         table.upsert(hot.withColumn("trx_seq", F.lit(sequence(1))), "20990101000000")
         for kind in ("changes", "base"):
-            assert len(storage.children(spark, f"{place}/{kind}/v=20990101000000000/place=hot")) > 1
+            assert len(storage.children(spark, f"{place}/{kind}/tidemark_version=20990101000000000/place=hot")) > 1
         assert table.snapshot().count() == 40000
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
@@ -335,3 +335,39 @@ def test_commit_records_survive_a_round_trip_and_instants_grow(spark, place):
         next_instant(late, "20240101000000")
     with pytest.raises(ValueError):
         next_instant(None, "20241399000000")
+
+
+def test_a_seed_holds_every_key_once_and_none_without_a_value(spark, place):
+    spec = TableSpec("t", ("id",), ordering="seq")
+    rows = spark.createDataFrame([(1, "a", 1), (1, "b", 5), (2, "x", 1), (2, "y", 1)], "id int, val string, seq int")
+    batch = spark.createDataFrame([(1, "new", 3), (2, "new", 3)], "id int, val string, seq int")
+    found = []
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for limit in ("10MB", "-1"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+            table = LakeTable(spark, f"{place}/{limit}", spec)
+            table.seed(rows)
+            table.upsert(batch)
+            found.append(sorted(tuple(r) for r in table.snapshot().select("id", "val", "seq").collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert found[0] == found[1] == [(1, "b", 5), (2, "new", 3)]
+    with pytest.raises(Exception, match="NULL in key column id"):
+        LakeTable(spark, f"{place}/null", spec).seed(spark.createDataFrame([(None, "a", 1)], "id int, val string, seq int"))
+
+
+def test_the_name_of_a_version_folder_is_reserved(spark, place):
+    rows = spark.sql("SELECT 1 AS id, 1 AS seq, 'x' AS TIDEMARK_VERSION")
+    with pytest.raises(ValueError, match="may not be called"):
+        LakeTable(spark, place, TableSpec("t", ("id",), ordering="seq")).seed(rows)
+
+
+def test_a_replacing_seed_forgets_what_was_read(spark, place):
+    table = LakeTable(spark, place, TableSpec("t", ("id",), ordering="seq"))
+    rows = spark.sql("SELECT 1 AS id, 1 AS seq")
+    table.seed(rows)
+    table.upsert(rows.withColumn("seq", F.lit(2)), source=("s", 0))
+    table.seed(rows, replace=True)
+    table.upsert(rows.withColumn("seq", F.lit(3)), source=("s", 0))
+    assert table.snapshot().first()["seq"] == 3

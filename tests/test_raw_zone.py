@@ -12,9 +12,9 @@ from tidemark.functions.keys import joined_key, partition_path, record_key
 from tidemark.operators.quarantine import REASON, refuse_above, split
 from tidemark.operators.schema import ADDED, REMOVED, RETYPED, conform, drift, drift_report
 from tidemark.operators.transform import apply_sql, transformed
-from tidemark.sinks.landing import expire_changes, land_change_stream, land_changes, unexpired
+from tidemark.sinks.landing import expire_changes, land_change_stream, land_changes, last_day, unexpired
 from tidemark.sources.jdbc import jdbc_options, slice_edges, slice_number, slice_predicates
-from tidemark.sources.raw_zone import discover, read_changes, register, selects, stream_changes
+from tidemark.sources.raw_zone import discover, matches, read_changes, register, selects, stream_changes
 from tidemark.spec import TableSpec
 from tidemark.tables.catalog import create_database
 
@@ -91,7 +91,7 @@ def test_landed_changes_are_dated_compressed_and_cut_to_milliseconds(spark, plac
     assert all(f.endswith(".gz.parquet") for f in back.inputFiles())
     kept = unexpired(spark.read.parquet(place), date(2024, 1, 3), kept_days=1)
     assert kept.count() == 48
-    assert "PartitionFilters: [isnotnull(dt" in kept._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [(isnull(dt" in kept._jdf.queryExecution().executedPlan().toString()
     assert expire_changes(spark, place, date(2024, 1, 3), kept_days=1) == ["dt=20240101"]
     assert spark.read.parquet(place).count() == 48
 
@@ -111,8 +111,8 @@ def test_discovery_skips_control_tables_and_selects_by_pattern(spark, place):
     spark.range(1).write.parquet(f"{place}/full/shop/control_tables/status")
     spark.range(4).write.parquet(f"{place}/incremental/shop/public/orders/20240101/a")
     spark.range(5).write.parquet(f"{place}/incremental/shop/public/orders/20240102/b")
-    assert [t.name for t in discover(spark, place, "full")] == ["full_customer", "full_orders"]
-    assert [t.name for t in discover(spark, place, "full", "ord%")] == ["full_orders"]
+    assert [t.name for t in discover(spark, place, "full")] == ["full_shop_public_customer", "full_shop_public_orders"]
+    assert [t.name for t in discover(spark, place, "full", "ord%")] == ["full_shop_public_orders"]
     (changes,) = discover(spark, place, "incremental")
     create_database(spark, "raw_test", f"{place}/db")
     assert spark.table(register(spark, changes, "raw_test")).count() == 9
@@ -169,3 +169,28 @@ def test_transformers_of_a_spec(spark):
     assert [tuple(r) for r in transformed(batch, doubled).orderBy("id").collect()] == [(1, 2), (2, 4)]
     with pytest.raises(ValueError, match="<SRC>"):
         apply_sql(batch, "SELECT 1")
+
+
+def test_undated_rows_are_kept_and_bare_day_folders_expire(spark, place):
+    rows = spark.sql("SELECT id, CASE WHEN id > 0 THEN timestamp_ntz '2024-01-09 00:00:00' END AS at FROM range(3)")
+    land_changes(rows, place, "at")
+    assert last_day(spark, place) == date(2024, 1, 9)
+    assert unexpired(spark.read.parquet(place), date(2024, 2, 9)).count() == 1
+    spark.range(1).write.parquet(f"{place}/20200101")
+    assert expire_changes(spark, place, date(2024, 1, 9)) == ["20200101"]
+
+
+def test_both_selection_rules_take_an_underscore_for_itself(spark):
+    names = spark.createDataFrame([("order_line",), ("orderXline",)], "name string")
+    kept = [r["name"] for r in names.where(matches(F.col("name"), "order_%")).collect()]
+    assert kept == [n for n in ("order_line", "orderXline") if selects(n, "order_%")] == ["order_line"]
+
+
+def test_a_catalog_entry_on_another_folder_is_refused(spark, place):
+    create_database(spark, "clash", f"{place}/clash.db")
+    for root in ("one", "two"):
+        spark.range(3).write.parquet(f"{place}/{root}/full/shop/public/orders")
+    first, second = (discover(spark, f"{place}/{root}", "full")[0] for root in ("one", "two"))
+    assert register(spark, first, "clash") == register(spark, first, "clash")
+    with pytest.raises(ValueError, match="is registered on"):
+        register(spark, second, "clash")

@@ -14,7 +14,7 @@ from tidemark.plans.refresh import last_instant, refresh
 from tidemark.plans.stages import Lake, continuous, incremental, run_custom_steps, seed
 from tidemark.plans.star import Reference, star_join
 from tidemark.spec import TableType, load_specs, spec_from_item
-from tidemark.streaming.upsert import Feed, merge_batch, run_once
+from tidemark.streaming.upsert import Feed, merge_batch, run_once, session_for
 from tidemark.tables.catalog import create_database, lineage, set_lineage, sync_table
 from tidemark.tables.lake_table import COMMIT_TIME
 from tidemark import workspace
@@ -224,7 +224,7 @@ def test_refresh_by_day_partitions_follows_the_fact(spark, place):
             lambda rows, small: denormalize_changes(retail(spark, rows), RETAIL_LAYOUT, small),
         )
 
-    fact.seed(lines.where("l_quantity < 25"), deduplicate=True)
+    fact.seed(lines.where("l_quantity < 25"))
     run()
     fact.upsert(lines.where("l_quantity >= 25"))
     run()
@@ -250,7 +250,7 @@ def test_refresh_without_a_marker_starts_from_the_greatest_day(spark, place):
         seen.append((rows.count(), small))
         return denormalize_changes(retail(spark, rows), RETAIL_LAYOUT, small)
 
-    fact.seed(lines, "20240101120000", deduplicate=True)
+    fact.seed(lines, "20240101120000")
     target.seed(denormalize(retail(spark, fact.snapshot()), RETAIL_LAYOUT))
     fact.upsert(lines.withColumn("l_shipdate", F.expr("l_shipdate + interval 1 year")).where("l_orderkey < 5"), "20240102")
     refresh(target, fact, None, update)
@@ -296,3 +296,24 @@ def test_the_workspace_is_the_shared_folder_of_the_session(spark, monkeypatch, p
     Session.sparkContext.master = "local-cluster[2,1,1024]"
     with pytest.raises(RuntimeError):
         workspace.shared_root(Session)
+
+
+def test_settings_of_a_stage_hold_in_a_session_of_its_own(spark):
+    spec = TableSpec("t", ("id",), stage_conf={"x_seed": {"spark.sql.shuffle.partitions": "3"}})
+    assert session_for(spark, spec, "seed").conf.get("spark.sql.shuffle.partitions") == "3"
+    assert session_for(spark, spec, "incremental") is spark
+    fixed = TableSpec("t", ("id",), stage_conf={"x_seed": {"spark.executor.memory": "1g"}})
+    with pytest.raises(ValueError, match="when the application starts"):
+        session_for(spark, fixed, "seed")
+
+
+def test_a_batch_that_differs_leaves_a_report(spark, place):
+    spec = TableSpec("t", ("id",), ordering="seq")
+    feed = Feed(spec, f"{place}/changes", spark.range(1).schema, f"{place}/table", f"{place}/check", drift_reports=f"{place}/drift")
+    apply = merge_batch(feed, "incremental")
+    apply(spark.sql("SELECT 1 AS id, 1 AS seq, 'kept' AS val"), 0)
+    apply(spark.sql("SELECT 1 AS id, 2 AS seq, 'new' AS extra"), 1)
+    row = LakeTable(spark, f"{place}/table", spec).snapshot().first()
+    assert (row["val"], row["extra"]) == ("kept", "new")
+    report = spark.read.parquet(f"{place}/drift/incremental_batch=1").collect()
+    assert {(r["column_name"], r["change"]) for r in report} >= {("val", "removed"), ("extra", "added")}

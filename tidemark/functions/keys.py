@@ -23,11 +23,6 @@ def record_key(keys: Sequence[str]) -> Column:
     return F.concat_ws(",", *[F.concat(F.lit(f"{k}:"), F.col(k).cast("string")) for k in keys])
 
 
-def day_partition(moment: Column) -> Column:
-    """Day as ``yyyy-MM-dd``: a slash would be escaped in a path and read back as text."""
-    return F.date_format(moment, "yyyy-MM-dd")
-
-
 def partition_path(columns: Sequence[str]) -> Column:
     """The hive-style relative path a row is written to, ``a=1/b=2``."""
     pieces = [

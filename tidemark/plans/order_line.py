@@ -135,18 +135,24 @@ class Sources:
         return [rows.drop(COMMIT_TIME) for rows in others]
 
 
+def _derived_columns() -> dict[str, Column]:
+    """Columns that follow from the order's output columns."""
+    customer_scope = ("c_id", "w_id", "d_id")
+    return {
+        "aol_sk": joined_key(*customer_scope, "o_id"),
+        "c_sk": joined_key(*customer_scope),
+        "order_date": F.date_format("o_entry_d", DAY_PATTERN),
+    }
+
+
 def _order_columns(layout: Layout) -> dict[str, Column]:
     """Columns that are the same for all lines of an order."""
-    customer_scope = (layout.customer_key, layout.warehouse_key, layout.district_key)
     return {
-        "aol_sk": joined_key(*customer_scope, layout.order_key),
-        "c_sk": joined_key(*customer_scope),
         "c_id": F.col(layout.customer_key),
         "w_id": F.col(layout.warehouse_key),
         "d_id": F.col(layout.district_key),
         "o_id": F.col(layout.order_key),
         "o_entry_d": F.col(layout.order_time),
-        "order_date": F.date_format(layout.order_time, DAY_PATTERN),
     }
 
 
@@ -194,7 +200,8 @@ def denormalize(sources: Sources, layout: Layout) -> DataFrame:
     facts = sources.order_line.hint("merge")
     lines = star_join(whole, Reference(facts, on_order), Reference(item, layout.item))
     # the order may carry an output name that is a source name of the item; outputs of the order stay as they are
-    per_line = {**_line_columns(layout), **line_level}
+    # texts that follow from the order's columns are made behind the shuffle
+    per_line = {**_line_columns(layout), **line_level, **_derived_columns()}
     return lines.select(*[per_line[c].alias(c) if c in per_line else c for c in output_columns(layout)])
 
 
@@ -215,7 +222,8 @@ def denormalize_changes(sources: Sources, layout: Layout, small: bool) -> DataFr
         **_line_columns(layout),
         **{new: F.col(old) for new, old in _copied(layout).items()},
     }
-    return lines.select(*[outputs[c].alias(c) for c in output_columns(layout)])
+    narrow = lines.select(*[column.alias(c) for c, column in outputs.items()])
+    return narrow.withColumns(_derived_columns()).select(*output_columns(layout))
 
 
 def ordered(rows: DataFrame) -> DataFrame:

@@ -41,7 +41,7 @@ def refresh(
     upto = fact.state().instant
     marker = {fact.spec.name: upto}
     if not target.exists():
-        return target.seed(build(fact.snapshot()), instant, read_up_to=marker)
+        return target.seed(build(fact.snapshot()), instant, unique_keys=True, read_up_to=marker)
     last = target.state()
     begin = last.read_up_to.get(fact.spec.name)
     if begin is None:

@@ -15,18 +15,37 @@ from tidemark.sinks.landing import land_full_extract
 from tidemark.sources.jdbc import read_table
 from tidemark.sources.raw_zone import FULL, INCREMENTAL, raw_folder, read_extract
 from tidemark.spec import CUSTOM_STEP, TableSpec, resolve
-from tidemark.streaming.upsert import Feed, run_continuously, run_once, seed_from_extract
+from tidemark.streaming.upsert import (
+    SEED_STAGE,
+    Feed,
+    run_continuously,
+    run_once,
+    seed_from_extract,
+    session_for,
+)
+from tidemark.tables.catalog import sync_table
 from tidemark.tables.lake_table import LakeTable
 
+# The stage that copies a source table to the raw zone.
+LOAD_STAGE = "load"
+
 
 @dataclass(frozen=True)
 class Lake:
-    """Folders of the raw and the keyed zone, the source database and the prefix of keyed tables."""
+    """Folders of the raw and the keyed zone, the source database and the prefix of keyed tables.
+
+    With a ``catalog`` database, every stage that writes a keyed table brings its catalog entry up to date.
+    """
 
     raw: str
     keyed: str
     database: str
     prefix: str
+    catalog: str | None = None
+
+    def publish(self, table: LakeTable) -> None:
+        if self.catalog:
+            sync_table(table, self.catalog, table.spec.target(self.prefix))
 
     def extract(self, spec: TableSpec) -> str:
         return raw_folder(self.raw, FULL, spec.source_folder(self.database))
@@ -45,6 +64,7 @@ class Lake:
         schema = read_extract(spark, self.extract(spec)).schema
         # next to the table, not inside it
         checkpoint = f"{self.keyed}/_checkpoints/{spec.target(self.prefix)}"
+        options = {"after_batch": self.publish, **options}
         return Feed(spec, self.changes(spec), schema, self.path(spec), checkpoint, **options)
 
 
@@ -52,12 +72,16 @@ def load_full(
     spark: SparkSession, lake: Lake, spec: TableSpec, url: str, login: Mapping[str, str], started: datetime
 ) -> None:
     """Copy one table from its database to the raw zone. ``started`` must lie before the first row is read."""
+    spark = session_for(spark, spec, LOAD_STAGE)
     source = read_table(spark, spec.name, url, {**spec.jdbc, **login})
     land_full_extract(full_load_envelope(source, started), lake.extract(spec))
 
 
 def seed(spark: SparkSession, lake: Lake, spec: TableSpec, replace: bool = False) -> LakeTable:
-    return seed_from_extract(spark, spec, lake.extract(spec), lake.path(spec), replace=replace)
+    spark = session_for(spark, spec, SEED_STAGE)
+    table = seed_from_extract(spark, spec, lake.extract(spec), lake.path(spec), replace=replace)
+    lake.publish(table)
+    return table
 
 
 def incremental(spark: SparkSession, lake: Lake, specs: Iterable[TableSpec], **options) -> None:

@@ -10,7 +10,7 @@ from tidemark.operators.merge import INCOMING_WINS
 from tidemark.operators.precombine import precombine
 from tidemark.queries import feeds
 from tidemark.queries.registry import load, query
-from tidemark.spec import TableType
+from tidemark.spec import FAIL, TableSpec, TableType
 from tidemark.tables.lake_table import COMMIT_TIME, LakeTable
 from tidemark.workspace import new_folder
 
@@ -115,3 +115,67 @@ def compaction_equals_mor(spark: SparkSession, folder: str) -> DataFrame:
     table = merged_table(spark, folder, "compacted", table_type=TableType.MERGE_ON_READ)
     table.compact()
     return table.read_optimized().select(*feeds.RESULT)
+
+
+@query(f"""WITH {feeds.NATURAL_LINES_SQL}
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+       CASE WHEN l_returnflag = 'R' THEN l_quantity + 1 ELSE l_quantity END AS l_quantity, l_shipdate
+FROM lines""")
+def seed_repeated_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """A seed whose keys repeat takes the latest row of each; merges of any size then agree."""
+    lines = load(spark, folder, "lineitem")
+    table = LakeTable(spark, new_folder(spark, "repeated"), feeds.natural_line_spec())
+    table.seed(lines, feeds.SEED)
+    returned = table.snapshot().where("l_returnflag = 'R'").drop(COMMIT_TIME)
+    table.upsert(returned.withColumn("l_quantity", F.col("l_quantity") + 1), feeds.FIRST)
+    return table.snapshot().select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate")
+
+
+@query("""
+SELECT kind, event_id, event_type, user_id, CASE WHEN event_type = 'click' THEN 'seen' ELSE props END AS v
+FROM events, (SELECT unnest(['COPY_ON_WRITE', 'MERGE_ON_READ']) AS kind)""")
+def column_called_v(spark: SparkSession, folder: str) -> DataFrame:
+    """A source column with the short name ``v`` keeps its own values in both table types."""
+    events = load(spark, folder, "events").withColumnRenamed("props", "v")
+    found = []
+    for kind in TableType:
+        spec = TableSpec("public.events", ("event_id",), ordering="ts", table_type=kind)
+        table = LakeTable(spark, new_folder(spark, "column"), spec)
+        table.seed(events, feeds.SEED)
+        table.upsert(events.where("event_type = 'click'").withColumn("v", F.lit("seen")), feeds.FIRST)
+        rows = table.snapshot().select("event_id", "event_type", "user_id", "v")
+        found.append(rows.withColumn("kind", F.lit(kind.value)))
+    return found[0].unionByName(found[1])
+
+
+@query("""
+WITH changed AS (SELECT *, o_orderpriority IN ('1-URGENT', '2-HIGH') AS hit FROM orders)
+SELECT kind, o_orderkey, o_custkey, o_orderstatus, o_orderpriority,
+       CASE WHEN hit THEN o_totalprice + 2 ELSE o_totalprice END AS o_totalprice,
+       CASE WHEN hit THEN 'web' END AS o_channel
+FROM changed, (SELECT unnest(['COPY_ON_WRITE', 'MERGE_ON_READ']) AS kind)
+UNION ALL
+SELECT 'refused', 2, NULL, NULL, NULL, NULL, NULL""")
+def upsert_drifted_batch(spark: SparkSession, folder: str) -> DataFrame:
+    """A batch without some columns keeps their stored values, one with a new column adds it; or both are refused."""
+    full = feeds.batch(spark, folder, 0)
+    prices = feeds.batch(spark, folder, 1).where("Op = 'U'")
+    drifted = prices.drop("o_custkey", "o_orderpriority").withColumn("o_channel", F.lit("web"))
+    columns = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_totalprice", "o_channel"]
+    found = []
+    for kind in TableType:
+        table = LakeTable(spark, new_folder(spark, "drifted"), feeds.order_spec(table_type=kind))
+        table.seed(full, feeds.SEED)
+        table.upsert(drifted, feeds.FIRST)
+        found.append(table.snapshot().select(F.lit(kind.value).alias("kind"), *columns))
+    refused = 0
+    for strict in ({"missing_columns": FAIL}, {"new_columns": FAIL}):
+        table = LakeTable(spark, new_folder(spark, "strict"), feeds.order_spec(**strict))
+        table.seed(full, feeds.SEED)
+        try:
+            table.upsert(drifted, feeds.FIRST)
+        except ValueError:
+            refused += 1
+    nothing = [F.lit(None).cast(t).alias(c) for c, t in found[0].dtypes if c not in ("kind", "o_orderkey")]
+    told = spark.range(1).select(F.lit("refused").alias("kind"), F.lit(refused).cast("long").alias("o_orderkey"), *nothing)
+    return found[0].unionByName(found[1]).unionByName(told)

@@ -59,13 +59,13 @@ def full_load_envelope(spark: SparkSession, folder: str) -> DataFrame:
 @query("""
 SELECT CASE event_type WHEN 'signup' THEN 'I' WHEN 'error' THEN 'D' ELSE 'U' END AS "Op",
        event_id, user_id, event_type, value,
-       strftime(ts, '%Y%m%d%H%M%S') || lpad(CAST(event_id AS VARCHAR), 21, '0') AS trx_seq,
+       props, strftime(ts, '%Y%m%d%H%M%S') || lpad(CAST(event_id AS VARCHAR), 21, '0') AS trx_seq,
        event_type = 'error' AS _is_deleted
 FROM events""")
 def cdc_envelope(spark: SparkSession, folder: str) -> DataFrame:
     """Events as a change feed: operation letter, fixed-width change sequence and delete flag."""
     return _event_changes(spark, folder).select(
-        OP, "event_id", "user_id", "event_type", "value", SEQUENCE, DELETED
+        OP, "event_id", "user_id", "event_type", "value", "props", SEQUENCE, DELETED
     )
 
 
@@ -78,14 +78,14 @@ def _event_changes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("""
-SELECT event_id, user_id, event_type, date_trunc('milliseconds', ts) AS ts,
+SELECT event_id, user_id, event_type, value, props, date_trunc('milliseconds', ts) AS ts,
        CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS dt
 FROM events""")
 def cdc_landing(spark: SparkSession, folder: str) -> DataFrame:
     """Changes landed as compressed files in day folders, times in milliseconds."""
     target = raw_folder(new_folder(spark, "raw"), INCREMENTAL, "shop/public/events")
     land_changes(_event_changes(spark, folder), target, "ts")
-    return spark.read.parquet(target).select("event_id", "user_id", "event_type", "ts", "dt")
+    return spark.read.parquet(target).select("event_id", "user_id", "event_type", "value", "props", "ts", "dt")
 
 
 @query("SELECT * FROM lineitem")
@@ -146,7 +146,7 @@ def schema_drift(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("""
-SELECT c_custkey, c_name, 'shop' AS source_db, 'public' AS schema_name, 'customer' AS table_name,
+SELECT *, 'shop' AS source_db, 'public' AS schema_name, 'customer' AS table_name,
        'shop_public_customer' AS target_table, 'lake' AS target_db, true AS from_parquet
 FROM customer""")
 def provenance_columns(spark: SparkSession, folder: str) -> DataFrame:
@@ -162,8 +162,7 @@ def provenance_columns(spark: SparkSession, folder: str) -> DataFrame:
         target_db="lake",
     )
     return tagged.select(
-        "c_custkey",
-        "c_name",
+        *load(spark, folder, "customer").columns,
         "source_db",
         "schema_name",
         "table_name",
@@ -192,22 +191,28 @@ def table_selection(spark: SparkSession, folder: str) -> DataFrame:
         tagged("lineitem", "public", "order_line", "l_orderkey", F.col("l_linenumber")),
         tagged("customer", "public", "customer", "c_custkey"),
         tagged("orders", "audit", "orders", "o_orderkey"),
+        tagged("part", "public", "orderXbook", "p_partkey"),
     ]
-    chosen = matches(F.col("table_name"), "order%", "public", F.col("schema_name"))
+    chosen = matches(F.col("table_name"), "order_%", "public", F.col("schema_name")) | matches(
+        F.col("table_name"), "orders", "public", F.col("schema_name")
+    )
     return reduce(DataFrame.unionByName, mixed).where(chosen).drop("schema_name")
 
 
 @query(f"""
 WITH {feeds.FEED_SQL}
-SELECT 'full_customer' AS table_name, 5 AS n_columns, count(*) AS n_rows FROM customer
-UNION ALL SELECT 'full_orders', 9, count(*) FROM orders
-UNION ALL SELECT 'incr_orders', 9, count(*) FROM changes WHERE batch = 1""")
+SELECT 'full_shop_public_customer' AS table_name, 5 AS n_columns, count(*) AS n_rows FROM customer
+UNION ALL SELECT 'full_shop_public_orders', 9, count(*) FROM orders
+UNION ALL SELECT 'full_shop_audit_orders', 3, count(*) FROM orders WHERE o_orderstatus = 'F'
+UNION ALL SELECT 'incr_shop_public_orders', 9, count(*) FROM changes WHERE batch = 1""")
 def bronze_discovery(spark: SparkSession, folder: str) -> DataFrame:
     """Tables found below the raw zone and registered: their columns, and their rows through the catalog."""
     root = new_folder(spark, "raw")
     orders = with_envelope(load(spark, folder, "orders"), feeds.STARTED)
     land_full_extract(orders, raw_folder(root, FULL, "shop/public/orders"))
     land_full_extract(load(spark, folder, "customer"), raw_folder(root, FULL, "shop/public/customer"))
+    audited = load(spark, folder, "orders").where("o_orderstatus = 'F'").select("o_orderkey", "o_custkey", "o_totalprice")
+    land_full_extract(audited, raw_folder(root, FULL, "shop/audit/orders"))
     changes = feeds.batch(spark, folder, 1)
     changes.write.parquet(raw_folder(root, INCREMENTAL, "shop/public/orders") + "/20240102")
     changes.select(OP).write.parquet(raw_folder(root, INCREMENTAL, "shop/control_tables/status"))

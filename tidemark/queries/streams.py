@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -126,13 +128,13 @@ def cdc_replay_idempotent(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("""
-SELECT user_id, event_id, event_type, ts, value FROM (
+SELECT * EXCLUDE (nth) FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS nth FROM events)
 WHERE nth = 1""")
 def cdc_out_of_order(spark: SparkSession, folder: str) -> DataFrame:
     """Events that arrive by type instead of by time: the last event of each user is still the latest one."""
     place = new_folder(spark, "disorder")
-    events = load(spark, folder, "events").select("event_id", "event_type", "user_id", "ts", "value")
+    events = load(spark, folder, "events").select("event_id", "event_type", "user_id", "ts", "value", "props")
     spec = TableSpec(name="public.events", keys=("user_id",), ordering="ts")
     feed = _order_feed(place, events.schema, spec=spec, files_per_batch=1)
     kind, named = F.col("event_type"), ["view", "signup", "purchase", "error"]
@@ -188,5 +190,23 @@ def rebuild_equals_live(spark: SparkSession, folder: str) -> DataFrame:
         _land(feeds.batch(spark, folder, number), place, number)
     rebuilt = seed_from_extract(spark, feeds.order_spec(), f"{place}/full", f"{place}/table")
     run_once(spark, [_order_feed(place, full.schema)])
+    # once more in place, with a checkpoint of its own
+    seed_from_extract(spark, feeds.order_spec(), f"{place}/full", f"{place}/table", replace=True)
+    run_once(spark, [replace(_order_feed(place, full.schema), checkpoint=f"{place}/second")])
     both = live.select(*feeds.RESULT).unionByName(rebuilt.snapshot().select(*feeds.RESULT))
     return both.groupBy(*feeds.RESULT).agg(F.count(F.lit(1)).alias("copies"))
+
+
+@query(feeds.LATEST_SQL)
+def cdc_new_checkpoint(spark: SparkSession, folder: str) -> DataFrame:
+    """A table rebuilt in place, and fed with a new checkpoint that numbers its batches from 0 again, loses no change."""
+    place = new_folder(spark, "anew")
+    full = feeds.batch(spark, folder, 0)
+    land_full_extract(full, f"{place}/full")
+    table = seed_from_extract(spark, feeds.order_spec(), f"{place}/full", f"{place}/table")
+    _land(feeds.batch(spark, folder, 1), place, 1)
+    run_once(spark, [_order_feed(place, full.schema)])
+    seed_from_extract(spark, feeds.order_spec(), f"{place}/full", f"{place}/table", replace=True)
+    _land(feeds.batch(spark, folder, 2), place, 2)
+    run_once(spark, [replace(_order_feed(place, full.schema), checkpoint=f"{place}/new_checkpoints")])
+    return table.snapshot().select(*feeds.RESULT)

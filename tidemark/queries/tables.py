@@ -17,9 +17,10 @@ from tidemark.queries.gold import retail_order_lines
 from tidemark.queries.merges import merged_table
 from tidemark.queries.registry import load, query
 from tidemark.sinks.landing import land_full_extract
+from tidemark.spec import TableType
 from tidemark.streaming.upsert import seed_from_extract
 from tidemark.tables.catalog import create_database, lineage, set_lineage, sync_table
-from tidemark.tables.lake_table import COMMIT_TIME, LakeTable
+from tidemark.tables.lake_table import COMMIT_TIME, VERSION, LakeTable
 from tidemark.workspace import new_folder, shared_root
 
 DATABASE = "tidemark_checks"
@@ -65,8 +66,8 @@ def partition_layout(spark: SparkSession, folder: str) -> DataFrame:
     table = LakeTable(spark, place, spec)
     orders = feeds.batch(spark, folder, 0)
     table.seed(orders.withColumn("o_month", F.date_format("o_orderdate", "yyyy-MM")), feeds.SEED)
-    stored = spark.read.parquet(f"{place}/base/v={feeds.SEED}")
-    stored_in = F.regexp_extract("_metadata.file_path", r"/v=[0-9]+/(.*)/[^/]+$", 1)
+    stored = spark.read.parquet(f"{place}/base/{VERSION}={feeds.SEED}")
+    stored_in = F.regexp_extract("_metadata.file_path", rf"/{VERSION}=[0-9]+/(.*)/[^/]+$", 1)
     return stored.select(
         "o_orderkey", partition_path(spec.partition_by).alias("expected"), stored_in.alias("stored_in")
     )
@@ -129,6 +130,20 @@ def max_instant(spark: SparkSession, folder: str) -> DataFrame:
     return reduce(DataFrame.unionByName, named)
 
 
+@query(feeds.LATEST_SQL)
+def catalog_sync_merge_on_read(spark: SparkSession, folder: str) -> DataFrame:
+    """The view of an unpartitioned merge-on-read table shows what its snapshot shows."""
+    place = new_folder(spark, "catalog")
+    table = LakeTable(spark, place, feeds.order_spec(table_type=TableType.MERGE_ON_READ))
+    database, name = _database(spark), _unique(place)
+    table.seed(feeds.batch(spark, folder, 0), feeds.SEED)
+    sync_table(table, database, name)
+    for number in (1, 2):
+        table.upsert(feeds.batch(spark, folder, number))
+        _, view = sync_table(table, database, name)
+    return spark.table(view).select(*feeds.RESULT)
+
+
 @query(feeds.LATEST_SQL)
 def catalog_sync(spark: SparkSession, folder: str) -> DataFrame:
     """The catalog view after a sync per commit: partitions point to their newest folders."""
@@ -148,7 +163,10 @@ def catalog_sync(spark: SparkSession, folder: str) -> DataFrame:
 @query("""
 SELECT 'orders' AS source_table, count(*) AS n_rows FROM orders
 UNION ALL SELECT 'customer', count(*) FROM customer
-UNION ALL SELECT 'lineitem', count(*) FROM lineitem""")
+UNION ALL SELECT 'lineitem', count(*) FROM lineitem
+UNION ALL SELECT 'sales', count(*) FROM (
+  SELECT DISTINCT c_nationkey, CAST(o_orderdate AS DATE)
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN lineitem ON o_orderkey = l_orderkey)""")
 def lineage_properties(spark: SparkSession, folder: str) -> DataFrame:
     """The source tables stored on a derived table, each with its current size."""
     place = new_folder(spark, "lineage")
@@ -160,6 +178,7 @@ def lineage_properties(spark: SparkSession, folder: str) -> DataFrame:
         load(spark, folder, source).agg(F.lit(source).alias("source_table"), F.count(F.lit(1)).alias("n_rows"))
         for source in lineage(spark, name)
     ]
+    counts.append(spark.table(name).agg(F.lit("sales").alias("source_table"), F.count(F.lit(1)).alias("n_rows")))
     return reduce(DataFrame.unionByName, counts)
 
 
@@ -167,7 +186,7 @@ def lineage_properties(spark: SparkSession, folder: str) -> DataFrame:
 def cluster_rewrite(spark: SparkSession, folder: str) -> DataFrame:
     """A table rewritten in ship-date order holds the same rows."""
     table = LakeTable(spark, new_folder(spark, "cluster"), feeds.natural_line_spec())
-    table.seed(load(spark, folder, "lineitem"), feeds.SEED, deduplicate=True)
+    table.seed(load(spark, folder, "lineitem"), feeds.SEED)
     table.cluster(["l_shipdate"], feeds.FIRST)
     return table.snapshot().drop(DELETED)
 

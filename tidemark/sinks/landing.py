@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -63,13 +64,18 @@ def land_change_stream(
     )
 
 
-def _days(spark: SparkSession, folder: str) -> list[str]:
-    return [d for d in storage.children(spark, folder) if d.startswith(f"{DAY_FOLDER}=")]
+def _days(spark: SparkSession, folder: str) -> dict[str, str]:
+    """Day digits of the day folders, ``dt=<day>`` as landed here or the bare day as other feeds land it.
+
+    Folders of undated rows, and any others, are no day folders.
+    """
+    names = {d: d.removeprefix(f"{DAY_FOLDER}=") for d in storage.children(spark, folder)}
+    return {d: digits for d, digits in names.items() if re.fullmatch(r"\d{8}", digits)}
 
 
 def last_day(spark: SparkSession, folder: str) -> date:
     """The newest day that holds change files, from the folder names."""
-    return datetime.strptime(_days(spark, folder)[-1], f"{DAY_FOLDER}={DAY_DIGITS}").date()
+    return datetime.strptime(max(_days(spark, folder).values()), DAY_DIGITS).date()
 
 
 def _oldest_kept(last: date, kept_days: int) -> str:
@@ -77,14 +83,18 @@ def _oldest_kept(last: date, kept_days: int) -> str:
 
 
 def unexpired(rows: DataFrame, last: date, kept_days: int = KEPT_DAYS) -> DataFrame:
-    """Change rows of the days that are still kept: a filter on the day folder, so older folders are not read."""
-    return rows.where(F.col(DAY_FOLDER) >= _oldest_kept(last, kept_days))
+    """Change rows of the days that are still kept: a filter on the day folder, so older folders are not read.
+
+    Undated rows are kept: nothing says that they are old.
+    """
+    day = F.col(DAY_FOLDER)
+    return rows.where(day.isNull() | (day >= _oldest_kept(last, kept_days)))
 
 
 def expire_changes(spark: SparkSession, folder: str, last: date, kept_days: int = KEPT_DAYS) -> list[str]:
     """Delete the day folders that are no longer kept."""
-    oldest = f"{DAY_FOLDER}={_oldest_kept(last, kept_days)}"
-    expired = [d for d in _days(spark, folder) if d < oldest]
+    oldest = _oldest_kept(last, kept_days)
+    expired = sorted(d for d, digits in _days(spark, folder).items() if digits < oldest)
     for day in expired:
         storage.delete(spark, f"{folder}/{day}")
     return expired

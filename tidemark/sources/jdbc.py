@@ -65,21 +65,6 @@ def slice_predicates(column: str, lower: int, upper: int, slices: int) -> list[s
     return [first, *inner, f"{column} >= {edges[-1]}"]
 
 
-def read_slices(
-    spark: SparkSession,
-    table: str,
-    url: str,
-    column: str,
-    bounds: tuple[int, int],
-    slices: int,
-    properties: Mapping[str, str] | None = None,
-) -> DataFrame:
-    """The same extract with explicit conditions, one task and one connection per slice."""
-    settings = {"fetchsize": str(FETCH_SIZE), **(properties or {})}
-    predicates = slice_predicates(column, *bounds, slices)
-    return spark.read.jdbc(url, table, predicates=predicates, properties=settings)
-
-
 def slice_number(column: str, lower: int, upper: int, slices: int) -> Column:
     """Which slice reads a row (from 0): shows before a load whether bounds give even slices."""
     edges = slice_edges(lower, upper, slices)

@@ -56,9 +56,13 @@ def with_provenance(rows: DataFrame, **tags: str) -> DataFrame:
 
 
 def matches(table_name: Column, pattern: str, schema: str | None = None, schema_name: Column | None = None) -> Column:
-    """Selection rule: ``%`` stands for any text; schema and table must both match."""
-    chosen = table_name.like(pattern)
-    return chosen if schema is None else chosen & schema_name.like(schema)
+    """Selection rule: ``%`` stands for any text, all else for itself; schema and table must both match."""
+    chosen = table_name.like(_like(pattern))
+    return chosen if schema is None else chosen & schema_name.like(_like(schema))
+
+
+def _like(pattern: str) -> str:
+    return pattern.replace("\\", "\\\\").replace("_", "\\_")
 
 
 def selects(name: str, pattern: str) -> bool:
@@ -75,9 +79,10 @@ class RawTable:
 
 
 def discover(spark: SparkSession, root: str, zone: str, pattern: str = "%") -> list[RawTable]:
-    """One table per ``<database>/<schema>/<table>`` folder of a zone, its schema from a file footer.
+    """One table per ``<database>/<schema>/<table>`` folder of a zone, its schema from its newest file's footer.
 
-    Only folder names and one footer per table are read; marker files and control tables are skipped.
+    Only folder names and one footer per table are read; marker files and control tables are skipped. Folders
+    without a file are no tables.
     """
     base = f"{root.rstrip('/')}/{zone}"
     found = []
@@ -88,17 +93,34 @@ def discover(spark: SparkSession, root: str, zone: str, pattern: str = "%") -> l
             for table in storage.folders(spark, f"{base}/{database}/{schema}"):
                 if selects(table, pattern):
                     folder = f"{base}/{database}/{schema}/{table}"
-                    columns = read_changes(spark, folder).schema
-                    found.append(RawTable(PREFIXES[zone] + table, folder, zone, columns))
+                    newest = _last_file(spark, folder)
+                    if newest:
+                        name = f"{PREFIXES[zone]}{database}_{schema}_{table}"
+                        found.append(RawTable(name, folder, zone, spark.read.parquet(newest).schema))
     return found
 
 
+def _last_file(spark: SparkSession, folder: str) -> str | None:
+    """A data file below the folder, from the last sub-folder (the newest day) that has one."""
+    names = storage.children(spark, folder)
+    files = [n for n in names if n.endswith(".parquet")]
+    if files and not storage.is_folder(spark, f"{folder}/{files[-1]}"):
+        return f"{folder}/{files[-1]}"
+    for name in reversed(names):
+        if storage.is_folder(spark, f"{folder}/{name}") and (found := _last_file(spark, f"{folder}/{name}")):
+            return found
+    return None
+
+
 def register(spark: SparkSession, table: RawTable, database: str) -> str:
-    """A catalog entry on the raw files, without copying them."""
+    """A catalog entry on the raw files, without copying them. An entry of that name on another folder is an error."""
     name = f"`{database}`.`{table.name}`"
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in table.schema)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
         f"OPTIONS ('recursiveFileLookup' = 'true') LOCATION '{table.folder}'"
     )
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()
+    if storage.plain(spark, described["data_type"]) != storage.plain(spark, table.folder):
+        raise ValueError(f"{name} is registered on {described['data_type']}, not on {table.folder}")
     return name

@@ -14,6 +14,10 @@ from tidemark.functions import envelope
 from tidemark.operators.merge import LATEST_WINS, POLICIES, MergeRule
 
 
+# What a batch whose columns differ from the table's does.
+KEEP, ADD, FAIL = "keep", "add", "fail"
+
+
 class TableType(str, Enum):
     COPY_ON_WRITE = "COPY_ON_WRITE"
     MERGE_ON_READ = "MERGE_ON_READ"
@@ -29,6 +33,9 @@ class TableSpec:
     A merge-on-read table is compacted once ``compact_after`` batches wait to be merged. Files that none of
     the last ``kept_commits`` commits needs are deleted after a commit. A deleted key stays flagged for
     ``deletes_kept_days``, as long as the change feed is kept, so that no late change brings it back.
+
+    A batch that lacks columns of the table leaves their stored values (``missing_columns`` "keep"), and unknown
+    columns are added to the table (``new_columns`` "add"); with "fail" such a batch is refused. Both are logged.
     """
 
     name: str
@@ -42,6 +49,8 @@ class TableSpec:
     compact_after: int = 5
     kept_commits: int = 5
     deletes_kept_days: int | None = 8
+    missing_columns: str = KEEP
+    new_columns: str = ADD
     target_name: str | None = None
     enabled: bool = True
     transformer_sql: str | None = None
@@ -58,6 +67,8 @@ class TableSpec:
             raise ValueError(f"{self.name}: the ordering column {self.ordering} cannot be a key")
         if self.policy not in POLICIES:
             raise ValueError(f"{self.name}: policy must be one of {POLICIES}")
+        if self.missing_columns not in (KEEP, FAIL) or self.new_columns not in (ADD, FAIL):
+            raise ValueError(f"{self.name}: missing_columns is {KEEP} or {FAIL}, new_columns {ADD} or {FAIL}")
 
     @property
     def moves_partitions(self) -> bool:

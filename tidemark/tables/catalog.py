@@ -8,7 +8,7 @@ from itertools import islice
 
 from pyspark.sql import SparkSession
 
-from tidemark.tables.lake_table import BASE, LakeTable
+from tidemark.tables.lake_table import BASE, VERSION, LakeTable
 
 # The table property that lists source tables.
 LINEAGE = "Lineage"
@@ -34,26 +34,33 @@ def create_database(spark: SparkSession, database: str, folder: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{folder}'")
 
 
-def sync_table(table: LakeTable, database: str, name: str) -> tuple[str, str]:
+def sync_table(table: LakeTable, database: str, name: str, compact: bool = True) -> tuple[str, str]:
     """Register the files of the last commit and a view of the live rows; returns (files table, view).
 
-    Only partitions whose folder changed since the last sync are altered. Pending changes of a
-    merge-on-read table show up after its next compaction; ``LakeTable.snapshot`` merges them at once.
+    Only partitions whose folder changed since the last sync are altered, and an entry is never dropped, so
+    readers always find one. The view shows base files: a merge-on-read table is compacted first, so that the view
+    equals ``LakeTable.snapshot``. With ``compact=False`` its pending changes show up after the next compaction.
     """
+    if compact and any(part.pending for part in table.state().parts.values()):
+        table.compact()
     spark, state = table.spark, table.state()
     files, view = f"`{database}`.`{name}_files`", f"`{database}`.`{name}`"
     partition_by = table.spec.partition_by
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in state.struct())
     if not partition_by:
-        spark.sql(f"DROP TABLE IF EXISTS {files}")  # an external table: its files stay
         version = next((p.base for p in state.parts.values() if p.base), state.instant)
-        spark.sql(f"CREATE TABLE {files} ({columns}) USING parquet LOCATION '{table.path}/{BASE}/v={version}'")
+        location = f"LOCATION '{table.path}/{BASE}/{VERSION}={version}'"
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {files} ({columns}) USING parquet {location}")
+        _add_columns(spark, files, state)
+        spark.sql(f"ALTER TABLE {files} SET {location}")
+        spark.catalog.refreshTable(files)
     else:
         by = ", ".join(f"`{c}`" for c in partition_by)
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {files} ({columns}) USING parquet PARTITIONED BY ({by}) "
             f"LOCATION '{table.path}/{BASE}'"
         )
+        _add_columns(spark, files, state)
         _sync_partitions(table, files, state)
     # flagged rows stay in the files, so readers use the view
     spark.sql(
@@ -63,6 +70,13 @@ def sync_table(table: LakeTable, database: str, name: str) -> tuple[str, str]:
     return files, view
 
 
+def _add_columns(spark: SparkSession, files: str, state) -> None:
+    known = set(spark.table(files).columns)
+    new = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in state.struct() if f.name not in known)
+    if new:
+        spark.sql(f"ALTER TABLE {files} ADD COLUMNS ({new})")
+
+
 def _sync_partitions(table: LakeTable, files: str, state) -> None:
     spark = table.spark
     properties = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {files}").collect()}
@@ -80,7 +94,7 @@ def _sync_partitions(table: LakeTable, files: str, state) -> None:
         spark.sql(f"ALTER TABLE {files} DROP IF EXISTS {clauses}")
     for chunk in _chunks(moved, _PER_STATEMENT):
         clauses = " ".join(
-            f"{_partition_clause(spark, n)} LOCATION '{table.path}/{BASE}/v={state.parts[n].base}/{n}'" for n in chunk
+            f"{_partition_clause(spark, n)} LOCATION '{table.path}/{BASE}/{VERSION}={state.parts[n].base}/{n}'" for n in chunk
         )
         spark.sql(f"ALTER TABLE {files} ADD IF NOT EXISTS {clauses}")
     spark.sql(f"ALTER TABLE {files} SET TBLPROPERTIES ('tidemark.commit' = '{state.number}')")

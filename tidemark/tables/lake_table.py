@@ -1,7 +1,7 @@
 """A keyed table on plain parquet: versioned partition folders and a commit log.
 
-    <path>/base/v=<instant>/<partition>/…      rows after the commit, one per key (deleted ones flagged)
-    <path>/changes/v=<instant>/<partition>/…   the batch of a commit, one row per key
+    <path>/base/tidemark_version=<instant>/<partition>/…      rows after the commit, one per key (deleted ones flagged)
+    <path>/changes/tidemark_version=<instant>/<partition>/…   the batch of a commit, one row per key
     <path>/commits/<number>.json               which folders make up the table
 
 New files always go to a new version folder and count only once their commit record exists, so a job that
@@ -10,7 +10,9 @@ dies half way leaves the table as it was. One writer per table: a second one fai
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterable, Sequence
+from dataclasses import replace as dc_replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,12 +36,14 @@ from tidemark.operators.merge import (
     winners,
 )
 from tidemark.operators.precombine import precombine
-from tidemark.operators.schema import conform
-from tidemark.spec import TableSpec, TableType
+from tidemark.operators.schema import ADDED, REMOVED, conform, drift
+from tidemark.spec import FAIL, TableSpec, TableType
 from tidemark.tables import storage
 from tidemark.tables.commits import INSTANT_DIGITS, Commit, CommitLog, Part, days_before, next_instant
 
 COMMIT_TIME = "_commit_time"
+# Spark takes the name of a version folder for a column, so no table may have a column of that name
+VERSION = "tidemark_version"
 BASE, CHANGES = "base", "changes"
 
 
@@ -128,7 +132,7 @@ class LakeTable:
         return [(state.parts[n].base, n) for n in names if state.parts[n].base]
 
     def _folder(self, kind: str, version: str, name: str = "") -> str:
-        return f"{self.path}/{kind}/v={version}/{name}".rstrip("/")
+        return f"{self.path}/{kind}/{VERSION}={version}/{name}".rstrip("/")
 
     def _read(self, state: Commit, kind: str, folders: list[tuple[str, str]], extra: Sequence = ()) -> DataFrame:
         """The listed (version, partition) folders, with the registered schema: no footer is read for it."""
@@ -152,22 +156,29 @@ class LakeTable:
         rows: DataFrame,
         instant: str | None = None,
         replace: bool = False,
-        deduplicate: bool = False,
+        unique_keys: bool = False,
         source: tuple[str, int] | None = None,
         read_up_to: dict[str, str] | None = None,
     ) -> Commit:
-        """Bulk insert into an empty table: no merge, sorted inside tasks. ``replace`` starts anew."""
+        """Bulk insert into an empty table: no merge, sorted inside tasks. ``replace`` starts anew.
+
+        A table holds a key once and never NULL: merges rely on it. NULL keys are refused, and if a key repeats
+        its latest row is taken. Whether one does is found out from the key columns alone, so that an extract with
+        unique keys is written without a shuffle of its rows. ``unique_keys`` says that the rows come from where
+        keys are unique already, such as another keyed table; it saves that step.
+        """
         last = self.log.newest()
         if self._already_applied(last, source):
             return last
         if last and last.parts and not replace:
             raise ValueError(f"{self.path} holds rows; seed it again only with replace=True")
         instant = next_instant(last, instant)
-        rows = self._with_envelope(rows)
-        if deduplicate:
+        rows = self._refuse_null_keys(self._with_envelope(rows))
+        if not unique_keys and self._repeats_a_key(rows):
             rows = precombine(rows, self.spec.keys, self.spec.ordering)
         rows = rows.withColumn(COMMIT_TIME, F.lit(instant))
-        empty = last or Commit(0, "", "", "")
+        # a table that starts anew has read nothing yet, whatever the old one had
+        empty = dc_replace(last, batches={}, read_up_to={}) if last else Commit(0, "", "", "")
         commit = empty.next(
             instant,
             "seed",
@@ -184,7 +195,11 @@ class LakeTable:
         source: tuple[str, int] | None = None,
         read_up_to: dict[str, str] | None = None,
     ) -> Commit:
-        """Merge a batch by key. A batch of ``source`` that was committed before changes nothing."""
+        """Merge a batch by key. A batch of ``source`` that was committed before changes nothing.
+
+        Columns that the batch lacks keep their stored values and unknown ones are added, or either makes the
+        batch fail: see ``TableSpec.missing_columns`` and ``new_columns``.
+        """
         last = self.log.newest()
         if self._already_applied(last, source):
             return last
@@ -195,8 +210,11 @@ class LakeTable:
             last = Commit(0, "", "", _nullable(with_time.schema).json())
         commit = last.next(instant, "upsert", **self._progress(last, source, read_up_to))
 
-        batch = conform(changes, T.StructType([f for f in last.struct() if f.name != COMMIT_TIME]))
+        commit, missing = self._reconciled(commit, changes)
+        batch = conform(changes, T.StructType([f for f in commit.struct() if f.name != COMMIT_TIME]))
         batch = precombine(self._refuse_null_keys(batch), self.spec.keys, self.spec.ordering)
+        if missing and last.parts:
+            batch = self._with_stored(last, batch, missing)
         batch = blank_deleted(batch, self.spec.rule).withColumn(COMMIT_TIME, F.lit(instant))
         broadcast_columns = {*self.spec.keys, self.spec.ordering, *self.spec.partition_by}
         batch, observed = measured(spread_for_write(batch, self.spec.partition_by), broadcast_columns)
@@ -219,7 +237,7 @@ class LakeTable:
             return self._maintain()
 
         touched = homes | set(arrived)
-        stored = self._rows(last, [n for n in touched if n in last.parts])
+        stored = conform(self._rows(last, [n for n in touched if n in last.parts]), commit.struct())
         small = self._is_small(size)
         merged = self._without_old_deletes(merge(stored, staged, self.spec.rule, small), instant)
         # a small batch leaves stored rows in the tasks that read their partition; nothing to spread
@@ -293,7 +311,7 @@ class LakeTable:
         stale = []
         for kind in (BASE, CHANGES):
             for folder in storage.children(self.spark, f"{self.path}/{kind}"):
-                version = folder.removeprefix("v=")
+                version = folder.removeprefix(f"{VERSION}=")
                 if version > commits[-1].instant:
                     continue  # a commit in progress
                 for name in storage.partition_folders(self.spark, f"{self.path}/{kind}/{folder}", depth):
@@ -323,6 +341,8 @@ class LakeTable:
     def _with_envelope(self, rows: DataFrame) -> DataFrame:
         """Rows without a delete flag are live ones; the commit time is always this table's own."""
         missing = [c for c in (*self.spec.keys, *self.spec.partition_by, self.spec.ordering) if c not in rows.columns]
+        if any(c.lower() == VERSION for c in rows.columns):
+            raise ValueError(f"{self.spec.name}: a column may not be called {VERSION}")
         if missing:
             raise ValueError(f"{self.spec.name}: columns {missing} are missing")
         rows = rows.drop(COMMIT_TIME)
@@ -330,6 +350,33 @@ class LakeTable:
             rows = rows.withColumn(self.spec.delete_flag, F.lit(False))
         return rows
 
+    def _repeats_a_key(self, rows: DataFrame) -> bool:
+        counts = rows.groupBy(*self.spec.keys).agg(F.count(F.lit(1)).alias("_rows"))
+        return bool(counts.where("_rows > 1").select("_rows").head(1))
+
+    def _reconciled(self, commit: Commit, changes: DataFrame) -> tuple[Commit, list[str]]:
+        """The commit with columns that are new in this batch, and the stored columns that the batch lacks."""
+        registered = commit.struct()
+        found = [d for d in drift(changes.schema, registered) if d[0] != COMMIT_TIME]
+        missing = [name for name, change, _, _ in found if change == REMOVED]
+        new = [name for name, change, _, _ in found if change == ADDED]
+        if found:
+            logging.getLogger(__name__).warning("%s: the batch differs from the table: %s", self.spec.name, found)
+        if missing and self.spec.missing_columns == FAIL:
+            raise ValueError(f"{self.spec.name}: the batch lacks columns {missing}")
+        if new and self.spec.new_columns == FAIL:
+            raise ValueError(f"{self.spec.name}: the batch has unknown columns {new}")
+        if new:
+            added = [T.StructField(f.name, f.dataType, True) for f in changes.schema if f.name in new]
+            commit = dc_replace(commit, schema=T.StructType([*registered, *added]).json())
+        return commit, missing
+
+    def _with_stored(self, last: Commit, batch: DataFrame, missing: list[str]) -> DataFrame:
+        """The batch with the stored values of columns that it lacks; new keys have NULL there."""
+        keys = list(self.spec.keys)
+        stored = self._rows(last, list(last.parts)).select(*keys, *missing)
+        return batch.drop(*missing).join(stored, keys, "left").select(*batch.columns)
+
     def _refuse_null_keys(self, rows: DataFrame) -> DataFrame:
         def checked(key: str):
             refusal = F.raise_error(F.lit(f"{self.spec.name}: NULL in key column {key}; quarantine such rows"))
@@ -362,7 +409,7 @@ class LakeTable:
         hit = stored.join(batch_keys, keys, "left_semi").select("file_path").distinct()
         # file paths are URI-encoded; "+" stands for itself there
         plain = F.url_decode(F.replace("file_path", F.lit("+"), F.lit("%2B")))
-        name = F.regexp_extract(plain, rf".*/{BASE}/v=[^/]+/(?:(.*)/)?[^/]+$", 1)
+        name = F.regexp_extract(plain, rf".*/{BASE}/{VERSION}=[^/]+/(?:(.*)/)?[^/]+$", 1)
         return {row["name"] for row in hit.select(name.alias("name")).distinct().collect()}
 
     def _write(self, kind: str, rows: DataFrame, instant: str) -> None:

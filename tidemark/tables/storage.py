@@ -24,7 +24,7 @@ def exists(spark: SparkSession, path: str) -> bool:
 def children(spark: SparkSession, path: str) -> list[str]:
     """Names of the visible files and folders right below a path; none if it is missing.
 
-    The listing crosses from the JVM as one text, whatever its length.
+    The listing crosses from the JVM as one text, a path a line, whatever its length.
     """
     files, target = _file_system(spark, path), _path(spark, path)
     if not files.exists(target):
@@ -32,17 +32,24 @@ def children(spark: SparkSession, path: str) -> list[str]:
     entries = files.listStatus(target)
     if not len(entries):
         return []
-    parent = entries[0].getPath().getParent().toString().rstrip("/") + "/"
     paths = spark._jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(entries)
-    text = spark._jvm.scala.runtime.ScalaRunTime.stringOf(paths)
-    names = text.removeprefix("Array(" + parent).removesuffix(")").split(", " + parent)
+    text = spark._jvm.scala.collection.immutable.ArraySeq.unsafeWrapArray(paths).mkString("\n")
+    names = [line.rsplit("/", 1)[-1] for line in text.split("\n")]
     return sorted(n for n in names if not _hidden(n))
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    return _file_system(spark, path).getFileStatus(_path(spark, path)).isDirectory()
+
+
+def plain(spark: SparkSession, path: str) -> str:
+    """The path without scheme and host, as two spellings of one folder share it."""
+    return _path(spark, path).toUri().getPath().rstrip("/")
+
+
 def folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the visible folders right below a path, for short listings."""
-    files = _file_system(spark, path)
-    return [n for n in children(spark, path) if files.getFileStatus(_path(spark, f"{path}/{n}")).isDirectory()]
+    return [n for n in children(spark, path) if is_folder(spark, f"{path}/{n}")]
 
 
 def partition_folders(spark: SparkSession, path: str, depth: int) -> list[str]:
