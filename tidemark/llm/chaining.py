@@ -27,8 +27,9 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.llm.common import coded, in_arrow, keep, matching, mix, ship, slices, whole_groups, without, words
+from tidemark.llm.common import coded, in_arrow, keep, matching, mix, ship, slices, unwrapped, whole_groups, without, words, wrapped
 
 SEED_WORDS, WINDOW = 7, 16
 GAP_COST, MOST_GAP, MOST_SHIFT = 0.1, 60, 30
@@ -341,26 +342,20 @@ def cut_passages(documents: DataFrame, min_words: int = 50, min_identity: float
     passages = keep(repeated_passages(documents, min_words, min_identity), "passages")
     spans = passages.groupBy(key.alias("doc")).agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
     spans = keep(spans, "spans")
-    rows = documents.withColumn("doc", key)
-    names = documents.columns
-    hit = matching(rows, spans.select("doc"), "doc").join(spans, "doc").select(*names, "spans")
-    place = names.index("text")
+    rows = wrapped(documents, key)
+    hit = matching(rows, spans.select("doc"), "doc").join(spans, "doc").select("rest", "text", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             texts = []
-            for text, spans in zip(batch["text"].to_pylist(), batch["spans"].to_pylist()):
-                texts.append(without_words(text or "", [(s["begin"], s["end"]) for s in spans]))
-            columns = [batch.column(i) for i in range(len(names))]
-            columns[place] = pa.array(texts, batch.schema.field(place).type)
-            out = pa.RecordBatch.from_arrays(columns, names=names)
+            for text, found in zip(batch["text"].to_pylist(), batch["spans"].to_pylist()):
+                texts.append(without_words(text or "", [(s["begin"], s["end"]) for s in found]))
+            out = pa.record_batch({"rest": batch["rest"], "text": pa.array(texts, pa.string())})
             yield out.filter(pa.array([bool(_WORD.search(t)) for t in texts], pa.bool_()))
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema.fields)
-    cut = in_arrow(hit, run, schema)
-    if "n_chars" in names:
-        cut = cut.withColumn("n_chars", F.length("text").cast(documents.schema["n_chars"].dataType))
-    return without(rows, spans.select("doc"), "doc").select(*names).unionByName(cut.select(*names))
+    cut = in_arrow(hit, run, T.StructType([rows.schema["rest"], T.StructField("text", T.StringType())]))
+    untouched = without(rows, spans.select("doc"), "doc").select("rest", "text")
+    return unwrapped(untouched.unionByName(cut), documents, recount=True)
 
 
 def without_words(text: str, spans: list[tuple[int, int]]) -> str:

@@ -10,8 +10,9 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark import workspace
 
@@ -45,7 +46,7 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(spark.sparkContext.applicationId)
 
 
-def in_arrow(rows: DataFrame, function: Callable, schema: str) -> DataFrame:
+def in_arrow(rows: DataFrame, function: Callable, schema: str | T.StructType) -> DataFrame:
     """``mapInArrow`` with this package's code at hand on every executor."""
     ship(rows.sparkSession)
     return rows.mapInArrow(function, schema)
@@ -114,6 +115,23 @@ def mix(values: np.ndarray) -> np.ndarray:
     return x
 
 
+def wrapped(documents: DataFrame, key: Column) -> DataFrame:
+    """The text, ``key`` as ``doc``, and all other columns in ``rest``, out of the way of an operator's own names."""
+    others = [F.col(f"`{c}`") for c in documents.columns if c != "text"]
+    return documents.select(key.alias("doc"), F.struct(*others).alias("rest"), "text")
+
+
+def unwrapped(rows: DataFrame, documents: DataFrame, recount: bool = False) -> DataFrame:
+    """The columns of ``documents`` again. With ``recount``, a number in ``n_chars`` follows the text."""
+    columns = []
+    for field in documents.schema:
+        column = F.col("text") if field.name == "text" else F.col(f"rest.`{field.name}`")
+        if recount and field.name == "n_chars" and isinstance(field.dataType, T.IntegralType):
+            column = F.when(F.col("text").isNotNull(), F.length("text")).otherwise(column).cast(field.dataType)
+        columns.append(column.alias(field.name))
+    return rows.select(*columns)
+
+
 def whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.RecordBatch]:
     """Batches of rows sorted by ``key``, cut so that no group of a key is in two of them; groups must be small."""
     held: list[pa.RecordBatch] = []

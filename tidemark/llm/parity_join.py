@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import coded, in_arrow, keep, matching, mix, ship, slices, whole_groups, without, words
+from tidemark.llm.common import coded, in_arrow, keep, matching, mix, ship, slices, unwrapped, whole_groups, without, words, wrapped
 from tidemark.llm.components import components
 
 BLOCK_SETS, BLOCK_SHINGLES = 1024, 2_000_000
@@ -279,10 +279,9 @@ def one_of_each(documents: DataFrame, width: int = 5, share: Fraction = Fraction
     rows = keep(jaccard_classes(documents, width, share), "classes-of-rows")
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID))
     gone = rows.where("n_shingles > 0 and not doc_id <=> component_id").select(doc.alias("doc")).distinct()
-    left = without(documents.withColumn("doc", doc), gone, "doc")
+    left = without(wrapped(documents, doc), gone, "doc")
     # rows that repeat a doc_id are few or none; only these are compared
     again = rows.where("n_shingles > 0 and doc_id <=> component_id").groupBy(doc.alias("doc")).count().where("count > 1").select("doc")
     again = keep(again, "repeated")
-    repeated = matching(left, again, "doc")
-    one = repeated.groupBy("doc", "text").agg(*[F.first(c).alias(c) for c in documents.columns if c != "text"]).select(*documents.columns)
-    return without(left, again, "doc").select(*documents.columns).unionByName(one)
+    one = matching(left, again, "doc").groupBy("doc", "text").agg(F.first("rest").alias("rest"))
+    return unwrapped(without(left, again, "doc").unionByName(one), documents)

@@ -30,6 +30,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.common import coded, in_arrow, keep, matching, ship, slices, whole
 
@@ -310,11 +311,11 @@ def calibrated(model: Model, margin: np.ndarray, toxic: np.ndarray) -> Model:
 
 
 def score(documents: DataFrame, model: Model) -> DataFrame:
-    """The documents with ``score`` (0 to 1) and ``predicted`` (score reaches the threshold)."""
+    """The documents with ``score`` (0 to 1) and ``predicted`` (score reaches the threshold), in place of columns so named."""
     ship(documents.sparkSession)
     held = documents.sparkSession.sparkContext.broadcast(model)
     kept = [f for f in documents.schema.fields if f.name not in ("score", "predicted")]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept) + ", score double, predicted int"
+    schema = T.StructType([*kept, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in slices(batches):
@@ -323,4 +324,4 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
             more = [pa.array(found), pa.array((found >= THRESHOLD).astype(np.int32))]
             yield pa.RecordBatch.from_arrays(columns + more, names=[*rows.schema.names, "score", "predicted"])
 
-    return in_arrow(documents.select(*[f.name for f in kept]), run, schema)
+    return in_arrow(documents.select(*[F.col(f"`{f.name}`") for f in kept]), run, schema)
