@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from tidemark.llm import gru, gru_lm, toxicity
 from tidemark.llm.queries import toxic_training
 
-HELD_OUT = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+def not_learned():
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
 
 
 def held_out(doc_id):
@@ -89,7 +90,7 @@ def test_scores_of_documents(spark):
     texts = [" ".join(draw.choice("ab"[i % 2]) + str(draw.randrange(30)) for _ in range(draw.randrange(20, 80))) for i in range(400)]
     texts += [None, "", (None, "a1 A2"), (7, texts[7])]
     pairs = [t if isinstance(t, tuple) else (i, t) for i, t in enumerate(texts)]
-    rows = gru_lm.lm_scores(documents(spark, texts), HELD_OUT).collect()
+    rows = gru_lm.lm_scores(documents(spark, texts), not_learned()).collect()
     assert len(rows) == len(texts)
     counts = Counter(w for d, t in pairs if not held_out(d) for w in [*words_of(t), None])
     n, v = sum(counts.values()), len(counts)
@@ -108,9 +109,9 @@ def test_rare_words_are_joined_and_empty_tables_scored(spark, monkeypatch):
     joined = {r["doc_id"]: r for r in gru_lm.lm_scores(documents(spark, texts), F.col("doc_id") == 3).collect()}
     assert all(abs(whole[i]["base_score"] - joined[i]["base_score"]) < 1e-9 and whole[i]["n_known"] == joined[i]["n_known"] for i in whole)
     assert joined[3]["n_known"] == 1 and joined[0]["n_known"] == 4
-    assert gru_lm.lm_scores(documents(spark, []), HELD_OUT).count() == 0
+    assert gru_lm.lm_scores(documents(spark, []), not_learned()).count() == 0
     odd = documents(spark, odd_texts())
-    assert gru_lm.lm_scores(odd, HELD_OUT).count() == odd.count()
+    assert gru_lm.lm_scores(odd, not_learned()).count() == odd.count()
 
 
 INSULTS = ["idiot", "worthless", "moron", "scum"]
@@ -181,6 +182,7 @@ def test_the_pipeline_catches_what_is_planted_and_keeps_clean_documents(spark, p
     draw = random.Random(16)
     texts, labels = labelled_texts(draw, 300)
     clean = [prose(draw, 120, 10**6) for _ in range(30)]
+    labels += [(len(texts) + i, 1, 0) for i in range(25)]
     passage = prose(draw, 60, 10**6)
     texts = texts + clean
     near = clean[3].split()

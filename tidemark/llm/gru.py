@@ -22,7 +22,7 @@ def initial(n_symbols: int, n_classes: int, n_full: int, seed: int = 7) -> dict[
         "w": (n_full, HIDDEN, SLOTS),
         "wb": (n_full, SLOTS),
     }
-    scale = {"x": 0.3, "u": 0.25, "c": 0.1, "w": 0.1}
+    scale = {"x": 0.3, "u": 0.25, "c": 0.05, "w": 0.05}
     return {k: (draw.standard_normal(s) * scale.get(k, 0)).astype(np.float32) for k, s in shapes.items()}
 
 

@@ -6,7 +6,7 @@ others in classes by their endings. A class with words of its own has a softmax
 word has its share (c + 1) of the class's counts, and one more for words that training never saw. So probabilities sum
 to one over all known words and an unknown one per class, however large the vocabulary is, while the network stays small.
 
-The network (gru.py) warms up on a bounded sample of training documents. Then every task trains a copy on all of its
+The network (gru.py) starts at the words' frequencies and warms up on a bounded sample of training documents. Then every task trains a copy on all of its
 training documents, cut into streams, by backpropagation through windows of WINDOW steps with the state carried from
 window to window, and the copies are averaged by their tokens. Scoring carries the state through the complete document.
 
@@ -35,6 +35,7 @@ HEAD_CLASSES, ENDINGS = 32, 32
 HEAD = HEAD_CLASSES * gru.SLOTS
 #: streams of a training step, steps of a window, words of a training stream, documents of the warm-up
 STREAMS, WINDOW, STREAM_WORDS, WARM_DOCUMENTS = 512, 16, 256, 1500
+WARM_PASSES, WARM_TOKENS = 8, 400_000
 _END = np.uint64(1)
 _FLUSH = 2_000_000
 
@@ -101,10 +102,23 @@ class Vocabulary:
         np.subtract.at(total, frequent["ending"].to_numpy(np.int64)[heads], counts[heads] + 1.0)
         self.log_total = np.log10(np.maximum(total, 1.0))
         self.n_symbols, self.n_classes = HEAD + ENDINGS, HEAD_CLASSES + ENDINGS
+        # where training starts: every word at its own frequency
+        own = np.zeros(HEAD)
+        own[0] = counts[words_ == _END].sum()
+        own[1 : len(heads) + 1] = counts[heads]
+        self.head_counts = (own + 0.5).reshape(HEAD_CLASSES, gru.SLOTS)
+        self.class_counts = np.concatenate([self.head_counts.sum(1), np.maximum(total, 0.5)])
         symbols = np.arange(self.n_symbols)
         self.class_of = np.where(symbols < HEAD, symbols // gru.SLOTS, HEAD_CLASSES + symbols - HEAD)
         self.slot_of = np.where(symbols < HEAD, symbols % gru.SLOTS, -1)
 
+    def network(self) -> dict[str, np.ndarray]:
+        """A network that has learned nothing but the counts."""
+        p = gru.initial(self.n_symbols, self.n_classes, HEAD_CLASSES)
+        p["cb"] = np.log(self.class_counts / self.class_counts.sum()).astype(np.float32)
+        p["wb"] = np.log(self.head_counts / self.head_counts.sum(1, keepdims=True)).astype(np.float32)
+        return p
+
     def look_up(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Counts (0: not frequent) and head symbols (-1: none) of words."""
         if not len(self.words):
@@ -204,11 +218,15 @@ def train(kept: DataFrame, held) -> dict[str, np.ndarray]:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             vocab = held.value
-            p = {k: v.copy() for k, v in (given.value or gru.initial(vocab.n_symbols, vocab.n_classes, HEAD_CLASSES)).items()}
+            p = {k: v.copy() for k, v in (given.value or vocab.network()).items()}
             tokens = 0
             for rows in batches:
                 if rows.num_rows:
-                    tokens += train_streams(p, *_flat(rows["symbols"]), vocab, rate)
+                    flat, begins = _flat(rows["symbols"])
+                    tokens += train_streams(p, flat, begins, vocab, rate)
+                    # the warm-up goes over a small sample again
+                    for _ in range(0 if given.value else min(WARM_PASSES, WARM_TOKENS // max(1, len(flat)))):
+                        train_streams(p, flat, begins, vocab, rate)
             if tokens:
                 yield pa.record_batch({"part": pa.array([TaskContext.get().partitionId()], pa.int64()), "tokens": pa.array([tokens], pa.int64()), "p": pa.array([pickle.dumps(p)], pa.binary())})
 
@@ -218,7 +236,7 @@ def train(kept: DataFrame, held) -> dict[str, np.ndarray]:
     sample = documents.orderBy(F.xxhash64("row"), "row").limit(WARM_DOCUMENTS).repartition(1)
     warm = in_arrow(sample, copy(None, 0.02), schema).toPandas()
     if not len(warm):
-        return gru.initial(vocab.n_symbols, vocab.n_classes, HEAD_CLASSES)
+        return vocab.network()
     copies = keep(in_arrow(documents, copy(pickle.loads(warm["p"][0]), 0.004), schema), "copies")
 
     def mean(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
