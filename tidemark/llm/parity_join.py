@@ -28,6 +28,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.common import coded, in_arrow, keep, matching, mix, ship, slices, unwrapped, whole_groups, without, words, wrapped
 from tidemark.llm.components import components
@@ -206,6 +207,11 @@ def linked(sets: list[np.ndarray], side: np.ndarray, share: Fraction, bands: Ban
 
 def jaccard_classes(documents: DataFrame, width: int, share: Fraction) -> DataFrame:
     """doc_id, n_shingles and component_id (least doc_id that links reach) of each document."""
+    return _classes(documents, width, share).select("doc_id", "n_shingles", "component_id")
+
+
+def _classes(documents: DataFrame, width: int, share: Fraction) -> DataFrame:
+    """The same with the hash of each document's set."""
     ship(documents.sparkSession)
     documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sets = keep(sets_of(documents, width), "sets")
@@ -226,7 +232,7 @@ def jaccard_classes(documents: DataFrame, width: int, share: Fraction) -> DataFr
     least = found.groupBy("root").agg(F.min("least").alias("component"))
     found = keep(found.join(least, "root").select(*name, "component"), "components")
     rows = sets.join(found, name, "left")
-    return rows.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
+    return rows.select("doc_id", *name, F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
 def _verify(documents: DataFrame, members: DataFrame, width: int, share: Fraction) -> DataFrame:
@@ -275,13 +281,25 @@ def one_of_each(documents: DataFrame, width: int = 5, share: Fraction = Fraction
 
     Documents with an empty set stay.
     """
-    ship(documents.sparkSession)
-    rows = keep(jaccard_classes(documents, width, share), "classes-of-rows")
+    rows = keep(_classes(documents, width, share), "classes-of-rows")
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID))
-    gone = rows.where("n_shingles > 0 and not doc_id <=> component_id").select(doc.alias("doc")).distinct()
-    left = without(wrapped(documents, doc), gone, "doc")
-    # rows that repeat a doc_id are few or none; only these are compared
-    again = rows.where("n_shingles > 0 and doc_id <=> component_id").groupBy(doc.alias("doc")).count().where("count > 1").select("doc")
-    again = keep(again, "repeated")
-    one = matching(left, again, "doc").groupBy("doc", "text").agg(F.first("rest").alias("rest"))
-    return unwrapped(without(left, again, "doc").unionByName(one), documents)
+    rows = rows.withColumn("doc", doc)
+    # a doc_id that names one row says which row goes; of the others, few or none, the sets are looked at again
+    again = keep(rows.groupBy("doc").count().where((F.col("count") > 1) | (F.col("doc") == _NO_ID)).select("doc"), "repeated")
+    gone = rows.where("n_shingles > 0 and not doc_id <=> component_id").select("doc").distinct()
+    all_rows = wrapped(documents, doc)
+    schema = T.StructType([*all_rows.schema, *[T.StructField(c, T.LongType()) for c in ("n_shingles", "h1", "h2")]])
+
+    def with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            sets = shingle_sets(batch["text"], width)
+            names = np.array([(len(s), *set_hash(s)) for s in sets], np.int64).reshape(-1, 3)
+            yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(names[:, i]) for i in range(3)]], names=schema.names)
+
+    repeated = in_arrow(matching(all_rows, again, "doc"), with_sets, schema)
+    empty = repeated.where("n_shingles = 0").select("doc", "rest", "text")
+    stays = rows.where("n_shingles > 0 and doc_id <=> component_id").select("doc", "n_shingles", "h1", "h2").distinct()
+    one = repeated.join(stays, ["doc", "n_shingles", "h1", "h2"]).groupBy("doc", "n_shingles", "h1", "h2")
+    one = one.agg(F.first(F.struct("rest", "text")).alias("kept")).select("doc", "kept.*")
+    plain = without(without(all_rows, again, "doc"), gone, "doc")
+    return unwrapped(plain.unionByName(empty).unionByName(one), documents)
