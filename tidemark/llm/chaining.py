@@ -33,7 +33,7 @@ from tidemark.llm.common import coded, in_arrow, keep, matching, mix, ship, slic
 
 SEED_WORDS, WINDOW = 7, 16
 GAP_COST, MOST_GAP, MOST_SHIFT = 0.1, 60, 30
-MARGIN = 40
+MARGIN = 48
 #: the score that an extension may lose before it ends
 DROP = 8
 _FLUSH = 3_000_000
@@ -204,7 +204,12 @@ def candidate_chains(found: DataFrame) -> DataFrame:
             out = {"doc": [], "ref": [], "pos": [], "ref_pos": []}
             for a, b in zip(starts[ends - starts > 1].tolist(), ends[ends - starts > 1].tolist()):
                 p, r = pos[a:b].tolist(), ref_pos[a:b].tolist()
-                for chain in chains(p, r):
+                whole = chains(p, r)
+                # a lone match of two documents that share a chain elsewhere may be all that is left of a passage
+                # whose other seeds an even earlier document has
+                used = {i for chain in whole for i in range(chain[0], chain[-1] + 1)}
+                lone = [[i] for i in range(b - a) if i not in used] if whole else []
+                for chain in whole + lone:
                     out["doc"].append(int(doc[a]))
                     out["ref"].append(int(ref[a]))
                     out["pos"].append([p[i] for i in chain])
