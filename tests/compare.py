@@ -19,7 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import __spark_entry__ as contract  # noqa: E402
 
-TABLES = "region nation customer supplier part orders lineitem events".split()
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings".split()
 
 
 def connect(folder: str):
@@ -68,7 +68,7 @@ if __name__ == "__main__":
 
     session = make_session()
     tables = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    names = sys.argv[2:] or list(contract.queries())
+    names = sys.argv[2:] or list(contract.oracle_sql())
     duck = connect(tables)
     failed = 0
     for query_name in names:
