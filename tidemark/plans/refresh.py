@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -51,3 +52,45 @@ def refresh(
     with staged(fact.incremental(begin), "changed") as (changed, size):
         small = size * _GROWTH <= broadcast_limit(target.spark)
         return target.upsert(update(changed, small), instant, read_up_to=marker)
+
+
+def refresh_any(
+    target: LakeTable,
+    fact: LakeTable,
+    build: Callable[[DataFrame], DataFrame],
+    update: Callable[[DataFrame, bool], DataFrame],
+    linked: Mapping[str, str],
+    others: Mapping[LakeTable, Callable[[DataFrame, DataFrame], DataFrame]],
+    instant: str | None = None,
+) -> Commit:
+    """Like ``refresh``, and also after deletes in the fact and after changes of other sources.
+
+    ``linked`` names the target column of each key column of the fact. ``others`` has, for each other source, the
+    function that picks from the fact's rows those that its changed rows touch (given changed rows, deleted ones
+    included, and fact rows). The derived rows of every touched fact row are made anew, and those that
+    they were before and are no longer are deleted: rows of deleted lines, rows whose key changed, rows that
+    lost what they refer to. Rows that could not be joined before appear when their source does.
+    """
+    markers = {table.spec.name: table.state().instant for table in (fact, *others)}
+    if not target.exists():
+        return target.seed(build(fact.snapshot()), instant, unique_keys=True, read_up_to=markers)
+    last = target.state()
+    keys = list(fact.spec.keys)
+    touched = []
+    for table in (fact, *others):
+        begin = last.read_up_to.get(table.spec.name, "")
+        if begin < markers[table.spec.name]:
+            changed = table.incremental(begin, include_deletes=True)
+            touched.append((changed if table is fact else others[table](changed, fact.snapshot())).select(*keys))
+    if not touched:
+        return last
+    with staged(reduce(DataFrame.unionByName, touched).distinct(), "touched") as (touched_keys, _):
+        rows = fact.snapshot().join(touched_keys, keys, "left_semi")
+        with staged(update(rows, False), "renewed") as (renewed, _):
+            in_target = touched_keys.select(*[F.col(k).alias(linked[k]) for k in keys])
+            old = target.snapshot().drop(COMMIT_TIME, target.spec.delete_flag)
+            gone = old.join(in_target, [linked[k] for k in keys], "left_semi")
+            gone = gone.join(renewed, list(target.spec.keys), "left_anti").select(*renewed.columns)
+            flag = target.spec.delete_flag
+            changes = renewed.withColumn(flag, F.lit(False)).unionByName(gone.withColumn(flag, F.lit(True)))
+            return target.upsert(changes, instant, read_up_to=markers)

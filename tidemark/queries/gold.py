@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.envelope import DELETED, full_load_envelope
 from tidemark.plans.order_line import (
     RETAIL_LAYOUT,
     WAREHOUSE_LAYOUT,
@@ -14,7 +17,7 @@ from tidemark.plans.order_line import (
     ordered,
     table_spec,
 )
-from tidemark.plans.refresh import refresh
+from tidemark.plans.refresh import refresh, refresh_any
 from tidemark.plans.sales import sales_by_district_and_day
 from tidemark.queries import feeds
 from tidemark.queries.registry import load, query
@@ -183,6 +186,61 @@ def denorm_incremental_refresh(spark: SparkSession, folder: str) -> DataFrame:
     return _day_as_text(target.snapshot().drop(target.spec.delete_flag, COMMIT_TIME))
 
 
+_CHANGED_ORDERS_SQL = """
+changed_orders AS (
+  SELECT * REPLACE (CASE WHEN o_orderstatus = 'P' THEN 1 + o_custkey % 10 ELSE o_custkey END AS o_custkey)
+  FROM orders WHERE o_orderpriority <> '2-HIGH')"""
+
+
+@query(
+    f"WITH {feeds.NATURAL_LINES_SQL}, kept AS (SELECT * FROM lines WHERE l_returnflag <> 'R'), {_CHANGED_ORDERS_SQL}"
+    + _denorm_sql("kept", "'2024-01-01'").replace("FROM orders", "FROM changed_orders")
+)
+def denorm_refresh_any(spark: SparkSession, folder: str) -> DataFrame:
+    """Refreshed after deleted lines, late orders, orders of another customer and deleted orders."""
+    place = new_folder(spark, "refresh")
+    lines, orders = load(spark, folder, "lineitem"), load(spark, folder, "orders")
+    fact = LakeTable(spark, f"{place}/lineitem", feeds.natural_line_spec())
+    source = LakeTable(spark, f"{place}/orders", feeds.order_spec())
+    target = LakeTable(spark, f"{place}/order_line_dn", table_spec(partition_by=("district_name",)))
+
+    def sources(rows: DataFrame) -> Sources:
+        return replace(_retail_sources(spark, folder, rows), orders=source.snapshot().select(*orders.columns))
+
+    def touched(changed: DataFrame, fact_rows: DataFrame) -> DataFrame:
+        return fact_rows.join(changed.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
+
+    def run(instant: str) -> None:
+        refresh_any(
+            target,
+            fact,
+            lambda rows: denormalize(sources(rows), RETAIL_LAYOUT),
+            lambda rows, small: denormalize_changes(sources(rows), RETAIL_LAYOUT, small),
+            {"l_orderkey": "o_id", "l_linenumber": "ol_number"},
+            {source: touched},
+            instant,
+        )
+
+    fact.seed(lines, feeds.SEED)
+    late = F.col("o_orderpriority") == "5-LOW"
+    source.seed(full_load_envelope(orders.where(~late), feeds.STARTED), feeds.SEED)
+    run(feeds.SEED)
+    returned = fact.snapshot().where("l_returnflag = 'R'").drop(COMMIT_TIME)
+    fact.upsert(returned.withColumn(DELETED, F.lit(True)), feeds.FIRST)
+    source.upsert(full_load_envelope(orders.where(late), feeds.STARTED), feeds.FIRST)
+    run(feeds.FIRST)
+    moved = orders.where("o_orderstatus = 'P'").withColumn("o_custkey", 1 + F.col("o_custkey") % 10)
+    gone = orders.where("o_orderpriority = '2-HIGH' AND o_orderstatus <> 'P'")
+    gone = gone.unionByName(moved.where("o_orderpriority = '2-HIGH'"))
+    moved = moved.where("o_orderpriority <> '2-HIGH'")
+    changes = full_load_envelope(moved, feeds.STARTED).unionByName(
+        full_load_envelope(gone, feeds.STARTED).withColumn(DELETED, F.lit(True))
+    )
+    source.upsert(changes, feeds.SECOND)
+    run(feeds.SECOND)
+    return _day_as_text(target.snapshot().drop(target.spec.delete_flag, COMMIT_TIME))
+
+
 @query("""
 SELECT n_name AS district_name, strftime(o_orderdate, '%Y/%m/%d') AS order_date, count(*) AS n_lines,
        CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS sum_quantity,
