@@ -104,6 +104,7 @@ def test_sketches_bound_the_difference_of_sets():
         b = np.unique(np.concatenate([a[draw.rand(len(a)) < 0.9], draw.randint(0, 10**9, 5).astype(np.uint64)]))
         apart = np.bitwise_count(parity_join.parity(a, 8, 1) ^ parity_join.parity(b, 8, 1)).sum()
         assert apart <= len(np.setxor1d(a, b))
+        assert (parity_join.folded(a, 40, 1)[0] != parity_join.folded(b, 40, 1)[0]).sum() <= len(np.setxor1d(a, b))
         both = len(np.intersect1d(a, b))
         if both >= 0.8 * len(np.union1d(a, b)):
             shared = np.intersect1d(parity_join.join_keys(a, bands), parity_join.join_keys(b, bands))

@@ -3,10 +3,14 @@
 A document's set holds its distinct shingles (``width`` words in a row; fewer words are one shingle). Two sets that
 share ``share`` of their union differ in at most (a + c) * (1 - share) / (1 + share) shingles, a and c their sizes.
 
-* Sketch: every shingle flips one bit. The bits in which two sketches differ are at most the shingles in which the
-  sets differ, so a sketch of one 64-bit word more than that bound has a word that is equal in both (pigeonhole).
+* Sketch: every shingle flips bits in one word of a sketch (the XOR of the hashes of a word's shingles), and a bit in a
+  plain bit sketch. The words, or bits, in which two sketches differ are at most the shingles in which the sets differ.
+  So if one of two linked sets has more words of two shingles or more than linked sets can differ in, one of these
+  words is equal in both (pigeonhole). Words of one shingle, which texts with a common phrase share, and empty words join
+  nothing. Sets with too few such words for the argument, mostly short ones, also join by a sketch all of whose full
+  words count; and the very few with too few of these share a word of their own.
 * Bands: sizes fall into bands so that linked sets are in one band or in two next to each other. A set has a sketch
-  for its own band and one for the band below; both are cut into words for the largest difference of their band.
+  for its own band and one for the band below; both have words enough for the largest difference of their band.
 * Equal words join: the documents of a word are linked to its first one, which takes as many links as documents.
   What these links connect is a cluster of candidates, a superset of linked classes.
 * Verification: inside a cluster all sets are compared, in blocks of bounded bytes when it is large: sizes first, then
@@ -76,6 +80,11 @@ class Bands:
     def __init__(self, share: Fraction):
         self.share = share
         self.edges = [1]
+        # words with two shingles or more, per shingle, when words have this many on average
+        pairs = lambda load: (1 - np.exp(-load) * (1 + load)) / load
+        loads = np.linspace(1.8, 40, 2000)
+        enough = loads[pairs(loads) >= 1.06 * float((1 - share) / share)]
+        self.load = float(enough[-1]) if len(enough) else 1.8
 
     def difference(self, a: int, c: int) -> int:
         """The most shingles in which linked sets of these sizes differ."""
@@ -86,13 +95,17 @@ class Bands:
             self.edges.append(int(self.edges[-1] / self.share) + 1)
         return int(np.searchsorted(self.edges, size, side="right")) - 1
 
-    def words(self, band: int) -> int:
-        """For two sets of the band, or one of it and one of the next; none if such sets must be equal."""
+    def words(self, band: int) -> tuple[int, int]:
+        """Words of the first and of the second sketch for two sets of the band, or one of it and one of the next.
+
+        (0, 0): such sets are equal. In the first a word has as many shingles as leave 6 % more words of two
+        shingles than linked sets differ in; in the second, words are a little more than the sets differ in.
+        """
         while len(self.edges) < band + 2:
             self.of(self.edges[-1])
         top = self.edges[band + 1] - 1
         most = self.difference(top, int(top / self.share))
-        return most + 1 if most else 0
+        return (int(top / self.load) + 1, int(1.06 * (most + 1)) + 6) if most else (0, 0)
 
 
 def parity(shingles: np.ndarray, n_words: int, salt: int) -> np.ndarray:
@@ -104,14 +117,36 @@ def parity(shingles: np.ndarray, n_words: int, salt: int) -> np.ndarray:
     return sketch
 
 
+def folded(shingles: np.ndarray, n_words: int, salt: int) -> tuple[np.ndarray, np.ndarray]:
+    """A sketch of ``n_words`` words, each the XOR of the hashes of its shingles, and how many shingles a word has."""
+    hashes = mix(shingles ^ mix(np.array([salt], np.int64).view(np.uint64)))
+    word = (hashes % np.uint64(n_words)).astype(np.int64)
+    sketch = np.zeros(n_words, np.uint64)
+    np.bitwise_xor.at(sketch, word, mix(hashes ^ _FACTORS[-2]))
+    return sketch, np.bincount(word, minlength=n_words)
+
+
 def join_keys(shingles: np.ndarray, bands: Bands) -> np.ndarray:
     """The words of a set's sketches, each with its band and place, as 64-bit keys."""
     band, out = bands.of(len(shingles)), []
     for at in (band - 1, band):
-        n_words = bands.words(at) if at >= 0 else 0
-        if n_words:
-            place = mix(np.arange(n_words, dtype=np.uint64) + np.uint64((at + 1) << 32))
-            out.append(mix(parity(shingles, n_words, at) ^ place))
+        first, second = bands.words(at) if at >= 0 else (0, 0)
+        if not first:
+            continue
+        # the set is the smaller one of a pair, or in the upper band the larger one
+        n = len(shingles)
+        most = bands.difference(n, int(n / bands.share) if at == band else n)
+        place = mix(np.arange(max(first, second) + 1, dtype=np.uint64) + np.uint64((2 * at + 1) << 32))
+        sketch, count = folded(shingles, first, at)
+        full = np.flatnonzero(count > 1)
+        out.append(mix(sketch[full] ^ place[full]))
+        if len(full) <= most:
+            place = mix(place)
+            sketch, count = folded(shingles, second, -1 - at)
+            full = np.flatnonzero(count)
+            out.append(mix(sketch[full] ^ place[full]))
+            if len(full) <= most:
+                out.append(place[-1:])
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
