@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 import tempfile
 import zipfile
@@ -16,7 +18,7 @@ from pyspark.sql import types as T
 
 from tidemark import workspace
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 _SHIPPED: set[str] = set()
 
 
@@ -47,9 +49,21 @@ def ship(spark: SparkSession) -> None:
 
 
 def in_arrow(rows: DataFrame, function: Callable, schema: str | T.StructType) -> DataFrame:
-    """``mapInArrow`` with this package's code at hand on every executor."""
+    """``mapInArrow`` with this package's code at hand on every executor; a task gives back its memory at its end."""
     ship(rows.sparkSession)
-    return rows.mapInArrow(function, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(batches)
+        give_back()
+
+    return rows.mapInArrow(run, schema)
+
+
+def give_back() -> None:
+    """Freed memory to the system: a worker lives on between tasks, and what it keeps others lack."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
