@@ -184,6 +184,37 @@ def test_chains_keep_both_orders_and_take_the_best():
         assert bool(found) == (max(best) > 7)
 
 
+def _best_scores(points):
+    """Score of the best chain that ends in each match, over all predecessors that MOST_GAP and MOST_SHIFT admit."""
+    best = []
+    for i, (p, r) in enumerate(points):
+        best.append(float(chaining.SEED_WORDS))
+        for j in range(i):
+            gap, ref_gap = p - points[j][0], r - points[j][1]
+            if 0 < gap <= chaining.MOST_GAP and 0 < ref_gap <= chaining.MOST_GAP and abs(gap - ref_gap) <= chaining.MOST_SHIFT:
+                best[i] = max(best[i], best[j] + chaining.SEED_WORDS - chaining.GAP_COST * (gap + ref_gap))
+    return best
+
+
+def test_chains_behind_a_long_one_are_found():
+    pos = [*range(0, 201, 10), 400, 410, 420]
+    assert chaining.chains(pos, pos) == [list(range(21)), [21, 22, 23]]
+    draw = random.Random(31)
+    for _ in range(300):  # the score of the best chain, with far and near predecessors
+        at, points = 0, set()
+        for _ in range(draw.randrange(2, 40)):
+            at += draw.choice([1, 5, 8, 10, 10, 40, 90, 200])
+            points.add((at, max(0, at + draw.choice([0, 0, 0, 3, -20, 40]))))
+        points = sorted(points)
+        found = chaining.chains([p for p, _ in points], [r for _, r in points])
+        best = max(_best_scores(points))
+        assert bool(found) == (best > chaining.SEED_WORDS)
+        if found:
+            steps = [(points[a], points[b]) for a, b in zip(found[0], found[0][1:])]
+            score = chaining.SEED_WORDS + sum(chaining.SEED_WORDS - chaining.GAP_COST * (q[0] - p[0] + q[1] - p[1]) for p, q in steps)
+            assert score == pytest.approx(best)
+
+
 def test_shards_are_even_whole_and_numbered(spark):
     draw = random.Random(12)
     texts = [prose(draw, draw.randrange(1, 60)) for _ in range(600)] + ["the same text " * 4] * 40

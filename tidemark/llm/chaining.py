@@ -8,7 +8,7 @@
   sends a row per task.
 * Chains: the matches of two documents are chained in ascending order of both positions. A chain gains SEED_WORDS per
   match and pays GAP_COST per word between matches in either document, so the best predecessor is a maximum over
-  earlier positions, kept in a Fenwick tree.
+  earlier positions, kept in a Fenwick tree. Where that one is too far away, those within MOST_GAP are compared.
 * Alignment: words are compared along a chain, the gaps between its diagonals are aligned, and its ends are extended as
   long as words agree. What has ``min_words`` words and ``min_identity`` of them equal is a repeated passage.
 
@@ -159,6 +159,11 @@ class Fenwick:
         return found
 
 
+def _may_follow(pos: list[int], ref_pos: list[int], j: int, i: int) -> bool:
+    gap, ref_gap = pos[i] - pos[j], ref_pos[i] - ref_pos[j]
+    return 0 < gap <= MOST_GAP and 0 < ref_gap <= MOST_GAP and abs(gap - ref_gap) <= MOST_SHIFT
+
+
 def chains(pos: list[int], ref_pos: list[int]) -> list[list[int]]:
     """Chains of two or more matches, best first; every match is in one at most. Matches are sorted by pos."""
     n = len(pos)
@@ -172,9 +177,13 @@ def chains(pos: list[int], ref_pos: list[int]) -> list[list[int]]:
             value, j = tree.upto(bisect.bisect_left(levels, ref_pos[end]))
             gain = value - GAP_COST * (pos[end] + ref_pos[end]) + SEED_WORDS
             if j >= 0 and gain > score[end]:
-                near = pos[end] - pos[j] <= MOST_GAP and ref_pos[end] - ref_pos[j] <= MOST_GAP
-                if near and abs((pos[end] - pos[j]) - (ref_pos[end] - ref_pos[j])) <= MOST_SHIFT:
+                if _may_follow(pos, ref_pos, j, end):
                     score[end], before[end] = gain, j
+                else:  # the best of all is too far; the best of those near enough
+                    for j in range(i - 1, bisect.bisect_left(pos, pos[end] - MOST_GAP) - 1, -1):
+                        gain = score[j] - GAP_COST * (pos[end] - pos[j] + ref_pos[end] - ref_pos[j]) + SEED_WORDS
+                        if gain > score[end] and _may_follow(pos, ref_pos, j, end):
+                            score[end], before[end] = gain, j
             end += 1
         for k in range(i, end):
             tree.put(bisect.bisect_left(levels, ref_pos[k]), score[k] + GAP_COST * (pos[k] + ref_pos[k]), k)
