@@ -163,6 +163,24 @@ def test_odd_rows_have_no_passages_but_copies(spark):
     assert chaining.cut_passages(documents(spark, [])).count() == 0
 
 
+def test_texts_that_share_a_doc_id_are_documents_of_their_own(spark):
+    draw = random.Random(32)
+    passage = prose(draw, 80, 10**6)
+    plain = [prose(draw, 120, 10**6) for _ in range(8)]
+    texts = [plain[0] + " " + passage, (7, plain[1]), (7, passage + " " + plain[2]), (7, plain[3])]
+    texts += [(None, plain[4]), (None, plain[5] + " " + plain[4]), (None, plain[6]), (9, plain[6] + " " + plain[7]), (7, plain[3])]
+    rows = documents(spark, texts)
+    found = {(r["doc_id"], r["begin"], r["end"], r["ref_id"]) for r in chaining.repeated_passages(rows).collect()}
+    assert (7, 0, 80, 0) in found or (7, 0, 80, None) in found
+    assert (9, 0, 120, None) in found
+    assert {(r, e - b) for d, b, e, r in found if d is None} == {(None, 120)}  # one text without an id has that of another
+    assert len(found) == 3
+    left = [(r["doc_id"], r["text"]) for r in chaining.cut_passages(rows).collect()]
+    assert left.count((7, plain[1])) == 1 and left.count((7, plain[2])) == 1 and left.count((7, plain[3])) == 2
+    assert (9, plain[7]) in left and (None, plain[6]) in left
+    assert sum(plain[4] in (t or "") for _, t in left) == 1
+
+
 def test_chains_keep_both_orders_and_take_the_best():
     assert chaining.chains([0, 10, 20, 30], [100, 110, 120, 130]) == [[0, 1, 2, 3]]
     assert chaining.chains([0, 10, 20], [50, 20, 70]) == [[0, 2]]

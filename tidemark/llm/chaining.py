@@ -12,8 +12,9 @@
 * Alignment: words are compared along a chain, the gaps between its diagonals are aligned, and its ends are extended as
   long as words agree. What has ``min_words`` words and ``min_identity`` of them equal is a repeated passage.
 
-A passage stays in the document with the smallest doc_id. Null texts and texts shorter than ``min_words`` have none;
-rows with one doc_id (or without any) count as one document, which is not compared with itself.
+A passage stays in the document with the smallest doc_id. Null texts and texts shorter than ``min_words`` have none.
+A document is its doc_id and text (``row``, a hash of both): rows that share a doc_id, or have none, are documents of
+their own unless their texts are equal, and come in the order of their hashes. No document is compared with itself.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,57 +70,70 @@ def seeds(hashes: np.ndarray, begins: np.ndarray, min_words: int) -> tuple[np.nd
     return rows[place], of[place], place - begins[of[place]]
 
 
-def matches(seed: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of occurrences sorted by seed, doc and pos: (doc, pos, ref, ref_pos) rows, and which occurrences are of first documents."""
+def matches(seed: np.ndarray, doc: np.ndarray, row: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of occurrences sorted by seed, doc, row and pos: (row, pos, ref, ref_pos) rows, and which are of first documents."""
     n = len(seed)
     new_seed = np.append(True, seed[1:] != seed[:-1])
-    new_doc = new_seed | np.append(True, doc[1:] != doc[:-1])
+    new_row = new_seed | np.append(True, (doc[1:] != doc[:-1]) | (row[1:] != row[:-1]))
     head = np.maximum.accumulate(np.where(new_seed, np.arange(n), 0))
-    mine = np.maximum.accumulate(np.where(new_doc, np.arange(n), 0))
-    starts = np.flatnonzero(new_doc)
+    mine = np.maximum.accumulate(np.where(new_row, np.arange(n), 0))
+    starts = np.flatnonzero(new_row)
     before = starts[np.maximum(np.searchsorted(starts, mine) - 1, 0)]
-    later = doc != doc[head]
+    later = mine != head
     rows = np.flatnonzero(later)
-    found = np.stack([doc[rows], pos[rows], doc[head[rows]], pos[head[rows]]], axis=1)
+    found = np.stack([row[rows], pos[rows], row[head[rows]], pos[head[rows]]], axis=1)
     more = rows[before[rows] != head[rows]]
-    found = np.concatenate([found, np.stack([doc[more], pos[more], doc[before[more]], pos[before[more]]], axis=1)])
+    found = np.concatenate([found, np.stack([row[more], pos[more], row[before[more]], pos[before[more]]], axis=1)])
     return found, ~later
 
 
-_MATCH = "doc long, pos int, ref long, ref_pos int"
+_MATCH = "row long, pos int, ref long, ref_pos int"
 
 
-def _match_batch(found: np.ndarray, seed=None) -> pa.RecordBatch:
+def _match_batch(found: np.ndarray) -> pa.RecordBatch:
     types = (pa.int64(), pa.int32(), pa.int64(), pa.int32())
-    columns = {c: pa.array(found[:, i]).cast(t) for i, (c, t) in enumerate(zip(("doc", "pos", "ref", "ref_pos"), types))}
-    return pa.record_batch(columns if seed is None else {"seed": seed, **columns})
+    return pa.record_batch({c: pa.array(found[:, i]).cast(t) for i, (c, t) in enumerate(zip(("row", "pos", "ref", "ref_pos"), types))})
+
+
+def _doc() -> Column:
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID))
+
+
+def _row() -> Column:
+    return F.xxhash64(_doc(), "text")
+
+
+def identified(documents: DataFrame) -> DataFrame:
+    """doc (doc_id as a number, the least for none), row (hash of doc and text) and text."""
+    return documents.select(_doc().alias("doc"), _row().alias("row"), "text")
 
 
 def seed_matches(documents: DataFrame, min_words: int) -> DataFrame:
-    """(doc, pos, ref, ref_pos): a seed of doc is found in ref, an earlier document."""
+    """(row, pos, ref, ref_pos): a seed of row is found in ref, the row of an earlier document."""
 
     def inside_tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
 
         def ready() -> Iterator[pa.RecordBatch]:
-            seed, doc, pos = (np.concatenate(x) for x in zip(*held))
+            seed, doc, row, pos = (np.concatenate(x) for x in zip(*held))
             held.clear()
-            order = np.lexsort((pos, doc, seed))
-            seed, doc, pos = seed[order], doc[order], pos[order]
-            found, first = matches(seed, doc, pos)
+            order = np.lexsort((pos, row, doc, seed))
+            seed, doc, row, pos = seed[order], doc[order], row[order], pos[order]
+            found, first = matches(seed, doc, row, pos)
             kept = np.flatnonzero(first)
             for a in range(0, len(kept), 200_000):
                 at = kept[a : a + 200_000]
-                rows = np.stack([doc[at], pos[at], doc[at], pos[at]], axis=1)
-                yield _match_batch(rows, pa.array(seed[at]))
+                none = pa.nulls(len(at), pa.int64()), pa.nulls(len(at), pa.int32())
+                yield pa.record_batch([pa.array(seed[at]), pa.array(doc[at]), pa.array(row[at]), pa.array(pos[at]).cast(pa.int32()), *none], names)
             for a in range(0, len(found), 200_000):
-                yield _match_batch(found[a : a + 200_000], pa.nulls(len(found[a : a + 200_000]), pa.int64()))
+                batch = _match_batch(found[a : a + 200_000])
+                yield pa.record_batch([pa.nulls(batch.num_rows, pa.int64())] * 2 + batch.columns, names)
 
         for rows in slices(batches):
             hashes, begins = word_hashes(rows["text"])
             seed, of, pos = seeds(hashes, begins, min_words)
-            doc = rows["doc"].to_numpy(zero_copy_only=False)
-            held.append((seed.view(np.int64), doc[of], pos))
+            doc, row = (rows[c].to_numpy(zero_copy_only=False)[of] for c in ("doc", "row"))
+            held.append((seed.view(np.int64), doc, row, pos))
             if sum(len(h[0]) for h in held) > _FLUSH:
                 yield from ready()
         if held and any(len(h[0]) for h in held):
@@ -127,14 +141,16 @@ def seed_matches(documents: DataFrame, min_words: int) -> DataFrame:
 
     def between_tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in whole_groups(batches, "seed"):
-            found, _ = matches(rows["seed"].to_numpy(), rows["doc"].to_numpy(), rows["pos"].to_numpy().astype(np.int64))
+            found, _ = matches(*(rows[c].to_numpy() for c in ("seed", "doc", "row")), rows["pos"].to_numpy().astype(np.int64))
             if len(found):
                 yield _match_batch(found)
 
-    rows = keep(in_arrow(documents.select("doc", "text"), inside_tasks, "seed long, " + _MATCH), "seeds")
+    names = ["seed", "doc", "row", "pos", "ref", "ref_pos"]
+    rows = keep(in_arrow(documents.select("doc", "row", "text"), inside_tasks, "seed long, doc long, " + _MATCH), "seeds")
     parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    firsts = rows.where("seed is not null").select("seed", "doc", "pos").repartition(parts, "seed").sortWithinPartitions("seed", "doc", "pos")
-    return in_arrow(firsts, between_tasks, _MATCH).union(rows.where("seed is null").select("doc", "pos", "ref", "ref_pos"))
+    firsts = rows.where("seed is not null").select("seed", "doc", "row", "pos").repartition(parts, "seed")
+    firsts = firsts.sortWithinPartitions("seed", "doc", "row", "pos")
+    return in_arrow(firsts, between_tasks, _MATCH).union(rows.where("seed is null").select("row", "pos", "ref", "ref_pos"))
 
 
 class Fenwick:
@@ -201,16 +217,16 @@ def chains(pos: list[int], ref_pos: list[int]) -> list[list[int]]:
 
 
 def candidate_chains(found: DataFrame) -> DataFrame:
-    """doc, ref and the matches (pos, ref_pos: arrays) of each chain between two documents."""
+    """row, ref and the matches (pos, ref_pos: arrays) of each chain between two documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in whole_groups(batches, "pair"):
-            doc, ref, pair = rows["doc"].to_numpy(), rows["ref"].to_numpy(), rows["pair"].to_numpy()
+            row, ref, pair = rows["row"].to_numpy(), rows["ref"].to_numpy(), rows["pair"].to_numpy()
             pos, ref_pos = rows["pos"].to_numpy(), rows["ref_pos"].to_numpy()
-            new = (pair[1:] != pair[:-1]) | (doc[1:] != doc[:-1]) | (ref[1:] != ref[:-1])
+            new = (pair[1:] != pair[:-1]) | (row[1:] != row[:-1]) | (ref[1:] != ref[:-1])
             starts = np.flatnonzero(np.append(True, new))
-            ends = np.append(starts[1:], len(doc))
-            out = {"doc": [], "ref": [], "pos": [], "ref_pos": []}
+            ends = np.append(starts[1:], len(row))
+            out = {"row": [], "ref": [], "pos": [], "ref_pos": []}
             for a, b in zip(starts[ends - starts > 1].tolist(), ends[ends - starts > 1].tolist()):
                 p, r = pos[a:b].tolist(), ref_pos[a:b].tolist()
                 whole = chains(p, r)
@@ -219,17 +235,17 @@ def candidate_chains(found: DataFrame) -> DataFrame:
                 used = {i for chain in whole for i in range(chain[0], chain[-1] + 1)}
                 lone = [[i] for i in range(b - a) if i not in used] if whole else []
                 for chain in whole + lone:
-                    out["doc"].append(int(doc[a]))
+                    out["row"].append(int(row[a]))
                     out["ref"].append(int(ref[a]))
                     out["pos"].append([p[i] for i in chain])
                     out["ref_pos"].append([r[i] for i in chain])
-            types = {"doc": pa.int64(), "ref": pa.int64(), "pos": pa.list_(pa.int32()), "ref_pos": pa.list_(pa.int32())}
+            types = {"row": pa.int64(), "ref": pa.int64(), "pos": pa.list_(pa.int32()), "ref_pos": pa.list_(pa.int32())}
             yield pa.record_batch({c: pa.array(v, types[c]) for c, v in out.items()})
 
     parts = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pairs = found.withColumn("pair", F.xxhash64("doc", "ref")).repartition(parts, "pair")
-    order = pairs.sortWithinPartitions("pair", "doc", "ref", "pos", "ref_pos")
-    return in_arrow(order, run, "doc long, ref long, pos array<int>, ref_pos array<int>")
+    pairs = found.withColumn("pair", F.xxhash64("row", "ref")).repartition(parts, "pair")
+    order = pairs.sortWithinPartitions("pair", "row", "ref", "pos", "ref_pos")
+    return in_arrow(order, run, "row long, ref long, pos array<int>, ref_pos array<int>")
 
 
 def _gap_matches(a: np.ndarray, b: np.ndarray) -> int:
@@ -278,85 +294,90 @@ def align(a: np.ndarray, b: np.ndarray, pos: np.ndarray, ref_pos: np.ndarray) ->
 
 
 def _windows(documents: DataFrame, found: DataFrame) -> DataFrame:
-    """The words around each chain in its two documents: chain, side, shift (place of the first word) and hashes."""
-    ask = lambda doc, pos, side: found.select(
-        F.col(doc).alias("doc"),
+    """The words around each chain in its two documents: chain, side, doc, shift (place of the first word) and hashes."""
+    ask = lambda row, pos, side: found.select(
+        F.col(row).alias("row"),
         F.struct(
             "chain", F.lit(side).alias("side"), F.greatest(F.element_at(pos, 1) - MARGIN, F.lit(0)).alias("first"), (F.element_at(pos, -1) + SEED_WORDS + MARGIN).alias("last")
         ).alias("ask"),
     )
-    asked = ask("doc", "pos", 0).union(ask("ref", "ref_pos", 1)).groupBy("doc").agg(F.collect_list("ask").alias("asks"))
-    texts = matching(documents, asked.select("doc"), "doc").join(asked, "doc")
+    asked = ask("row", "pos", 0).union(ask("ref", "ref_pos", 1)).groupBy("row").agg(F.collect_list("ask").alias("asks"))
+    texts = matching(documents, asked.select("row"), "row").dropDuplicates(["row"]).join(asked, "row")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in slices(batches):
             hashes, begins = word_hashes(rows["text"])
             short = (hashes >> np.uint64(32)).astype(np.uint32).view(np.int32)
-            out = {"chain": [], "side": [], "shift": [], "hashes": []}
-            for i, asks in enumerate(rows["asks"].to_pylist()):
+            out = {"chain": [], "side": [], "doc": [], "shift": [], "hashes": []}
+            for i, (doc, asks) in enumerate(zip(rows["doc"].to_pylist(), rows["asks"].to_pylist())):
                 own = short[begins[i] : begins[i + 1]]
                 for x in asks:
                     out["chain"].append(x["chain"])
                     out["side"].append(x["side"])
+                    out["doc"].append(doc)
                     out["shift"].append(x["first"])
                     out["hashes"].append(own[x["first"] : x["last"]].tobytes())
-            types = {"chain": pa.int64(), "side": pa.int32(), "shift": pa.int32(), "hashes": pa.binary()}
+            types = {"chain": pa.int64(), "side": pa.int32(), "doc": pa.int64(), "shift": pa.int32(), "hashes": pa.binary()}
             yield pa.record_batch({c: pa.array(v, types[c]) for c, v in out.items()})
 
-    return in_arrow(texts.select("text", "asks"), run, "chain long, side int, shift int, hashes binary")
+    return in_arrow(texts.select("doc", "text", "asks"), run, "chain long, side int, doc long, shift int, hashes binary")
 
 
-def repeated_passages(documents: DataFrame, min_words: int = 50, min_identity: float = 0.8) -> DataFrame:
-    """doc_id, begin, end (words), ref_id, ref_begin, ref_end and n_equal of every passage that an earlier document has.
+_PASSAGE = ("row", "doc", "begin", "end", "ref", "ref_doc", "ref_begin", "ref_end", "n_equal")
 
-    ``doc_id`` and ``ref_id`` are null for documents without an id.
-    """
-    ship(documents.sparkSession)
-    documents = documents.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc"), "text")
+
+def passages(documents: DataFrame, min_words: int, min_identity: float) -> DataFrame:
+    """Repeated passages of ``identified`` documents, with the row and doc of both."""
     found = keep(candidate_chains(seed_matches(documents, min_words)), "chains")
-    found = found.withColumn("chain", F.xxhash64("doc", "ref", "pos", "ref_pos"))
+    found = found.withColumn("chain", F.xxhash64("row", "ref", "pos", "ref_pos"))
     windows = _windows(documents, found)
-    anchors = found.select("chain", F.lit(2).alias("side"), F.lit(0).alias("shift"), F.lit(None).cast("binary").alias("hashes"), "doc", "ref", "pos", "ref_pos")
-    rows = windows.select("*", *[F.lit(None).cast(t).alias(c) for c, t in (("doc", "long"), ("ref", "long"), ("pos", "array<int>"), ("ref_pos", "array<int>"))]).union(anchors)
+    lack = lambda *columns: [F.lit(None).cast(t).alias(c) for c, t in columns]
+    anchors = found.select("chain", F.lit(2).alias("side"), *lack(("doc", "long")), F.lit(0).alias("shift"), *lack(("hashes", "binary")), "row", "ref", "pos", "ref_pos")
+    rows = windows.select("*", *lack(("row", "long"), ("ref", "long"), ("pos", "array<int>"), ("ref_pos", "array<int>"))).union(anchors)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in whole_groups(batches, "chain"):
             out = []
             sides: dict[int, tuple] = {}
             last = None
-            columns = [batch[c] for c in ("chain", "side", "shift", "hashes", "doc", "ref", "pos", "ref_pos")]
-            chain, side, shift = (c.to_pylist() for c in columns[:3])
+            columns = [batch[c] for c in ("chain", "side", "doc", "shift", "hashes", "row", "ref", "pos", "ref_pos")]
+            chain, side, doc, shift = (c.to_pylist() for c in columns[:4])
             for i in range(batch.num_rows):
                 if chain[i] != last:
                     last, sides = chain[i], {}
                 if side[i] < 2:
-                    sides.setdefault(side[i], (shift[i], np.frombuffer(columns[3][i].as_py(), np.int32)))
+                    sides[side[i]] = (doc[i], shift[i], np.frombuffer(columns[4][i].as_py(), np.int32))
                 elif len(sides) == 2:
-                    (sa, a), (sb, b) = sides[0], sides[1]
-                    pos, ref_pos = np.array(columns[6][i].as_py()) - sa, np.array(columns[7][i].as_py()) - sb
-                    if pos[-1] + SEED_WORDS > len(a) or ref_pos[-1] + SEED_WORDS > len(b):
-                        continue  # the text of another row with this doc_id
+                    (doc_a, sa, a), (doc_b, sb, b) = sides[0], sides[1]
+                    pos, ref_pos = np.array(columns[7][i].as_py()) - sa, np.array(columns[8][i].as_py()) - sb
                     p, q, rp, rq, equal = align(a, b, pos, ref_pos)
                     if q - p >= min_words and equal >= min_identity * max(q - p, rq - rp):
-                        out.append((columns[4][i].as_py(), p + sa, q + sa, columns[5][i].as_py(), rp + sb, rq + sb, equal))
-            names = ("doc", "begin", "end", "ref", "ref_begin", "ref_end", "n_equal")
-            columns = list(zip(*out)) if out else [()] * len(names)
-            yield pa.record_batch({c: pa.array(v, pa.int64()) for c, v in zip(names, columns)})
+                        out.append((columns[5][i].as_py(), doc_a, p + sa, q + sa, columns[6][i].as_py(), doc_b, rp + sb, rq + sb, equal))
+            columns = list(zip(*out)) if out else [()] * len(_PASSAGE)
+            yield pa.record_batch({c: pa.array(v, pa.int64()) for c, v in zip(_PASSAGE, columns)})
 
     parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    schema = "doc long, begin long, end long, ref long, ref_begin long, ref_end long, n_equal long"
-    aligned = in_arrow(rows.repartition(parts, "chain").sortWithinPartitions("chain", "side"), run, schema).distinct()
+    return in_arrow(rows.repartition(parts, "chain").sortWithinPartitions("chain", "side"), run, ", ".join(f"{c} long" for c in _PASSAGE))
+
+
+def repeated_passages(documents: DataFrame, min_words: int = 50, min_identity: float = 0.8) -> DataFrame:
+    """doc_id, begin, end (words), ref_id, ref_begin, ref_end and n_equal of every passage that an earlier document has.
+
+    ``doc_id`` and ``ref_id`` are null for documents without an id.
+    """
+    ship(documents.sparkSession)
     named = lambda c: F.when(F.col(c) != _NO_ID, F.col(c))
-    return aligned.select(named("doc").alias("doc_id"), "begin", "end", named("ref").alias("ref_id"), "ref_begin", "ref_end", "n_equal")
+    rows = passages(identified(documents), min_words, min_identity).distinct()
+    return rows.select(named("doc").alias("doc_id"), "begin", "end", named("ref_doc").alias("ref_id"), "ref_begin", "ref_end", "n_equal")
 
 
 def cut_passages(documents: DataFrame, min_words: int = 50, min_identity: float = 0.8) -> DataFrame:
     """The documents without their repeated passages. n_chars, if there, follows; a document left without words goes."""
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID))
-    passages = keep(repeated_passages(documents, min_words, min_identity), "passages")
-    spans = passages.groupBy(key.alias("doc")).agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
+    ship(documents.sparkSession)
+    found = passages(identified(documents), min_words, min_identity)
+    spans = found.groupBy(F.col("row").alias("doc")).agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
     spans = keep(spans, "spans")
-    rows = wrapped(documents, key)
+    rows = wrapped(documents, _row())
     hit = matching(rows, spans.select("doc"), "doc").join(spans, "doc").select("rest", "text", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
