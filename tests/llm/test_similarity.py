@@ -163,6 +163,32 @@ def test_odd_rows_have_no_passages_but_copies(spark):
     assert chaining.cut_passages(documents(spark, [])).count() == 0
 
 
+def _missed_words(texts, found, min_words=50):
+    """Words of windows that an earlier text has exactly and that no passage covers, and words of all such windows."""
+    first, missed, total = {}, 0, 0
+    for i, text in enumerate(texts):
+        tokens = words_of(text)
+        windows = [" ".join(tokens[a : a + min_words]) for a in range(len(tokens) - min_words + 1)]
+        repeated = {w for a, x in enumerate(windows) if first.setdefault(x, i) < i for w in range(a, a + min_words)}
+        covered = {w for r in found if r["doc_id"] == i for w in range(r["begin"], r["end"])}
+        total, missed = total + len(repeated), missed + len(repeated - covered)
+    return missed, total
+
+
+def test_every_exact_window_of_an_earlier_document_is_found(spark):
+    draw = random.Random(33)
+    texts = [prose(draw, 40, 10**6) for _ in range(4)]
+    base = prose(draw, 55, 10**6).split()
+    texts[0] += " " + " ".join(base)
+    texts += [prose(draw, 30, 10**6) + " " + " ".join(base[a : a + 45]) + " " + prose(draw, 30, 10**6) for a in (0, 3, 6, 9)]
+    texts.append(prose(draw, 30, 10**6) + " " + " ".join(base) + " " + prose(draw, 30, 10**6))
+    phrases = [prose(draw, 26, 10**6) for _ in range(12)]  # passages are made of phrases that other documents have
+    for _ in range(150):
+        texts.append(" ".join(" ".join([prose(draw, draw.randrange(1, 9), 10**6), *draw.choices(phrases, k=draw.randrange(1, 4))]) for _ in range(3)))
+    missed, total = _missed_words(texts, chaining.repeated_passages(documents(spark, texts, 13)).collect())
+    assert total > 5000 and missed == 0
+
+
 def test_texts_that_share_a_doc_id_are_documents_of_their_own(spark):
     draw = random.Random(32)
     passage = prose(draw, 80, 10**6)

@@ -6,6 +6,9 @@
   before its own, so a seed of n documents makes at most 2n matches. Tasks match their own documents first; only the
   first document of a task stands for the seed in the shuffle, and a passage of a third of all documents
   sends a row per task.
+* Exact windows: the seeds of a passage may have different first documents, none of which has the whole. Windows of
+  ``min_words`` words whose seeds all occur elsewhere and which no passage found so far covers are therefore looked up
+  by a hash of all their words, so every window that an earlier document has word for word is reported.
 * Chains: the matches of two documents are chained in ascending order of both positions. A chain gains SEED_WORDS per
   match and pays GAP_COST per word between matches in either document, so the best predecessor is a maximum over
   earlier positions, kept in a Fenwick tree. Where that one is too far away, those within MOST_GAP are compared.
@@ -20,7 +23,7 @@ their own unless their texts are equal, and come in the order of their hashes. N
 from __future__ import annotations
 
 import bisect
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -39,6 +42,9 @@ MARGIN = 48
 DROP = 8
 _FLUSH = 3_000_000
 _NO_ID = -(2**63)
+#: bits of the maps of hashes that are broadcast, whatever the number of hashes
+_MAP_BITS = 24
+_BASE = 0x9E3779B97F4A7C15
 _FACTORS = mix(np.arange(101, 101 + SEED_WORDS)) | np.uint64(1)
 _WORD = regex.compile(r"[^\x20\x09-\x0D]+")
 
@@ -50,28 +56,80 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (pd.util.hash_array(np.array(names, dtype=object))[codes] if names else np.zeros(0, np.uint64)), begins
 
 
+def _picked(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all runs of SEED_WORDS words, and of each WINDOW runs the place of the least; texts are not told apart."""
+    n = len(hashes)
+    with np.errstate(over="ignore"):
+        runs = hashes[: n - SEED_WORDS + 1] * _FACTORS[0]
+        for k in range(1, SEED_WORDS):
+            runs += hashes[k : n - SEED_WORDS + 1 + k] * _FACTORS[k]
+    runs = mix(runs)
+    return runs, np.lib.stride_tricks.sliding_window_view(runs, WINDOW).argmin(1) + np.arange(len(runs) - WINDOW + 1)
+
+
 def seeds(hashes: np.ndarray, begins: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Seed, number of its text and place in the text, of all texts with ``min_words`` words."""
-    n = len(hashes)
     least = max(min_words, SEED_WORDS + WINDOW - 1)
-    if n < least:
+    if len(hashes) < least:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    with np.errstate(over="ignore"):
-        rows = hashes[: n - SEED_WORDS + 1] * _FACTORS[0]
-        for k in range(1, SEED_WORDS):
-            rows += hashes[k : n - SEED_WORDS + 1 + k] * _FACTORS[k]
-    rows = mix(rows)
-    picked = np.lib.stride_tricks.sliding_window_view(rows, WINDOW).argmin(1) + np.arange(len(rows) - WINDOW + 1)
+    runs, picked = _picked(hashes)
     lengths = np.diff(begins)
     of = np.repeat(np.arange(len(lengths)), lengths)
     at = np.arange(len(picked))
     inside = (lengths[of[at]] >= least) & (at + SEED_WORDS + WINDOW - 1 <= begins[of[at] + 1])
     place = np.unique(picked[inside])
-    return rows[place], of[place], place - begins[of[place]]
+    return runs[place], of[place], place - begins[of[place]]
+
+
+def _mark(hashes: np.ndarray) -> np.ndarray:
+    return (hashes.view(np.uint64) >> np.uint64(64 - _MAP_BITS)).astype(np.int64)
+
+
+def _in_map(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """False where a hash is surely not among those of the map."""
+    mark = _mark(hashes)
+    return (bits[mark >> 6] >> (mark & 63).astype(np.uint64)) & np.uint64(1) != 0
+
+
+def _map(marks: DataFrame) -> np.ndarray:
+    """The map of all ``mark``; 2 MB at most pass the driver."""
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("mark").bitwiseAND(63).cast("int"))
+    found = marks.groupBy(F.shiftright("mark", 6).alias("word")).agg(F.bit_or(bit).alias("bits")).toPandas()
+    bits = np.zeros(1 << (_MAP_BITS - 6), np.int64)
+    bits[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
+    return bits.view(np.uint64)
+
+
+def likely_windows(hashes: np.ndarray, begins: np.ndarray, min_words: int, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Number of its text and place among all words, of each window of ``min_words`` words all of whose seeds are shared."""
+    n = len(hashes)
+    if n < min_words:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    lengths = np.diff(begins)
+    of = np.repeat(np.arange(len(lengths)), lengths)
+    at = np.arange(n - min_words + 1)
+    likely = at + min_words <= begins[of[at] + 1]
+    inside = min_words - (SEED_WORDS + WINDOW - 1) + 1
+    if inside > 0:
+        runs, picked = _picked(hashes)
+        lone = np.concatenate([[0], np.cumsum(~_in_map(shared, runs[picked]))])
+        likely &= lone[at + inside] == lone[at]
+    at = at[likely]
+    return of[at], at
+
+
+def window_hashes(hashes: np.ndarray, at: np.ndarray, min_words: int) -> np.ndarray:
+    """A hash of the ``min_words`` words from each place: differences of sums of powers, modulo 2^64."""
+    n = len(hashes)
+    with np.errstate(over="ignore"):
+        up = np.cumprod(np.full(n + 1, _BASE, np.uint64))
+        down = np.cumprod(np.full(n + 1, pow(_BASE, -1, 2**64), np.uint64))
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(hashes) * up[:n])])
+        return mix((sums[at + min_words] - sums[at]) * down[at])
 
 
 def matches(seed: np.ndarray, doc: np.ndarray, row: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of occurrences sorted by seed, doc, row and pos: (row, pos, ref, ref_pos) rows, and which are of first documents."""
+    """Of occurrences sorted by seed, doc, row and pos: (row, pos, ref, ref_pos, mark) rows, and which are of first documents."""
     n = len(seed)
     new_seed = np.append(True, seed[1:] != seed[:-1])
     new_row = new_seed | np.append(True, (doc[1:] != doc[:-1]) | (row[1:] != row[:-1]))
@@ -81,18 +139,21 @@ def matches(seed: np.ndarray, doc: np.ndarray, row: np.ndarray, pos: np.ndarray)
     before = starts[np.maximum(np.searchsorted(starts, mine) - 1, 0)]
     later = mine != head
     rows = np.flatnonzero(later)
-    found = np.stack([row[rows], pos[rows], row[head[rows]], pos[head[rows]]], axis=1)
+    mark = _mark(seed)
+    found = np.stack([row[rows], pos[rows], row[head[rows]], pos[head[rows]], mark[rows]], axis=1)
     more = rows[before[rows] != head[rows]]
-    found = np.concatenate([found, np.stack([row[more], pos[more], row[before[more]], pos[before[more]]], axis=1)])
+    found = np.concatenate([found, np.stack([row[more], pos[more], row[before[more]], pos[before[more]], mark[more]], axis=1)])
     return found, ~later
 
 
-_MATCH = "row long, pos int, ref long, ref_pos int"
+_MATCH = {"row": pa.int64(), "pos": pa.int32(), "ref": pa.int64(), "ref_pos": pa.int32(), "mark": pa.int32()}
+_MATCH_DDL = "row long, pos int, ref long, ref_pos int, mark int"
 
 
-def _match_batch(found: np.ndarray) -> pa.RecordBatch:
-    types = (pa.int64(), pa.int32(), pa.int64(), pa.int32())
-    return pa.record_batch({c: pa.array(found[:, i]).cast(t) for i, (c, t) in enumerate(zip(("row", "pos", "ref", "ref_pos"), types))})
+def _match_batches(found: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for a in range(0, len(found), 200_000):
+        part = found[a : a + 200_000]
+        yield pa.record_batch({c: pa.array(part[:, i]).cast(t) for i, (c, t) in enumerate(_MATCH.items())})
 
 
 def _doc() -> Column:
@@ -108,49 +169,55 @@ def identified(documents: DataFrame) -> DataFrame:
     return documents.select(_doc().alias("doc"), _row().alias("row"), "text")
 
 
-def seed_matches(documents: DataFrame, min_words: int) -> DataFrame:
-    """(row, pos, ref, ref_pos): a seed of row is found in ref, the row of an earlier document."""
+def all_matches(documents: DataFrame, pick: Callable) -> DataFrame:
+    """(row, pos, ref, ref_pos, mark): what ``pick`` takes at pos of row is found in ref, the row of an earlier document.
+
+    ``pick`` gives hash, number of text and place of what it takes from a batch of texts. Texts are read twice, for the
+    matches inside tasks and for the first documents of tasks; that costs less than to store the latter.
+    """
 
-    def inside_tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def inside_tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
         held: list[tuple[np.ndarray, ...]] = []
 
-        def ready() -> Iterator[pa.RecordBatch]:
+        def ready() -> tuple[np.ndarray, ...]:
             seed, doc, row, pos = (np.concatenate(x) for x in zip(*held))
             held.clear()
             order = np.lexsort((pos, row, doc, seed))
-            seed, doc, row, pos = seed[order], doc[order], row[order], pos[order]
-            found, first = matches(seed, doc, row, pos)
-            kept = np.flatnonzero(first)
-            for a in range(0, len(kept), 200_000):
-                at = kept[a : a + 200_000]
-                none = pa.nulls(len(at), pa.int64()), pa.nulls(len(at), pa.int32())
-                yield pa.record_batch([pa.array(seed[at]), pa.array(doc[at]), pa.array(row[at]), pa.array(pos[at]).cast(pa.int32()), *none], names)
-            for a in range(0, len(found), 200_000):
-                batch = _match_batch(found[a : a + 200_000])
-                yield pa.record_batch([pa.nulls(batch.num_rows, pa.int64())] * 2 + batch.columns, names)
+            return seed[order], doc[order], row[order], pos[order]
 
         for rows in slices(batches):
-            hashes, begins = word_hashes(rows["text"])
-            seed, of, pos = seeds(hashes, begins, min_words)
+            seed, of, pos = pick(*word_hashes(rows["text"]))
             doc, row = (rows[c].to_numpy(zero_copy_only=False)[of] for c in ("doc", "row"))
             held.append((seed.view(np.int64), doc, row, pos))
             if sum(len(h[0]) for h in held) > _FLUSH:
-                yield from ready()
-        if held and any(len(h[0]) for h in held):
-            yield from ready()
+                yield ready()
+        if any(len(h[0]) for h in held):
+            yield ready()
+
+    def same_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for sorted_rows in inside_tasks(batches):
+            yield from _match_batches(matches(*sorted_rows)[0])
+
+    def task_firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for sorted_rows in inside_tasks(batches):
+            kept = np.flatnonzero(matches(*sorted_rows)[1])
+            for a in range(0, len(kept), 200_000):
+                seed, doc, row, pos = (x[kept[a : a + 200_000]] for x in sorted_rows)
+                yield pa.record_batch({"seed": seed, "doc": doc, "row": row, "pos": pa.array(pos).cast(pa.int32())})
 
     def between_tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in whole_groups(batches, "seed"):
-            found, _ = matches(*(rows[c].to_numpy() for c in ("seed", "doc", "row")), rows["pos"].to_numpy().astype(np.int64))
-            if len(found):
-                yield _match_batch(found)
+            yield from _match_batches(matches(*(rows[c].to_numpy() for c in ("seed", "doc", "row")), rows["pos"].to_numpy().astype(np.int64))[0])
 
-    names = ["seed", "doc", "row", "pos", "ref", "ref_pos"]
-    rows = keep(in_arrow(documents.select("doc", "row", "text"), inside_tasks, "seed long, doc long, " + _MATCH), "seeds")
     parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    firsts = rows.where("seed is not null").select("seed", "doc", "row", "pos").repartition(parts, "seed")
+    texts = documents.select("doc", "row", "text")
+    firsts = in_arrow(texts, task_firsts, "seed long, doc long, row long, pos int").repartition(parts, "seed")
     firsts = firsts.sortWithinPartitions("seed", "doc", "row", "pos")
-    return in_arrow(firsts, between_tasks, _MATCH).union(rows.where("seed is null").select("row", "pos", "ref", "ref_pos"))
+    return in_arrow(firsts, between_tasks, _MATCH_DDL).union(in_arrow(texts, same_task, _MATCH_DDL))
+
+
+def seed_matches(documents: DataFrame, min_words: int) -> DataFrame:
+    return all_matches(documents, lambda hashes, begins: seeds(hashes, begins, min_words))
 
 
 class Fenwick:
@@ -328,7 +395,8 @@ _PASSAGE = ("row", "doc", "begin", "end", "ref", "ref_doc", "ref_begin", "ref_en
 
 def passages(documents: DataFrame, min_words: int, min_identity: float) -> DataFrame:
     """Repeated passages of ``identified`` documents, with the row and doc of both."""
-    found = keep(candidate_chains(seed_matches(documents, min_words)), "chains")
+    matched = keep(seed_matches(documents, min_words), "matches")
+    found = keep(candidate_chains(matched.drop("mark")), "chains")
     found = found.withColumn("chain", F.xxhash64("row", "ref", "pos", "ref_pos"))
     windows = _windows(documents, found)
     lack = lambda *columns: [F.lit(None).cast(t).alias(c) for c, t in columns]
@@ -357,7 +425,102 @@ def passages(documents: DataFrame, min_words: int, min_identity: float) -> DataF
             yield pa.record_batch({c: pa.array(v, pa.int64()) for c, v in zip(_PASSAGE, columns)})
 
     parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return in_arrow(rows.repartition(parts, "chain").sortWithinPartitions("chain", "side"), run, ", ".join(f"{c} long" for c in _PASSAGE))
+    aligned = in_arrow(rows.repartition(parts, "chain").sortWithinPartitions("chain", "side"), run, ", ".join(f"{c} long" for c in _PASSAGE))
+    aligned = keep(aligned.distinct(), "passages")
+    return aligned.unionByName(exact_passages(documents, matched, aligned, min_words))
+
+
+def _uncovered(first: int, last: int, spans: list, min_words: int) -> list[tuple[int, int]]:
+    """Of the windows that begin at first to last (included), those with a word outside all spans, as such runs."""
+    out, at, reach = [], first, -1
+    merged: list[list[int]] = []
+    for begin, end in sorted(spans):
+        if merged and begin <= reach:
+            merged[-1][1] = reach = max(reach, end)
+        else:
+            merged.append([begin, end])
+            reach = end
+    for begin, end in merged:
+        if end - begin < min_words or end - min_words < at:
+            continue
+        if begin > last:
+            break
+        if begin > at:
+            out.append((at, begin - 1))
+        at = end - min_words + 1
+    return [*out, (at, last)] if at <= last else out
+
+
+def exact_passages(documents: DataFrame, matched: DataFrame, passages: DataFrame, min_words: int) -> DataFrame:
+    """Passages of windows that an earlier document has word for word and that ``passages`` do not cover."""
+    context = documents.sparkSession.sparkContext
+    shared = context.broadcast(_map(matched.select("mark")))
+    texts = documents.select("doc", "row", "text")
+
+    def stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in slices(batches):
+            hashes, begins = word_hashes(rows["text"])
+            of, at = likely_windows(hashes, begins, min_words, shared.value)
+            new = np.flatnonzero(np.concatenate([[True], (np.diff(at) != 1) | (np.diff(of) != 0)])) if len(at) else np.zeros(0, np.int64)
+            end = np.append(new[1:], len(at)) - 1 if len(at) else new
+            places = at - begins[of]
+            yield pa.record_batch({"row": rows["row"].take(pa.array(of[new])), "first": pa.array(places[new]), "last": pa.array(places[end])})
+
+    def left(rows: DataFrame) -> DataFrame:
+        """The runs (row, first, last, further columns) cut down to windows that are not covered."""
+        others = [c for c in rows.columns if c not in ("row", "first", "last")]
+        spans = passages.groupBy("row").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                out = {"of": [], "first": [], "last": []}
+                for i, (first, last, found) in enumerate(zip(*(batch[c].to_pylist() for c in ("first", "last", "spans")))):
+                    for a, b in _uncovered(first, last, [(x["begin"], x["end"]) for x in found or ()], min_words):
+                        out["of"].append(i)
+                        out["first"].append(a)
+                        out["last"].append(b)
+                take = pa.array(out["of"], pa.int64())
+                columns = {"row": batch["row"].take(take), "first": pa.array(out["first"], pa.int64()), "last": pa.array(out["last"], pa.int64())}
+                yield pa.record_batch(columns | {c: batch[c].take(take) for c in others})
+
+        return in_arrow(rows.join(spans, "row", "left"), run, ", ".join(f"{c} long" for c in ("row", "first", "last", *others)))
+
+    asked = left(in_arrow(texts, stretches, "row long, first long, last long"))
+    asked = keep(asked.groupBy("row").agg(F.collect_set(F.struct("first", "last")).alias("asked")), "asked")
+
+    def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in slices(batches):
+            hashes, begins = word_hashes(rows["text"])
+            at = [np.arange(x["first"], x["last"] + 1) + begins[i] for i, runs in enumerate(rows["asked"].to_pylist()) for x in runs]
+            yield pa.record_batch({"mark": pa.array(_mark(np.unique(window_hashes(hashes, np.concatenate(at), min_words)))).cast(pa.int32())})
+
+    wanted = matching(texts, asked.select("row"), "row").join(asked, "row").select("text", "asked")
+    wanted = context.broadcast(_map(in_arrow(wanted, marks, "mark int")))
+
+    def pick(hashes: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        of, at = likely_windows(hashes, begins, min_words, shared.value)
+        keys = window_hashes(hashes, at, min_words)
+        hit = _in_map(wanted.value, keys)
+        return keys[hit], of[hit], (at - begins[of])[hit]
+
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in whole_groups(batches, "row"):
+            row, ref, first, ref_pos = (rows[c].to_numpy().astype(np.int64) for c in ("row", "ref", "pos", "ref_pos"))
+            joined = (np.diff(row) == 0) & (np.diff(ref) == 0) & (np.diff(first) == 1) & (np.diff(ref_pos) == 1)
+            new = np.flatnonzero(np.append(True, ~joined))
+            end = np.append(new[1:], len(row)) - 1
+            columns = (row[new], first[new], first[end], ref[new], ref_pos[new] - first[new])
+            yield pa.record_batch(dict(zip(("row", "first", "last", "ref", "shift"), map(pa.array, columns))))
+
+    parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = all_matches(documents, pick).drop("mark").distinct().repartition(parts, "row")
+    found = found.sortWithinPartitions("row", "ref", F.col("ref_pos") - F.col("pos"), "pos")
+    found = keep(left(in_arrow(found, runs, "row long, first long, last long, ref long, shift long")), "exact")
+    ids = found.select("row").union(found.select(F.col("ref").alias("row")))
+    docs = keep(matching(documents.select("row", "doc"), ids, "row").distinct(), "docs")
+    found = found.join(docs, "row").join(docs.select(F.col("row").alias("ref"), F.col("doc").alias("ref_doc")), "ref")
+    found = found.withColumn("begin", F.col("first")).withColumn("end", F.col("last") + min_words).withColumn("n_equal", F.col("end") - F.col("begin"))
+    return found.withColumn("ref_begin", F.col("begin") + F.col("shift")).withColumn("ref_end", F.col("end") + F.col("shift")).select(*_PASSAGE)
 
 
 def repeated_passages(documents: DataFrame, min_words: int = 50, min_identity: float = 0.8) -> DataFrame:
