@@ -9,8 +9,8 @@
 * Exact windows: the seeds of a passage may have different first documents, none of which has the whole. Windows of
   ``min_words`` words whose seeds all occur elsewhere and which no passage found so far covers are therefore looked up
   by a hash of all their words, so every window that an earlier document has word for word is reported.
-* Chains: the matches of two documents are chained in ascending order of both positions. A chain gains SEED_WORDS per
-  match and pays GAP_COST per word between matches in either document, so the best predecessor is a maximum over
+* Chains: the matches of two documents are chained in ascending order of both positions; a match alone is a chain, too.
+  A chain gains GAIN per match and pays GAP_COST per word between matches in either document, so the best predecessor is a maximum over
   earlier positions, kept in a Fenwick tree. Where that one is too far away, those within MOST_GAP are compared.
 * Alignment: words are compared along a chain, the gaps between its diagonals are aligned, and its ends are extended as
   long as words agree. What has ``min_words`` words and ``min_identity`` of them equal is a repeated passage.
@@ -28,19 +28,22 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import coded, in_arrow, keep, matching, mix, ship, slices, unwrapped, whole_groups, without, words, wrapped
+from tidemark.llm.common import coded, gather, in_arrow, keep, matching, mix, ship, slices, unwrapped, whole_groups, without, words, wrapped
 
-SEED_WORDS, WINDOW = 7, 16
+SEED_WORDS, WINDOW = 5, 4
+#: what a match adds to the score of a chain
+GAIN = 7
 GAP_COST, MOST_GAP, MOST_SHIFT = 0.1, 60, 30
 MARGIN = 48
 #: the score that an extension may lose before it ends
 DROP = 8
-_FLUSH = 3_000_000
+_FLUSH = 1_000_000
 _NO_ID = -(2**63)
 #: bits of the maps of hashes that are broadcast, whatever the number of hashes
 _MAP_BITS = 24
@@ -250,21 +253,24 @@ def _may_follow(pos: list[int], ref_pos: list[int], j: int, i: int) -> bool:
 def chains(pos: list[int], ref_pos: list[int]) -> list[list[int]]:
     """Chains of two or more matches, best first; every match is in one at most. Matches are sorted by pos."""
     n = len(pos)
+    steps = [q - p for p, q in zip(pos, pos[1:])]
+    if n > 1 and all(0 < x <= GAIN / (2 * GAP_COST) for x in steps) and steps == [q - p for p, q in zip(ref_pos, ref_pos[1:])]:
+        return [list(range(n))]  # one diagonal on which every step gains
     levels = sorted(set(ref_pos))
     tree = Fenwick(len(levels))
-    score, before = [float(SEED_WORDS)] * n, [-1] * n
+    score, before = [float(GAIN)] * n, [-1] * n
     i = 0
     while i < n:
         end = i
         while end < n and pos[end] == pos[i]:  # matches at one position are not before each other
             value, j = tree.upto(bisect.bisect_left(levels, ref_pos[end]))
-            gain = value - GAP_COST * (pos[end] + ref_pos[end]) + SEED_WORDS
+            gain = value - GAP_COST * (pos[end] + ref_pos[end]) + GAIN
             if j >= 0 and gain > score[end]:
                 if _may_follow(pos, ref_pos, j, end):
                     score[end], before[end] = gain, j
                 else:  # the best of all is too far; the best of those near enough
                     for j in range(i - 1, bisect.bisect_left(pos, pos[end] - MOST_GAP) - 1, -1):
-                        gain = score[j] - GAP_COST * (pos[end] - pos[j] + ref_pos[end] - ref_pos[j]) + SEED_WORDS
+                        gain = score[j] - GAP_COST * (pos[end] - pos[j] + ref_pos[end] - ref_pos[j]) + GAIN
                         if gain > score[end] and _may_follow(pos, ref_pos, j, end):
                             score[end], before[end] = gain, j
             end += 1
@@ -284,7 +290,7 @@ def chains(pos: list[int], ref_pos: list[int]) -> list[list[int]]:
 
 
 def candidate_chains(found: DataFrame) -> DataFrame:
-    """row, ref and the matches (pos, ref_pos: arrays) of each chain between two documents."""
+    """row, ref and the matches (pos, ref_pos: arrays) of each chain between two documents, lone matches included."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in whole_groups(batches, "pair"):
@@ -294,14 +300,15 @@ def candidate_chains(found: DataFrame) -> DataFrame:
             starts = np.flatnonzero(np.append(True, new))
             ends = np.append(starts[1:], len(row))
             out = {"row": [], "ref": [], "pos": [], "ref_pos": []}
-            for a, b in zip(starts[ends - starts > 1].tolist(), ends[ends - starts > 1].tolist()):
+            for a, b in zip(starts.tolist(), ends.tolist()):
                 p, r = pos[a:b].tolist(), ref_pos[a:b].tolist()
-                whole = chains(p, r)
-                # a lone match of two documents that share a chain elsewhere may be all that is left of a passage
-                # whose other seeds an even earlier document has
+                whole = chains(p, r) if b - a > 1 else []
                 used = {i for chain in whole for i in range(chain[0], chain[-1] + 1)}
-                lone = [[i] for i in range(b - a) if i not in used] if whole else []
+                lone = [[i] for i in range(b - a) if i not in used]
                 for chain in whole + lone:
+                    # of matches on one diagonal an alignment needs the first and the last
+                    shift = [None, *[r[i] - p[i] for i in chain], None]
+                    chain = [i for k, i in enumerate(chain) if not shift[k] == shift[k + 1] == shift[k + 2]]
                     out["row"].append(int(row[a]))
                     out["ref"].append(int(ref[a]))
                     out["pos"].append([p[i] for i in chain])
@@ -360,6 +367,30 @@ def align(a: np.ndarray, b: np.ndarray, pos: np.ndarray, ref_pos: np.ndarray) ->
     return p - left, last_a + right, p + d - left, last_b + right, equal + more + again
 
 
+def _extensions(equal: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``_extension`` of each row; places behind the end of a text are unequal."""
+    score = np.cumsum(np.where(equal, 1, -2), axis=1)
+    dropped = np.maximum.accumulate(np.maximum.accumulate(np.maximum(score, 0), axis=1) - score > DROP, axis=1)
+    score[dropped] = -1
+    n = np.where(score.max(1) > 0, score.argmax(1) + 1, 0)
+    return n, np.where(n > 0, np.cumsum(equal, axis=1)[np.arange(len(n)), np.maximum(n - 1, 0)], 0)
+
+
+def align_lone(words: np.ndarray, begin: np.ndarray, end: np.ndarray, ref_begin: np.ndarray, ref_end: np.ndarray, pos: np.ndarray, ref_pos: np.ndarray):
+    """What ``align`` gives for chains of one match, many at once; texts are words[begin:end], positions are those in the text."""
+    at, ref = begin + pos, ref_begin + ref_pos
+    most = len(words) - 1
+
+    def same(a: np.ndarray, b: np.ndarray, n: np.ndarray, step: int) -> np.ndarray:
+        k = np.arange(max(int(n.max(initial=0)), 1))
+        return (words[np.clip(a[:, None] + step * k, 0, most)] == words[np.clip(b[:, None] + step * k, 0, most)]) & (k < n[:, None])
+
+    equal = same(at, ref, np.full(len(at), SEED_WORDS), 1).sum(1)
+    left, more = _extensions(same(at - 1, ref - 1, np.minimum(pos, ref_pos), -1))
+    right, again = _extensions(same(at + SEED_WORDS, ref + SEED_WORDS, np.minimum(end - at, ref_end - ref) - SEED_WORDS, 1))
+    return pos - left, pos + SEED_WORDS + right, ref_pos - left, ref_pos + SEED_WORDS + right, equal + more + again
+
+
 def _windows(documents: DataFrame, found: DataFrame) -> DataFrame:
     """The words around each chain in its two documents: chain, side, doc, shift (place of the first word) and hashes."""
     ask = lambda row, pos, side: found.select(
@@ -375,17 +406,16 @@ def _windows(documents: DataFrame, found: DataFrame) -> DataFrame:
         for rows in slices(batches):
             hashes, begins = word_hashes(rows["text"])
             short = (hashes >> np.uint64(32)).astype(np.uint32).view(np.int32)
-            out = {"chain": [], "side": [], "doc": [], "shift": [], "hashes": []}
-            for i, (doc, asks) in enumerate(zip(rows["doc"].to_pylist(), rows["asks"].to_pylist())):
-                own = short[begins[i] : begins[i + 1]]
-                for x in asks:
-                    out["chain"].append(x["chain"])
-                    out["side"].append(x["side"])
-                    out["doc"].append(doc)
-                    out["shift"].append(x["first"])
-                    out["hashes"].append(own[x["first"] : x["last"]].tobytes())
-            types = {"chain": pa.int64(), "side": pa.int32(), "doc": pa.int64(), "shift": pa.int32(), "hashes": pa.binary()}
-            yield pa.record_batch({c: pa.array(v, types[c]) for c, v in out.items()})
+            lists = rows["asks"]
+            asks = lists.flatten()
+            of = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+            shift, last = (asks.field(c).to_numpy() for c in ("first", "last"))
+            first = np.minimum(begins[of] + shift, begins[of + 1])
+            lengths = np.minimum(begins[of] + last, begins[of + 1]) - first
+            ends = np.concatenate([[0], np.cumsum(4 * lengths)]).astype(np.int32)
+            held = pa.Array.from_buffers(pa.binary(), len(of), [None, pa.py_buffer(ends), pa.py_buffer(short[gather(first, lengths)])])
+            columns = [asks.field("chain"), asks.field("side"), rows["doc"].take(pa.array(of)), pa.array(shift), held]
+            yield pa.record_batch(columns, ["chain", "side", "doc", "shift", "hashes"])
 
     return in_arrow(texts.select("doc", "text", "asks"), run, "chain long, side int, doc long, shift int, hashes binary")
 
@@ -406,21 +436,30 @@ def passages(documents: DataFrame, min_words: int, min_identity: float) -> DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in whole_groups(batches, "chain"):
             out = []
-            sides: dict[int, tuple] = {}
-            last = None
-            columns = [batch[c] for c in ("chain", "side", "doc", "shift", "hashes", "row", "ref", "pos", "ref_pos")]
-            chain, side, doc, shift = (c.to_pylist() for c in columns[:4])
-            for i in range(batch.num_rows):
-                if chain[i] != last:
-                    last, sides = chain[i], {}
-                if side[i] < 2:
-                    sides[side[i]] = (doc[i], shift[i], np.frombuffer(columns[4][i].as_py(), np.int32))
-                elif len(sides) == 2:
-                    (doc_a, sa, a), (doc_b, sb, b) = sides[0], sides[1]
-                    pos, ref_pos = np.array(columns[7][i].as_py()) - sa, np.array(columns[8][i].as_py()) - sb
-                    p, q, rp, rq, equal = align(a, b, pos, ref_pos)
-                    if q - p >= min_words and equal >= min_identity * max(q - p, rq - rp):
-                        out.append((columns[5][i].as_py(), doc_a, p + sa, q + sa, columns[6][i].as_py(), doc_b, rp + sb, rq + sb, equal))
+            side, chain, shift = (batch[c].to_numpy() for c in ("side", "chain", "shift"))
+            last = np.flatnonzero(side == 2)
+            last = last[last > 1]
+            last = last[(side[last - 2] == 0) & (side[last - 1] == 1) & (chain[last - 2] == chain[last])]
+            held = batch["hashes"]
+            held = pa.concat_arrays([held]) if held.offset else held
+            places = np.frombuffer(held.buffers()[1], np.int32)[: len(held) + 1].astype(np.int64) // 4
+            words = np.frombuffer(held.buffers()[2], np.int32) if held.buffers()[2] else np.zeros(1, np.int32)
+            lone = pc.list_value_length(batch["pos"].take(pa.array(last))).to_numpy(zero_copy_only=False) == 1
+            one = last[lone]
+            if len(one):
+                sa, sb = shift[one - 2].astype(np.int64), shift[one - 1].astype(np.int64)
+                pos, ref_pos = (batch[c].take(pa.array(one)).flatten().to_numpy().astype(np.int64) for c in ("pos", "ref_pos"))
+                p, q, rp, rq, equal = align_lone(words, places[one - 2], places[one - 1], places[one - 1], places[one], pos - sa, ref_pos - sb)
+                good = np.flatnonzero((q - p >= min_words) & (equal >= min_identity * (q - p)))
+                columns = (batch["row"].take(pa.array(one)).to_numpy(), batch["doc"].take(pa.array(one - 2)).to_numpy(), p + sa, q + sa)
+                columns += (batch["ref"].take(pa.array(one)).to_numpy(), batch["doc"].take(pa.array(one - 1)).to_numpy(), rp + sb, rq + sb, equal)
+                out += list(zip(*(c[good].tolist() for c in columns)))
+            for i in last[~lone].tolist():
+                sa, sb = int(shift[i - 2]), int(shift[i - 1])
+                a, b = words[places[i - 2] : places[i - 1]], words[places[i - 1] : places[i]]
+                p, q, rp, rq, equal = align(a, b, np.array(batch["pos"][i].as_py()) - sa, np.array(batch["ref_pos"][i].as_py()) - sb)
+                if q - p >= min_words and equal >= min_identity * max(q - p, rq - rp):
+                    out.append((batch["row"][i].as_py(), batch["doc"][i - 2].as_py(), p + sa, q + sa, batch["ref"][i].as_py(), batch["doc"][i - 1].as_py(), rp + sb, rq + sb, equal))
             columns = list(zip(*out)) if out else [()] * len(_PASSAGE)
             yield pa.record_batch({c: pa.array(v, pa.int64()) for c, v in zip(_PASSAGE, columns)})
 
@@ -456,6 +495,12 @@ def exact_passages(documents: DataFrame, matched: DataFrame, passages: DataFrame
     context = documents.sparkSession.sparkContext
     shared = context.broadcast(_map(matched.select("mark")))
     texts = documents.select("doc", "row", "text")
+    # overlapping passages are joined first: every stretch below carries the spans of its row
+    order = Window.partitionBy("row").orderBy("begin", "end")
+    reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    spans = passages.select("row", "begin", "end").distinct().withColumn("new", F.coalesce(F.col("begin") > reach, F.lit(True)).cast("int"))
+    spans = spans.withColumn("span", F.sum("new").over(order)).groupBy("row", "span").agg(F.min("begin").alias("begin"), F.max("end").alias("end"))
+    spans = keep(spans.groupBy("row").agg(F.collect_list(F.struct("begin", "end")).alias("spans")), "covered")
 
     def stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in slices(batches):
@@ -469,8 +514,6 @@ def exact_passages(documents: DataFrame, matched: DataFrame, passages: DataFrame
     def left(rows: DataFrame) -> DataFrame:
         """The runs (row, first, last, further columns) cut down to windows that are not covered."""
         others = [c for c in rows.columns if c not in ("row", "first", "last")]
-        spans = passages.groupBy("row").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
-
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 out = {"of": [], "first": [], "last": []}
@@ -485,7 +528,8 @@ def exact_passages(documents: DataFrame, matched: DataFrame, passages: DataFrame
 
         return in_arrow(rows.join(spans, "row", "left"), run, ", ".join(f"{c} long" for c in ("row", "first", "last", *others)))
 
-    asked = left(in_arrow(texts, stretches, "row long, first long, last long"))
+    # kept, so that no task runs two workers at once
+    asked = left(keep(in_arrow(texts, stretches, "row long, first long, last long"), "stretches"))
     asked = keep(asked.groupBy("row").agg(F.collect_set(F.struct("first", "last")).alias("asked")), "asked")
 
     def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -506,6 +550,8 @@ def exact_passages(documents: DataFrame, matched: DataFrame, passages: DataFrame
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in whole_groups(batches, "row"):
             row, ref, first, ref_pos = (rows[c].to_numpy().astype(np.int64) for c in ("row", "ref", "pos", "ref_pos"))
+            fresh = np.append(True, (np.diff(row) != 0) | (np.diff(ref) != 0) | (np.diff(first) != 0) | (np.diff(ref_pos) != 0))
+            row, ref, first, ref_pos = row[fresh], ref[fresh], first[fresh], ref_pos[fresh]
             joined = (np.diff(row) == 0) & (np.diff(ref) == 0) & (np.diff(first) == 1) & (np.diff(ref_pos) == 1)
             new = np.flatnonzero(np.append(True, ~joined))
             end = np.append(new[1:], len(row)) - 1
@@ -513,9 +559,10 @@ def exact_passages(documents: DataFrame, matched: DataFrame, passages: DataFrame
             yield pa.record_batch(dict(zip(("row", "first", "last", "ref", "shift"), map(pa.array, columns))))
 
     parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found = all_matches(documents, pick).drop("mark").distinct().repartition(parts, "row")
+    found = all_matches(documents, pick).drop("mark").repartition(parts, "row")
     found = found.sortWithinPartitions("row", "ref", F.col("ref_pos") - F.col("pos"), "pos")
-    found = keep(left(in_arrow(found, runs, "row long, first long, last long, ref long, shift long")), "exact")
+    found = keep(in_arrow(found, runs, "row long, first long, last long, ref long, shift long"), "runs")
+    found = keep(left(found), "exact")
     ids = found.select("row").union(found.select(F.col("ref").alias("row")))
     docs = keep(matching(documents.select("row", "doc"), ids, "row").distinct(), "docs")
     found = found.join(docs, "row").join(docs.select(F.col("row").alias("ref"), F.col("doc").alias("ref_doc")), "ref")
