@@ -35,6 +35,19 @@ def test_fingerprints_of_texts_and_edited_texts(spark):
     assert np.mean([got[i]["near_edited"] for i in middle]) > 0.3 > 0.15 > np.mean([got[i]["near_next"] for i in middle])
 
 
+@pytest.mark.parametrize("near", [False, True])
+def test_fingerprints_where_copies_hold_a_third_of_the_rows(spark, near):
+    draw = random.Random(30)
+    copied = prose(draw, 120, 10**6)
+    texts = [prose(draw, 120, 3000) for _ in range(200)]
+    for i in range(0, 200, 3):
+        texts[i] = copied + (f" slip{i}" if near else "")
+    rows = documents(spark, texts)
+    got = {r["doc_id"]: r for r in imatch.compare_edited(rows, imatch.lexicon(rows)).collect()}
+    assert np.mean([got[i]["near_edited"] for i in range(0, 200, 3)]) > 0.3
+    assert np.mean([got[i]["near_next"] for i in range(0, 200, 3)]) < 0.15
+
+
 def test_fingerprints_of_odd_rows(spark):
     rows = documents(spark, odd_texts())
     terms = imatch.lexicon(rows)

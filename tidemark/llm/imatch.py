@@ -10,6 +10,10 @@ terms uses the two levels at which a subset keeps about one of them, so that sho
 tolerant to edits: the share of equal hashes, among subsets that keep a term of either document on a level that both
 use, falls with the share of terms they do not have in common.
 
+Frequencies are those of distinct content: documents of one sketch (least hashes of their terms, SKETCH of them, equal for
+copies and mostly for near copies) count as one document if they are more than 1 in HOT of all. So the terms of a group
+of copies that holds much of the corpus stay in the band.
+
 A document without a term in the band gets the hash of all its terms and is like equal ones only. Null texts are empty.
 """
 
@@ -29,6 +33,9 @@ from tidemark.llm.common import coded, in_arrow, mix, slices, words
 #: lower and upper end of the band, in natural logarithms
 BAND = (1.4, 7.6)
 SUBSETS = 32
+SKETCH, HOT = 6, 1024
+#: what a document weighs in a frequency; a whole number, so that sums do not depend on their order
+_UNIT = 1 << 20
 _SALT = mix(np.arange(1, SUBSETS + 1)) | np.uint64(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _FLUSH = 2_000_000
@@ -44,8 +51,33 @@ def distinct_terms(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return hashes, pairs // max(1, len(names)), pairs % max(1, len(names))
 
 
-def document_frequencies(documents: DataFrame) -> DataFrame:
-    """term (hash) and df of all documents; counted per task before the shuffle."""
+def sketches(hashes: np.ndarray, docs: np.ndarray, terms: np.ndarray, n: int) -> np.ndarray:
+    """A hash of the SKETCH least hashes of each text's terms, 0 for texts without any; pairs are sorted by text."""
+    out = np.zeros(n, np.uint64)
+    if len(docs):
+        first = np.flatnonzero(np.append(True, docs[1:] != docs[:-1]))
+        total = np.zeros(len(first), np.uint64)
+        with np.errstate(over="ignore"):
+            for s in range(SKETCH):
+                total = mix(total + np.minimum.reduceat(mix(hashes ^ _SALT[s])[terms], first))
+        out[docs[first]] = total
+    return out.view(np.int64)
+
+
+def hot_sketches(documents: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sketches of more than 1 in HOT documents (fewer than HOT, sorted) and how many documents have each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in slices(batches):
+            yield pa.record_batch({"sketch": pa.array(sketches(*distinct_terms(rows["text"]), rows.num_rows))})
+
+    counts = in_arrow(documents.select("text"), run, "sketch long").where("sketch != 0").groupBy("sketch").count()
+    hot = counts.where((F.col("count") > max(1, n / HOT))).toPandas().sort_values("sketch")
+    return hot["sketch"].to_numpy(np.int64), hot["count"].to_numpy(np.int64)
+
+
+def document_frequencies(documents: DataFrame, hot: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """term (hash) and df in _UNITs of all documents, those of a hot sketch as one; counted per task before the shuffle."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -57,8 +89,13 @@ def document_frequencies(documents: DataFrame) -> DataFrame:
             return pa.record_batch({"term": pa.array(terms.view(np.int64)), "df": pa.array(df)})
 
         for rows in slices(batches):
-            hashes, _, terms = distinct_terms(rows["text"])
-            held.append((hashes, np.bincount(terms, minlength=len(hashes))))
+            hashes, docs, terms = distinct_terms(rows["text"])
+            weights = np.full(rows.num_rows, _UNIT, np.int64)
+            if len(hot[0]):
+                mine = sketches(hashes, docs, terms, rows.num_rows)
+                place = np.minimum(np.searchsorted(hot[0], mine), len(hot[0]) - 1)
+                weights = np.where(hot[0][place] == mine, np.maximum(_UNIT // hot[1][place], 1), weights)
+            held.append((hashes, np.bincount(terms, weights[docs], len(hashes))))
             if sum(len(h) for h, _ in held) > _FLUSH:
                 yield ready()
         if held:
@@ -71,8 +108,10 @@ def document_frequencies(documents: DataFrame) -> DataFrame:
 def lexicon(documents: DataFrame, band: tuple[float, float] = BAND) -> np.ndarray:
     """Sorted hashes of the terms in the band; all documents are counted."""
     n = documents.count()
-    idf = F.log(F.lit(float(max(n, 1))) / F.col("df"))
-    terms = document_frequencies(documents).where((idf >= band[0]) & (idf <= band[1])).select("term").toPandas()["term"]
+    hot = hot_sketches(documents, n)
+    distinct = n - int(hot[1].sum()) + len(hot[1])
+    idf = F.log(F.lit(float(max(distinct, 1)) * _UNIT) / F.col("df"))
+    terms = document_frequencies(documents, hot).where((idf >= band[0]) & (idf <= band[1])).select("term").toPandas()["term"]
     return np.sort(terms.to_numpy(np.int64).view(np.uint64))
 
 
