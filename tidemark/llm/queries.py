@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import workspace
-from tidemark.llm import chaining, gru_lm, imatch, kd_shards, lexical_packing, parity_join, token_store, toxicity, va_file, viterbi
+from tidemark.llm import chaining, gru_lm, imatch, kd_shards, lexical_packing, merkle, parity_join, token_store, toxicity, va_file, viterbi
 from tidemark.llm.common import table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -72,12 +72,65 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (~toxic_training()).alias("held_out"), "score", "predicted")
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_va_file": OP9_SQL}
+    return {"op9_va_file": OP9_SQL, "op11_merkle": op11_sql()}
+
+
+def op11_sql(levels: int = 5) -> str:
+    """The manifest in SQL, for trees of up to 16^levels nodes: every level is a table of its own."""
+    field = "coalesce(octet_length(encode(CAST({0} AS VARCHAR))) || ':' || CAST({0} AS VARCHAR), '-')".format
+    fields = [field(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    bits = "list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), "
+    bits += "lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))), "
+    bits += "lambda s, x: CASE WHEN x >= 0 THEN xor(s, x) ELSE xor(s >> 1, 3988292384 * (s & 1)) END)"
+    steps = [
+        f"""leaf AS (
+  SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place, leaf,
+    CASE WHEN xor({bits}, 4294967295) % 5 = 0 THEN sha256({" || ".join(fields)} || {field(lowered)}) ELSE leaf END AS changed
+  FROM (SELECT *, sha256({" || ".join(fields)} || {field("text")}) AS leaf FROM documents)
+)""",
+        "a0 AS (SELECT source AS tree, place, leaf AS node FROM leaf)",
+    ]
+    for name in "ab":
+        if name == "b":
+            steps.append(f"b0 AS (SELECT 0 AS tree, row_number() OVER (ORDER BY tree NULLS FIRST) - 1 AS place, node, tree AS source FROM a{levels})")
+        for k in range(levels):
+            steps.append(
+                f"""{name}{k + 1}r AS (
+  SELECT tree, place // 16 AS place, list(node ORDER BY place) AS run, any_value(nodes) AS nodes
+  FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS nodes FROM {name}{k}) GROUP BY tree, place // 16
+), {name}{k + 1} AS (
+  SELECT tree, place, CASE WHEN nodes = 1 THEN run[1] ELSE sha256(array_to_string(run, '')) END AS node FROM {name}{k + 1}r
+)"""
+            )
+    steps.append("f0 AS (SELECT *, place AS pos, changed AS node, '' AS proof FROM leaf)")
+    before, after = "array_to_string(r.run[:pos % 16], '')", "array_to_string(r.run[pos % 16 + 2:], '')"
+    for k in range(2 * levels):
+        rows, runs, tree = f"f{k}", f"a{k + 1}r", "f.source"
+        if k == levels:
+            steps.append(f"g AS (SELECT f.* EXCLUDE (pos), b.place AS pos FROM f{k} f JOIN b0 b ON f.source IS NOT DISTINCT FROM b.source)")
+        if k >= levels:
+            rows, runs, tree = "g" if k == levels else rows, f"b{k + 1 - levels}r", "0"
+        steps.append(
+            f"""f{k + 1} AS (
+  SELECT f.* EXCLUDE (pos, node, proof), f.pos // 16 AS pos,
+    CASE WHEN nodes = 1 THEN node ELSE sha256({before} || node || {after}) END AS node,
+    CASE WHEN nodes = 1 THEN proof ELSE proof || {before} || {after} END AS proof
+  FROM {rows} f JOIN {runs} r ON r.tree IS NOT DISTINCT FROM {tree} AND r.place = f.pos // 16
+)"""
+        )
+    return f"""WITH {", ".join(steps)}
+SELECT f.doc_id, f.leaf, s.node AS subroot, t.node AS root, sha256(f.proof) AS proof_sha256, f.node AS folded_root, f.node = t.node AS verified
+FROM f{2 * levels} f JOIN a{levels} s ON f.source IS NOT DISTINCT FROM s.tree CROSS JOIN b{levels} t"""
 
 
 OP9_SQL = """
