@@ -229,7 +229,7 @@ def _down(levels: list[DataFrame], tops: DataFrame) -> DataFrame:
     for lower in levels[-2::-1]:
         subroots = tops.select("tree", "subroot")
         over = keep(paths(above.drop("subroot")).drop("digest"), "paths").withColumnRenamed("place", "block")
-        above = lower.join(over, ["tree", "block"]).join(subroots, "tree")
+        above = lower.join(over.hint("merge"), ["tree", "block"]).join(subroots, "tree")
     return above
 
 
