@@ -153,15 +153,20 @@ class Side:
         self.starts = self.ends - tokenizer.lengths()[self.ids]
         self.joined = tokenizer.spelled.take(pa.array(self.ids))
 
-    def spells(self, text: bytes, doc: int) -> bool:
-        """Whether the tokens of a document, joined, are these bytes."""
-        return b"".join(self.joined.slice(self.begins[doc], self.begins[doc + 1] - self.begins[doc]).to_pylist()) == text
-
-    def spells_all(self, texts: pa.Array) -> bool:
-        length = np.diff(np.concatenate([[0], self.ends])[self.begins])
-        if not np.array_equal(length, pc.binary_length(texts).to_numpy(zero_copy_only=False)):
-            return False
-        return pc.binary_join(pa.array([self.joined.to_pylist()], pa.list_(pa.binary())), b"")[0].as_py() == "".join(texts.to_pylist()).encode()
+    def spelled(self) -> np.ndarray:
+        """The bytes of all tokens in a row."""
+        offsets = np.frombuffer(self.joined.buffers()[1], np.int32, len(self.joined) + 1)
+        return np.frombuffer(self.joined.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+
+    def spells(self, texts: pa.Array) -> np.ndarray:
+        """For each document whether its tokens, joined, are its text."""
+        at = np.concatenate([[0], self.ends])[self.begins]
+        offsets = np.frombuffer(texts.buffers()[1], np.int32, len(texts) + 1)
+        made, wanted = self.spelled(), np.frombuffer(texts.buffers()[2], np.uint8)
+        if np.array_equal(at, offsets) and np.array_equal(made, wanted[: len(made)]):
+            return np.ones(len(texts), bool)
+        pairs = zip(at[:-1], at[1:], offsets[:-1], offsets[1:])
+        return np.array([np.array_equal(made[i:j], wanted[k:m]) for i, j, k, m in pairs], bool)
 
 
 def covering(left: Side, right: Side) -> np.ndarray:
@@ -204,9 +209,9 @@ def _written(a: Side, b: Side, numbers: pa.Array) -> tuple[np.ndarray, list[str]
     return counts, hashes
 
 
-def _aligned(texts: pa.Array, a: Tokens, b: Tokens, numbers: pa.Array) -> dict[str, np.ndarray | list]:
+def _aligned(left: Side, right: Side, numbers: pa.Array) -> dict[str, np.ndarray | list]:
     """The columns of documents whose tokens of either side spell a space and the text."""
-    left, right = Side(a, texts), Side(b, texts)
+    size = len(left.begins) - 1
     first, second = overlaps(left, right)
     docs = left.docs[first]
     key = (docs * MOST_IDS + left.ids[first]) * MOST_IDS + right.ids[second]
@@ -216,9 +221,9 @@ def _aligned(texts: pa.Array, a: Tokens, b: Tokens, numbers: pa.Array) -> dict[s
         "n_a": np.diff(left.begins),
         "n_b": np.diff(right.begins),
         "n_groups": groups,
-        "n_links": np.bincount(docs, minlength=len(texts)),
+        "n_links": np.bincount(docs, minlength=size),
         "groups_sha256": hashes,
-        "pairs": np.bincount(key // MOST_IDS**2, minlength=len(texts)),
+        "pairs": np.bincount(key // MOST_IDS**2, minlength=size),
         "a": key // MOST_IDS % MOST_IDS,
         "b": key % MOST_IDS,
         "n": n,
@@ -238,12 +243,15 @@ def align(documents: DataFrame, byte_bpe: str, pieces: str) -> DataFrame:
         for rows in slices(batches, limit=ALIGNED_TOGETHER):
             texts = whole(rows["text"])
             chosen = np.flatnonzero(pc.binary_length(texts).to_numpy(zero_copy_only=False))
-            spelled = pc.binary_join_element_wise(" ", texts.take(pa.array(chosen)), "")
-            sides = [Side(t, texts.take(pa.array(chosen))) for t in (a, b)] if len(chosen) else []
-            if not all(s.spells_all(spelled) for s in sides):
-                same = [all(s.spells(t.encode(), k) for s in sides) for k, t in enumerate(spelled.to_pylist())]
-                chosen = chosen[np.array(same, bool)]
-            found = _aligned(texts.take(pa.array(chosen)), a, b, numbers) if len(chosen) else None
+            found = None
+            while len(chosen) and found is None:
+                some = texts.take(pa.array(chosen))
+                spelled = pc.binary_join_element_wise(" ", some, "")
+                sides = Side(a, some), Side(b, some)
+                same = sides[0].spells(spelled) & sides[1].spells(spelled)
+                if same.all():
+                    found = _aligned(*sides, numbers)
+                chosen = chosen[same]
             yield _batch(rows["doc_id"], chosen, found)
 
     columns = f"doc_id {key}, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, {_PAIRS}"
