@@ -19,6 +19,9 @@ from pyspark.sql import types as T
 from tidemark import workspace
 
 SLICE_BYTES = 4 << 20
+#: bytes of a batch that Spark hands to a Python worker; a session's own setting is kept if it is lower
+BATCH_BYTES = 8 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 _SHIPPED: set[str] = set()
 
 
@@ -51,6 +54,7 @@ def ship(spark: SparkSession) -> None:
 def in_arrow(rows: DataFrame, function: Callable, schema: str | T.StructType) -> DataFrame:
     """``mapInArrow`` with this package's code at hand on every executor; a task gives back its memory at its end."""
     ship(rows.sparkSession)
+    _bound_batches(rows.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from function(batches)
@@ -59,6 +63,13 @@ def in_arrow(rows: DataFrame, function: Callable, schema: str | T.StructType) ->
     return rows.mapInArrow(run, schema)
 
 
+def _bound_batches(spark: SparkSession) -> None:
+    """Batches are cut by bytes before they reach a worker: ten thousand rows of long texts would not fit beside each other."""
+    held = spark.conf.get(_BATCH_SETTING, None)
+    if held is None or not held.isdigit() or int(held) > BATCH_BYTES:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+
+
 def give_back() -> None:
     """Freed memory to the system: a worker lives on between tasks, and what it keeps others lack."""
     pa.default_memory_pool().release_unused()
