@@ -32,7 +32,7 @@ from tidemark.llm.common import coded, in_arrow, keep, slices, whole
 from tidemark.llm.encoding import REMEMBERED, byte_letters, encoder
 
 #: text aligned together
-ALIGNED_TOGETHER = 2 << 20
+ALIGNED_TOGETHER = 1 << 20
 #: pairs of ids, of the most documents, that every task gets: 16 bytes each
 HEAVY = 1 << 18
 #: ids of either side lie below this

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import workspace
-from tidemark.llm import alignment, chaining, gru_lm, imatch, kd_shards, lexical_packing, merkle, parity_join, token_store, toxicity, va_file, viterbi
+from tidemark.llm import alignment, chaining, gru_lm, imatch, kd_shards, lexical_packing, merkle, page_template, parity_join, token_store, toxicity, va_file, viterbi
 from tidemark.llm.common import table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -80,6 +80,10 @@ def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.alignments(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), public_tokenizers.path(PIECES))
 
 
+def op13_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_template.main_texts(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
