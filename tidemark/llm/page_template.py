@@ -87,8 +87,9 @@ def classes(pages: DataFrame) -> DataFrame:
     """Per host of enough pages: host, pages, and the tokens of classes of two or more with their class and first place."""
     hosts = pages.where("host is not null").groupBy("host").agg(F.count(F.lit(1)).alias("of_host")).where(F.col("of_host") >= LEAST_PAGES)
     sums = [F.sum(c).alias(c) for c in ("pages", "one", "two", "at")]
-    tokens = occurrences(pages).groupBy("host", "token", "text").agg(*sums).join(hosts, "host")
-    frequent = tokens.where(F.col("pages") >= F.col("of_host") * SUPPORT)
+    tokens = occurrences(pages).groupBy("host", "token", "text").agg(*sums)
+    # most tokens occur on one page: they go before hosts are joined
+    frequent = tokens.where(F.col("pages") >= LEAST_PAGES * SUPPORT).join(hosts, "host").where(F.col("pages") >= F.col("of_host") * SUPPORT)
     named = frequent.withColumn("class", F.xxhash64("one", "two", "pages"))
     named = named.withColumn("members", F.count(F.lit(1)).over(Window.partitionBy("host", "class"))).where("members > 1")
     # all tokens of a host here are at most 5/3 of those of a mean page
