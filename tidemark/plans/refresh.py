@@ -62,6 +62,7 @@ def refresh_any(
     linked: Mapping[str, str],
     others: Mapping[LakeTable, Callable[[DataFrame, DataFrame], DataFrame]],
     instant: str | None = None,
+    watch: Callable | None = None,
 ) -> Commit:
     """Like ``refresh``, and also after deletes in the fact and after changes of other sources.
 
@@ -70,10 +71,17 @@ def refresh_any(
     included, and fact rows). The derived rows of every touched fact row are made anew, and those that
     they were before and are no longer are deleted: rows of deleted lines, rows whose key changed, rows that
     lost what they refer to. Rows that could not be joined before appear when their source does.
+
+    ``watch`` is told of the old and the new images of touched rows before they are committed (see
+    ``tidemark.plans.aggregate.follow``).
     """
     markers = {table.spec.name: table.state().instant for table in (fact, *others)}
     if not target.exists():
-        return target.seed(build(fact.snapshot()), instant, unique_keys=True, read_up_to=markers)
+        commit = target.seed(build(fact.snapshot()), instant, unique_keys=True, read_up_to=markers)
+        if watch:
+            rows = target.snapshot()
+            watch(rows.limit(0), rows, {}, markers, lambda groups: _of_groups(rows, groups), instant)
+        return commit
     last = target.state()
     keys = list(fact.spec.keys)
     touched = []
@@ -88,9 +96,21 @@ def refresh_any(
         rows = fact.snapshot().join(touched_keys, keys, "left_semi")
         with staged(update(rows, False), "renewed") as (renewed, _):
             in_target = touched_keys.select(*[F.col(k).alias(linked[k]) for k in keys])
-            old = target.snapshot().drop(COMMIT_TIME, target.spec.delete_flag)
-            gone = old.join(in_target, [linked[k] for k in keys], "left_semi")
-            gone = gone.join(renewed, list(target.spec.keys), "left_anti").select(*renewed.columns)
+            stored = target.snapshot().drop(COMMIT_TIME, target.spec.delete_flag)
+            old = stored.join(in_target, [linked[k] for k in keys], "left_semi")
+            if watch:
+
+                def after(groups: DataFrame | None) -> DataFrame:
+                    stay = _of_groups(stored, groups).join(in_target, [linked[k] for k in keys], "left_anti")
+                    return stay.unionByName(_of_groups(renewed.select(*stay.columns), groups))
+
+                watch(old, renewed, last.read_up_to, markers, after, instant)
+            gone = old.join(renewed, list(target.spec.keys), "left_anti").select(*renewed.columns)
             flag = target.spec.delete_flag
             changes = renewed.withColumn(flag, F.lit(False)).unionByName(gone.withColumn(flag, F.lit(True)))
             return target.upsert(changes, instant, read_up_to=markers)
+
+
+def _of_groups(rows: DataFrame, groups: DataFrame | None) -> DataFrame:
+    """Rows of these groups; where groups hold partition columns, only their partitions are read."""
+    return rows if groups is None else rows.join(groups, groups.columns, "left_semi")

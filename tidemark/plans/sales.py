@@ -5,7 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.plans.aggregate import Aggregate
+
 MONEY = "decimal(18,2)"
+#: the same sales as a plan that follows changes
+SALES = Aggregate(
+    groups=("district_name", "order_date"),
+    count="n_lines",
+    sums={"sum_quantity": f"CAST(quantity AS {MONEY})", "sum_amount": f"CAST(amount AS {MONEY})"},
+    maxima={"max_amount": f"CAST(amount AS {MONEY})"},
+)
 
 
 def sales_by_district_and_day(order_lines: DataFrame) -> DataFrame:

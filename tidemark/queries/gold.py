@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.envelope import DELETED, full_load_envelope
+from tidemark.operators.merge import INCOMING_WINS
+from tidemark.plans.aggregate import current, follow
 from tidemark.plans.order_line import (
     RETAIL_LAYOUT,
     WAREHOUSE_LAYOUT,
@@ -18,9 +20,10 @@ from tidemark.plans.order_line import (
     table_spec,
 )
 from tidemark.plans.refresh import refresh, refresh_any
-from tidemark.plans.sales import sales_by_district_and_day
+from tidemark.plans.sales import SALES, sales_by_district_and_day
 from tidemark.queries import feeds
 from tidemark.queries.registry import load, query
+from tidemark.spec import TableSpec
 from tidemark.tables.lake_table import COMMIT_TIME, LakeTable
 from tidemark.workspace import new_folder
 
@@ -198,7 +201,11 @@ changed_orders AS (
 )
 def denorm_refresh_any(spark: SparkSession, folder: str) -> DataFrame:
     """Refreshed after deleted lines, late orders, orders of another customer and deleted orders."""
-    place = new_folder(spark, "refresh")
+    target = _refreshed_thrice(spark, folder, new_folder(spark, "refresh"))
+    return _day_as_text(target.snapshot().drop(target.spec.delete_flag, COMMIT_TIME))
+
+
+def _refreshed_thrice(spark: SparkSession, folder: str, place: str, watch=None) -> LakeTable:
     lines, orders = load(spark, folder, "lineitem"), load(spark, folder, "orders")
     fact = LakeTable(spark, f"{place}/lineitem", feeds.natural_line_spec())
     source = LakeTable(spark, f"{place}/orders", feeds.order_spec())
@@ -219,6 +226,7 @@ def denorm_refresh_any(spark: SparkSession, folder: str) -> DataFrame:
             {"l_orderkey": "o_id", "l_linenumber": "ol_number"},
             {source: touched},
             instant,
+            watch,
         )
 
     fact.seed(lines, feeds.SEED)
@@ -238,7 +246,7 @@ def denorm_refresh_any(spark: SparkSession, folder: str) -> DataFrame:
     )
     source.upsert(changes, feeds.SECOND)
     run(feeds.SECOND)
-    return _day_as_text(target.snapshot().drop(target.spec.delete_flag, COMMIT_TIME))
+    return target
 
 
 @query("""
@@ -257,3 +265,36 @@ GROUP BY n_name, strftime(o_orderdate, '%Y/%m/%d')""")
 def gold_sales_daily(spark: SparkSession, folder: str) -> DataFrame:
     """Sales per nation and day."""
     return sales_by_district_and_day(retail_order_lines(spark, folder))
+
+
+@query(
+    f"WITH {feeds.NATURAL_LINES_SQL}, kept AS (SELECT * FROM lines WHERE l_returnflag <> 'R'), {_CHANGED_ORDERS_SQL}"
+    + """
+SELECT n_name AS district_name, strftime(o_orderdate, '%Y/%m/%d') AS order_date, count(*) AS n_lines,
+       CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS sum_quantity,
+       CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS sum_amount,
+       CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS avg_amount,
+       max(l_extendedprice) AS max_amount
+FROM changed_orders
+JOIN customer ON o_custkey = c_custkey
+JOIN nation ON c_nationkey = n_nationkey
+JOIN region ON n_regionkey = r_regionkey
+JOIN kept ON o_orderkey = l_orderkey
+JOIN part ON l_partkey = p_partkey
+GROUP BY n_name, strftime(o_orderdate, '%Y/%m/%d')"""
+)
+def gold_sales_incremental(spark: SparkSession, folder: str) -> DataFrame:
+    """Sales per nation and day, kept current through deletes and changes of lines and orders by signed changes."""
+    place = new_folder(spark, "sales")
+    spec = TableSpec("gold.sales", keys=SALES.groups, ordering="as_of", policy=INCOMING_WINS)
+    sales = LakeTable(spark, f"{place}/sales", spec)
+    _refreshed_thrice(spark, folder, place, follow(sales, SALES))
+    amount = F.col("sum_amount").cast("double")
+    return current(sales).select(
+        *SALES.groups,
+        "n_lines",
+        F.col("sum_quantity").cast("double").alias("sum_quantity"),
+        amount.alias("sum_amount"),
+        (amount / F.col("n_lines")).alias("avg_amount"),
+        F.col("max_amount").cast("double").alias("max_amount"),
+    )
