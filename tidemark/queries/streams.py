@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,7 @@ from tidemark.operators.merge import INCOMING_WINS
 from tidemark.queries import feeds
 from tidemark.queries.merges import merged_table
 from tidemark.queries.registry import load, query
+from tidemark.sinks.closing import land_closed_stream
 from tidemark.sinks.landing import land_full_extract
 from tidemark.spec import TableSpec
 from tidemark.streaming.upsert import (
@@ -22,6 +24,7 @@ from tidemark.streaming.upsert import (
     run_once,
     seed_from_extract,
 )
+from tidemark.tables import storage
 from tidemark.tables.lake_table import LakeTable
 from tidemark.workspace import new_folder
 
@@ -210,3 +213,42 @@ def cdc_new_checkpoint(spark: SparkSession, folder: str) -> DataFrame:
     _land(feeds.batch(spark, folder, 2), place, 2)
     run_once(spark, [replace(_order_feed(place, full.schema), checkpoint=f"{place}/new_checkpoints")])
     return table.snapshot().select(*feeds.RESULT)
+
+
+_WAIT_SECONDS = 300
+
+
+@query("""
+SELECT event_id, user_id, event_type, value, props, date_trunc('milliseconds', ts) AS ts, strftime(ts, '%Y%m%d') AS day
+FROM events""")
+def cdc_landing_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Changes landed by a stream in bare day folders, in files that are closed by size or by time."""
+    place = new_folder(spark, "closing")
+    events = load(spark, folder, "events")
+    events.write.parquet(f"{place}/feed")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 64).parquet(f"{place}/feed")
+    wanted, landed = events.count(), f"{place}/landed"
+    query = land_closed_stream(
+        stream, landed, f"{place}/checkpoint", "ts", kilobytes=16, seconds=2, trigger={"processingTime": "1 second"}
+    )
+    try:
+        rows = _all_landed(spark, landed, wanted, query)
+    finally:
+        query.stop()
+    day = F.regexp_extract(F.col("_metadata.file_path"), r"/(\d{8})/[^/]+$", 1)
+    return rows.select("event_id", "user_id", "event_type", "value", "props", F.col("ts").cast("timestamp_ntz").alias("ts"), day.alias("day"))
+
+
+def _all_landed(spark: SparkSession, folder: str, wanted: int, query) -> DataFrame:
+    """Waits until all rows are in closed files: the last ones are closed by time."""
+    until = time.monotonic() + _WAIT_SECONDS
+    while True:
+        if storage.exists(spark, folder):
+            rows = spark.read.option("recursiveFileLookup", True).parquet(folder)
+            if rows.count() >= wanted:
+                return rows
+        if query.exception() is not None:
+            raise query.exception()
+        if time.monotonic() > until:
+            raise TimeoutError(f"rows are still waiting after {_WAIT_SECONDS} s")
+        time.sleep(0.5)
