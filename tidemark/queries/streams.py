@@ -14,7 +14,8 @@ from tidemark.queries import feeds
 from tidemark.queries.merges import merged_table
 from tidemark.queries.registry import load, query
 from tidemark.sinks.closing import land_closed_stream
-from tidemark.sinks.landing import land_full_extract
+from tidemark.sinks.expiry import expire_read_days as expire_behind
+from tidemark.sinks.landing import land_changes, land_full_extract
 from tidemark.spec import TableSpec
 from tidemark.streaming.upsert import (
     INCREMENTAL_STAGE,
@@ -215,6 +216,32 @@ def cdc_new_checkpoint(spark: SparkSession, folder: str) -> DataFrame:
     return table.snapshot().select(*feeds.RESULT)
 
 
+_LAG_DAYS = 12
+
+
+@query(f"""
+SELECT event_id, user_id, date_trunc('milliseconds', ts) AS ts FROM events
+WHERE ts >= (SELECT date_trunc('day', max(ts)) FROM events) - INTERVAL {_LAG_DAYS} DAY""")
+def expire_read_days(spark: SparkSession, folder: str) -> DataFrame:
+    """Of two streams one has not read the last days yet: days before those go, though all are older than is kept."""
+    place = new_folder(spark, "expiry")
+    events = load(spark, folder, "events").select("event_id", "user_id", "ts")
+    first_late = F.date_trunc("day", F.lit(events.agg(F.max("ts")).first()[0])).cast("timestamp_ntz") - F.expr(f"INTERVAL {_LAG_DAYS} DAYS")
+    feed = f"{place}/feed"
+
+    def read(name: str) -> None:
+        rows = spark.readStream.schema(events.schema).option("recursiveFileLookup", True).parquet(feed)
+        sink = rows.writeStream.format("parquet").option("checkpointLocation", f"{place}/{name}/checkpoint")
+        sink.trigger(availableNow=True).start(f"{place}/{name}/out").awaitTermination()
+
+    land_changes(events.where(F.col("ts") < first_late), feed, "ts")
+    read("lagging")
+    land_changes(events.where(F.col("ts") >= first_late), feed, "ts")
+    read("prompt")
+    expire_behind(spark, feed, [f"{place}/lagging/checkpoint", f"{place}/prompt/checkpoint"], kept_days=0)
+    return spark.read.parquet(feed).select("event_id", "user_id", "ts")
+
+
 _WAIT_SECONDS = 300
 
 

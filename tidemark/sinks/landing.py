@@ -64,7 +64,7 @@ def land_change_stream(
     )
 
 
-def _days(spark: SparkSession, folder: str) -> dict[str, str]:
+def days_of(spark: SparkSession, folder: str) -> dict[str, str]:
     """Day digits of the day folders, ``dt=<day>`` as landed here or the bare day as other feeds land it.
 
     Folders of undated rows, and any others, are no day folders.
@@ -73,28 +73,31 @@ def _days(spark: SparkSession, folder: str) -> dict[str, str]:
     return {d: digits for d, digits in names.items() if re.fullmatch(r"\d{8}", digits)}
 
 
-def last_day(spark: SparkSession, folder: str) -> date:
-    """The newest day that holds change files, from the folder names."""
-    return datetime.strptime(max(_days(spark, folder).values()), DAY_DIGITS).date()
+def last_day(spark: SparkSession, folder: str) -> date | None:
+    """The newest day that holds change files, from the folder names; None for an empty feed."""
+    newest = max(days_of(spark, folder).values(), default=None)
+    return datetime.strptime(newest, DAY_DIGITS).date() if newest else None
 
 
-def _oldest_kept(last: date, kept_days: int) -> str:
+def oldest_kept(last: date, kept_days: int) -> str:
     return (last - timedelta(days=kept_days)).strftime(DAY_DIGITS)
 
 
-def unexpired(rows: DataFrame, last: date, kept_days: int = KEPT_DAYS) -> DataFrame:
+def unexpired(rows: DataFrame, last: date | None, kept_days: int = KEPT_DAYS) -> DataFrame:
     """Change rows of the days that are still kept: a filter on the day folder, so older folders are not read.
 
-    Undated rows are kept: nothing says that they are old.
+    Undated rows are kept: nothing says that they are old. Without a last day (an empty feed) nothing expires.
     """
+    if last is None:
+        return rows
     day = F.col(DAY_FOLDER)
-    return rows.where(day.isNull() | (day >= _oldest_kept(last, kept_days)))
+    return rows.where(day.isNull() | (day >= oldest_kept(last, kept_days)))
 
 
 def expire_changes(spark: SparkSession, folder: str, last: date, kept_days: int = KEPT_DAYS) -> list[str]:
     """Delete the day folders that are no longer kept."""
-    oldest = _oldest_kept(last, kept_days)
-    expired = sorted(d for d, digits in _days(spark, folder).items() if digits < oldest)
+    oldest = oldest_kept(last, kept_days)
+    expired = sorted(d for d, digits in days_of(spark, folder).items() if digits < oldest)
     for day in expired:
         storage.delete(spark, f"{folder}/{day}")
     return expired
