@@ -28,6 +28,7 @@ from tidemark.sources.raw_zone import (
     register,
     with_provenance,
 )
+from tidemark.sources.schemas import read_merged
 from tidemark.workspace import new_folder
 
 _SLICES = 16
@@ -229,6 +230,46 @@ def bronze_discovery(spark: SparkSession, folder: str) -> DataFrame:
     return reduce(DataFrame.unionByName, sizes)
 
 
+@query("""
+WITH days AS (
+  SELECT o_orderkey, o_orderstatus, CAST(o_custkey AS DECIMAL(20,0)) AS customer, CAST(NULL AS VARCHAR) AS note,
+         CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS seen, CAST(o_orderkey AS VARCHAR) AS mark
+  FROM orders WHERE o_orderstatus = 'F'
+  UNION ALL
+  SELECT o_orderkey, NULL, o_custkey, o_orderpriority, o_orderdate, o_orderpriority FROM orders WHERE o_orderstatus = 'O'
+  UNION ALL
+  SELECT o_orderkey, o_orderstatus, o_custkey, NULL, o_orderdate, NULL FROM orders WHERE o_orderstatus = 'P'
+)
+SELECT 'incr_shop_public_orders' AS table_name,
+       'o_orderkey:bigint o_orderstatus:string customer:decimal(20,0) seen:timestamp_ntz mark:string note:string' AS columns,
+       o_orderkey, o_orderstatus, CAST(customer AS BIGINT) AS customer, note, seen, mark
+FROM days""")
+def discover_merged_schema(spark: SparkSession, folder: str) -> DataFrame:
+    """A table whose days gained and lost columns and widened types: its common schema, and its rows under that schema."""
+    root = new_folder(spark, "raw")
+    place = raw_folder(root, INCREMENTAL, "shop/public/orders")
+    orders, key, customer = load(spark, folder, "orders"), F.col("o_orderkey"), F.col("o_custkey")
+    status, day, seen = F.col("o_orderstatus"), F.col("o_orderdate").cast("date"), F.col("o_orderdate")
+    first = orders.where(status == "F").select(key.cast("int"), status, customer.cast("int").alias("customer"), day.alias("seen"), key.cast("int").alias("mark"))
+    second = orders.where(status == "O").select(key, customer.alias("customer"), seen.alias("seen"), F.col("o_orderpriority").alias("mark"), F.col("o_orderpriority").alias("note"))
+    third = orders.where(status == "P").select(key, status, customer.cast("decimal(12,0)").alias("customer"), seen.alias("seen"))
+    for name, rows in (("20240101", first), ("20240102", second), ("20240103", third)):
+        rows.write.parquet(f"{place}/{name}")
+    (found,) = discover(spark, root, INCREMENTAL, merge_files=1000)
+    kinds = " ".join(f"{f.name}:{f.dataType.simpleString()}" for f in found.schema)
+    rows = read_merged(spark, found.folder)
+    return rows.select(
+        F.lit(found.name).alias("table_name"),
+        F.lit(kinds).alias("columns"),
+        "o_orderkey",
+        "o_orderstatus",
+        F.col("customer").cast("bigint").alias("customer"),
+        "note",
+        "seen",
+        "mark",
+    )
+
+
 @query("""
 WITH broken AS (
   SELECT CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE o_orderkey END AS o_orderkey,

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.sources.schemas import merged_schema
 from tidemark.tables import storage
 
 # Zones, catalog prefixes and folders left out of discovery.
@@ -78,11 +79,14 @@ class RawTable:
     schema: T.StructType
 
 
-def discover(spark: SparkSession, root: str, zone: str, pattern: str = "%") -> list[RawTable]:
+def discover(
+    spark: SparkSession, root: str, zone: str, pattern: str = "%", merge_files: int | None = None
+) -> list[RawTable]:
     """One table per ``<database>/<schema>/<table>`` folder of a zone, its schema from its newest file's footer.
 
     Only folder names and one footer per table are read; marker files and control tables are skipped. Folders
-    without a file are no tables.
+    without a file are no tables. With ``merge_files``, the schema is the common one of that many files, from the first to the
+    last.
     """
     base = f"{root.rstrip('/')}/{zone}"
     found = []
@@ -96,7 +100,8 @@ def discover(spark: SparkSession, root: str, zone: str, pattern: str = "%") -> l
                     newest = _last_file(spark, folder)
                     if newest:
                         name = f"{PREFIXES[zone]}{database}_{schema}_{table}"
-                        found.append(RawTable(name, folder, zone, spark.read.parquet(newest).schema))
+                        kinds = merged_schema(spark, folder, merge_files) if merge_files else spark.read.parquet(newest).schema
+                        found.append(RawTable(name, folder, zone, kinds))
     return found
 
 
