@@ -19,7 +19,8 @@ from tidemark.queries.registry import load, query
 from tidemark.sinks.landing import land_full_extract
 from tidemark.spec import TableType
 from tidemark.streaming.upsert import seed_from_extract
-from tidemark.tables.catalog import create_database, lineage, set_lineage, sync_table
+from tidemark.tables.catalog import create_database, lineage, set_lineage, store_lineage, sync_table
+from tidemark.tables.day_folders import SLASH_PATTERN, publish_days, write_days
 from tidemark.tables.lake_table import COMMIT_TIME, VERSION, LakeTable
 from tidemark.workspace import new_folder, shared_root
 
@@ -205,3 +206,38 @@ def clean_versions(spark: SparkSession, folder: str) -> DataFrame:
     return table.snapshot().groupBy(COMMIT_TIME).agg(
         F.count(F.lit(1)).alias("n_rows"), F.lit(left).alias("n_stale_folders")
     )
+
+
+@query("""
+SELECT strftime(ts, '%Y/%m/%d') AS order_date, event_id, user_id,
+       CASE WHEN dayofmonth(ts) % 2 = 0 THEN value + 1 ELSE value END AS value
+FROM events""")
+def slash_day_partitions(spark: SparkSession, folder: str) -> DataFrame:
+    """Days in plain yyyy/MM/dd folders, half of them written anew and moved in place, read through the catalog."""
+    place = new_folder(spark, "days")
+    day = F.date_format("ts", SLASH_PATTERN).alias("order_date")
+    events = load(spark, folder, "events").select("event_id", "user_id", "value", "ts", day)
+    table = f"`{raw_database(spark, place)}`.`events_by_day`"
+    schema = "event_id BIGINT, user_id BIGINT, value DOUBLE"
+    first = write_days(events.drop("ts"), f"{place}/first", "order_date")
+    publish_days(spark, table, schema, "order_date", first, place)
+    changed = events.where(F.dayofmonth("ts") % 2 == 0).withColumn("value", F.col("value") + 1)
+    publish_days(spark, table, schema, "order_date", write_days(changed.drop("ts"), f"{place}/second", "order_date"), place)
+    return spark.table(table).select("order_date", "event_id", "user_id", "value")
+
+
+@query("""
+SELECT unnest(['customer', 'lineitem', 'nation', 'orders', 'part', 'region']) AS source, count(*) AS n_rows
+FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+JOIN region ON n_regionkey = r_regionkey JOIN lineitem ON o_orderkey = l_orderkey JOIN part ON l_partkey = p_partkey""")
+def lineage_from_plan(spark: SparkSession, folder: str) -> DataFrame:
+    """The six sources of the denormalized order line, found in its plan, stored on the table and read back."""
+    place = new_folder(spark, "lineage")
+    rows = retail_order_lines(spark, folder)
+    table = f"`{raw_database(spark, place)}`.`order_line_dn`"
+    rows.write.parquet(f"{place}/rows")
+    spark.read.parquet(f"{place}/rows").limit(0).write.option("path", f"{place}/table").saveAsTable(table)
+    store_lineage(spark, table, rows)
+    names = [source.rsplit("/", 1)[-1].removesuffix(".parquet") for source in lineage(spark, table)]
+    sources = spark.createDataFrame([(n,) for n in names], "source string")
+    return sources.crossJoin(F.broadcast(spark.read.parquet(f"{place}/rows").agg(F.count(F.lit(1)).alias("n_rows"))))

@@ -120,9 +120,27 @@ def _cast(schema: T.StructType, target: T.StructType) -> list[Column]:
         found = mine.get(field.name.lower())
         if found is None:
             return F.lit(None).cast(field.dataType).alias(field.name)
-        value = F.col(f"`{found.name}`")
-        if isinstance(field.dataType, T.StringType) and isinstance(found.dataType, (T.StructType, T.ArrayType, T.MapType)):
-            value = F.to_json(value)
-        return value.cast(field.dataType).alias(field.name)
+        return _converted(F.col(f"`{found.name}`"), found.dataType, field.dataType).alias(field.name)
 
     return [column(f) for f in target]
+
+
+def _converted(value: Column, found: T.DataType, target: T.DataType) -> Column:
+    """A value under a wider type; fields that a struct lacks are NULL."""
+    if found == target:
+        return value
+    if isinstance(target, T.StringType) and isinstance(found, (T.StructType, T.ArrayType, T.MapType)):
+        return F.to_json(value)
+    if isinstance(target, T.StructType):
+        mine = {f.name.lower(): f for f in found}
+        fields = []
+        for field in target:
+            known = mine.get(field.name.lower())
+            part = F.lit(None).cast(field.dataType) if known is None else _converted(value.getField(known.name), known.dataType, field.dataType)
+            fields.append(part.alias(field.name))
+        return F.when(value.isNotNull(), F.struct(*fields))
+    if isinstance(target, T.ArrayType):
+        return F.transform(value, lambda v: _converted(v, found.elementType, target.elementType))
+    if isinstance(target, T.MapType):
+        return F.transform_values(value, lambda _, v: _converted(v, found.valueType, target.valueType))
+    return value.cast(target)

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Sequence
+from collections.abc import Collection, Iterable, Mapping, Sequence
 from itertools import islice
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.tables.lake_table import BASE, VERSION, LakeTable
 
@@ -83,23 +83,28 @@ def _sync_partitions(table: LakeTable, files: str, state) -> None:
     synced = int(properties.get("tidemark.commit", "0"))
     before = table.log.read(synced).parts if synced in table.log.numbers() else {}
     # without the commit of the last sync (cleaned or never synced), every partition is set again
-    gone = set(before) - set(state.parts)
-    moved = [n for n, p in state.parts.items() if p.base and (n not in before or before[n].base != p.base)]
-    stale = gone | {n for n in moved if n in before}
+    known = set(before)
     if not before:
-        listed = [r["partition"] for r in spark.sql(f"SHOW PARTITIONS {files}").collect()]
-        stale = set(listed)
-    for chunk in _chunks(sorted(stale), _PER_STATEMENT):
+        known = {r["partition"] for r in spark.sql(f"SHOW PARTITIONS {files}").collect()}
+    moved = [n for n, p in state.parts.items() if p.base and (n not in before or before[n].base != p.base)]
+    places = {n: f"{table.path}/{BASE}/{VERSION}={state.parts[n].base}/{n}" for n in moved}
+    place_partitions(spark, files, {_partition_clause(spark, n): f for n, f in places.items()}, {_partition_clause(spark, n) for n in known})
+    for chunk in _chunks(sorted(known - set(state.parts)), _PER_STATEMENT):
         clauses = ", ".join(_partition_clause(spark, n) for n in chunk)
         spark.sql(f"ALTER TABLE {files} DROP IF EXISTS {clauses}")
-    for chunk in _chunks(moved, _PER_STATEMENT):
-        clauses = " ".join(
-            f"{_partition_clause(spark, n)} LOCATION '{table.path}/{BASE}/{VERSION}={state.parts[n].base}/{n}'" for n in chunk
-        )
-        spark.sql(f"ALTER TABLE {files} ADD IF NOT EXISTS {clauses}")
     spark.sql(f"ALTER TABLE {files} SET TBLPROPERTIES ('tidemark.commit' = '{state.number}')")
 
 
+def place_partitions(spark: SparkSession, table: str, places: Mapping[str, str], known: Collection[str]) -> None:
+    """Point partitions (by their clause) at folders. One that is known moves in place: no reader misses its rows."""
+    for chunk in _chunks([c for c in places if c not in known], _PER_STATEMENT):
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS " + " ".join(f"{c} LOCATION '{places[c]}'" for c in chunk))
+    for clause in places:
+        if clause in known:
+            spark.sql(f"ALTER TABLE {table} {clause} SET LOCATION '{places[clause]}'")
+    spark.catalog.refreshTable(table)
+
+
 def set_lineage(spark: SparkSession, table: str, sources: Sequence[str]) -> None:
     """Store the list of source tables on a derived table."""
     value = json.dumps({SOURCE_TABLES: list(sources)}).replace("'", "\\'")
@@ -109,3 +114,33 @@ def set_lineage(spark: SparkSession, table: str, sources: Sequence[str]) -> None
 def lineage(spark: SparkSession, table: str) -> list[str]:
     properties = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
     return json.loads(properties[LINEAGE])[SOURCE_TABLES] if LINEAGE in properties else []
+
+
+def lineage_of(rows: DataFrame) -> list[str]:
+    """The sources of a result, from the leaves of its analyzed plan: catalog tables by name, files by their folder.
+
+    Views and temporary views are followed to what they read; folders of one data set are named once.
+    """
+    leaves = rows._jdf.queryExecution().analyzed().collectLeaves()
+    found = set()
+    for k in range(leaves.size()):
+        leaf = leaves.apply(k)
+        if leaf.getClass().getSimpleName() == "LogicalRelation":
+            table, relation = leaf.catalogTable(), leaf.relation()
+            if table.isDefined():
+                found.add(table.get().identifier().unquotedString())
+            elif relation.getClass().getSimpleName() == "HadoopFsRelation":
+                paths = relation.location().rootPaths()
+                found |= {paths.apply(i).toUri().getPath() for i in range(paths.size())}
+            elif relation.getClass().getSimpleName() == "JDBCRelation":
+                found.add(relation.jdbcOptions().tableOrQuery())
+        elif leaf.getClass().getSimpleName() == "HiveTableRelation":
+            found.add(leaf.tableMeta().identifier().unquotedString())
+    return sorted(found)
+
+
+def store_lineage(spark: SparkSession, table: str, rows: DataFrame) -> list[str]:
+    """Store the sources of ``rows``, from which a derived table is made, on that table."""
+    sources = lineage_of(rows)
+    set_lineage(spark, table, sources)
+    return sources
