@@ -173,3 +173,17 @@ def broadcast_limit(spark: SparkSession) -> int:
     if text[-1] in units:
         return int(text[:-1]) * units[text[-1]]
     return int(text)
+
+
+def touched_rows(stored: DataFrame, changes: DataFrame, partition_by: Sequence[str], small_batch: bool) -> DataFrame:
+    """Stored rows of the partitions that a batch names; other partitions are not read.
+
+    The partitions come from the batch while the job runs (dynamic pruning of the scan by the broadcast partition
+    values), so no list of them passes the driver. ``small_batch`` says that the size of ``changes`` was checked; of a
+    larger batch the distinct partition values are joined as their size allows.
+    """
+    by = list(partition_by)
+    # Spark prunes only by sides that it takes for selective; a comparison makes this one so
+    counted = changes.groupBy(*map(_quoted, by)).agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 0").drop("_rows")
+    values = counted.where(" AND ".join(f"{_quoted(c)} IS NOT NULL" for c in by))
+    return stored.join(F.broadcast(values) if small_batch else values, by, "left_semi")

@@ -24,7 +24,11 @@ def split(
     rows: DataFrame, keys: Sequence[str], ordering: str, casts: Mapping[str, str] | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(good rows with their casts applied, set-aside rows as they came, with the reason)."""
-    judged = rows.withColumn(REASON, reason(keys, ordering, casts))
+    return parted(rows.withColumn(REASON, reason(keys, ordering, casts)), casts)
+
+
+def parted(judged: DataFrame, casts: Mapping[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """The same two for rows that carry their reason."""
     good = judged.where(F.col(REASON).isNull()).drop(REASON)
     good = good.withColumns({c: F.col(c).try_cast(kind) for c, kind in (casts or {}).items()})
     return good, judged.where(F.col(REASON).isNotNull())
@@ -36,6 +40,9 @@ def refuse_above(
     """Stop when more than ``share`` of a batch would be set aside: the table is suspended, not half merged."""
     if share >= 1:
         return
-    total, bad = rows.agg(F.count(F.lit(1)), F.count(reason(keys, ordering, casts))).first()
+    refuse_share(*rows.agg(F.count(F.lit(1)), F.count(reason(keys, ordering, casts))).first(), share)
+
+
+def refuse_share(total: int, bad: int, share: float) -> None:
     if total and bad / total > share:
         raise ValueError(f"{bad} of {total} rows are set aside, more than {share:.1%} of the batch")

@@ -7,9 +7,10 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.envelope import DELETED, full_load_envelope
+from tidemark.functions.envelope import DELETED, TIME_PATTERN, full_load_envelope
 from tidemark.operators.merge import INCOMING_WINS
 from tidemark.plans.aggregate import current, follow
+from tidemark.plans.bucketed import denormalize_bucketed, save_bucketed
 from tidemark.plans.order_line import (
     RETAIL_LAYOUT,
     WAREHOUSE_LAYOUT,
@@ -23,11 +24,23 @@ from tidemark.plans.refresh import refresh, refresh_any
 from tidemark.plans.sales import SALES, sales_by_district_and_day
 from tidemark.queries import feeds
 from tidemark.queries.registry import load, query
+from tidemark.sources.footers import extremes
 from tidemark.spec import TableSpec
+from tidemark.tables.catalog import create_database
 from tidemark.tables.lake_table import COMMIT_TIME, LakeTable
 from tidemark.workspace import new_folder
 
 
+_BUCKETS = 16
+
+
+def raw_database(spark: SparkSession, root: str) -> str:
+    """A database of its own for the tables below one folder."""
+    name = f"tidemark_{root.rsplit('/', 1)[-1].replace('-', '_')}"
+    create_database(spark, name, f"{root}.db")
+    return name
+
+
 def _retail_sources(spark: SparkSession, folder: str, lines: DataFrame) -> Sources:
     roles = {"orders": "orders", "customer": "customer", "district": "nation", "warehouse": "region", "item": "part"}
     return Sources(order_line=lines, **{role: load(spark, folder, name) for role, name in roles.items()})
@@ -298,3 +311,32 @@ def gold_sales_incremental(spark: SparkSession, folder: str) -> DataFrame:
         (amount / F.col("n_lines")).alias("avg_amount"),
         F.col("max_amount").cast("double").alias("max_amount"),
     )
+
+
+@query(_denorm_sql("lineitem", "'2024-01-01'"))
+def denorm_bucketed(spark: SparkSession, folder: str) -> DataFrame:
+    """The denormalized order line from fact tables in buckets of the order's key, which meet without a shuffle."""
+    place = new_folder(spark, "bucketed")
+    database = raw_database(spark, place)
+    lines = load(spark, folder, "lineitem").withColumn(COMMIT_TIME, F.lit(feeds.SEED))
+    lines = save_bucketed(lines, f"{database}.lines", f"{place}/lines", ["l_orderkey"], _BUCKETS)
+    orders = save_bucketed(load(spark, folder, "orders"), f"{database}.orders", f"{place}/orders", ["o_orderkey"], _BUCKETS)
+    sources = replace(_retail_sources(spark, folder, lines), orders=orders)
+    return _day_as_text(denormalize_bucketed(sources, RETAIL_LAYOUT))
+
+
+@query("""
+SELECT count(*) AS n_rows, strftime(max(CAST(o_orderdate AS DATE)), '%Y%m%d%H%M%S') AS last_day,
+       min(o_orderkey) AS least_key, max(o_orderkey) AS greatest_key
+FROM orders""")
+def max_from_footers(spark: SparkSession, folder: str) -> DataFrame:
+    """The last day, the range of keys and the number of rows of a table, from the footers of its files."""
+    place = new_folder(spark, "footers")
+    load(spark, folder, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("day")).write.parquet(place)
+    found = extremes(spark, place, ["o_orderkey", "day"])
+    return found.select(
+        "n_rows",
+        F.date_format("greatest_day", TIME_PATTERN).alias("last_day"),
+        F.col("least_o_orderkey").alias("least_key"),
+        F.col("greatest_o_orderkey").alias("greatest_key"),
+    )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.envelope import SEQUENCE, UPDATE, change_envelope
-from tidemark.operators.merge import INCOMING_WINS
+from tidemark.operators.merge import INCOMING_WINS, merge, touched_rows
 from tidemark.operators.precombine import precombine
 from tidemark.queries import feeds
 from tidemark.queries.registry import load, query
@@ -179,3 +179,26 @@ def upsert_drifted_batch(spark: SparkSession, folder: str) -> DataFrame:
     nothing = [F.lit(None).cast(t).alias(c) for c, t in found[0].dtypes if c not in ("kind", "o_orderkey")]
     told = spark.range(1).select(F.lit("refused").alias("kind"), F.lit(refused).cast("long").alias("o_orderkey"), *nothing)
     return found[0].unionByName(found[1]).unionByName(told)
+
+
+@query(f"""
+WITH {feeds.FEED_SQL}, seeded AS (SELECT *, o_orderstatus AS part FROM changes WHERE batch = 0),
+arrived AS (SELECT *, 'P' AS part FROM changes WHERE batch = 2 AND "Op" = 'U' AND o_orderstatus = 'P'),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY trx_seq DESC) AS nth
+  FROM (SELECT * FROM seeded WHERE part = 'P' UNION ALL SELECT * FROM arrived))
+SELECT {feeds.RESULT_SQL} FROM ranked WHERE nth = 1""")
+def merge_dynamic_pruned(spark: SparkSession, folder: str) -> DataFrame:
+    """The partitions that a batch touches, merged with it: the scan is pruned by the batch while the job runs."""
+    place = new_folder(spark, "pruned")
+    feeds.batch(spark, folder, 0).write.partitionBy("o_orderstatus").parquet(f"{place}/stored")
+    late = feeds.batch(spark, folder, 2).where("Op = 'U' AND o_orderstatus = 'P'")
+    late.write.parquet(f"{place}/batch")
+    return pruned_merge(spark, f"{place}/stored", f"{place}/batch").select(*feeds.RESULT)
+
+
+def pruned_merge(spark: SparkSession, stored: str, batch: str) -> DataFrame:
+    changes, rows = spark.read.parquet(batch), spark.read.parquet(stored)
+    spec = feeds.order_spec(partition_by=("o_orderstatus",), stable_partition=True)
+    touched = touched_rows(rows.select(*changes.columns), changes, spec.partition_by, small_batch=True)
+    return merge(touched, precombine(changes, spec.keys, spec.ordering), spec.rule, small_batch=False)

@@ -25,6 +25,7 @@ from tidemark.streaming.upsert import (
     run_once,
     seed_from_extract,
 )
+from tidemark.streaming.watch import Watched
 from tidemark.tables import storage
 from tidemark.tables.lake_table import LakeTable
 from tidemark.workspace import new_folder
@@ -279,3 +280,30 @@ def _all_landed(spark: SparkSession, folder: str, wanted: int, query) -> DataFra
         if time.monotonic() > until:
             raise TimeoutError(f"rows are still waiting after {_WAIT_SECONDS} s")
         time.sleep(0.5)
+
+
+@query("""
+SELECT 'public.orders' AS table_name, 'running' AS state, 0 AS restarts, 0 AS failures, count(*) AS stored FROM orders
+UNION ALL
+SELECT 'public.customer', 'failed', 1, 2, 0""")
+def stream_status(spark: SparkSession, folder: str) -> DataFrame:
+    """Two watched streams: one table's changes lack keys, so it fails again after a restart; the other goes on."""
+    place = new_folder(spark, "watched")
+    orders = full_load_envelope(load(spark, folder, "orders").select(*feeds.COLUMNS), feeds.STARTED)
+    customers = full_load_envelope(load(spark, folder, "customer"), feeds.STARTED)
+    broken = customers.withColumn("c_custkey", F.when(F.col("c_custkey") % 2 == 0, F.col("c_custkey")))
+    spec = TableSpec("public.customer", keys=("c_custkey",))
+    orders.write.parquet(f"{place}/orders/changes")
+    broken.write.parquet(f"{place}/customer/changes")
+    watched = [_order_feed(f"{place}/orders", orders.schema), _order_feed(f"{place}/customer", broken.schema, spec=spec)]
+    with Watched(spark, watched, interval="1 second", most_restarts=1) as streams:
+        until = time.monotonic() + _WAIT_SECONDS
+        good, bad = (streams.statuses[f.spec.name] for f in watched)
+        while time.monotonic() < until and not (good.batches and bad.failures == 2):
+            streams.look()
+            time.sleep(0.3)
+        status = [(s.table_name, s.state, s.restarts, s.failures) for s in (good, bad)]
+    tables = [LakeTable(spark, f.table, f.spec) for f in watched]
+    stored = [t.snapshot().count() if t.exists() else 0 for t in tables]
+    rows = [(*s, n) for s, n in zip(status, stored)]
+    return spark.createDataFrame(rows, "table_name string, state string, restarts int, failures int, stored long")

@@ -13,7 +13,7 @@ from tidemark.plans.order_line import instant_day
 from tidemark.plans.refresh import last_instant
 from tidemark.plans.sales import sales_by_district_and_day
 from tidemark.queries import feeds
-from tidemark.queries.gold import retail_order_lines
+from tidemark.queries.gold import raw_database, retail_order_lines
 from tidemark.queries.merges import merged_table
 from tidemark.queries.registry import load, query
 from tidemark.sinks.landing import land_full_extract
@@ -32,13 +32,6 @@ def _database(spark: SparkSession) -> str:
     return DATABASE
 
 
-def raw_database(spark: SparkSession, root: str) -> str:
-    """A database of its own for the tables found below one raw zone."""
-    name = f"tidemark_{_unique(root)}"
-    create_database(spark, name, f"{root}.db")
-    return name
-
-
 def _unique(folder: str) -> str:
     return folder.rsplit("/", 1)[-1].replace("-", "_")
 

@@ -7,17 +7,19 @@ from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.quarantine import refuse_above, split
+from tidemark.operators.quarantine import REASON, parted, reason, refuse_share
 from tidemark.operators.schema import drift, drift_report
 from tidemark.operators.transform import transformed
 from tidemark.sources.raw_zone import read_extract, stream_changes
 from tidemark.spec import TableSpec
 from tidemark.tables import storage
 from tidemark.tables.lake_table import COMMIT_TIME, LakeTable
+from tidemark.workspace import staged
 
 # Stages that feed one table, each with its own checkpoint.
 SEED_STAGE, INCREMENTAL_STAGE, CONTINUOUS_STAGE = "seed", "incremental", "continuous"
@@ -95,12 +97,20 @@ def merge_batch(feed: Feed, stage: str) -> Callable[[DataFrame, int], None]:
             if drift(rows.schema, registered):
                 report = drift_report(rows, registered, feed.spec.name)
                 report.write.mode("overwrite").parquet(f"{feed.drift_reports}/{stage}_batch={number}")
+        source = (f"{stage}:{_checkpoint_id(spark, feed, stage)}:{feed.changes}", number)
         if feed.quarantine:
-            refuse_above(rows, feed.quarantine_share, feed.spec.keys, feed.spec.ordering)
-            rows, set_aside = split(rows, feed.spec.keys, feed.spec.ordering)
-            # the folder is named after the batch: a repeated batch overwrites its own rows
-            set_aside.write.mode("overwrite").parquet(f"{feed.quarantine}/{stage}_batch={number}")
-        table.upsert(rows, source=(f"{stage}:{_checkpoint_id(spark, feed, stage)}:{feed.changes}", number))
+            # the batch is read and judged once; its rows are counted as they are written
+            counts = Observation()
+            judged = rows.withColumn(REASON, reason(feed.spec.keys, feed.spec.ordering))
+            judged = judged.observe(counts, F.count(F.lit(1)).alias("total"), F.count(REASON).alias("bad"))
+            with staged(judged, "judged") as (judged, _):
+                refuse_share(counts.get["total"], counts.get["bad"], feed.quarantine_share)
+                good, set_aside = parted(judged)
+                # the folder is named after the batch: a repeated batch overwrites its own rows
+                set_aside.write.mode("overwrite").parquet(f"{feed.quarantine}/{stage}_batch={number}")
+                table.upsert(good, source=source)
+        else:
+            table.upsert(rows, source=source)
         if feed.after_batch:
             feed.after_batch(table)
 
@@ -113,7 +123,7 @@ def _checkpoint_id(spark: SparkSession, feed: Feed, stage: str) -> str:
     return json.loads(storage.read_text(spark, path))["id"] if storage.exists(spark, path) else ""
 
 
-def _start(spark: SparkSession, feed: Feed, stage: str, trigger: dict) -> StreamingQuery:
+def start(spark: SparkSession, feed: Feed, stage: str, trigger: dict) -> StreamingQuery:
     spark = session_for(spark, feed.spec, stage)
     # with the FAIR scheduler, each table gets a pool of its own
     spark.sparkContext.setLocalProperty("spark.scheduler.pool", feed.spec.name)
@@ -129,7 +139,7 @@ def _start(spark: SparkSession, feed: Feed, stage: str, trigger: dict) -> Stream
 
 def run_once(spark: SparkSession, feeds: Iterable[Feed]) -> None:
     """Apply all change files not yet consumed, then stop. Tables run side by side."""
-    running = [_start(spark, f, INCREMENTAL_STAGE, {"availableNow": True}) for f in feeds if f.spec.enabled]
+    running = [start(spark, f, INCREMENTAL_STAGE, {"availableNow": True}) for f in feeds if f.spec.enabled]
     failures = []
     for query in running:
         try:
@@ -142,4 +152,4 @@ def run_once(spark: SparkSession, feeds: Iterable[Feed]) -> None:
 
 def run_continuously(spark: SparkSession, feeds: Iterable[Feed], interval: str = "180 seconds") -> list[StreamingQuery]:
     """One stream per table in this session, each applying new files every ``interval``."""
-    return [_start(spark, f, CONTINUOUS_STAGE, {"processingTime": interval}) for f in feeds if f.spec.enabled]
+    return [start(spark, f, CONTINUOUS_STAGE, {"processingTime": interval}) for f in feeds if f.spec.enabled]

@@ -374,6 +374,9 @@ class LakeTable:
     def _with_stored(self, last: Commit, batch: DataFrame, missing: list[str]) -> DataFrame:
         """The batch with the stored values of columns that it lacks; new keys have NULL there."""
         keys = list(self.spec.keys)
+        if not self.spec.moves_partitions and not set(self.spec.partition_by) & set(missing):
+            # a key is stored in the partition that the batch names: only those partitions are read
+            keys = list(dict.fromkeys([*self.spec.partition_by, *keys]))
         stored = self._rows(last, list(last.parts)).select(*keys, *missing)
         return batch.drop(*missing).join(stored, keys, "left").select(*batch.columns)
 
