@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import in_arrow, slices
+from tidemark.llm.common import in_arrow, keep, slices
 from tidemark.llm.encoding import ENCODED_TOGETHER, closed, encoder
 
 STRIPE_BYTES = 32 << 20
@@ -84,7 +84,7 @@ def digests(tokens: DataFrame) -> DataFrame:
             )
 
     rows = tokens.withColumn("file", F.col("_metadata.file_name")).select("file", "doc_id", "ids")
-    rows = in_arrow(rows, digest, "file string, doc_id long, n_tokens long, ids_crc32 long")
+    rows = keep(in_arrow(rows, digest, "file string, doc_id long, n_tokens long, ids_crc32 long"), "digests")
     by_file = rows.groupBy("file").agg(F.sum("n_tokens").alias("in_file"), F.min("doc_id").alias("least"))
     before = Window.orderBy(F.col("least").asc_nulls_first(), "file").rowsBetween(Window.unboundedPreceding, -1)
     bases = by_file.select("file", F.coalesce(F.sum("in_file").over(before), F.lit(0)).alias("base"))
