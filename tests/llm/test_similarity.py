@@ -348,3 +348,26 @@ def test_few_or_no_vectors(spark):
     assert nothing.count() == 0
     huge = va_file.exact_scores(np.array([2**40, 1]), np.array([[2**20, 3]]))
     assert huge == [2**60 + 3]
+
+
+def test_lone_matches_that_become_passages_are_never_left_out():
+    draw = np.random.default_rng(4)
+    reach = chaining._reach(50)
+    for changed in (0.02, 0.1, 0.2, 0.3, 0.9):
+        a = draw.integers(0, 2**64, 400, dtype=np.uint64)
+        b = np.where(draw.random(400) < changed, draw.integers(0, 2**64, 400, dtype=np.uint64), a)
+        a_words, b_words = a[:300], b[:300]
+        same = np.lib.stride_tricks.sliding_window_view(a_words == b_words, chaining.SEED_WORDS).all(axis=1)
+        pos = np.flatnonzero(same) if same.any() else np.arange(0, 295)
+        begin, end = np.zeros(len(pos), np.int64), np.full(len(pos), 300)
+        sides = [chaining.packed_sides(x, begin, end, pos, reach) for x in (a_words, b_words)]
+        grows = chaining.may_grow(*sides, reach)
+        both = np.concatenate([a_words, b_words])
+        p, q, *_, equal = chaining.align_lone(both, begin, end, begin + 300, end + 300, pos, pos)
+        accepted = (q - p >= 50) & (equal >= 0.8 * (q - p))
+        assert not (accepted & ~grows).any() and (accepted.any() or changed > 0.1)
+    pos = np.arange(0, 295)
+    begin, end = np.zeros(len(pos), np.int64), np.full(len(pos), 300)
+    unlike = draw.integers(0, 2**64, (2, 300), dtype=np.uint64)
+    sides = [chaining.packed_sides(x, begin, end, pos, reach) for x in unlike]
+    assert chaining.may_grow(*sides, reach).mean() < 0.02

@@ -12,6 +12,9 @@
 * Chains: the matches of two documents are chained in ascending order of both positions; a match alone is a chain, too.
   A chain gains GAIN per match and pays GAP_COST per word between matches in either document, so the best predecessor is a maximum over
   earlier positions, kept in a Fenwick tree. Where that one is too far away, those within MOST_GAP are compared.
+* Lone matches are many and mostly chance. One is a passage only if it grows by half of ``min_words`` on one side, so both
+  documents send four bits per word of that much text, and only lone matches whose bits allow it are aligned; equal
+  words have equal bits, so none is lost.
 * Alignment: words are compared along a chain, the gaps between its diagonals are aligned, and its ends are extended as
   long as words agree. What has ``min_words`` words and ``min_identity`` of them equal is a repeated passage.
 
@@ -43,7 +46,9 @@ GAP_COST, MOST_GAP, MOST_SHIFT = 0.1, 60, 30
 MARGIN = 48
 #: the score that an extension may lose before it ends
 DROP = 8
-_FLUSH = 1_000_000
+#: seeds that a worker sorts at a time
+_FLUSH = 250_000
+_ASKS_TOGETHER = 100_000
 _NO_ID = -(2**63)
 #: bits of the maps of hashes that are broadcast, whatever the number of hashes
 _MAP_BITS = 24
@@ -420,6 +425,70 @@ def _windows(documents: DataFrame, found: DataFrame) -> DataFrame:
     return in_arrow(texts.select("doc", "text", "asks"), run, "chain long, side int, doc long, shift int, hashes binary")
 
 
+def _reach(min_words: int) -> int:
+    """Words by which a lone match that becomes a passage grows on one side at least, as far as alignment looks."""
+    return min(MARGIN, max(1, -(-(min_words - SEED_WORDS) // 2)))
+
+
+def packed_sides(hashes: np.ndarray, begin: np.ndarray, end: np.ndarray, pos: np.ndarray, reach: int) -> np.ndarray:
+    """Per match: how many words lie on its left and right (up to ``reach``), then four bits of each, nearest first."""
+    place, k = begin + pos, np.arange(reach)
+    bits = (hashes >> np.uint64(60)).astype(np.uint8)
+    room = np.stack([np.minimum(pos, reach), np.clip(end - place - SEED_WORDS, 0, reach)], axis=1).astype(np.uint8)
+    near = np.concatenate([place[:, None] - 1 - k, place[:, None] + SEED_WORDS + k], axis=1)
+    found = bits[np.clip(near, 0, max(len(bits) - 1, 0))]
+    return np.concatenate([room, found[:, 0::2] << 4 | found[:, 1::2]], axis=1)
+
+
+def may_grow(a: np.ndarray, b: np.ndarray, reach: int) -> np.ndarray:
+    """Whether each pair of ``packed_sides`` may grow by ``reach`` words on one side."""
+    room = np.minimum(a[:, :2], b[:, :2])
+    differ = a[:, 2:] ^ b[:, 2:]
+    equal = np.empty((len(a), 2 * reach), bool)
+    equal[:, 0::2], equal[:, 1::2] = differ >> 4 == 0, differ & 15 == 0
+    grows = np.zeros(len(a), bool)
+    for side in range(2):
+        score = np.cumsum(np.where(equal[:, side * reach : (side + 1) * reach], 1, -2), axis=1)
+        dropped = np.maximum.accumulate(np.maximum(score, 0), axis=1) - score > DROP
+        grows |= (room[:, side] >= reach) & ~dropped.any(axis=1)
+    return grows
+
+
+def lone_survivors(documents: DataFrame, lone: DataFrame, min_words: int) -> DataFrame:
+    """``chain`` of the lone matches (chain, row, ref, pos, ref_pos) that may become passages."""
+    reach = _reach(min_words)
+    ask = lambda row, pos, side: lone.select(F.col(row).alias("row"), F.struct("chain", (2 * F.col(pos) + side).alias("at")).alias("ask"))
+    asked = ask("row", "pos", 0).union(ask("ref", "ref_pos", 1)).groupBy("row").agg(F.collect_list("ask").alias("asks"))
+    texts = matching(documents.select("row", "text"), asked.select("row"), "row").dropDuplicates(["row"]).join(asked, "row")
+
+    def sides(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in slices(batches):
+            hashes, begins = word_hashes(rows["text"])
+            asks = rows["asks"].flatten()
+            of = np.repeat(np.arange(rows.num_rows), pc.list_value_length(rows["asks"]).to_numpy(zero_copy_only=False))
+            at = asks.field("at").to_numpy()
+            for a in range(0, len(of), _ASKS_TOGETHER):
+                part = slice(a, a + _ASKS_TOGETHER)
+                found = packed_sides(hashes, begins[of[part]], begins[of[part] + 1], at[part] // 2, reach)
+                held = pa.FixedSizeBinaryArray.from_buffers(pa.binary(found.shape[1]), len(found), [None, pa.py_buffer(np.ascontiguousarray(found))])
+                columns = {"chain": asks.field("chain").slice(a, len(found)), "side": pa.array(at[part] % 2, pa.int8()), "words": held.cast(pa.binary())}
+                yield pa.record_batch(columns)
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in whole_groups(batches, "chain"):
+            side, chain = batch["side"].to_numpy(), batch["chain"].to_numpy()
+            second = np.flatnonzero((side[1:] == 1) & (side[:-1] == 0) & (chain[1:] == chain[:-1])) + 1
+            held = batch["words"].cast(pa.binary(2 + reach))
+            held = pa.concat_arrays([held]) if held.offset else held
+            found = np.frombuffer(held.buffers()[1], np.uint8).reshape(-1, 2 + reach)[: len(held)]
+            grows = may_grow(found[second - 1], found[second], reach)
+            yield pa.record_batch({"chain": pa.array(chain[second[grows]])})
+
+    parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sent = in_arrow(texts.select("text", "asks"), sides, "chain long, side byte, words binary")
+    return in_arrow(sent.repartition(parts, "chain").sortWithinPartitions("chain", "side"), judge, "chain long")
+
+
 _PASSAGE = ("row", "doc", "begin", "end", "ref", "ref_doc", "ref_begin", "ref_end", "n_equal")
 
 
@@ -428,6 +497,9 @@ def passages(documents: DataFrame, min_words: int, min_identity: float) -> DataF
     matched = keep(seed_matches(documents, min_words), "matches")
     found = keep(candidate_chains(matched.drop("mark")), "chains")
     found = found.withColumn("chain", F.xxhash64("row", "ref", "pos", "ref_pos"))
+    lone = found.where(F.size("pos") == 1).select("chain", "row", "ref", F.col("pos")[0].alias("pos"), F.col("ref_pos")[0].alias("ref_pos"))
+    grown = keep(lone_survivors(documents, lone, min_words), "grown")
+    found = keep(found.where(F.size("pos") > 1).unionByName(matching(found.where(F.size("pos") == 1), grown, "chain")), "candidates")
     windows = _windows(documents, found)
     lack = lambda *columns: [F.lit(None).cast(t).alias(c) for c, t in columns]
     anchors = found.select("chain", F.lit(2).alias("side"), *lack(("doc", "long")), F.lit(0).alias("shift"), *lack(("hashes", "binary")), "row", "ref", "pos", "ref_pos")

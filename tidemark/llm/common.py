@@ -30,9 +30,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def keep(rows: DataFrame, purpose: str) -> DataFrame:
-    """Rows written to the shared folder and read back: the lineage ends, lost executors cost a re-read."""
+    """Rows written to the shared folder and read back: the lineage ends, lost executors cost a re-read.
+
+    What was shuffled for them is no longer needed. Spark deletes such files once the driver's collector finds that
+    nothing refers to them, so it is asked to look.
+    """
     folder = workspace.new_folder(rows.sparkSession, purpose)
     rows.write.parquet(folder)
+    rows.sparkSession._jvm.System.gc()
     return rows.sparkSession.read.schema(rows.schema).parquet(folder)
 
 
