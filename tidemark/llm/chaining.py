@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import coded, gather, in_arrow, keep, matching, mix, ship, slices, unwrapped, whole_groups, without, words, wrapped
+from tidemark.llm.common import coded, gather, in_arrow, keep, marked, matching, mix, ship, slices, unwrapped, whole_groups, without, words, wrapped
 
 SEED_WORDS, WINDOW = 5, 4
 #: what a match adds to the score of a chain
@@ -136,8 +136,11 @@ def window_hashes(hashes: np.ndarray, at: np.ndarray, min_words: int) -> np.ndar
         return mix((sums[at + min_words] - sums[at]) * down[at])
 
 
-def matches(seed: np.ndarray, doc: np.ndarray, row: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of occurrences sorted by seed, doc, row and pos: (row, pos, ref, ref_pos, mark) rows, and which are of first documents."""
+def matches(seed: np.ndarray, doc: np.ndarray, row: np.ndarray, pos: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of occurrences sorted by seed, doc, row and pos: (row, pos, ref, ref_pos, mark) rows, and which are of first documents.
+
+    Only occurrences that are ``asked`` are matched; any may be what they are matched with.
+    """
     n = len(seed)
     new_seed = np.append(True, seed[1:] != seed[:-1])
     new_row = new_seed | np.append(True, (doc[1:] != doc[:-1]) | (row[1:] != row[:-1]))
@@ -146,7 +149,7 @@ def matches(seed: np.ndarray, doc: np.ndarray, row: np.ndarray, pos: np.ndarray)
     starts = np.flatnonzero(new_row)
     before = starts[np.maximum(np.searchsorted(starts, mine) - 1, 0)]
     later = mine != head
-    rows = np.flatnonzero(later)
+    rows = np.flatnonzero(later & asked)
     mark = _mark(seed)
     found = np.stack([row[rows], pos[rows], row[head[rows]], pos[head[rows]], mark[rows]], axis=1)
     more = rows[before[rows] != head[rows]]
@@ -177,51 +180,57 @@ def identified(documents: DataFrame) -> DataFrame:
     return documents.select(_doc().alias("doc"), _row().alias("row"), "text")
 
 
-def all_matches(documents: DataFrame, pick: Callable) -> DataFrame:
+def all_matches(documents: DataFrame, pick: Callable, asked: DataFrame | None = None) -> DataFrame:
     """(row, pos, ref, ref_pos, mark): what ``pick`` takes at pos of row is found in ref, the row of an earlier document.
 
-    ``pick`` gives hash, number of text and place of what it takes from a batch of texts. Texts are read twice, for the
-    matches inside tasks and for the first documents of tasks; that costs less than to store the latter.
+    ``pick`` gives hash, number of text and place of what it takes from a batch of texts. With ``asked`` (column ``row``), rows
+    that are surely not among them are not matched, though others may be matched with them. Texts are read once: a
+    task sends the matches inside it, spread by their row, together with the first document of each of its hashes.
     """
 
-    def inside_tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+    def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
 
-        def ready() -> tuple[np.ndarray, ...]:
-            seed, doc, row, pos = (np.concatenate(x) for x in zip(*held))
+        def ready() -> Iterator[pa.RecordBatch]:
+            seed, doc, row, pos, wanted = (np.concatenate(x) for x in zip(*held))
             held.clear()
             order = np.lexsort((pos, row, doc, seed))
-            return seed[order], doc[order], row[order], pos[order]
+            seed, doc, row, pos, wanted = (x[order] for x in (seed, doc, row, pos, wanted))
+            found, first = matches(seed, doc, row, pos, wanted)
+            for a in range(0, len(found), 200_000):
+                part = found[a : a + 200_000]
+                columns = {"key": pa.array(mix(part[:, 0]).view(np.int64)), "doc": pa.nulls(len(part), pa.int64())}
+                yield pa.record_batch(columns | {c: pa.array(part[:, i]).cast(t) for i, (c, t) in enumerate(_MATCH.items())})
+            kept = np.flatnonzero(first)
+            for a in range(0, len(kept), 200_000):
+                part = kept[a : a + 200_000]
+                columns = {"key": seed[part], "doc": doc[part], "row": row[part], "pos": pa.array(2 * pos[part] + wanted[part]).cast(pa.int32())}
+                yield pa.record_batch(columns | {c: pa.nulls(len(part), _MATCH[c]) for c in ("ref", "ref_pos", "mark")})
 
         for rows in slices(batches):
             seed, of, pos = pick(*word_hashes(rows["text"]))
             doc, row = (rows[c].to_numpy(zero_copy_only=False)[of] for c in ("doc", "row"))
-            held.append((seed.view(np.int64), doc, row, pos))
+            wanted = rows["_may_match"].to_numpy(zero_copy_only=False)[of]
+            held.append((seed.view(np.int64), doc, row, pos, wanted))
             if sum(len(h[0]) for h in held) > _FLUSH:
-                yield ready()
+                yield from ready()
         if any(len(h[0]) for h in held):
-            yield ready()
-
-    def same_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for sorted_rows in inside_tasks(batches):
-            yield from _match_batches(matches(*sorted_rows)[0])
-
-    def task_firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for sorted_rows in inside_tasks(batches):
-            kept = np.flatnonzero(matches(*sorted_rows)[1])
-            for a in range(0, len(kept), 200_000):
-                seed, doc, row, pos = (x[kept[a : a + 200_000]] for x in sorted_rows)
-                yield pa.record_batch({"seed": seed, "doc": doc, "row": row, "pos": pa.array(pos).cast(pa.int32())})
+            yield from ready()
 
     def between_tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in whole_groups(batches, "seed"):
-            yield from _match_batches(matches(*(rows[c].to_numpy() for c in ("seed", "doc", "row")), rows["pos"].to_numpy().astype(np.int64))[0])
+        for rows in whole_groups(batches, "key"):
+            open_ends = rows["ref"].is_null()
+            yield rows.filter(pc.invert(open_ends)).select(list(_MATCH))
+            firsts = rows.filter(open_ends)
+            pos = firsts["pos"].to_numpy().astype(np.int64)
+            found, _ = matches(*(firsts[c].to_numpy() for c in ("key", "doc", "row")), pos >> 1, pos & 1 == 1)
+            yield from _match_batches(found)
 
     parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = documents.select("doc", "row", "text")
-    firsts = in_arrow(texts, task_firsts, "seed long, doc long, row long, pos int").repartition(parts, "seed")
-    firsts = firsts.sortWithinPartitions("seed", "doc", "row", "pos")
-    return in_arrow(firsts, between_tasks, _MATCH_DDL).union(in_arrow(texts, same_task, _MATCH_DDL))
+    texts = texts.withColumn("_may_match", F.lit(True)) if asked is None else marked(texts, asked.select("row"), "row")
+    rows = in_arrow(texts, sent, f"key long, doc long, {_MATCH_DDL}").repartition(parts, "key")
+    return in_arrow(rows.sortWithinPartitions("key", "doc", "row", "pos"), between_tasks, _MATCH_DDL)
 
 
 def seed_matches(documents: DataFrame, min_words: int) -> DataFrame:
@@ -305,9 +314,16 @@ def candidate_chains(found: DataFrame) -> DataFrame:
             starts = np.flatnonzero(np.append(True, new))
             ends = np.append(starts[1:], len(row))
             out = {"row": [], "ref": [], "pos": [], "ref_pos": []}
-            for a, b in zip(starts.tolist(), ends.tolist()):
+            types = {"row": pa.int64(), "ref": pa.int64(), "pos": pa.list_(pa.int32()), "ref_pos": pa.list_(pa.int32())}
+            single = starts[ends - starts == 1]  # most pairs share one seed
+            each = pa.array(np.arange(len(single) + 1), pa.int32())
+            columns = {"row": pa.array(row[single]), "ref": pa.array(ref[single])}
+            columns |= {c: pa.ListArray.from_arrays(each, pa.array(v[single], pa.int32())) for c, v in (("pos", pos), ("ref_pos", ref_pos))}
+            yield pa.record_batch(columns)
+            several = ends - starts > 1
+            for a, b in zip(starts[several].tolist(), ends[several].tolist()):
                 p, r = pos[a:b].tolist(), ref_pos[a:b].tolist()
-                whole = chains(p, r) if b - a > 1 else []
+                whole = chains(p, r)
                 used = {i for chain in whole for i in range(chain[0], chain[-1] + 1)}
                 lone = [[i] for i in range(b - a) if i not in used]
                 for chain in whole + lone:
@@ -318,7 +334,6 @@ def candidate_chains(found: DataFrame) -> DataFrame:
                     out["ref"].append(int(ref[a]))
                     out["pos"].append([p[i] for i in chain])
                     out["ref_pos"].append([r[i] for i in chain])
-            types = {"row": pa.int64(), "ref": pa.int64(), "pos": pa.list_(pa.int32()), "ref_pos": pa.list_(pa.int32())}
             yield pa.record_batch({c: pa.array(v, types[c]) for c, v in out.items()})
 
     parts = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -631,7 +646,7 @@ def exact_passages(documents: DataFrame, matched: DataFrame, passages: DataFrame
             yield pa.record_batch(dict(zip(("row", "first", "last", "ref", "shift"), map(pa.array, columns))))
 
     parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found = all_matches(documents, pick).drop("mark").repartition(parts, "row")
+    found = all_matches(documents, pick, asked).drop("mark").repartition(parts, "row")
     found = found.sortWithinPartitions("row", "ref", F.col("ref_pos") - F.col("pos"), "pos")
     found = keep(in_arrow(found, runs, "row long, first long, last long, ref long, shift long"), "runs")
     found = keep(left(found), "exact")

@@ -183,7 +183,7 @@ def whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Rec
 _WORDS = 1 << 16
 
 
-def _marked(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+def marked(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """Rows with ``_may_match``: false where the key is surely not in ``ids``.
 
     A bitmap of 2^16 words of 64 bits is all that is broadcast, whatever the number of ids.
@@ -192,18 +192,18 @@ def _marked(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     word, bit = F.pmod(h, F.lit(_WORDS)), F.shiftrightunsigned(h, 58).cast("int")
     one = F.call_function("shiftleft", F.lit(1).cast("long"), bit)
     bitmap = ids.select(word.alias("_word"), one.alias("_bit")).groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
-    marked = rows.withColumn("_word", word).join(F.broadcast(bitmap), "_word", "left")
+    found = rows.withColumn("_word", word).join(F.broadcast(bitmap), "_word", "left")
     hit = F.coalesce(F.col("_bits").bitwiseAND(one) != 0, F.lit(False))
-    return marked.withColumn("_may_match", hit).drop("_word", "_bits")
+    return found.withColumn("_may_match", hit).drop("_word", "_bits")
 
 
 def matching(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """Rows whose key is in ``ids`` (one column of that name); texts of other rows are hardly ever shuffled."""
-    return _marked(rows, ids, key).where("_may_match").drop("_may_match").join(ids.select(key).distinct(), key, "left_semi")
+    return marked(rows, ids, key).where("_may_match").drop("_may_match").join(ids.select(key).distinct(), key, "left_semi")
 
 
 def without(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """Rows whose key is not in ``ids``."""
-    marked = _marked(rows, ids, key)
-    sure = marked.where("not _may_match").drop("_may_match")
-    return sure.unionByName(marked.where("_may_match").drop("_may_match").join(ids.select(key).distinct(), key, "left_anti"))
+    judged = marked(rows, ids, key)
+    sure = judged.where("not _may_match").drop("_may_match")
+    return sure.unionByName(judged.where("_may_match").drop("_may_match").join(ids.select(key).distinct(), key, "left_anti"))
