@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import gc
 import os
 import tempfile
 import zipfile
@@ -37,6 +38,8 @@ def keep(rows: DataFrame, purpose: str) -> DataFrame:
     """
     folder = workspace.new_folder(rows.sparkSession, purpose)
     rows.write.parquet(folder)
+    gc.collect()  # frames of earlier steps hold plans in the driver's JVM
+    give_back()
     rows.sparkSession._jvm.System.gc()
     return rows.sparkSession.read.schema(rows.schema).parquet(folder)
 
