@@ -89,10 +89,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_va_file": OP9_SQL, "op11_merkle": op11_sql()}
+    return {"op9_va_file": OP9_SQL, "op11_merkle": merkle_sql()}
 
 
-def op11_sql(levels: int = 5) -> str:
+def merkle_sql(levels: int = 5) -> str:
     """The manifest in SQL, for trees of up to 16^levels nodes: every level is a table of its own."""
     field = "coalesce(octet_length(encode(CAST({0} AS VARCHAR))) || ':' || CAST({0} AS VARCHAR), '-')".format
     fields = [field(c) for c in ("doc_id", "source", "lang", "n_chars")]
