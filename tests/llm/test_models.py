@@ -15,7 +15,7 @@ import pyarrow as pa
 from fixtures import documents, odd_texts, prose, words_of
 from pyspark.sql import functions as F
 
-from tidemark.llm import gru, gru_lm, toxicity
+from tidemark.llm import gru, gru_lm, phrases, string_kernel, toxicity
 from tidemark.llm.queries import toxic_training
 
 def not_learned():
@@ -144,6 +144,82 @@ def test_insults_are_found_also_with_gaps(spark):
     assert (scores[:4] >= toxicity.THRESHOLD).all() and (scores[4:] < toxicity.THRESHOLD).all()
 
 
+PHRASES = ["kill yourself", "nobody wants you here", "id iot"]
+
+
+def phrase_texts(draw, n):
+    """Toxic texts hold a phrase; its words stand apart in clean texts, and in toxic ones too."""
+    texts, labels = [], []
+    apart = " ".join(PHRASES).split()
+    for i in range(n):
+        words = prose(draw, draw.randrange(30, 80), 300).replace("w", "no").split()
+        for word in draw.sample(apart, 4):
+            at = draw.randrange(len(words))
+            words[at:at] = [word, *prose(draw, 4, 300).replace("w", "no").split()]
+        if i % 3 == 0:
+            at = draw.randrange(len(words))
+            words[at:at] = PHRASES[i // 3 % 3].split()
+        texts.append(" ".join(words))
+        labels.append((i, 1, int(i % 3 == 0)))
+    return texts, labels
+
+
+def test_insults_of_ordinary_words_are_learned_from_sentences(spark):
+    draw = random.Random(17)
+    texts, labels = phrase_texts(draw, 600)
+    table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    rows = documents(spark, texts)
+    got = {r["doc_id"]: r["predicted"] for r in toxicity.score(rows, toxicity.fit(rows, table, toxic_training())).select("doc_id", "predicted").collect()}
+    unseen = {r["doc_id"] for r in rows.where(~toxic_training()).select("doc_id").collect()}
+    for phrase in range(3):
+        ours = [i for i in range(0, 600, 3) if i // 3 % 3 == phrase]
+        for part in (ours, [i for i in ours if i in unseen]):
+            assert sum(got[i] for i in part) >= 0.9 * len(part), PHRASES[phrase]
+    assert sum(got[i] for i in range(600) if i % 3) <= 4
+    model = toxicity.fit(rows, table, toxic_training())
+    tried = ["no1 kiill yourself", "no1 kill. no2 no3 yourself", "Kill, your-self!", "nobody no5 wants you here", "kill no7 no8 no9 no10 yourself", "yourself kill", "here you wants nobody", "iot no id"]
+    scores = model.scores(pa.array(tried))
+    wanted = [1, 0, 1, 1, 0, 0, 0, 0]
+    assert [int(s >= toxicity.THRESHOLD) for s in scores] == wanted, scores
+
+
+def test_the_kernel_of_sentences_is_the_best_of_their_pairs(monkeypatch):
+    """Against its definition, word by word, also where pairs come in many chunks and texts have no end."""
+
+    def k(a, b):
+        if a == b:
+            return 1.0
+        table = np.zeros(64**3)
+        np.add.at(table, *string_kernel.triples_of(b))
+        value = string_kernel.margins([a], table, 0.0)[0] if len(a) >= 3 else 0.0
+        return min(value, 1.0) if value >= phrases.LEAST_ALIKE else 0.0
+
+    monkeypatch.setattr(phrases, "_CHUNK", 7)
+    draw = random.Random(18)
+    words = ["kill", "kiill", "yourself", "yourselves", "id", "iot", "go", "away", "...", "a-way", "x" * 60]
+    texts = [None, "", "?!", "kill yourself", *(" ".join(draw.choice(words) + draw.choice(["", "", "", ",", "!"]) for _ in range(draw.randrange(1, 40))) for _ in range(40))]
+    marks = [("kill", "yourself"), ("id", "iot"), ("go", "away"), ("x" * 60, "kill")]
+    landmarks = phrases.Landmarks.of(marks)
+    read = phrases.Sentences.of(pa.array(texts, pa.string()))
+    got = {int(s): row for ids, value in landmarks.kernels(read) for s, row in zip(ids, value)}
+    for text in range(len(texts)):
+        sentences, now = [], []
+        for token in (texts[text] or "").split():
+            bare = token.strip(".,!?")
+            now += [bare] if bare else []
+            if set(token[len(token.rstrip(".,!?")) :]) & set(".!?"):
+                sentences.append(now)
+                now = []
+        sentences = [s for s in [*sentences, now] if s]
+        ours = [s for s in dict.fromkeys(read.sentence.tolist()) if read.text[s] == text]
+        assert len(ours) == len(sentences)
+        for number, said in zip(ours, sentences):
+            for column, (a, b) in enumerate(marks):
+                pairs = [(i, j) for i in range(len(said)) for j in range(i + 1, min(len(said), i + 2 + phrases.MOST_BETWEEN))]
+                wanted = max((phrases.FADE ** (j - i - 1) * k(said[i], a) * k(said[j], b) for i, j in pairs), default=0.0)
+                assert abs((got[number][column] if number in got else 0.0) - wanted) < 1e-9
+
+
 def test_toxicity_of_odd_rows_and_without_labels(spark):
     odd = documents(spark, odd_texts())
     empty = spark.createDataFrame([], "doc_id long, quality int, toxic int")
@@ -161,21 +237,21 @@ def test_the_kernel_counts_shared_subsequences():
         found, text = Counter(), [27 * 0 + 63, *[ord(c) - 96 for c in word], 63]
         for i in range(len(text)):
             for j in range(i + 1, len(text)):
-                for k in range(j + 1, min(len(text), i + 3 + toxicity.MOST_SKIPPED)):
-                    found[text[i], text[j], text[k]] += toxicity.DECAY ** (k - i - 2)
+                for k in range(j + 1, min(len(text), i + 3 + string_kernel.MOST_SKIPPED)):
+                    found[text[i], text[j], text[k]] += string_kernel.DECAY ** (k - i - 2)
         return found
 
     def norm(word):
         n = len(word) + 2
-        return math.sqrt(sum(toxicity.DECAY ** (2 * (k - i - 2)) for i in range(n) for j in range(i + 1, n) for k in range(j + 1, min(n, i + 3 + toxicity.MOST_SKIPPED))))
+        return math.sqrt(sum(string_kernel.DECAY ** (2 * (k - i - 2)) for i in range(n) for j in range(i + 1, n) for k in range(j + 1, min(n, i + 3 + string_kernel.MOST_SKIPPED))))
 
     table = np.zeros(64**3)
-    triple, value = toxicity.triples_of("idiot")
+    triple, value = string_kernel.triples_of("idiot")
     np.add.at(table, triple, value)
     for word in ("idiot", "idiiot", "iodito", "scum", "abc"):
         a, b = features("idiot"), features(word)
         wanted = sum(a[u] * b[u] for u in a) / norm("idiot") / norm(word)
-        assert abs(toxicity.margins([word], table, 0.0)[0] - wanted) < 1e-9
+        assert abs(string_kernel.margins([word], table, 0.0)[0] - wanted) < 1e-9
 
 
 def test_the_pipeline_catches_what_is_planted_and_keeps_clean_documents(spark, place, monkeypatch):

@@ -12,8 +12,13 @@ weighted by their sentences. It is fitted again without the words of toxic sente
 document has clean sentences too), and three times more with the clean words of all sentences that came closest to the margin. Because the kernel
 is an inner product over triples, the machine is one weight per triple, and that table is all that scoring needs.
 
-A document's margin is the largest of its words, wherever they stand; a logistic curve fitted on the training documents
-turns it into a score. Every word of every text is scored. Null and empty texts, and those without letters, get
+Insults made of several words, or parted by a blank, are learned by a second machine on sentences (``phrases``): the
+toxic training documents whose words do not tell them from the clean ones (their margin is not above that of all but one
+in a hundred of these) show it which pairs of words do.
+
+A document's margin is the largest of its words, wherever they stand, and that of the second machine the largest of its
+sentences; a logistic curve of both, fitted on the training documents, turns them into a score. Every word and every
+sentence of every text is scored. Null and empty texts, and those without letters, get
 the margin of no evidence. Labels that are null or for unknown documents are not used; of several labels for one
 document the largest counts.
 """
@@ -32,96 +37,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.llm import phrases
 from tidemark.llm.common import coded, in_arrow, keep, matching, ship, slices, whole
+from tidemark.llm.string_kernel import SIZE, margins, projected, triples_of
 
 MOST_LABELS = 20_000
-DECAY, MOST_SKIPPED = 0.6, 2
 LANDMARKS = 320
 #: rounds in which the clean words with the largest margins join the training
 HARD_ROUNDS = 3
-#: words that one round of training looks at, and the longest word that is scored in one piece
-TRAINING_WORDS, PIECE = 12_000, 40
+#: words that one round of training looks at
+TRAINING_WORDS = 12_000
 THRESHOLD = 0.3
-_LEET = dict(zip("013457", "oieast"))
-_SIZE, _EDGE = 64, 63
-
-
-def _letters() -> np.ndarray:
-    """A code from 1 to 62 for each letter of the basic plane, 0 for signs; 63 stands for either end of a word."""
-    codes = np.zeros(0x110000, np.uint8)
-    for c in range(0x10000):
-        ch = _LEET.get(chr(c), chr(c))
-        if "a" <= ch <= "z":
-            codes[c] = ord(ch) - 96
-        elif ch.isalnum():
-            codes[c] = 27 + c % (_EDGE - 27)
-    return codes
-
-
-_CODES = _letters()
-#: (offset of the second letter, of the third, weight)
-_SHAPES = [(j, k, DECAY ** (k - 2)) for k in range(2, 3 + MOST_SKIPPED) for j in range(1, k)]
-
-
-def kernel_triples(chars: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
-    """Of equal-length words (one row of letter codes each): triple numbers, whether they are letters only, weight."""
-    length = chars.shape[1]
-    for j, k, weight in _SHAPES:
-        for i in range(length - k):
-            a, b, c = chars[:, i], chars[:, i + j], chars[:, i + k]
-            yield (a * _SIZE + b) * _SIZE + c, (a > 0) & (b > 0) & (c > 0), weight
-
-
-def by_length(names: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Places of the words of each length, and their letter codes. Long words come in overlapping pieces."""
-    lengths = np.fromiter(map(len, names), np.int64, len(names))
-    for length in np.unique(lengths[(lengths >= 3) & (lengths <= PIECE)]).tolist():
-        at = np.flatnonzero(lengths == length)
-        text = np.array([names[i] for i in at], dtype=f"<U{length}")
-        chars = np.full((len(at), length + 2), _EDGE, np.int32)
-        chars[:, 1:-1] = _CODES[text.view(np.uint32).reshape(len(at), length)]
-        yield at, chars
-    for i in np.flatnonzero(lengths > PIECE).tolist():
-        chars = _CODES[np.frombuffer(names[i].encode("utf-32-le"), np.uint32)].astype(np.int32)
-        step = PIECE - 12
-        starts = np.arange(0, len(chars) - 12, step)
-        padded = np.concatenate([chars, np.zeros(PIECE, np.int32)])
-        yield np.full(len(starts), i), padded[starts[:, None] + np.arange(PIECE)]
-
-
-def projected(names: list[str], place: np.ndarray, project: np.ndarray) -> np.ndarray:
-    """The words' normalised triple weights times a matrix; ``place`` has the matrix row of each triple."""
-    out = np.zeros((len(names), project.shape[1]), project.dtype)
-    for at, chars in by_length(names):
-        total, norm = np.zeros((len(at), project.shape[1]), project.dtype), np.zeros(len(at))
-        for triple, ok, weight in kernel_triples(chars):
-            total += project[np.where(ok, place[triple], 0)] * project.dtype.type(weight)
-            norm += ok * weight**2
-        out[at] = total / np.sqrt(np.maximum(norm, 1e-9))[:, None].astype(project.dtype)
-    return out
-
-
-def triples_of(name: str) -> tuple[np.ndarray, np.ndarray]:
-    """A word's triples, maybe repeated, and their normalised weights."""
-    found, weights = [np.zeros(0, np.int64)], [np.zeros(0)]
-    for _, chars in by_length([name]):
-        for triple, ok, weight in kernel_triples(chars[:1]):
-            found.append(triple[ok])
-            weights.append(np.full(int(ok.sum()), weight))
-    weights = np.concatenate(weights)
-    return np.concatenate(found), weights / np.sqrt(max((weights**2).sum(), 1e-9))
-
-
-def margins(names: list[str], table: np.ndarray, bias: float) -> np.ndarray:
-    """The machine's value for each word; words without a triple get the bias."""
-    out = np.full(len(names), -np.inf)
-    for at, chars in by_length(names):
-        total, norm = np.zeros(len(at)), np.zeros(len(at))
-        for triple, ok, weight in kernel_triples(chars):
-            total += weight * table[triple]
-            norm += ok * weight**2
-        np.maximum.at(out, at, total / np.sqrt(np.maximum(norm, 1e-9)))
-    return np.where(np.isfinite(out), out, 0.0) + bias
+#: share of the clean training documents whose words must be below those of a toxic one that its words explain
+EXPLAINED = 0.99
 
 
 def spread_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -157,7 +85,9 @@ class Model:
     bias: float
     nothing: float = -2.0
     slope: float = 4.0
-    middle: float = 0.0
+    offset: float = 0.0
+    phrases: phrases.PhraseMachine | None = None
+    phrase_slope: float = 0.0
 
     def margins(self, texts: pa.Array) -> np.ndarray:
         flat, begins = spread_words(texts)
@@ -170,7 +100,10 @@ class Model:
         return np.maximum(out, self.nothing)
 
     def scores(self, texts: pa.Array) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * (self.margins(texts) - self.middle), -60, 60)))
+        value = self.slope * self.margins(texts) + self.offset
+        if self.phrases is not None:
+            value = value + self.phrase_slope * self.phrases.margins(texts)
+        return 1 / (1 + np.exp(-np.clip(value, -60, 60)))
 
 
 def labelled(documents: DataFrame, labels: DataFrame, training, most_labels: int = MOST_LABELS) -> DataFrame:
@@ -229,7 +162,7 @@ def fit(documents: DataFrame, labels: DataFrame, training, most_labels: int = MO
     any_ = counts.where("clean > 0").orderBy(F.xxhash64("word"), "word").limit(TRAINING_WORDS // 4)
     known = top.union(common).union(any_).distinct().orderBy("word").toPandas()
     if not len(known) or not known["toxic"].sum():
-        return Model(np.zeros(_SIZE**3), -1.0)
+        return Model(np.zeros(SIZE**3), -1.0)
     model = fit_words(known)
     for _ in range(HARD_ROUNDS):
         near = in_arrow(counts.where("clean > 0"), _word_margins(model), "word string, toxic long, clean long, margin double")
@@ -237,7 +170,17 @@ def fit(documents: DataFrame, labels: DataFrame, training, most_labels: int = MO
         known = pd.concat([known, near]).drop_duplicates("word").sort_values("word", ignore_index=True)
         model = fit_words(known)
     found = in_arrow(rows, _margin_rows(model), "toxic int, margin double").toPandas()
-    return calibrated(model, found["margin"].to_numpy(), found["toxic"].to_numpy())
+    margin, toxic = found["margin"].to_numpy(), found["toxic"].to_numpy()
+    model.nothing = min(model.nothing, float(margin.min()))
+    if (toxic == 0).any():
+        cut = float(np.quantile(margin[toxic == 0], EXPLAINED))
+        if ((toxic == 1) & (margin <= cut)).sum() >= phrases.LEAST_SEEN:
+            open_ = in_arrow(rows, _unexplained(model, cut), "text string, toxic int")
+            model.phrases = phrases.fit(open_, _machine)
+    if model.phrases is None:
+        return calibrated(model, margin[:, None], toxic)
+    found = in_arrow(rows, _margin_rows(model), "toxic int, margin double, phrase double").toPandas()
+    return calibrated(model, found[["margin", "phrase"]].to_numpy(), found["toxic"].to_numpy())
 
 
 def fit_words(known: pd.DataFrame) -> Model:
@@ -254,7 +197,7 @@ def fit_words(known: pd.DataFrame) -> Model:
     size, axes = np.linalg.eigh(phi @ phi.T)
     whiten = axes[:, size > 1e-6] / np.sqrt(size[size > 1e-6])
     project = phi.T @ whiten  # triples to Nystrom features
-    place = np.zeros(_SIZE**3, np.int32)
+    place = np.zeros(SIZE**3, np.int32)
     place[used] = np.arange(1, len(used) + 1)
     z = projected(names, place, np.vstack([np.zeros(project.shape[1]), project]).astype(np.float32)).astype(np.float64)
     sure = (toxic >= 10) & (toxic > 20 * rate * clean)
@@ -267,7 +210,7 @@ def fit_words(known: pd.DataFrame) -> Model:
         weight = np.concatenate([toxic[at_toxic], 4 * rate * clean[clean > 0] + 1])
         w = _machine(z[at], y, np.minimum(weight, 200))
         use = sure | (z @ w[:-1] + w[-1] > 0)
-    table = np.zeros(_SIZE**3)
+    table = np.zeros(SIZE**3)
     table[used] = project @ w[:-1]
     return Model(table, float(w[-1]))
 
@@ -282,32 +225,59 @@ def _word_margins(model: Model):
 
 
 def _margin_rows(model: Model):
+    """toxic and the margins of each row, that of phrases where the model has a machine for them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            found = {"toxic": batch["toxic"].cast(pa.int32()), "margin": pa.array(model.margins(batch["text"]))}
+            if model.phrases is not None:
+                found["phrase"] = pa.array(model.phrases.margins(batch["text"]))
+            yield pa.record_batch(found)
+
+    return run
+
+
+def _unexplained(model: Model, cut: float):
+    """The clean rows, and the toxic ones whose margin is not above ``cut``."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            yield pa.record_batch({"toxic": batch["toxic"].cast(pa.int32()), "margin": pa.array(model.margins(batch["text"]))})
+            clean = batch["toxic"].to_numpy(zero_copy_only=False) == 0
+            stays = pa.array(clean | (model.margins(batch["text"]) <= cut))
+            kept = pa.record_batch({"text": batch["text"], "toxic": batch["toxic"].cast(pa.int32())})
+            yield kept.filter(stays)
 
     return run
 
 
 def calibrated(model: Model, margin: np.ndarray, toxic: np.ndarray) -> Model:
-    """Slope and middle of a logistic curve from margins to labels (Platt, 1999), by Newton steps."""
+    """Slopes and offset of a logistic curve from margins (one column or two) to labels (Platt, 1999), by Newton steps.
+
+    A column whose slope is not above 0 is left out; with none left the model stays as it is.
+    """
     n1, n0 = (toxic == 1).sum(), (toxic == 0).sum()
     if not n1 or not n0:
         return model
     target = np.where(toxic == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
-    a, b = 1.0, 0.0
-    for _ in range(100):
-        p = 1 / (1 + np.exp(-np.clip(a * margin + b, -60, 60)))
-        v = np.maximum(p * (1 - p), 1e-9)
-        g = np.array([((p - target) * margin).sum() + 1e-3 * a, (p - target).sum()])
-        h = np.array([[(v * margin**2).sum() + 1e-3, (v * margin).sum()], [(v * margin).sum(), v.sum() + 1e-6]])
-        step = np.clip(np.linalg.solve(h, g), -1, 1)
-        a, b = a - step[0], b - step[1]
-        if np.abs(step).max() < 1e-8:
-            break
-    if a <= 0:
-        return model
-    return Model(model.table, model.bias, min(model.nothing, float(margin.min())), float(a), float(-b / a))
+    columns = list(range(margin.shape[1]))
+    while columns:
+        x = np.hstack([margin[:, columns], np.ones((len(margin), 1))])
+        w = np.append(np.ones(len(columns)), 0.0)
+        ridge = np.append(np.full(len(columns), 1e-3), 1e-6)
+        for _ in range(100):
+            p = 1 / (1 + np.exp(-np.clip(x @ w, -60, 60)))
+            v = np.maximum(p * (1 - p), 1e-9)
+            g = x.T @ (p - target) + np.append(1e-3 * w[:-1], 0.0)
+            step = np.clip(np.linalg.solve(x.T @ (x * v[:, None]) + np.diag(ridge), g), -1, 1)
+            w = w - step
+            if np.abs(step).max() < 1e-8:
+                break
+        if (w[:-1] > 0).all():
+            slope = dict(zip(columns, w[:-1].tolist()))
+            of_phrases = model.phrases if 1 in slope else None
+            return Model(model.table, model.bias, model.nothing, slope.get(0, 0.0), float(w[-1]), of_phrases, slope.get(1, 0.0))
+        columns.remove(columns[int(np.argmin(w[:-1]))])
+    return Model(model.table, model.bias, model.nothing)
 
 
 def score(documents: DataFrame, model: Model) -> DataFrame:
