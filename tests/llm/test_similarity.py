@@ -350,6 +350,25 @@ def test_few_or_no_vectors(spark):
     assert huge == [2**60 + 3]
 
 
+def test_every_row_is_a_candidate(spark):
+    draw = np.random.RandomState(29)
+    near = [(i, [float(x) for x in draw.standard_normal(6)]) for i in range(1, 300)]
+    rows = [*near, *near[:40], *near[:40], (100, [0.5] * 6), (100, [0.5] * 6), (1, [9.0] * 6), (7, [4.0, -3.0]), (9, [2.0] * 9)]
+    rows += [(200, [50.0 + i] * 6) for i in range(30)]  # more rows of a query's own id than results are asked for
+    table = spark.createDataFrame([*rows, (None, [8.0] * 6), (400, [-1.0, 2.0])], "vec_id long, embedding array<float>").repartition(5)
+    got = va_file.search(va_file.whole_vectors(table), F.col("vec_id") % 100 == 0, 10, every_row=True)
+    duck = duckdb.connect()
+    duck.register("embeddings", table.toArrow())
+    assert sorted(map(tuple, got.collect())) == sorted(duck.sql(OP9_SQL).fetchall())
+
+
+def test_own_vectors_take_no_place_in_the_bounds(spark):
+    rows = [(0, [10.0 + i, 1.0]) for i in range(30)] + [(i, [0.5, float(i)]) for i in range(1, 15)]
+    vectors = va_file.whole_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    got = va_file.search(vectors, F.col("vec_id") == 0).groupBy("query_id").count().collect()
+    assert [tuple(r) for r in got] == [(0, 300)]
+
+
 def test_lone_matches_that_become_passages_are_never_left_out():
     draw = np.random.default_rng(4)
     reach = chaining._reach(50)
