@@ -326,6 +326,14 @@ def test_a_heavy_text_is_cut_and_odd_rows_are_placed(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_nodes_and_cuts_need_no_python_worker(spark):
+    frame = kd_shards._as_frame(spark, [(1, 2), (3, -1)], "node long, axis int")
+    assert [tuple(r) for r in frame.orderBy("node").collect()] == [(1, 2), (3, -1)]
+    assert kd_shards._as_frame(spark, [], "node long, axis int").count() == 0
+    # an RDD of Python objects would be a scan of an existing RDD
+    assert "LocalTableScan" in frame._jdf.queryExecution().executedPlan().toString()
+
+
 def test_nearest_vectors_are_exact(spark):
     draw = np.random.RandomState(13)
     vectors = [[float(x) for x in draw.standard_normal(12) * 0.3] for _ in range(700)]

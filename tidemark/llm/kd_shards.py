@@ -15,6 +15,7 @@ table has no shards. Columns other than those named are left out.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -55,7 +56,11 @@ def points(meta: DataFrame) -> DataFrame:
 
 
 def _as_frame(spark: SparkSession, rows: list, schema: str) -> DataFrame:
-    return F.broadcast(spark.createDataFrame(rows, schema))
+    """Some rows as a frame; they come as an Arrow table, as lists of tuples would pass through Python workers."""
+    types = {"long": pa.int64(), "int": pa.int32()}
+    fields = [pa.field(name, types[kind]) for name, kind in (c.split() for c in schema.split(", "))]
+    columns = zip(*rows) if rows else [()] * len(fields)
+    return F.broadcast(spark.createDataFrame(pa.table([pa.array(c, f.type) for c, f in zip(columns, fields)], schema=pa.schema(fields))))
 
 
 def _medians(rows: DataFrame, wants: dict[int, int]) -> dict[int, tuple[int, int, int]]:
