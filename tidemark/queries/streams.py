@@ -268,15 +268,22 @@ def cdc_landing_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _all_landed(spark: SparkSession, folder: str, wanted: int, query) -> DataFrame:
-    """Waits until all rows are in closed files: the last ones are closed by time."""
-    until = time.monotonic() + _WAIT_SECONDS
+    """Waits until all rows are in closed files: the last ones are closed by time.
+
+    Rows are counted after a batch only, and waiting ends in an error if no batch runs and none ends for long.
+    """
+    until, seen = time.monotonic() + _WAIT_SECONDS, None
     while True:
-        if storage.exists(spark, folder):
+        ended = query.lastProgress["batchId"] if query.lastProgress else None
+        if ended != seen and storage.exists(spark, folder):
             rows = spark.read.option("recursiveFileLookup", True).parquet(folder)
             if rows.count() >= wanted:
                 return rows
         if query.exception() is not None:
             raise query.exception()
+        status = query.status
+        if ended != seen or status["isTriggerActive"] and status["isDataAvailable"]:
+            until, seen = time.monotonic() + _WAIT_SECONDS, ended
         if time.monotonic() > until:
             raise TimeoutError(f"rows are still waiting after {_WAIT_SECONDS} s")
         time.sleep(0.5)

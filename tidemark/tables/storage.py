@@ -38,6 +38,15 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(n for n in names if not _hidden(n))
 
 
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths of all files and folders that a glob pattern names, in order; they cross from the JVM as one text."""
+    entries = _file_system(spark, pattern).globStatus(_path(spark, pattern))
+    if entries is None or not len(entries):
+        return []
+    paths = spark._jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(entries)
+    return sorted(spark._jvm.scala.collection.immutable.ArraySeq.unsafeWrapArray(paths).mkString("\n").split("\n"))
+
+
 def is_folder(spark: SparkSession, path: str) -> bool:
     return _file_system(spark, path).getFileStatus(_path(spark, path)).isDirectory()
 
