@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark import LakeTable, TableSpec
 from tidemark.operators.merge import INCOMING_WINS, LATEST_WINS
 from tidemark.spec import TableType
-from tidemark.tables import storage
+from tidemark.tables import lake_table, storage
 from tidemark.tables.commits import Commit, next_instant
 from tidemark.tables.lake_table import COMMIT_TIME
 
@@ -371,3 +371,15 @@ def test_a_replacing_seed_forgets_what_was_read(spark, place):
     table.seed(rows, replace=True)
     table.upsert(rows.withColumn("seq", F.lit(3)), source=("s", 0))
     assert table.snapshot().first()["seq"] == 3
+
+
+@BOTH_TYPES
+def test_a_batch_of_unique_keys_is_not_combined_again(spark, place, table_type, monkeypatch):
+    table = LakeTable(spark, f"{place}/things", spec(table_type=table_type))
+    table.seed(rows(spark, (1, "a", "old", sequence(1)), (2, "a", "stays", sequence(1))), unique_keys=True)
+    combined = []
+    real = lake_table.precombine
+    monkeypatch.setattr(lake_table, "precombine", lambda *a, **k: combined.append(a) or real(*a, **k))
+    table.upsert(rows(spark, (1, "b", "new", sequence(2)), (3, "c", "came", sequence(2))), unique_keys=True)
+    assert not combined
+    assert shown(table.snapshot()) == [(1, "b", "new"), (2, "a", "stays"), (3, "c", "came")]

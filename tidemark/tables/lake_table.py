@@ -194,9 +194,12 @@ class LakeTable:
         instant: str | None = None,
         source: tuple[str, int] | None = None,
         read_up_to: dict[str, str] | None = None,
+        unique_keys: bool = False,
     ) -> Commit:
         """Merge a batch by key. A batch of ``source`` that was committed before changes nothing.
 
+        ``unique_keys`` says that no key repeats in the batch, as in ``seed``; it saves a shuffle of whole rows.
+
         Columns that the batch lacks keep their stored values and unknown ones are added, or either makes the
         batch fail: see ``TableSpec.missing_columns`` and ``new_columns``.
         """
@@ -212,7 +215,9 @@ class LakeTable:
 
         commit, missing = self._reconciled(commit, changes)
         batch = conform(changes, T.StructType([f for f in commit.struct() if f.name != COMMIT_TIME]))
-        batch = precombine(self._refuse_null_keys(batch), self.spec.keys, self.spec.ordering)
+        batch = self._refuse_null_keys(batch)
+        if not unique_keys:
+            batch = precombine(batch, self.spec.keys, self.spec.ordering)
         if missing and last.parts:
             batch = self._with_stored(last, batch, missing)
         batch = blank_deleted(batch, self.spec.rule).withColumn(COMMIT_TIME, F.lit(instant))
