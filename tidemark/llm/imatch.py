@@ -23,12 +23,11 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import coded, in_arrow, mix, slices, words
+from tidemark.llm.common import coded, distinct, in_arrow, mix, slices, term_hashes, words
 
 #: lower and upper end of the band, in natural logarithms
 BAND = (1.4, 7.6)
@@ -45,10 +44,11 @@ def distinct_terms(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     """Hashes of a batch's terms, and the (text, term) pairs without repeats, by text."""
     flat, begins = words(texts)
     names, codes = coded(flat)
-    hashes = pd.util.hash_array(np.array(names, dtype=object)) if names else np.zeros(0, np.uint64)
+    hashes = term_hashes(names)
     of = np.repeat(np.arange(len(begins) - 1), np.diff(begins))
-    pairs = np.unique(of * max(1, len(names)) + codes)
-    return hashes, pairs // max(1, len(names)), pairs % max(1, len(names))
+    pairs = distinct(of * max(1, len(names)) + codes)
+    docs = pairs // max(1, len(names))
+    return hashes, docs, pairs - docs * max(1, len(names))
 
 
 def sketches(hashes: np.ndarray, docs: np.ndarray, terms: np.ndarray, n: int) -> np.ndarray:
@@ -83,10 +83,13 @@ def document_frequencies(documents: DataFrame, hot: tuple[np.ndarray, np.ndarray
         held: list[tuple[np.ndarray, np.ndarray]] = []
 
         def ready() -> pa.RecordBatch:
-            terms, place = np.unique(np.concatenate([h for h, _ in held]), return_inverse=True)
-            df = np.bincount(place, np.concatenate([n for _, n in held]), len(terms)).astype(np.int64)
+            terms, df = np.concatenate([h for h, _ in held]), np.concatenate([n for _, n in held]).astype(np.int64)
             held.clear()
-            return pa.record_batch({"term": pa.array(terms.view(np.int64)), "df": pa.array(df)})
+            order = np.argsort(terms)
+            terms = terms[order]
+            first = np.flatnonzero(np.append(True, terms[1:] != terms[:-1])) if len(terms) else np.zeros(0, np.int64)
+            df = np.add.reduceat(df[order], first) if len(terms) else df
+            return pa.record_batch({"term": pa.array(terms[first].view(np.int64)), "df": pa.array(df)})
 
         for rows in slices(batches):
             hashes, docs, terms = distinct_terms(rows["text"])
@@ -123,23 +126,28 @@ class Fingerprints:
         n = len(texts)
         everything = np.zeros(n, np.uint64)
         with np.errstate(over="ignore"):
-            np.add.at(everything, docs, mix(hashes)[terms] if len(terms) else np.zeros(0, np.uint64))
+            if len(docs):
+                first = np.flatnonzero(np.append(True, docs[1:] != docs[:-1]))
+                everything[docs[first]] = np.add.reduceat(mix(hashes)[terms], first)
         place = np.searchsorted(lexicon, hashes)
         known = (place < len(lexicon)) & (lexicon[np.minimum(place, len(lexicon) - 1)] == hashes) if len(lexicon) else np.zeros(len(hashes), bool)
         used = known[terms] if len(terms) else np.zeros(0, bool)
         docs, values = docs[used], hashes[terms[used]]
-        order = np.lexsort((values, docs))
+        ranks = np.empty(len(hashes), np.int64)
+        ranks[np.argsort(hashes)] = np.arange(len(hashes))
+        order = np.argsort(docs * max(1, len(hashes)) + ranks[terms[used]])
         docs, values = docs[order], values[order]
         self.count = np.bincount(docs, minlength=n)
         self.level = np.where(self.count > 0, np.floor(np.log2(np.maximum(self.count, 1))), 0).astype(np.int64)
         self.hashes = np.zeros((n, 2, SUBSETS), np.uint32)
         self.filled = np.zeros((n, 2, SUBSETS), bool)
         level = self.level[docs]
+        low, high = ((np.uint64(1) << (64 - np.minimum(level + up, 31)).astype(np.uint64)) - np.uint64(1) for up in (0, 1))
         for s in range(SUBSETS):
             with np.errstate(over="ignore"):
                 draw = mix(values * _SALT[s])
-            for up in (0, 1):
-                kept = np.flatnonzero(draw >> np.uint64(32) < (np.uint64(1) << (32 - np.minimum(level + up, 31)).astype(np.uint64)))
+            first = np.flatnonzero(draw <= low)
+            for up, kept in enumerate((first, first[draw[first] <= high[first]])):
                 if len(kept):
                     self._fold(docs[kept], values[kept], up, s)
         plain = self.count == 0
