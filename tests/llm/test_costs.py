@@ -22,3 +22,41 @@ def test_terms_of_texts_are_found_without_hashing_numbers(monkeypatch):
     hashes, docs, terms = imatch.distinct_terms(pa.array(["b a B", None, "c a"]))
     assert docs.tolist() == [0, 0, 2, 2] and len(hashes) == 3
     assert len(imatch.Fingerprints(pa.array(["b a B", None, "c a"]), np.sort(hashes)).strings()) == 3
+
+
+def test_only_pieces_are_remembered_and_ids_are_those_of_the_library():
+    import public_tokenizers
+
+    from tidemark.llm import encoding
+
+    encoder = encoding.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["it's o'clock' we'll' 'tis a's's x''s, ab'' ab'S don't.", " 12ab! ab12.! é! É'. 文字, ．", "...word!? 'll,b ª! ①.", None, "", "a\tb!\n c'"]
+    ids, begins = encoder.encode(pa.array(texts))
+    want = [x.ids for x in encoder.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    assert [ids[a:b].tolist() for a, b in zip(begins[:-1], begins[1:])] == want
+    assert " don't." not in encoder.ids and " 文字," not in encoder.ids and " 文字" in encoder.ids
+
+
+def test_rows_that_share_a_key_are_put_in_order():
+    rng = np.random.default_rng(4)
+    for n in (0, 1, 500):
+        key, a, b = np.sort(rng.integers(-40, 40, n)), rng.integers(0, 4, n), rng.integers(0, 9, n)
+        order = common.in_order(key, a, b)
+        assert (key[order] == key).all()
+        assert list(zip(key, a[order], b[order])) == sorted(zip(key, a, b))
+
+
+def test_a_task_gives_back_memory_while_it_runs(spark, monkeypatch):
+    given = []
+    monkeypatch.setattr(common, "GIVEN_BACK_EVERY", -1)
+    monkeypatch.setattr(common, "give_back", lambda: given.append(1))
+    held = {}
+
+    class Rows:
+        sparkSession = spark
+
+        def mapInArrow(self, function, schema):
+            held["run"] = function
+
+    common.in_arrow(Rows(), lambda batches: batches, "n long")
+    assert list(held["run"](iter([1, 2, 3]))) == [1, 2, 3] and len(given) == 4

@@ -29,8 +29,10 @@ from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2
 
 from tidemark.llm.common import coded, in_arrow, keep, slices, whole
-from tidemark.llm.encoding import REMEMBERED, byte_letters, encoder
+from tidemark.llm.encoding import byte_letters, encoder
 
+#: words a process remembers; a full memory is emptied, which costs time and changes no result
+REMEMBERED = 900_000
 #: text aligned together
 ALIGNED_TOGETHER = 1 << 20
 #: pairs of ids, of the most documents, that every task gets: 16 bytes each

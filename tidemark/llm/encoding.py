@@ -8,7 +8,10 @@ with the special tokens' strings taken as ordinary text.
 
 from __future__ import annotations
 
+import itertools
 import json
+import string
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +22,7 @@ from tokenizers import Tokenizer
 from tidemark.llm.common import coded, whole
 
 #: pieces a process remembers; a full memory is emptied, which costs time and changes no result
-REMEMBERED = 900_000
+REMEMBERED = 300_000
 
 #: white space as the split pattern takes it
 _BLANKS = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
@@ -68,25 +71,20 @@ class Encoder:
         """Ids of one piece of the split, as 32-bit integers."""
         found = self.ids.get(piece)
         if found is None:
-            written = piece.encode().decode("latin-1").translate(self.letters)
-            found = np.array([t.id for t in self.tokenizer.model.tokenize(written)], "<i4").tobytes()
-            self._remember(piece, found)
+            plain = piece.isascii() and piece.isprintable()  # of these signs only the space has another letter
+            written = piece.replace(" ", self.letters[32]) if plain else piece.encode().decode("latin-1").translate(self.letters)
+            found = array("i", [t.id for t in self.tokenizer.model.tokenize(written)]).tobytes()
+            if len(self.ids) >= REMEMBERED:
+                self.ids.clear()
+            self.ids[piece] = found
         return found
 
     def run(self, text: str) -> bytes:
-        """Ids of a text or of a part of it that the split never joins to its neighbours."""
-        found = self.ids.get(text)
-        if found is None:
-            if text[1 if text[:1] == " " else 0 :].isalpha():
-                return self.piece(text)
-            found = b"".join([self.piece(x) for x in self.split.findall(text)])
-            self._remember(text, found)
-        return found
-
-    def _remember(self, text: str, ids: bytes) -> None:
-        if len(self.ids) >= REMEMBERED:
-            self.ids.clear()
-        self.ids[text] = ids
+        """Ids of a text or of a part of it that the split never joins to its neighbours; only its pieces are remembered."""
+        word = text.rstrip(string.punctuation)
+        if word[1 if word[:1] == " " else 0 :].isalpha():  # letters, then signs: two pieces, for no letter follows an apostrophe
+            return self.piece(word) + self.piece(text[len(word) :]) if len(word) < len(text) else self.piece(text)
+        return b"".join([self.piece(x) for x in self.split.findall(text)])
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row as 32-bit integers, and where each text begins (one more than texts)."""
@@ -104,14 +102,18 @@ class Encoder:
         first[offsets[:-1]] = True
         heads, head_codes = coded(flat.filter(pa.array(first)))
         rest, rest_codes = coded(flat.filter(pa.array(~first)))
-        found = [self.run(x) for x in heads] + [self.run(" " + x) for x in rest]
-        codes = np.empty(len(flat), np.int64)
+        del plain, lists, flat  # a worker's memory counts
+        codes = np.empty(len(first), np.int64)
         codes[first], codes[~first] = head_codes, rest_codes + len(heads)
+        del first, head_codes, rest_codes
+        found = [self.ids.get(x) or self.run(x) for x in itertools.chain(heads, map(" ".__add__, rest))]
+        del heads, rest
         for k in np.flatnonzero(odd):
             codes[offsets[k]] = len(found)
             found.append(b"".join([self.piece(x) for x in self.split.findall(texts[int(k)].as_py())]))
-        begins = np.cumsum([0, *map(len, found)], dtype=np.int64) // 4
+        begins = np.cumsum(np.fromiter(itertools.chain((0,), map(len, found)), np.int64, len(found) + 1)) // 4
         runs = pa.LargeListArray.from_arrays(pa.array(begins), pa.array(np.frombuffer(b"".join(found), "<i4")))
+        del found
         taken = runs.take(pa.array(codes))
         ids = taken.flatten().to_numpy(zero_copy_only=False)
         return ids, taken.offsets.to_numpy(zero_copy_only=False)[offsets]

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import in_arrow, keep, mix, slices
+from tidemark.llm.common import distinct, in_arrow, keep, mix, slices
 from tidemark.llm.encoding import ENCODED_TOGETHER, closed, encoder
 
 SHARD_DOCS, SHARD_IDS = 2048, 1 << 20
@@ -43,6 +43,8 @@ def with_crc(pieces: dict[str, np.ndarray], ids: list[np.ndarray]) -> dict[str,
     return pieces | {"ids_crc32": pa.array([zlib.crc32(np.ascontiguousarray(x, "<u4")) for x in ids], pa.int64())}
 
 
+#: with their ids, pieces take the more room beside a batch's text the more of it is encoded at a time
+_TOGETHER = {with_ids: ENCODED_TOGETHER // 4, with_crc: ENCODED_TOGETHER}
 _EXTRA = {with_ids: "ids array<int>", with_crc: "ids_crc32 long"}
 
 
@@ -53,7 +55,9 @@ class Index:
         lengths = np.diff(begins)
         self.n = len(lengths)
         of = np.repeat(np.arange(self.n), lengths)
-        keys, tf = np.unique(ids.astype(np.int64) * self.n + of, return_counts=True)
+        keys = np.sort(ids.astype(np.int64) * self.n + of)
+        at = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+        keys, tf = keys[at], np.diff(np.append(at, len(keys)))
         term, self.doc = keys // self.n, keys % self.n
         norm = K1 * (1 - B + B * lengths / max(mean_length, 1))
         self.weight = (idf[term] * tf * (K1 + 1) / (tf + norm[self.doc])).astype(np.float32)
@@ -122,7 +126,7 @@ def pack(documents: DataFrame, tokenizer: str, end_id: int, window: int = 1024,
         """Full windows as pieces (kind 0), rests (kind 1), and in how many documents of the task each id stands (kind 2)."""
         found = np.zeros(0, np.int64)
         part, count = TaskContext.get().partitionId(), 0
-        for rows in slices(batches, limit=ENCODED_TOGETHER):
+        for rows in slices(batches, limit=_TOGETHER[finish]):
             ids, begins = closed(*encoder(tokenizer).encode(rows["text"]), end_id)
             lengths = np.diff(begins)
             full = lengths // window
@@ -156,7 +160,7 @@ def pack(documents: DataFrame, tokenizer: str, end_id: int, window: int = 1024,
             most = int(ids.max(initial=0)) + 1
             if most > len(found):
                 found = np.concatenate([found, np.zeros(most - len(found), np.int64)])
-            pairs = [np.unique(ids[a:b]) for a, b in zip(begins[:-1].tolist(), begins[1:].tolist())]
+            pairs = [distinct(ids[a:b]) for a, b in zip(begins[:-1].tolist(), begins[1:].tolist())]
             found += np.bincount(np.concatenate(pairs), minlength=len(found)) if pairs else 0
         at = np.flatnonzero(found)
         yield as_rows(2, {"start": pa.array(at), "length": pa.array(found[at])})
