@@ -29,7 +29,6 @@ import bisect
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
@@ -37,7 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import coded, gather, in_arrow, keep, marked, matching, mix, ship, slices, unwrapped, whole_groups, without, words, wrapped
+from tidemark.llm.common import coded, distinct, gather, in_arrow, in_order, keep, marked, matching, mix, ship, slices, term_hashes, unwrapped, whole_groups, without, words, wrapped
 
 SEED_WORDS, WINDOW = 5, 4
 #: what a match adds to the score of a chain
@@ -61,7 +60,7 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """A 64-bit hash of each word, and where each text begins."""
     flat, begins = words(texts)
     names, codes = coded(flat)
-    return (pd.util.hash_array(np.array(names, dtype=object))[codes] if names else np.zeros(0, np.uint64)), begins
+    return term_hashes(names)[codes], begins
 
 
 def _picked(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -85,7 +84,8 @@ def seeds(hashes: np.ndarray, begins: np.ndarray, min_words: int) -> tuple[np.nd
     of = np.repeat(np.arange(len(lengths)), lengths)
     at = np.arange(len(picked))
     inside = (lengths[of[at]] >= least) & (at + SEED_WORDS + WINDOW - 1 <= begins[of[at] + 1])
-    place = np.unique(picked[inside])
+    place = picked[inside]  # of windows in a row: in ascending order
+    place = place[np.append(True, place[1:] != place[:-1])] if len(place) else place
     return runs[place], of[place], place - begins[of[place]]
 
 
@@ -194,7 +194,8 @@ def all_matches(documents: DataFrame, pick: Callable, asked: DataFrame | None =
         def ready() -> Iterator[pa.RecordBatch]:
             seed, doc, row, pos, wanted = (np.concatenate(x) for x in zip(*held))
             held.clear()
-            order = np.lexsort((pos, row, doc, seed))
+            order = np.argsort(seed)
+            order = order[in_order(seed[order], doc[order], row[order], pos[order])]
             seed, doc, row, pos, wanted = (x[order] for x in (seed, doc, row, pos, wanted))
             found, first = matches(seed, doc, row, pos, wanted)
             for a in range(0, len(found), 200_000):
@@ -222,15 +223,19 @@ def all_matches(documents: DataFrame, pick: Callable, asked: DataFrame | None =
             open_ends = rows["ref"].is_null()
             yield rows.filter(pc.invert(open_ends)).select(list(_MATCH))
             firsts = rows.filter(open_ends)
-            pos = firsts["pos"].to_numpy().astype(np.int64)
-            found, _ = matches(*(firsts[c].to_numpy() for c in ("key", "doc", "row")), pos >> 1, pos & 1 == 1)
+            seed, doc, row, pos = (firsts[c].to_numpy() for c in ("key", "doc", "row", "pos"))
+            same = seed[1:] == seed[:-1]
+            several = np.flatnonzero(np.append(same, False) | np.append(False, same)) if len(seed) else np.zeros(0, np.int64)
+            several = several[in_order(*(x[several] for x in (seed, doc, row, pos)))]  # the others have no match
+            seed, doc, row, pos = (x[several] for x in (seed, doc, row, pos.astype(np.int64)))
+            found, _ = matches(seed, doc, row, pos >> 1, pos & 1 == 1)
             yield from _match_batches(found)
 
     parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = documents.select("doc", "row", "text")
     texts = texts.withColumn("_may_match", F.lit(True)) if asked is None else marked(texts, asked.select("row"), "row")
     rows = in_arrow(texts, sent, f"key long, doc long, {_MATCH_DDL}").repartition(parts, "key")
-    return in_arrow(rows.sortWithinPartitions("key", "doc", "row", "pos"), between_tasks, _MATCH_DDL)
+    return in_arrow(rows.sortWithinPartitions("key"), between_tasks, _MATCH_DDL)
 
 
 def seed_matches(documents: DataFrame, min_words: int) -> DataFrame:
@@ -310,6 +315,8 @@ def candidate_chains(found: DataFrame) -> DataFrame:
         for rows in whole_groups(batches, "pair"):
             row, ref, pair = rows["row"].to_numpy(), rows["ref"].to_numpy(), rows["pair"].to_numpy()
             pos, ref_pos = rows["pos"].to_numpy(), rows["ref_pos"].to_numpy()
+            order = in_order(pair, row, ref, pos, ref_pos)
+            row, ref, pair, pos, ref_pos = (x[order] for x in (row, ref, pair, pos, ref_pos))
             new = (pair[1:] != pair[:-1]) | (row[1:] != row[:-1]) | (ref[1:] != ref[:-1])
             starts = np.flatnonzero(np.append(True, new))
             ends = np.append(starts[1:], len(row))
@@ -338,8 +345,7 @@ def candidate_chains(found: DataFrame) -> DataFrame:
 
     parts = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     pairs = found.withColumn("pair", F.xxhash64("row", "ref")).repartition(parts, "pair")
-    order = pairs.sortWithinPartitions("pair", "row", "ref", "pos", "ref_pos")
-    return in_arrow(order, run, "row long, ref long, pos array<int>, ref_pos array<int>")
+    return in_arrow(pairs.sortWithinPartitions("pair"), run, "row long, ref long, pos array<int>, ref_pos array<int>")
 
 
 def _gap_matches(a: np.ndarray, b: np.ndarray) -> int:
@@ -623,7 +629,7 @@ def exact_passages(documents: DataFrame, matched: DataFrame, passages: DataFrame
         for rows in slices(batches):
             hashes, begins = word_hashes(rows["text"])
             at = [np.arange(x["first"], x["last"] + 1) + begins[i] for i, runs in enumerate(rows["asked"].to_pylist()) for x in runs]
-            yield pa.record_batch({"mark": pa.array(_mark(np.unique(window_hashes(hashes, np.concatenate(at), min_words)))).cast(pa.int32())})
+            yield pa.record_batch({"mark": pa.array(_mark(distinct(window_hashes(hashes, np.concatenate(at), min_words)))).cast(pa.int32())})
 
     wanted = matching(texts, asked.select("row"), "row").join(asked, "row").select("text", "asked")
     wanted = context.broadcast(_map(in_arrow(wanted, marks, "mark int")))
