@@ -37,6 +37,32 @@ def test_only_pieces_are_remembered_and_ids_are_those_of_the_library():
     assert " don't." not in encoder.ids and " 文字," not in encoder.ids and " 文字" in encoder.ids
 
 
+def test_a_process_asks_the_library_for_a_piece_once_and_remembers_it_in_few_bytes(monkeypatch):
+    import public_tokenizers
+
+    from tidemark.llm import encoding
+
+    encoder = encoding.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    rng = np.random.default_rng(5)
+    words = ["".join(w) for w in rng.choice(list("abcdefghé"), (20_000, 8))]
+    texts = [" ".join(words[a : a + 500]) + ["", ".", " ", "  \n"][a % 4] for a in range(0, 20_000, 125)]
+    want = [x.ids for x in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+    def encoded():
+        ids, begins = encoder.encode(pa.array(texts))
+        return [ids[a:b].tolist() for a, b in zip(begins[:-1], begins[1:])]
+
+    assert encoded() == want and " " + words[7] in encoder.ids
+    held = [*vars(encoder.ids).values()]
+    assert sum(x.nbytes for x in held) < 60 * 20_000
+    monkeypatch.setattr(encoder, "model", None)  # nothing is asked again
+    assert encoded() == want
+    monkeypatch.undo()
+    monkeypatch.setattr(encoding, "REMEMBERED", 100)  # a full memory is emptied
+    assert encoder.encode(pa.array(["never met before", *texts[:2]]))[0][-len(want[1]) :].tolist() == want[1]
+    assert words[7] not in encoder.ids and encoded() == want
+
+
 def test_rows_that_share_a_key_are_put_in_order():
     rng = np.random.default_rng(4)
     for n in (0, 1, 500):
