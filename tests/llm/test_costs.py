@@ -86,3 +86,40 @@ def test_a_task_gives_back_memory_while_it_runs(spark, monkeypatch):
 
     common.in_arrow(Rows(), lambda batches: batches, "n long")
     assert list(held["run"](iter([1, 2, 3]))) == [1, 2, 3] and len(given) == 4
+
+
+def test_words_are_hashed_without_strings_and_equal_words_alike(monkeypatch):
+    from fixtures import odd_texts, words_of
+
+    from tidemark.llm import chaining
+
+    texts = [t[1] if isinstance(t, tuple) else t for t in odd_texts()]
+    texts += ["É é\x0bA a\x0c", "x" * 256 + " y", "end", " ".join("ab"[k % 2] * (k % 256 + 1) for k in range(2000))]
+    long = ["Q" * 300 + " " + "q" * 300, "w" * 70_000 + "\tw Z", "z"]
+    for some, strings in ((texts, False), (long, True), ([], False), ([None, ""], False)):
+        with monkeypatch.context() as patched:
+            if not strings:
+                patched.setattr(chaining, "term_hashes", None)
+                patched.setattr(common, "term_hashes", None)
+            hashes, begins = chaining.word_hashes(pa.array([None, *some], pa.string()).slice(1))
+        words = [words_of(t) for t in some]
+        assert np.diff(begins).tolist() == list(map(len, words)) and begins[-1] == len(hashes)
+        pairs = set(zip(hashes.tolist(), [w for text in words for w in text]))
+        assert len(pairs) == len({h for h, _ in pairs}) == len({w for _, w in pairs})
+
+
+def test_straight_chains_are_aligned_alike_one_by_one_and_many_at_once():
+    from tidemark.llm import chaining
+
+    rng = np.random.default_rng(36)
+    texts = [rng.integers(0, 3, rng.integers(20, 90)).astype(np.int32) for _ in range(300)]
+    texts += [np.where(rng.random(len(t)) < 0.1, 7, t).astype(np.int32) for t in texts]
+    a, b = np.arange(300), np.arange(300, 600)
+    ends = np.cumsum([len(t) for t in texts])
+    begins = ends - [len(t) for t in texts]
+    pos = np.array([rng.integers(0, len(t) - 10) for t in texts[:300]])
+    size = np.array([rng.integers(chaining.SEED_WORDS, len(t) - p + 1) for t, p in zip(texts, pos)])
+    got = chaining.align_straight(np.concatenate(texts), begins[a], ends[a], begins[b], ends[b], pos, pos, size)
+    for k in range(300):
+        both = np.array([pos[k], pos[k] + size[k] - chaining.SEED_WORDS])
+        assert tuple(int(x[k]) for x in got) == chaining.align(texts[k], texts[300 + k], both, both)

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import coded, distinct, gather, in_arrow, in_order, keep, marked, matching, mix, ship, slices, term_hashes, unwrapped, whole_groups, without, words, wrapped
+from tidemark.llm.common import distinct, gather, in_arrow, in_order, keep, marked, matching, mix, ship, slices, term_hashes, unwrapped, whole, whole_groups, without, wrapped
 
 SEED_WORDS, WINDOW = 5, 4
 #: what a match adds to the score of a chain
@@ -54,13 +54,47 @@ _MAP_BITS = 24
 _BASE = 0x9E3779B97F4A7C15
 _FACTORS = mix(np.arange(101, 101 + SEED_WORDS)) | np.uint64(1)
 _WORD = regex.compile(r"[^\x20\x09-\x0D]+")
+#: bytes hashed together, and bytes of the words that are hashed so at most
+_BLOCK, _LONG = 1 << 16, 256
+_IN_WORD = ~np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+_LETTERS = mix(np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)]) + 1)
+with np.errstate(over="ignore"):
+    _UP = np.cumprod(np.full(_BLOCK + 1, _BASE, np.uint64))
+    _DOWN = np.cumprod(np.full(_BLOCK + 1, pow(_BASE, -1, 2**64), np.uint64))
 
 
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit hash of each word, and where each text begins."""
-    flat, begins = words(texts)
-    names, codes = coded(flat)
-    return term_hashes(names)[codes], begins
+    """A 64-bit hash of each word ``[^\\x20\\x09-\\x0D]+``, A-Z lower-cased, and where each text begins.
+
+    Differences of sums of powers, modulo 2^64, over the bytes of a block; no word becomes a string. Longer words than
+    _LONG bytes, whose powers could be chosen to cancel out, are hashed as strings.
+    """
+    texts = whole(texts)
+    offsets = np.frombuffer(texts.buffers()[1], np.int32)[: len(texts) + 1].astype(np.int64) if len(texts) else np.zeros(1, np.int64)
+    data = np.frombuffer(texts.buffers()[2], np.uint8)[: offsets[-1]] if offsets[-1] else np.zeros(0, np.uint8)
+    inside = np.concatenate([[False], _IN_WORD[data], [False]])
+    edge = np.zeros(len(data) + 1, bool)
+    edge[offsets] = True
+    begin = np.flatnonzero(inside[1:-1] & (edge[:-1] | ~inside[:-2]))
+    end = np.flatnonzero(inside[1:-1] & (edge[1:] | ~inside[2:])) + 1
+    hashes = np.empty(len(begin), np.uint64)
+    size = end - begin
+    long = np.flatnonzero(size > _LONG)
+    reach = np.where(size > _LONG, begin, end)
+    at = 0
+    with np.errstate(over="ignore"):
+        while at < len(begin):
+            first = begin[at]
+            to = max(at + 1, int(np.searchsorted(end, first + _BLOCK, side="right")))
+            stop = end[to - 1] if to > at + 1 or size[at] <= _LONG else first
+            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_LETTERS[data[first:stop]] * _UP[: stop - first])])
+            a, b = begin[at:to] - first, reach[at:to] - first
+            hashes[at:to] = (sums[b] - sums[a]) * _DOWN[a]
+            at = to
+    hashes = mix(hashes)
+    if len(long):
+        hashes[long] = term_hashes([data[a:b].tobytes().lower().decode("latin-1") for a, b in zip(begin[long].tolist(), end[long].tolist())])
+    return hashes, np.searchsorted(begin, offsets)
 
 
 def _picked(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -185,7 +219,8 @@ def all_matches(documents: DataFrame, pick: Callable, asked: DataFrame | None =
 
     ``pick`` gives hash, number of text and place of what it takes from a batch of texts. With ``asked`` (column ``row``), rows
     that are surely not among them are not matched, though others may be matched with them. Texts are read once: a
-    task sends the matches inside it, spread by their row, together with the first document of each of its hashes.
+    task sends the matches inside it, spread by their row, together with the first document of each of its hashes. A match
+    is (mark and bits of the row's hash, ref, row, -1 - both places), a first document (hash, doc, row, place and whether asked).
     """
 
     def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,15 +233,14 @@ def all_matches(documents: DataFrame, pick: Callable, asked: DataFrame | None =
             order = order[in_order(seed[order], doc[order], row[order], pos[order])]
             seed, doc, row, pos, wanted = (x[order] for x in (seed, doc, row, pos, wanted))
             found, first = matches(seed, doc, row, pos, wanted)
-            for a in range(0, len(found), 200_000):
-                part = found[a : a + 200_000]
-                columns = {"key": pa.array(mix(part[:, 0]).view(np.int64)), "doc": pa.nulls(len(part), pa.int64())}
-                yield pa.record_batch(columns | {c: pa.array(part[:, i]).cast(t) for i, (c, t) in enumerate(_MATCH.items())})
-            kept = np.flatnonzero(first)
-            for a in range(0, len(kept), 200_000):
-                part = kept[a : a + 200_000]
-                columns = {"key": seed[part], "doc": doc[part], "row": row[part], "pos": pa.array(2 * pos[part] + wanted[part]).cast(pa.int32())}
-                yield pa.record_batch(columns | {c: pa.nulls(len(part), _MATCH[c]) for c in ("ref", "ref_pos", "mark")})
+            key = (mix(found[:, 0]) >> np.uint64(_MAP_BITS)).view(np.int64) | found[:, 4] << (64 - _MAP_BITS)
+            places = -1 - (found[:, 1] << 31 | found[:, 3])
+            yield from rows_of(key, found[:, 2], found[:, 0], places)
+            yield from rows_of(seed[first], doc[first], row[first], 2 * pos[first] + wanted[first])
+
+        def rows_of(*columns: np.ndarray) -> Iterator[pa.RecordBatch]:
+            for a in range(0, len(columns[0]), 200_000):
+                yield pa.record_batch([pa.array(c[a : a + 200_000]) for c in columns], ["key", "of", "row", "places"])
 
         for rows in slices(batches):
             seed, of, pos = pick(*word_hashes(rows["text"]))
@@ -220,21 +254,22 @@ def all_matches(documents: DataFrame, pick: Callable, asked: DataFrame | None =
 
     def between_tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in whole_groups(batches, "key"):
-            open_ends = rows["ref"].is_null()
-            yield rows.filter(pc.invert(open_ends)).select(list(_MATCH))
-            firsts = rows.filter(open_ends)
-            seed, doc, row, pos = (firsts[c].to_numpy() for c in ("key", "doc", "row", "pos"))
+            key, of, row, places = (rows[c].to_numpy() for c in ("key", "of", "row", "places"))
+            done = places < 0
+            both = -1 - places[done]
+            yield from _match_batches(np.stack([row[done], both >> 31, of[done], both & (2**31 - 1), _mark(key[done])], axis=1))
+            seed, doc, row, pos = (x[~done] for x in (key, of, row, places))
             same = seed[1:] == seed[:-1]
             several = np.flatnonzero(np.append(same, False) | np.append(False, same)) if len(seed) else np.zeros(0, np.int64)
             several = several[in_order(*(x[several] for x in (seed, doc, row, pos)))]  # the others have no match
-            seed, doc, row, pos = (x[several] for x in (seed, doc, row, pos.astype(np.int64)))
+            seed, doc, row, pos = (x[several] for x in (seed, doc, row, pos))
             found, _ = matches(seed, doc, row, pos >> 1, pos & 1 == 1)
             yield from _match_batches(found)
 
     parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = documents.select("doc", "row", "text")
     texts = texts.withColumn("_may_match", F.lit(True)) if asked is None else marked(texts, asked.select("row"), "row")
-    rows = in_arrow(texts, sent, f"key long, doc long, {_MATCH_DDL}").repartition(parts, "key")
+    rows = in_arrow(texts, sent, "key long, of long, row long, places long").repartition(parts, "key")
     return in_arrow(rows.sortWithinPartitions("key"), between_tasks, _MATCH_DDL)
 
 
@@ -250,17 +285,17 @@ class Fenwick:
 
     def put(self, place: int, value: float, item: int) -> None:
         place += 1
-        while place < len(self.best):
-            if value > self.best[place][0]:
-                self.best[place] = (value, item)
+        best, new = self.best, (value, item)
+        while place < len(best) and value > best[place][0]:  # places behind it that cover this one are no less
+            best[place] = new
             place += place & -place
 
     def upto(self, place: int) -> tuple[float, int]:
-        found = (-np.inf, -1)
+        best, found = self.best, (-np.inf, -1)
         while place > 0:
-            if self.best[place][0] > found[0]:
-                found = self.best[place]
-            place -= place & -place
+            if best[place][0] > found[0]:
+                found = best[place]
+            place &= place - 1
         return found
 
 
@@ -277,13 +312,17 @@ def chains(pos: list[int], ref_pos: list[int]) -> list[list[int]]:
         return [list(range(n))]  # one diagonal on which every step gains
     levels = sorted(set(ref_pos))
     tree = Fenwick(len(levels))
+    upto, put = tree.upto, tree.put
+    rank = {r: k for k, r in enumerate(levels)}
+    level = [rank[r] for r in ref_pos]
+    cost = [GAP_COST * (p + r) for p, r in zip(pos, ref_pos)]
     score, before = [float(GAIN)] * n, [-1] * n
     i = 0
     while i < n:
         end = i
         while end < n and pos[end] == pos[i]:  # matches at one position are not before each other
-            value, j = tree.upto(bisect.bisect_left(levels, ref_pos[end]))
-            gain = value - GAP_COST * (pos[end] + ref_pos[end]) + GAIN
+            value, j = upto(level[end])
+            gain = value - cost[end] + GAIN
             if j >= 0 and gain > score[end]:
                 if _may_follow(pos, ref_pos, j, end):
                     score[end], before[end] = gain, j
@@ -294,7 +333,7 @@ def chains(pos: list[int], ref_pos: list[int]) -> list[list[int]]:
                             score[end], before[end] = gain, j
             end += 1
         for k in range(i, end):
-            tree.put(bisect.bisect_left(levels, ref_pos[k]), score[k] + GAP_COST * (pos[k] + ref_pos[k]), k)
+            put(level[k], score[k] + cost[k], k)
         i = end
     used, out = [False] * n, []
     for i in sorted(range(n), key=lambda k: -score[k]):
@@ -317,31 +356,36 @@ def candidate_chains(found: DataFrame) -> DataFrame:
             pos, ref_pos = rows["pos"].to_numpy(), rows["ref_pos"].to_numpy()
             order = in_order(pair, row, ref, pos, ref_pos)
             row, ref, pair, pos, ref_pos = (x[order] for x in (row, ref, pair, pos, ref_pos))
+
+            def as_chains(taken: np.ndarray, sizes: np.ndarray) -> pa.RecordBatch:
+                begins = np.cumsum(np.append(0, sizes))
+                columns = {"row": pa.array(row[taken[begins[:-1]]]), "ref": pa.array(ref[taken[begins[:-1]]])}
+                for c, values in (("pos", pos), ("ref_pos", ref_pos)):
+                    columns[c] = pa.ListArray.from_arrays(pa.array(begins, pa.int32()), pa.array(values[taken], pa.int32()))
+                return pa.record_batch(columns)
+
             new = (pair[1:] != pair[:-1]) | (row[1:] != row[:-1]) | (ref[1:] != ref[:-1])
             starts = np.flatnonzero(np.append(True, new))
             ends = np.append(starts[1:], len(row))
-            out = {"row": [], "ref": [], "pos": [], "ref_pos": []}
-            types = {"row": pa.int64(), "ref": pa.int64(), "pos": pa.list_(pa.int32()), "ref_pos": pa.list_(pa.int32())}
             single = starts[ends - starts == 1]  # most pairs share one seed
-            each = pa.array(np.arange(len(single) + 1), pa.int32())
-            columns = {"row": pa.array(row[single]), "ref": pa.array(ref[single])}
-            columns |= {c: pa.ListArray.from_arrays(each, pa.array(v[single], pa.int32())) for c, v in (("pos", pos), ("ref_pos", ref_pos))}
-            yield pa.record_batch(columns)
+            yield as_chains(single, np.ones(len(single), np.int64))
             several = ends - starts > 1
+            taken, sizes = [], []  # matches of chains in a row, and how many each chain has
             for a, b in zip(starts[several].tolist(), ends[several].tolist()):
                 p, r = pos[a:b].tolist(), ref_pos[a:b].tolist()
                 whole = chains(p, r)
                 used = {i for chain in whole for i in range(chain[0], chain[-1] + 1)}
-                lone = [[i] for i in range(b - a) if i not in used]
-                for chain in whole + lone:
+                for chain in whole:
                     # of matches on one diagonal an alignment needs the first and the last
                     shift = [None, *[r[i] - p[i] for i in chain], None]
-                    chain = [i for k, i in enumerate(chain) if not shift[k] == shift[k + 1] == shift[k + 2]]
-                    out["row"].append(int(row[a]))
-                    out["ref"].append(int(ref[a]))
-                    out["pos"].append([p[i] for i in chain])
-                    out["ref_pos"].append([r[i] for i in chain])
-            yield pa.record_batch({c: pa.array(v, types[c]) for c, v in out.items()})
+                    chain = [a + i for k, i in enumerate(chain) if not shift[k] == shift[k + 1] == shift[k + 2]]
+                    taken += chain
+                    sizes.append(len(chain))
+                if len(used) < b - a:
+                    lone = [i for i in range(a, b) if i - a not in used]
+                    taken += lone
+                    sizes += [1] * len(lone)
+            yield as_chains(np.array(taken, np.int64), np.array(sizes, np.int64))
 
     parts = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     pairs = found.withColumn("pair", F.xxhash64("row", "ref")).repartition(parts, "pair")
@@ -402,8 +446,8 @@ def _extensions(equal: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return n, np.where(n > 0, np.cumsum(equal, axis=1)[np.arange(len(n)), np.maximum(n - 1, 0)], 0)
 
 
-def align_lone(words: np.ndarray, begin: np.ndarray, end: np.ndarray, ref_begin: np.ndarray, ref_end: np.ndarray, pos: np.ndarray, ref_pos: np.ndarray):
-    """What ``align`` gives for chains of one match, many at once; texts are words[begin:end], positions are those in the text."""
+def align_straight(words: np.ndarray, begin: np.ndarray, end: np.ndarray, ref_begin: np.ndarray, ref_end: np.ndarray, pos: np.ndarray, ref_pos: np.ndarray, size: np.ndarray):
+    """What ``align`` gives for chains on one diagonal, many at once; texts are words[begin:end], chains have ``size`` words from pos."""
     at, ref = begin + pos, ref_begin + ref_pos
     most = len(words) - 1
 
@@ -411,10 +455,16 @@ def align_lone(words: np.ndarray, begin: np.ndarray, end: np.ndarray, ref_begin:
         k = np.arange(max(int(n.max(initial=0)), 1))
         return (words[np.clip(a[:, None] + step * k, 0, most)] == words[np.clip(b[:, None] + step * k, 0, most)]) & (k < n[:, None])
 
-    equal = same(at, ref, np.full(len(at), SEED_WORDS), 1).sum(1)
+    sums = np.concatenate([[0], np.cumsum(words[gather(at, size)] == words[gather(ref, size)])])
+    equal = np.diff(sums[np.concatenate([[0], np.cumsum(size)])])
     left, more = _extensions(same(at - 1, ref - 1, np.minimum(pos, ref_pos), -1))
-    right, again = _extensions(same(at + SEED_WORDS, ref + SEED_WORDS, np.minimum(end - at, ref_end - ref) - SEED_WORDS, 1))
-    return pos - left, pos + SEED_WORDS + right, ref_pos - left, ref_pos + SEED_WORDS + right, equal + more + again
+    right, again = _extensions(same(at + size, ref + size, np.minimum(end - at, ref_end - ref) - size, 1))
+    return pos - left, pos + size + right, ref_pos - left, ref_pos + size + right, equal + more + again
+
+
+def align_lone(words: np.ndarray, begin: np.ndarray, end: np.ndarray, ref_begin: np.ndarray, ref_end: np.ndarray, pos: np.ndarray, ref_pos: np.ndarray):
+    """``align_straight`` for chains of one match."""
+    return align_straight(words, begin, end, ref_begin, ref_end, pos, ref_pos, np.full(len(pos), SEED_WORDS))
 
 
 def _windows(documents: DataFrame, found: DataFrame) -> DataFrame:
@@ -537,22 +587,29 @@ def passages(documents: DataFrame, min_words: int, min_identity: float) -> DataF
             held = pa.concat_arrays([held]) if held.offset else held
             places = np.frombuffer(held.buffers()[1], np.int32)[: len(held) + 1].astype(np.int64) // 4
             words = np.frombuffer(held.buffers()[2], np.int32) if held.buffers()[2] else np.zeros(1, np.int32)
-            lone = pc.list_value_length(batch["pos"].take(pa.array(last))).to_numpy(zero_copy_only=False) == 1
-            one = last[lone]
+            lists = [batch[c].take(pa.array(last)) for c in ("pos", "ref_pos")]
+            n = pc.list_value_length(lists[0]).to_numpy(zero_copy_only=False).astype(np.int64)
+            pos, ref_pos = (x.flatten().to_numpy().astype(np.int64) for x in lists)
+            head = np.cumsum(n) - n
+            tail = head + n - 1
+            # of a chain on one diagonal no more than two matches are left
+            straight = (n == 1) | ((n == 2) & (ref_pos[head] - pos[head] == ref_pos[tail] - pos[tail]))
+            row, ref, doc = (pc.fill_null(batch[c], 0).to_numpy() for c in ("row", "ref", "doc"))
+            one = last[straight]
             if len(one):
                 sa, sb = shift[one - 2].astype(np.int64), shift[one - 1].astype(np.int64)
-                pos, ref_pos = (batch[c].take(pa.array(one)).flatten().to_numpy().astype(np.int64) for c in ("pos", "ref_pos"))
-                p, q, rp, rq, equal = align_lone(words, places[one - 2], places[one - 1], places[one - 1], places[one], pos - sa, ref_pos - sb)
+                a, b = head[straight], tail[straight]
+                ends = (places[one - 2], places[one - 1], places[one - 1], places[one])
+                p, q, rp, rq, equal = align_straight(words, *ends, pos[a] - sa, ref_pos[a] - sb, pos[b] - pos[a] + SEED_WORDS)
                 good = np.flatnonzero((q - p >= min_words) & (equal >= min_identity * (q - p)))
-                columns = (batch["row"].take(pa.array(one)).to_numpy(), batch["doc"].take(pa.array(one - 2)).to_numpy(), p + sa, q + sa)
-                columns += (batch["ref"].take(pa.array(one)).to_numpy(), batch["doc"].take(pa.array(one - 1)).to_numpy(), rp + sb, rq + sb, equal)
+                columns = (row[one], doc[one - 2], p + sa, q + sa, ref[one], doc[one - 1], rp + sb, rq + sb, equal)
                 out += list(zip(*(c[good].tolist() for c in columns)))
-            for i in last[~lone].tolist():
+            for i, k, m in zip(last[~straight].tolist(), head[~straight].tolist(), n[~straight].tolist()):
                 sa, sb = int(shift[i - 2]), int(shift[i - 1])
                 a, b = words[places[i - 2] : places[i - 1]], words[places[i - 1] : places[i]]
-                p, q, rp, rq, equal = align(a, b, np.array(batch["pos"][i].as_py()) - sa, np.array(batch["ref_pos"][i].as_py()) - sb)
+                p, q, rp, rq, equal = align(a, b, pos[k : k + m] - sa, ref_pos[k : k + m] - sb)
                 if q - p >= min_words and equal >= min_identity * max(q - p, rq - rp):
-                    out.append((batch["row"][i].as_py(), batch["doc"][i - 2].as_py(), p + sa, q + sa, batch["ref"][i].as_py(), batch["doc"][i - 1].as_py(), rp + sb, rq + sb, equal))
+                    out.append(tuple(map(int, (row[i], doc[i - 2], p + sa, q + sa, ref[i], doc[i - 1], rp + sb, rq + sb, equal))))
             columns = list(zip(*out)) if out else [()] * len(_PASSAGE)
             yield pa.record_batch({c: pa.array(v, pa.int64()) for c, v in zip(_PASSAGE, columns)})
 
@@ -610,8 +667,11 @@ def exact_passages(documents: DataFrame, matched: DataFrame, passages: DataFrame
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 out = {"of": [], "first": [], "last": []}
-                for i, (first, last, found) in enumerate(zip(*(batch[c].to_pylist() for c in ("first", "last", "spans")))):
-                    for a, b in _uncovered(first, last, [(x["begin"], x["end"]) for x in found or ()], min_words):
+                lists = batch["spans"]
+                found = list(zip(*(lists.flatten().field(c).to_pylist() for c in ("begin", "end"))))
+                ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)).tolist()
+                for i, (first, last, k, end) in enumerate(zip(batch["first"].to_pylist(), batch["last"].to_pylist(), [0, *ends], ends)):
+                    for a, b in _uncovered(first, last, found[k:end], min_words):
                         out["of"].append(i)
                         out["first"].append(a)
                         out["last"].append(b)
