@@ -123,3 +123,36 @@ def test_straight_chains_are_aligned_alike_one_by_one_and_many_at_once():
     for k in range(300):
         both = np.array([pos[k], pos[k] + size[k] - chaining.SEED_WORDS])
         assert tuple(int(x[k]) for x in got) == chaining.align(texts[k], texts[300 + k], both, both)
+
+
+def test_training_on_the_driver_holds_the_features_of_words_once():
+    import tracemalloc
+
+    from tidemark.llm import toxicity
+
+    rng = np.random.default_rng(8)
+    names = sorted({"".join(rng.choice(list("abcdefgh"), n)) for n in rng.integers(5, 17, 9000)})
+    toxic = np.array(["abc" in w for w in names]) * rng.integers(1, 9, len(names))
+    known = common.pd.DataFrame({"word": names, "toxic": toxic, "clean": np.where(toxic > 0, 0, rng.integers(1, 9, len(names)))})
+    tracemalloc.start()
+    model = toxicity.fit_words(known)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 2 * 8 * len(names) * toxicity.LANDMARKS
+    values = toxicity.margins(names, model.table, model.bias)
+    assert ((values > 0) == (toxic > 0)).mean() > 0.95
+
+
+def test_the_machine_is_the_same_in_blocks_and_on_some_rows(monkeypatch):
+    from tidemark.llm import toxicity
+
+    rng = np.random.default_rng(9)
+    z, at = rng.normal(size=(500, 7)).astype(np.float32), rng.permutation(500)[:300]
+    y, weight = np.where(z[at, 0] + 0.3 * rng.normal(size=300) > 0, 1.0, -1.0), rng.uniform(1, 3, 300)
+    whole = toxicity._machine(z[at].astype(float), y, weight)
+    for together in (1, 64, 299, 300):
+        monkeypatch.setattr(toxicity, "ROWS_TOGETHER", together)
+        assert np.allclose(toxicity._machine(z, y, weight, at=at), whole, rtol=0, atol=1e-9)
+    x = np.hstack([z[at], np.ones((300, 1))]).astype(float)
+    slack = np.maximum(1 - y * (x @ whole), 0)
+    assert np.abs(0.1 * whole - x.T @ (weight * y * slack)).max() < 1e-6  # no slope is left

@@ -48,6 +48,8 @@ HARD_ROUNDS = 3
 #: words that one round of training looks at
 TRAINING_WORDS = 12_000
 THRESHOLD = 0.3
+#: rows of features that training widens to doubles at a time
+ROWS_TOGETHER = 1024
 #: share of the clean training documents whose words must be below those of a toxic one that its words explain
 EXPLAINED = 0.99
 
@@ -137,14 +139,31 @@ def sentence_words(rows: DataFrame) -> DataFrame:
     return counted.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
-def _machine(z: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 0.1) -> np.ndarray:
-    """Squared-hinge support vector machine by Newton steps; the last weight is the bias."""
-    z = np.hstack([z, np.ones((len(z), 1))])
-    w = np.zeros(z.shape[1])
+def _wide(z: np.ndarray, at: np.ndarray) -> Iterator[tuple[slice, np.ndarray]]:
+    """The rows ``at`` of z with a last column of ones, in doubles, a block at a time."""
+    for begin in range(0, len(at), ROWS_TOGETHER):
+        part = slice(begin, begin + ROWS_TOGETHER)
+        rows = np.ones((len(at[part]), z.shape[1] + 1))
+        rows[:, :-1] = z[at[part]]
+        yield part, rows
+
+
+def _machine(z: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 0.1, at: np.ndarray | None = None) -> np.ndarray:
+    """Squared-hinge support vector machine by Newton steps; the last weight is the bias.
+
+    It learns from the rows ``at`` (all, if not given), to which ``y`` and ``weight`` belong. The driver holds z once, and
+    a block of rows.
+    """
+    at = np.arange(len(z)) if at is None else at
+    w = np.zeros(z.shape[1] + 1)
     for _ in range(25):
-        inside = y * (z @ w) < 1
-        zi, ci = z[inside], weight[inside]
-        new = np.linalg.solve(zi.T @ (zi * ci[:, None]) + penalty * np.eye(len(w)), zi.T @ (ci * y[inside]))
+        gram, right = penalty * np.eye(len(w)), np.zeros(len(w))
+        for part, rows in _wide(z, at):
+            inside = y[part] * (rows @ w) < 1
+            rows, own = rows[inside], weight[part][inside]
+            right += rows.T @ (own * y[part][inside])
+            gram += rows.T @ (rows * own[:, None])
+        new = np.linalg.solve(gram, right)
         if np.abs(new - w).max() < 1e-6:
             break
         w = new
@@ -196,10 +215,12 @@ def fit_words(known: pd.DataFrame) -> Model:
     np.add.at(phi, (np.repeat(np.arange(len(marks)), [len(t) for t, _ in marks]), column), np.concatenate([v for _, v in marks]))
     size, axes = np.linalg.eigh(phi @ phi.T)
     whiten = axes[:, size > 1e-6] / np.sqrt(size[size > 1e-6])
-    project = phi.T @ whiten  # triples to Nystrom features
+    project = np.zeros((len(used) + 1, whiten.shape[1]), np.float32)
+    project[1:] = phi.T @ whiten  # triples to Nystrom features
     place = np.zeros(SIZE**3, np.int32)
     place[used] = np.arange(1, len(used) + 1)
-    z = projected(names, place, np.vstack([np.zeros(project.shape[1]), project]).astype(np.float32)).astype(np.float64)
+    z, everything = projected(names, place, project), np.arange(len(names))
+    del project
     sure = (toxic >= 10) & (toxic > 20 * rate * clean)
     use = np.ones(len(names), bool)
     w = np.zeros(z.shape[1] + 1)
@@ -208,10 +229,10 @@ def fit_words(known: pd.DataFrame) -> Model:
         at = np.concatenate([at_toxic, np.flatnonzero(clean > 0)])
         y = np.concatenate([np.ones(len(at_toxic)), -np.ones(len(at) - len(at_toxic))])
         weight = np.concatenate([toxic[at_toxic], 4 * rate * clean[clean > 0] + 1])
-        w = _machine(z[at], y, np.minimum(weight, 200))
-        use = sure | (z @ w[:-1] + w[-1] > 0)
+        w = _machine(z, y, np.minimum(weight, 200), at=at)
+        use = sure | (np.concatenate([rows @ w for _, rows in _wide(z, everything)]) > 0)
     table = np.zeros(SIZE**3)
-    table[used] = project @ w[:-1]
+    table[used] = phi.T @ (whiten @ w[:-1])
     return Model(table, float(w[-1]))
 
 
