@@ -156,3 +156,56 @@ def test_the_machine_is_the_same_in_blocks_and_on_some_rows(monkeypatch):
     x = np.hstack([z[at], np.ones((300, 1))]).astype(float)
     slack = np.maximum(1 - y * (x @ whole), 0)
     assert np.abs(0.1 * whole - x.T @ (weight * y * slack)).max() < 1e-6  # no slope is left
+
+
+def test_rows_of_the_seed_shuffle_come_back_whole_and_take_half_the_bytes():
+    from tidemark.llm import chaining
+
+    rng = np.random.default_rng(11)
+    n, parts = 100_000, 12
+    seed = np.sort(rng.integers(-(2**63), 2**63, n))
+    doc, places = rng.integers(0, 5_000, n), rng.integers(0, 2_000, n)
+    spread = seed.view(np.uint64) ^ np.uint64(1 << 63)
+    sent = pa.Table.from_batches(list(chaining.blocks(chaining._FIRST, spread, parts, seed, doc, places)))
+    more = pa.Table.from_batches(list(chaining.blocks(chaining._FOUND, spread[:50], parts, seed[:50], doc[:50], doc[:50], places[:50])))
+    got = []
+    for part in range(parts):
+        rows = pa.concat_tables([sent, more]).filter(common.pc.equal(pa.concat_tables([sent, more])["part"], part)).sort_by("bucket")
+        for kinds in chaining.in_buckets(iter(rows.to_batches())):
+            assert sum(len(x) for k, x in kinds.items() if k == chaining._FOUND) <= 50
+            got.append(kinds[chaining._FIRST])
+    assert np.array_equal(np.concatenate(got), np.stack([seed, doc, places], axis=1))
+    assert not list(chaining.blocks(chaining._FIRST, spread[:0], parts, seed[:0], doc[:0], places[:0]))
+    wide = np.stack([np.zeros(n, np.int64), seed, doc, common.mix(doc).view(np.int64), places], axis=1)[rng.permutation(n)]
+    packed = sum(len(pa.compress(b.as_buffer(), "lz4")) for b in sent["data"].combine_chunks())
+    assert packed < 0.55 * len(pa.compress(wide.tobytes(), "lz4"))
+
+
+def test_lone_matches_are_judged_by_bits_of_words_in_place_of_texts(spark, monkeypatch):
+    from tidemark.llm import chaining
+
+    hashes, begins = chaining.word_hashes(pa.array(["a b c", "", "d", None, "e f g h"]))
+    packed = chaining.packed_words(hashes, begins)
+    bits, first = chaining.unpacked_words(packed)
+    lengths = np.diff(begins)
+    assert np.array_equal(bits[common.gather(first, lengths)], (hashes >> np.uint64(60)).astype(np.uint8))
+    assert packed.nbytes < 40 and np.array_equal(chaining.unpacked_words(packed.slice(2))[1], first[2:] - first[2])
+    texts = [" ".join(f"w{(i * k) % 97}" for k in range(1, 200)) for i in range(1, 30)]
+    rows = spark.createDataFrame([(i, i, t) for i, t in enumerate(texts)], "doc long, row long, text string")
+    lone = spark.createDataFrame([(7, 3, 1, 20, 20)], "chain long, row long, ref long, pos int, ref_pos int")
+    plan = chaining.lone_survivors(rows, lone, 50)._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Aggregate" in line and "first(" in line]
+    assert joins and not any("first(text" in line for line in joins)
+
+
+def test_documents_are_told_apart_by_their_ids_unless_those_repeat(spark):
+    from tidemark.llm import chaining
+
+    words = [f"w{k}" for k in range(300)]
+    texts = [" ".join(words), " ".join(words[100:] + ["x"] * 30), " ".join(words[:90] + ["y"] * 40)]
+    once = spark.createDataFrame([(i + 5, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    again = spark.createDataFrame([*[(i + 5, t) for i, t in enumerate(texts)], (9, "z"), (9, "zz")], "doc_id long, text string")
+    assert [r[0] for r in chaining.identified(once).select("row").orderBy("row").collect()] == [5, 6, 7]
+    assert chaining.identified(again).where("doc = row").count() == 0
+    found = [sorted(map(tuple, chaining.repeated_passages(x).collect())) for x in (once, again)]
+    assert found[0] == found[1] and [r[:3] for r in found[0]] == [(6, 0, 200), (7, 0, 90)]

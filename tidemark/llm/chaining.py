@@ -21,6 +21,7 @@
 A passage stays in the document with the smallest doc_id. Null texts and texts shorter than ``min_words`` have none.
 A document is its doc_id and text (``row``, a hash of both): rows that share a doc_id, or have none, are documents of
 their own unless their texts are equal, and come in the order of their hashes. No document is compared with itself.
+Where no doc_id repeats, ``row`` is the doc_id itself, which takes fewer bytes in every shuffle.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import distinct, gather, in_arrow, in_order, keep, marked, matching, mix, ship, slices, term_hashes, unwrapped, whole, whole_groups, without, wrapped
+from tidemark.llm.common import SLICE_BYTES, distinct, gather, in_arrow, in_order, keep, marked, matching, mix, ship, slices, term_hashes, unwrapped, whole, whole_groups, without, wrapped
 
 SEED_WORDS, WINDOW = 5, 4
 #: what a match adds to the score of a chain
@@ -201,17 +202,54 @@ def _match_batches(found: np.ndarray) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch({c: pa.array(part[:, i]).cast(t) for i, (c, t) in enumerate(_MATCH.items())})
 
 
+_FOUND, _FIRST, _FIRST_ROW = 0, 1, 2
+#: columns of each kind of block, and buckets that a task of the shuffle works on one after the other
+_WIDTH, _BUCKETS = {_FOUND: 4, _FIRST: 3, _FIRST_ROW: 4}, 8
+
+
+def blocks(kind: int, spread: np.ndarray, parts: int, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Rows of numbers in ascending order of ``spread`` (64 bits), cut into a block for each bucket: (part, bucket, kind, data).
+
+    A block holds the first byte of all its numbers, then the second, and so on: bytes that are alike compress well.
+    """
+    if not len(spread):
+        return
+    bucket = ((spread >> np.uint64(32)) * np.uint64(parts * _BUCKETS) >> np.uint64(32)).astype(np.int64)
+    data = np.stack([c.astype(np.int64, copy=False) for c in columns], axis=1).view(np.uint8)
+    starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+    ends, bucket = np.append(starts[1:], len(data)), bucket[starts]
+    for a in range(0, len(starts), 4096):
+        some = slice(a, a + 4096)
+        held = [data[i:j].T.tobytes() for i, j in zip(starts[some].tolist(), ends[some].tolist())]
+        columns = {"part": bucket[some] // _BUCKETS, "bucket": bucket[some] % _BUCKETS, "kind": np.full(len(held), kind)}
+        yield pa.record_batch({**{c: pa.array(v, pa.int32()) for c, v in columns.items()}, "data": pa.array(held, pa.binary())})
+
+
+def in_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[int, np.ndarray]]:
+    """The numbers of ``blocks`` of one part, sorted by bucket: per bucket, the rows of each kind."""
+    for rows in whole_groups(batches, "bucket"):
+        bucket, kind = rows["bucket"].to_numpy(), rows["kind"].to_numpy()
+        data = rows["data"]
+        for one in distinct(bucket).tolist():
+            kinds = {}
+            for k in distinct(kind[bucket == one]).tolist():
+                held = [np.frombuffer(data[i].as_buffer(), np.uint8).reshape(8 * _WIDTH[k], -1).T for i in np.flatnonzero((bucket == one) & (kind == k)).tolist()]
+                kinds[k] = np.concatenate(held, out=np.empty((sum(map(len, held)), 8 * _WIDTH[k]), np.uint8)).view(np.int64)
+            yield kinds
+
+
 def _doc() -> Column:
     return F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID))
 
 
-def _row() -> Column:
-    return F.xxhash64(_doc(), "text")
+def _row(documents: DataFrame) -> Column:
+    counts = documents.groupBy(_doc().alias("doc")).agg(F.count(F.lit(1)).alias("rows"))
+    return F.xxhash64(_doc(), "text") if counts.where("rows > 1").select("rows").head(1) else _doc()
 
 
-def identified(documents: DataFrame) -> DataFrame:
-    """doc (doc_id as a number, the least for none), row (hash of doc and text) and text."""
-    return documents.select(_doc().alias("doc"), _row().alias("row"), "text")
+def identified(documents: DataFrame, row: Column | None = None) -> DataFrame:
+    """doc (doc_id as a number, the least for none), row (hash of doc and text, or doc where none repeats) and text."""
+    return documents.select(_doc().alias("doc"), (_row(documents) if row is None else row).alias("row"), "text")
 
 
 def all_matches(documents: DataFrame, pick: Callable, asked: DataFrame | None = None) -> DataFrame:
@@ -220,8 +258,10 @@ def all_matches(documents: DataFrame, pick: Callable, asked: DataFrame | None =
     ``pick`` gives hash, number of text and place of what it takes from a batch of texts. With ``asked`` (column ``row``), rows
     that are surely not among them are not matched, though others may be matched with them. Texts are read once: a
     task sends the matches inside it, spread by their row, together with the first document of each of its hashes. A match
-    is (mark and bits of the row's hash, ref, row, -1 - both places), a first document (hash, doc, row, place and whether asked).
+    is (mark, ref, row, both places), a first document (hash, doc, place and whether asked, row unless that is doc).
+    They are shuffled as ``blocks``, each bucket of which is put in order by the task that gets it.
     """
+    parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
@@ -233,14 +273,17 @@ def all_matches(documents: DataFrame, pick: Callable, asked: DataFrame | None =
             order = order[in_order(seed[order], doc[order], row[order], pos[order])]
             seed, doc, row, pos, wanted = (x[order] for x in (seed, doc, row, pos, wanted))
             found, first = matches(seed, doc, row, pos, wanted)
-            key = (mix(found[:, 0]) >> np.uint64(_MAP_BITS)).view(np.int64) | found[:, 4] << (64 - _MAP_BITS)
-            places = -1 - (found[:, 1] << 31 | found[:, 3])
-            yield from rows_of(key, found[:, 2], found[:, 0], places)
-            yield from rows_of(seed[first], doc[first], row[first], 2 * pos[first] + wanted[first])
-
-        def rows_of(*columns: np.ndarray) -> Iterator[pa.RecordBatch]:
-            for a in range(0, len(columns[0]), 200_000):
-                yield pa.record_batch([pa.array(c[a : a + 200_000]) for c in columns], ["key", "of", "row", "places"])
+            spread = mix(found[:, 0])
+            order = np.argsort(spread)
+            mark, ref, row_found, places = found[:, 4], found[:, 2], found[:, 0], found[:, 1] << 31 | found[:, 3]
+            yield from blocks(_FOUND, spread[order], parts, *(x[order] for x in (mark, ref, row_found, places)))
+            seed, doc, row, places = seed[first], doc[first], row[first], 2 * pos[first] + wanted[first]
+            # a block has the hashes of a range, in the order of signed numbers
+            spread = seed.view(np.uint64) ^ np.uint64(1 << 63)
+            if np.array_equal(row, doc):
+                yield from blocks(_FIRST, spread, parts, seed, doc, places)
+            else:
+                yield from blocks(_FIRST_ROW, spread, parts, seed, doc, places, row)
 
         for rows in slices(batches):
             seed, of, pos = pick(*word_hashes(rows["text"]))
@@ -253,24 +296,28 @@ def all_matches(documents: DataFrame, pick: Callable, asked: DataFrame | None =
             yield from ready()
 
     def between_tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in whole_groups(batches, "key"):
-            key, of, row, places = (rows[c].to_numpy() for c in ("key", "of", "row", "places"))
-            done = places < 0
-            both = -1 - places[done]
-            yield from _match_batches(np.stack([row[done], both >> 31, of[done], both & (2**31 - 1), _mark(key[done])], axis=1))
-            seed, doc, row, pos = (x[~done] for x in (key, of, row, places))
-            same = seed[1:] == seed[:-1]
-            several = np.flatnonzero(np.append(same, False) | np.append(False, same)) if len(seed) else np.zeros(0, np.int64)
-            several = several[in_order(*(x[several] for x in (seed, doc, row, pos)))]  # the others have no match
-            seed, doc, row, pos = (x[several] for x in (seed, doc, row, pos))
+        for kinds in in_buckets(batches):
+            if _FOUND in kinds:
+                mark, ref, row, places = kinds[_FOUND].T
+                yield from _match_batches(np.stack([row, places >> 31, ref, places & (2**31 - 1), mark], axis=1))
+            firsts = [kinds[_FIRST][:, [0, 1, 2, 1]]] if _FIRST in kinds else []
+            firsts += [kinds[_FIRST_ROW]] if _FIRST_ROW in kinds else []
+            if not firsts:
+                continue
+            seed, doc, pos, row = np.concatenate(firsts).T
+            order = np.argsort(seed)
+            same = seed[order][1:] == seed[order][:-1]
+            several = order[np.append(same, False) | np.append(False, same)]  # the others have no match
+            seed, doc, pos, row = (x[several] for x in (seed, doc, pos, row))
+            order = in_order(seed, doc, row, pos)
+            seed, doc, pos, row = (x[order] for x in (seed, doc, pos, row))
             found, _ = matches(seed, doc, row, pos >> 1, pos & 1 == 1)
             yield from _match_batches(found)
 
-    parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = documents.select("doc", "row", "text")
     texts = texts.withColumn("_may_match", F.lit(True)) if asked is None else marked(texts, asked.select("row"), "row")
-    rows = in_arrow(texts, sent, "key long, of long, row long, places long").repartition(parts, "key")
-    return in_arrow(rows.sortWithinPartitions("key"), between_tasks, _MATCH_DDL)
+    rows = in_arrow(texts, sent, "part int, bucket int, kind int, data binary").repartitionById(parts, "part")
+    return in_arrow(rows.sortWithinPartitions("bucket"), between_tasks, _MATCH_DDL)
 
 
 def seed_matches(documents: DataFrame, min_words: int) -> DataFrame:
@@ -388,7 +435,8 @@ def candidate_chains(found: DataFrame) -> DataFrame:
             yield as_chains(np.array(taken, np.int64), np.array(sizes, np.int64))
 
     parts = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pairs = found.withColumn("pair", F.xxhash64("row", "ref")).repartition(parts, "pair")
+    pair = F.xxhash64("row", "ref")
+    pairs = found.repartition(parts, pair).withColumn("pair", pair)  # made anew behind the shuffle, which is narrower without it
     return in_arrow(pairs.sortWithinPartitions("pair"), run, "row long, ref long, pos array<int>, ref_pos array<int>")
 
 
@@ -501,10 +549,30 @@ def _reach(min_words: int) -> int:
     return min(MARGIN, max(1, -(-(min_words - SEED_WORDS) // 2)))
 
 
-def packed_sides(hashes: np.ndarray, begin: np.ndarray, end: np.ndarray, pos: np.ndarray, reach: int) -> np.ndarray:
-    """Per match: how many words lie on its left and right (up to ``reach``), then four bits of each, nearest first."""
+def packed_words(hashes: np.ndarray, begins: np.ndarray) -> pa.Array:
+    """Four bits of each word's hash, two words to a byte, for each text."""
+    lengths = np.diff(begins)
+    ends = np.concatenate([[0], np.cumsum((lengths + 1) // 2)])
+    bits = np.zeros(2 * int(ends[-1]), np.uint8)
+    bits[gather(2 * ends[:-1], lengths)] = (hashes[begins[0] : begins[-1]] >> np.uint64(60)).astype(np.uint8)
+    return pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(bits[0::2] << 4 | bits[1::2])])
+
+
+def unpacked_words(packed: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bits of all words of ``packed_words`` (a text of an odd number has one more), and where each text begins."""
+    packed = pa.concat_arrays([packed]) if packed.offset else packed
+    ends = np.frombuffer(packed.buffers()[1], np.int32)[: len(packed) + 1].astype(np.int64)
+    data = np.frombuffer(packed.buffers()[2], np.uint8)[: ends[-1]] if ends[-1] else np.zeros(0, np.uint8)
+    return np.stack([data >> 4, data & 15], axis=1).reshape(-1), 2 * ends[:-1]
+
+
+def packed_sides(bits: np.ndarray, begin: np.ndarray, end: np.ndarray, pos: np.ndarray, reach: int) -> np.ndarray:
+    """Per match: how many words lie on its left and right (up to ``reach``), then four bits of each, nearest first.
+
+    ``bits`` are those four bits of all words, or their hashes of 64 bits.
+    """
     place, k = begin + pos, np.arange(reach)
-    bits = (hashes >> np.uint64(60)).astype(np.uint8)
+    bits = bits if bits.dtype == np.uint8 else (bits >> np.uint64(60)).astype(np.uint8)
     room = np.stack([np.minimum(pos, reach), np.clip(end - place - SEED_WORDS, 0, reach)], axis=1).astype(np.uint8)
     near = np.concatenate([place[:, None] - 1 - k, place[:, None] + SEED_WORDS + k], axis=1)
     found = bits[np.clip(near, 0, max(len(bits) - 1, 0))]
@@ -530,17 +598,26 @@ def lone_survivors(documents: DataFrame, lone: DataFrame, min_words: int) -> Dat
     reach = _reach(min_words)
     ask = lambda row, pos, side: lone.select(F.col(row).alias("row"), F.struct("chain", (2 * F.col(pos) + side).alias("at")).alias("ask"))
     asked = ask("row", "pos", 0).union(ask("ref", "ref_pos", 1)).groupBy("row").agg(F.collect_list("ask").alias("asks"))
-    texts = matching(documents.select("row", "text"), asked.select("row"), "row").dropDuplicates(["row"]).join(asked, "row")
+    texts = marked(documents.select("row", "text"), asked.select("row"), "row").where("_may_match")
 
-    def sides(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in slices(batches):
             hashes, begins = word_hashes(rows["text"])
+            yield pa.record_batch({"row": rows["row"], "n": pa.array(np.diff(begins)), "words": packed_words(hashes, begins)})
+
+    # the bits of the words are an eighth of the texts
+    texts = in_arrow(texts.select("row", "text"), packed, "row long, n long, words binary").dropDuplicates(["row"]).join(asked, "row")
+
+    def sides(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in slices(batches, "words", SLICE_BYTES >> 4):
+            bits, begins = unpacked_words(rows["words"])
+            ends = begins + rows["n"].to_numpy()
             asks = rows["asks"].flatten()
             of = np.repeat(np.arange(rows.num_rows), pc.list_value_length(rows["asks"]).to_numpy(zero_copy_only=False))
             at = asks.field("at").to_numpy()
             for a in range(0, len(of), _ASKS_TOGETHER):
                 part = slice(a, a + _ASKS_TOGETHER)
-                found = packed_sides(hashes, begins[of[part]], begins[of[part] + 1], at[part] // 2, reach)
+                found = packed_sides(bits, begins[of[part]], ends[of[part]], at[part] // 2, reach)
                 held = pa.FixedSizeBinaryArray.from_buffers(pa.binary(found.shape[1]), len(found), [None, pa.py_buffer(np.ascontiguousarray(found))])
                 columns = {"chain": asks.field("chain").slice(a, len(found)), "side": pa.array(at[part] % 2, pa.int8()), "words": held.cast(pa.binary())}
                 yield pa.record_batch(columns)
@@ -556,7 +633,7 @@ def lone_survivors(documents: DataFrame, lone: DataFrame, min_words: int) -> Dat
             yield pa.record_batch({"chain": pa.array(chain[second[grows]])})
 
     parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sent = in_arrow(texts.select("text", "asks"), sides, "chain long, side byte, words binary")
+    sent = in_arrow(texts.select("n", "words", "asks"), sides, "chain long, side byte, words binary")
     return in_arrow(sent.repartition(parts, "chain").sortWithinPartitions("chain", "side"), judge, "chain long")
 
 
@@ -737,10 +814,11 @@ def repeated_passages(documents: DataFrame, min_words: int = 50, min_identity: f
 def cut_passages(documents: DataFrame, min_words: int = 50, min_identity: float = 0.8) -> DataFrame:
     """The documents without their repeated passages. n_chars, if there, follows; a document left without words goes."""
     ship(documents.sparkSession)
-    found = passages(identified(documents), min_words, min_identity)
+    row = _row(documents)
+    found = passages(identified(documents, row), min_words, min_identity)
     spans = found.groupBy(F.col("row").alias("doc")).agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
     spans = keep(spans, "spans")
-    rows = wrapped(documents, _row())
+    rows = wrapped(documents, row)
     hit = matching(rows, spans.select("doc"), "doc").join(spans, "doc").select("rest", "text", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
