@@ -215,3 +215,47 @@ def test_broadcast_limit_follows_the_session(spark):
 def test_unknown_policy_is_refused():
     with pytest.raises(ValueError, match="policy"):
         MergeRule(("id",), "seq", "_is_deleted", "whatever")
+
+
+def test_rows_that_share_the_first_keys_are_shuffled_together_by_a_large_merge(spark):
+    lines = MergeRule(("o", "n"), "seq", "_is_deleted")
+    schema = "o string, n int, value string, seq string, _is_deleted boolean"
+    numbers = [-(2**31), -17, -1, 0, 1, 15, 16, 2**31 - 1]
+    stored = spark.createDataFrame([(o, n, "s", "1", False) for o in "ab" for n in numbers], schema)
+    batch = spark.createDataFrame([("a", n, "i", "2", n == 0) for n in [*numbers, 7]] + [("c", 1, "i", "2", False)], schema)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = merge(stored, batch, lines, False)
+        text = plan(merged)
+        got = as_set(merged)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    want = [("a", n, "i", "2", n == 0) for n in [*numbers, 7]] + [("b", n, "s", "1", False) for n in numbers]
+    assert got == sorted([*want, ("c", 1, "i", "2", False)], key=str)
+    dealt = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
+    assert text.count("FullOuter") == 1 and len(dealt) == 2 and all("_tidemark_run" in line for line in dealt)
+
+
+def test_several_large_waiting_batches_are_shuffled_once(spark, place, monkeypatch):
+    from tidemark import LakeTable, TableSpec
+    from tidemark.spec import TableType
+    from tidemark.tables import lake_table
+
+    released = []
+    monkeypatch.setattr(lake_table, "LARGE_STEP", 1)
+    monkeypatch.setattr(lake_table, "release_shuffles", released.append)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        spec = TableSpec("t", ("o", "n"), ordering="seq", table_type=TableType.MERGE_ON_READ)
+        table = LakeTable(spark, place, spec)
+        rows_of = lambda value, seq, *ns: spark.createDataFrame([("a", n, value, seq) for n in ns], "o string, n long, value string, seq string")
+        table.seed(rows_of("s", "1", 1, 2, 3, 40), "20240101000000")
+        table.upsert(rows_of("i", "2", 2, 3, 5), "20240102000000")
+        table.upsert(rows_of("j", "3", 3, 5, 60), "20240103000000")
+        text = plan(table.snapshot())
+        got = sorted((r["n"], r["value"]) for r in table.snapshot().collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == [(1, "s"), (2, "i"), (3, "j"), (5, "j"), (40, "s"), (60, "j")]
+    assert text.count("Exchange hashpartitioning") == 2 and text.count("_tidemark_run") > 2
+    assert len(released) == 3

@@ -90,3 +90,28 @@ def test_a_failing_stream_is_restarted_alone(spark, place):
     assert (rows["public.bad"]["state"], rows["public.bad"]["restarts"], rows["public.bad"]["failures"]) == ("failed", 2, 3)
     assert rows["public.bad"]["error"]
     assert LakeTable(spark, f"{place}/good/table", watched[0].spec).snapshot().count() == 5
+
+
+@pytest.mark.parametrize("changes", [False, True])
+def test_items_that_are_shuffled_meet_the_lines_before_their_orders(spark, changes):
+    lines = spark.read.parquet(f"{TABLES}/lineitem.parquet").withColumn("_commit_time", F.lit(feeds.SEED))
+
+    def rows():
+        sources = gold._retail_sources(spark, TABLES, lines)
+        return gold.denormalize_changes(sources, gold.RETAIL_LAYOUT, False) if changes else gold.denormalize(sources, gold.RETAIL_LAYOUT)
+
+    want = sorted(map(str, rows().collect()))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text, got = plan_of(rows()), sorted(map(str, rows().collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == want and len(got) == 6000
+    at = text.index("Exchange hashpartitioning(l_partkey")
+    depth = len(re.match(r"[\s:+\-|]*", text[text.rindex("\n", 0, at) + 1 : at])[0])
+    below = []
+    for line in text[at:].split("\n")[1:]:
+        if len(re.match(r"[\s:+\-|]*", line)[0]) <= depth:
+            break
+        below.append(line)
+    assert below and not any("o_orderkey" in line for line in below)

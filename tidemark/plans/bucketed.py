@@ -26,4 +26,4 @@ def denormalize_bucketed(sources: Sources, layout: Layout) -> DataFrame:
 
     The two facts meet first, bucket by bucket; what is left are references, joined as their sizes allow.
     """
-    return denormalize_changes(replace(sources, orders=sources.orders.hint("merge")), layout, small=False)
+    return denormalize_changes(replace(sources, orders=sources.orders.hint("merge")), layout, small=False, bucketed=True)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.envelope import TIME_DIGITS, TIME_PATTERN
 from tidemark.functions.keys import joined_key
+from tidemark.operators.merge import broadcast_limit, planned_bytes
 from tidemark.plans.star import Reference, star_join
 from tidemark.spec import TableSpec, TableType
 from tidemark.tables.lake_table import COMMIT_TIME
@@ -169,6 +170,12 @@ def _copied(layout: Layout) -> dict[str, str]:
     return {**{c: c for c in layout.kept}, **{new: old for old, new in layout.renamed.items()}}
 
 
+def _fits_broadcast(item: DataFrame, layout: Layout) -> bool:
+    """Whether Spark broadcasts the columns of the item table that are needed."""
+    needed = {right for _, right in layout.item} | {c for c in _copied(layout).values() if c in item.columns}
+    return planned_bytes(item.select(*sorted(needed))) <= broadcast_limit(item.sparkSession)
+
+
 def output_columns(layout: Layout) -> list[str]:
     front = ["aol_sk", "c_sk", "c_id", "w_id", "d_id", "o_id", "ol_number", "o_entry_d", "order_date", "i_id"]
     return [*front, *_copied(layout), "ol_instant_time"]
@@ -196,27 +203,40 @@ def denormalize(sources: Sources, layout: Layout) -> DataFrame:
         *[F.col(c).alias(k) for k, c in join_keys.items()], *[v.alias(k) for k, v in per_order.items()]
     )
     on_order = [(key, right) for key, (_, right) in zip(join_keys, layout.order_line)]
+    per_line = {**_line_columns(layout), **line_level}
     # two facts meet here: both are shuffled on the order, neither is ever collected for a broadcast
-    facts = sources.order_line.hint("merge")
-    lines = star_join(whole, Reference(facts, on_order), Reference(item, layout.item))
+    if _fits_broadcast(item, layout):
+        facts = sources.order_line.hint("merge")
+        lines = star_join(whole, Reference(facts, on_order), Reference(item, layout.item))
+    else:
+        # items that are shuffled meet the lines while these are narrow; lines of an order then stay together
+        facts = star_join(sources.order_line, Reference(item, layout.item))
+        line_keys = {f"_line_{i}": right for i, (_, right) in enumerate(layout.order_line)}
+        facts = facts.select(*[F.col(c).alias(k) for k, c in line_keys.items()], *[v.alias(k) for k, v in per_line.items()])
+        lines = star_join(whole, Reference(facts.hint("merge"), list(zip(join_keys, line_keys))))
+        per_line = {}
     # the order may carry an output name that is a source name of the item; outputs of the order stay as they are
     # texts that follow from the order's columns are made behind the shuffle
-    per_line = {**_line_columns(layout), **line_level, **_derived_columns()}
+    per_line |= _derived_columns()
     return lines.select(*[per_line[c].alias(c) if c in per_line else c for c in output_columns(layout)])
 
 
-def denormalize_changes(sources: Sources, layout: Layout, small: bool) -> DataFrame:
-    """The same columns for changed order lines only: the joins start from the few lines and look up the rest."""
+def denormalize_changes(sources: Sources, layout: Layout, small: bool, bucketed: bool = False) -> DataFrame:
+    """The same columns for changed order lines only: the joins start from the few lines and look up the rest.
+
+    Lines that are not few meet items that must be shuffled while they are narrow. ``bucketed`` lines stay where they are
+    until they have met their orders.
+    """
     orders, customer, district, warehouse, item = sources.references()
-    lines = star_join(
-        sources.order_line,
+    of_order = [
         Reference(orders, [(right, left) for left, right in layout.order_line]),
         Reference(customer, layout.customer),
         Reference(district, layout.district),
         Reference(warehouse, layout.warehouse),
-        Reference(item, layout.item),
-        small_start=small,
-    )
+    ]
+    of_item = [Reference(item, layout.item)]
+    late = small or bucketed or _fits_broadcast(item, layout)
+    lines = star_join(sources.order_line, *(of_order + of_item if late else of_item + of_order), small_start=small)
     outputs = {
         **_order_columns(layout),
         **_line_columns(layout),

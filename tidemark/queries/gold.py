@@ -247,7 +247,7 @@ def _refreshed_thrice(spark: SparkSession, folder: str, place: str, watch=None)
     source.seed(full_load_envelope(orders.where(~late), feeds.STARTED), feeds.SEED)
     run(feeds.SEED)
     returned = fact.snapshot().where("l_returnflag = 'R'").drop(COMMIT_TIME)
-    fact.upsert(returned.withColumn(DELETED, F.lit(True)), feeds.FIRST)
+    fact.upsert(returned.withColumn(DELETED, F.lit(True)), feeds.FIRST, unique_keys=True)
     source.upsert(full_load_envelope(orders.where(late), feeds.STARTED), feeds.FIRST)
     run(feeds.FIRST)
     moved = orders.where("o_orderstatus = 'P'").withColumn("o_custkey", 1 + F.col("o_custkey") % 10)

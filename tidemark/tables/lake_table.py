@@ -28,18 +28,22 @@ from tidemark.operators.layout import (
 )
 from tidemark.operators.merge import (
     INCOMING_WINS,
+    RUN,
     blank_deleted,
     broadcast_limit,
+    has_runs,
     live_rows,
     measured,
     merge,
     winners,
+    with_runs,
 )
 from tidemark.operators.precombine import precombine
 from tidemark.operators.schema import ADDED, REMOVED, conform, drift
 from tidemark.spec import FAIL, TableSpec, TableType
 from tidemark.tables import storage
 from tidemark.tables.commits import INSTANT_DIGITS, Commit, CommitLog, Part, days_before, next_instant
+from tidemark.workspace import LARGE_STEP, release_shuffles
 
 COMMIT_TIME = "_commit_time"
 # Spark takes the name of a version folder for a column, so no table may have a column of that name
@@ -109,19 +113,27 @@ class LakeTable:
             frames.append(self._read(state, BASE, self._base_folders(state, settled)))
         if waiting:
             stored = self._read(state, BASE, self._base_folders(state, waiting))
-            pending, small = self._pending(state, waiting)
+            pending, small = self._pending(state, waiting, in_runs=True)
             frames.append(merge(stored, pending, self.spec.rule, small))
         return reduce(DataFrame.unionByName, frames)
 
-    def _pending(self, state: Commit, names: Iterable[str]) -> tuple[DataFrame, bool]:
-        """The changes that wait in these partitions, one per key, and whether they can be broadcast."""
+    def _pending(self, state: Commit, names: Iterable[str], in_runs: bool = False) -> tuple[DataFrame, bool]:
+        """The changes that wait in these partitions, one per key, and whether they can be broadcast.
+
+        ``in_runs`` deals them out as ``merge_shuffled`` joins them, so that they are shuffled once.
+        """
         folders = [(v, n) for n in names for v in state.parts[n].changes]
         versions = {v for v, _ in folders}
-        pending = self._read(state, CHANGES, folders)
+        pending, keys = self._read(state, CHANGES, folders), list(self.spec.keys)
+        small = self._is_small(sum(state.key_bytes[v] for v in versions))
         if len(versions) > 1:
+            if in_runs and not small and has_runs(pending, keys):
+                before = [F.col(f"`{c}`") for c in (*keys[:-1], RUN)]
+                pending = with_runs(pending, keys).repartition(*before)
+                keys = [*keys[:-1], RUN, keys[-1]]
             # one row per key and version: instants tell versions apart, no further column is compared
-            pending = precombine(pending, self.spec.keys, self._change_order(), tie_break=[])
-        return pending, self._is_small(sum(state.key_bytes[v] for v in versions))
+            pending = precombine(pending, keys, self._change_order(), tie_break=[])
+        return pending, small
 
     def _change_order(self) -> list[str]:
         arrival = [COMMIT_TIME, self.spec.ordering]
@@ -425,6 +437,8 @@ class LakeTable:
         if self.spec.partition_by:
             writer = writer.partitionBy(*self.spec.partition_by)
         writer.parquet(self._folder(kind, instant))
+        if storage.size(self.spark, self._folder(kind, instant)) >= LARGE_STEP:
+            release_shuffles(self.spark)
 
     def _written(self, kind: str, instant: str) -> list[str]:
         return storage.partition_folders(self.spark, self._folder(kind, instant), len(self.spec.partition_by))
